@@ -74,7 +74,7 @@ TITLE_OVERRIDES = [
     ("title", ["open questions", "questions log"], "any", "reference", 0.9),
     ("title", ["scenario catalog"], "any", "reference", 0.9),
     ("pattern", [r"choosing an entra integration path|^tier [123]:"], "any", "onboarding", 0.88),
-    ("pattern", [r"monitor$|provisioning and deprovisioning monitor"], "any", "reference", 0.85),
+    ("pattern", [r"monitor\z|provisioning and deprovisioning monitor"], "any", "reference", 0.85),
 ]
 
 SUBTYPE_TERMS = {

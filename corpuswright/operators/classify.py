@@ -73,7 +73,7 @@ def classify_documents(pages: DataFrame, *, overrides=None, type_terms=None) ->
             )
         ),
     )
-    few_words = F.size(F.array_remove(F.split(F.col("text"), r"(?U)\s+"), "")) < 80
+    few_words = tx.token_count(F.col("text")) < 80
     hit = F.col("_best.score") > 0
     return scored.withColumns(
         {
