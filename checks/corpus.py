@@ -265,3 +265,73 @@ corpus AS (SELECT base.*, coalesce(link_count, 0) AS link_count, coalesce(hrefs,
 
 def with_corpus(select: str, *ctes: str) -> str:
     return "WITH " + ",\n".join([corpus_sql(), *ctes]) + "\n" + select
+
+
+# ---- index rows derived by rule (for the report operators) ------------------------------------
+
+DOCUMENT_TYPES = [
+    "approved_runbook", "runbook", "architecture", "design", "support_model", "incident", "rca",
+    "knowledge_article", "known_error", "migration", "onboarding", "meeting_notes", "project_plan",
+    "change_record", "reference", "archive", "unknown",
+]
+
+
+def _index_fields(d: str) -> dict[str, str]:
+    spark = d == "spark"
+    arr = (lambda *x: f"array({', '.join(x)})") if spark else (lambda *x: f"[{', '.join(x)}]")
+    flags = arr(
+        "case when n % 3 = 0 then 'manual_review_required' end",
+        "case when n % 10 = 0 then 'future_dated' end",
+        "case when n % 6 = 1 then 'visual_content_missing' end",
+        "case when n % 8 = 2 then 'attachment_content_missing' end",
+        "case when n % 9 = 4 then 'contains_email_addresses' end",
+        "case when n % 14 = 3 then 'requires_restricted_audience' end",
+    )
+    return {
+        "document_type": _pick(DOCUMENT_TYPES, "n % 17", d),
+        "document_subtype": "case when n % 4 = 0 then 'faq' end",
+        "content_availability": "case n % 20 when 0 then 'empty' when 1 then 'thin' else 'normal' end",
+        "status_flags": (
+            f"case when n % 11 = 0 then {arr(chr(39) + 'archived' + chr(39), chr(39) + 'deprecated' + chr(39))} "
+            f"when n % 7 = 0 then {arr(chr(39) + 'stale' + chr(39))} else {arr(chr(39) + 'current' + chr(39))} end"
+        ),
+        "review_flags": f"array_compact({flags})" if spark else f"list_filter({flags}, lambda x: x IS NOT NULL)",
+        "audience": "case when n % 14 = 3 then 'restricted_internal' else 'internal' end",
+        "sensitivity": "case when n % 9 = 4 then 'restricted' when n % 20 = 5 then 'public' else 'internal' end",
+        "outbound_link_count": "n % 13",
+        "attachment_count": "n % 5",
+        "word_count": "length(text) % 5000",
+        "source_updated_at": "updated_at",
+        "page_role": "case n % 3 when 0 then 'leaf_page' when 1 then 'index_page' else 'runbook_detail' end",
+    }
+
+
+INDEX_NAMES = [
+    "n", "document_id", "page_id", "space_key", "title", "url", "source_content_hash",
+]
+
+
+def index_rows(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    f = _index_fields("spark")
+    return docs.select(*INDEX_NAMES, *[F.expr(e).alias(k) for k, e in f.items()])
+
+
+def index_sql() -> str:
+    f = _index_fields("duckdb")
+    cols = ", ".join(f"{e} AS {k}" for k, e in f.items())
+    return f"idx AS (SELECT {', '.join(INDEX_NAMES)}, {cols} FROM base)"
+
+
+def quality_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality rows of the labelled documents."""
+    docs = documents(spark, sf).select("n", "document_id", "page_id", "space_key")
+    return docs.join(table(spark, sf, "labels"), F.col("n") == F.col("doc_id")).select(
+        "document_id", "page_id", "space_key", F.expr("quality * 50 + n % 50").alias("quality_score")
+    )
+
+
+QUALITY_SQL = (
+    "qlt AS (SELECT document_id, base.page_id, space_key, quality * 50 + n % 50 AS quality_score "
+    "FROM base JOIN labels ON doc_id = n)"
+)

@@ -11,6 +11,7 @@ from corpuswright.operators import flags as fl
 from corpuswright.operators import hierarchy as hi
 from corpuswright.operators import profile as pr
 from corpuswright.operators import score as sc
+from corpuswright.plans.enrich import HEAVY
 from pyspark.sql import functions as F
 
 INSIDE = ["corp.example"]
@@ -40,19 +41,16 @@ def profiled(spark, sf, with_attachments=False):
     return pr.content_availability(pr.text_stats(fl.attachment_gap(base)))
 
 
-def placed(spark, sf, with_attachments=False):
-    base = profiled(spark, sf, with_attachments)
-    return hi.hierarchy_context(base, hi.hierarchy_counts(base))
-
-
 def scored(spark, sf, with_attachments=False):
-    df = cl.document_subtypes(cl.classify_documents(placed(spark, sf, with_attachments)))
+    df = cl.document_subtypes(cl.classify_documents(profiled(spark, sf, with_attachments)))
     df = cl.operational_signals(cl.status_flags(df, AS_OF))
-    return sc.quality_scores(df, AS_OF)
+    return sc.procedure_features(sc.quality_scores(df, AS_OF))
 
 
 def adjusted(spark, sf, with_attachments=False):
-    return sc.quality_adjust(scored(spark, sf, with_attachments))
+    slim = scored(spark, sf, with_attachments).drop(*HEAVY)
+    counts = hi.hierarchy_counts(documents(spark, sf))
+    return sc.quality_adjust(hi.hierarchy_context(slim, counts))
 
 
 def _unpack(df, column, names):

@@ -77,9 +77,11 @@ QUERIES = {
     "rewrite_images": lambda s, d: documents(s, d).select(
         "document_id", F.sha2(tx.rewrite_images(F.col("markdown")), 256).alias("body_sha")
     ),
-    "first_seen_dedupe": lambda s, d: documents(s, d).select(
-        "document_id",
-        tx.first_by_key(F.slice(F.split("text", " "), 1, 200), tx.normalize_term, 25).alias("words"),
+    "first_seen_dedupe": lambda s, d: ex.first_seen_dedupe(
+        table(s, d, "conversations").select(
+            "conv_id", "turn", F.posexplode(F.split("text", " ")).alias("pos", "word")
+        ),
+        "conv_id", ["turn", "pos"], "word", limit=40,
     ),
 }
 
@@ -219,7 +221,6 @@ SUMM = f"""
 sm AS (SELECT kdoc.*, opening_text, {HEADINGS_SQL} AS hs, CASE WHEN len(ancestor_titles) > 0 THEN ancestor_titles[-1] END AS par FROM kdoc JOIN opn USING (document_id))"""
 
 _SHOWN = "trim(regexp_replace(concat(n % 4, '.', n % 7, ' ', title), '^\\s*\\d+(?:\\.\\d+)*\\.?\\s+', ''))"
-_KEPT = f"list_transform((string_split(text, ' '))[1:200], lambda w: {NORM.format(c='w')})"
 SQL = {
     "normalize_terms": f"WITH {_TITLES} SELECT t, {NORM.format(c='t')} AS term FROM t0",
     "slugify": f"""WITH {_TITLES} SELECT t, coalesce(nullif(rtrim(substr(replace({NORM.format(c='t')}, ' ', '-'), 1, 40), '-'), ''), 'untitled')
@@ -273,8 +274,9 @@ SQL = {
         """SELECT document_id, sha256(regexp_replace(regexp_replace(markdown, '!\\[\\]\\((?:[^)?]*/)?([^)?/]+)(?:\\?[^)]*)?\\)',
         '> Image omitted from source export: \\1', 'g'), '!\\[([^\\]]+)\\]\\([^)]+\\)', '> Image omitted from source export: \\1', 'g')) AS body_sha FROM corpus"""
     ),
-    "first_seen_dedupe": with_corpus(
-        f"""SELECT document_id, array_to_string(list_transform((list_filter(range(1, len(k) + 1), lambda i: k[i] <> '' AND list_position(k, k[i]) = i))[1:25],
-        lambda i: w[i]), '|') AS words FROM (SELECT document_id, (string_split(text, ' '))[1:200] AS w, {_KEPT} AS k FROM corpus)"""
-    ),
+    "first_seen_dedupe": f"""WITH w0 AS (SELECT conv_id, turn, string_split(text, ' ') AS ws FROM conversations),
+        w1 AS (SELECT conv_id, turn, i AS pos, ws[i] AS word FROM w0, unnest(range(1, len(ws) + 1)) u(i)),
+        w2 AS (SELECT *, {NORM.format(c='word')} AS k FROM w1),
+        w3 AS (SELECT * FROM w2 WHERE k <> '' QUALIFY row_number() OVER (PARTITION BY conv_id, k ORDER BY turn, pos) = 1)
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, pos) AS rank, trim(word) AS word FROM w3 QUALIFY rank <= 40""",
 }

@@ -147,27 +147,24 @@ def unique_filtered(c: Column) -> Column:
     return F.filter(F.array_distinct(c), lambda v: v.isNotNull() & (v != ""))
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and hand it to ``body`` (also inside higher-order functions)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def first_by_key(values: Column, key, limit: int | None = None) -> Column:
-    """Order-preserving distinct on ``key(value)``; empty keys dropped, at most ``limit``."""
-    keys = F.transform(values, key)
-    kept = F.filter(
-        F.transform(
-            values,
-            lambda v, i: F.when(
-                (F.element_at(keys, i + 1) != "")
-                & (F.array_position(keys, F.element_at(keys, i + 1)) == i + 1),
-                F.struct(v.alias("v")),
-            ),
-        ),
-        lambda s: s.isNotNull(),
-    )
-    kept = F.slice(kept, 1, limit) if limit is not None else kept
-    return F.transform(kept, lambda s: s["v"])
+    """Order-preserving distinct on ``key(value)`` of a short list; empty keys dropped."""
 
+    def pick(s: Column) -> Column:
+        kept = F.filter(
+            s["values"],
+            lambda v, i: (F.element_at(s["keys"], i + 1) != "")
+            & (F.array_position(s["keys"], F.element_at(s["keys"], i + 1)) == i + 1),
+        )
+        return F.slice(kept, 1, limit) if limit is not None else kept
 
-def coalesce_array(c: Column, kind: str = "string") -> Column:
-    return F.coalesce(c, F.array().cast(f"array<{kind}>"))
+    return let(F.struct(values.alias("values"), F.transform(values, key).alias("keys")), pick)
 
 
-def canonical_json(c: Column) -> Column:
-    return F.to_json(c)
+def coalesce_array(c: Column, kind: str = "string") -> Column:
+    return F.coalesce(c, F.array().cast(f"array<{kind}>"))

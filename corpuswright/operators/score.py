@@ -161,12 +161,10 @@ def page_confidence() -> Column:
     )
 
 
-def quality_warnings(df: DataFrame) -> DataFrame:
-    """Add the array ``warnings`` (archived, weak, ownerless, unvalidated, attachments)."""
+def procedure_features(pages: DataFrame) -> DataFrame:
+    """Add ``has_linked_procedure`` and ``is_procedural`` (read from the text, no join)."""
     said = F.lower(F.concat(F.col("title"), F.lit("\n"), F.col("text")))
-    linked = (
-        F.exists("links", lambda l: F.coalesce(l["href"], F.lit("")) != "")
-    ) & tx.contains_any(F.col("_said"), fv.LINKED_PROCEDURE_TERMS)
+    has_link = F.exists("links", lambda l: F.coalesce(l["href"], F.lit("")) != "")
     place = F.lower(
         F.concat_ws(
             "\n",
@@ -175,27 +173,36 @@ def quality_warnings(df: DataFrame) -> DataFrame:
             F.substring("text", 1, 2000),
         )
     )
-    procedural = tx.contains_any(F.col("_place"), fv.PROCEDURAL_TERMS) & ~tx.contains_any(
-        F.col("_place"), fv.NON_PROCEDURAL_TERMS
-    )
-    runbook = (F.col("document_type") == "runbook") & procedural
-    no_backout = runbook & ~F.col("signals.has_backout_steps")
-    retired = F.arrays_overlap("status_flags", F.array(F.lit("archived"), F.lit("deprecated")))
     return (
-        df.withColumns({"_said": said, "_place": place})
-        .withColumn(
-            "warnings",
-            F.array_compact(
-                F.array(
-                    F.when(retired, "source_is_archived_or_deprecated"),
-                    F.when(F.col("quality.overall_score") < 50, "low_quality_score"),
-                    F.when(~F.col("signals.has_owner"), "missing_explicit_owner"),
-                    F.when(runbook & ~F.col("signals.has_validation_steps"), "missing_validation_steps"),
-                    F.when(no_backout & linked, "linked_procedure_not_expanded"),
-                    F.when(no_backout & ~linked, "missing_backout_steps"),
-                    F.when(F.col("attachment_count") > 0, "attachments_present_not_parsed"),
-                )
-            ),
+        pages.withColumns({"_said": said, "_place": place})
+        .withColumns(
+            {
+                "has_linked_procedure": has_link & tx.contains_any(F.col("_said"), fv.LINKED_PROCEDURE_TERMS),
+                "is_procedural": tx.contains_any(F.col("_place"), fv.PROCEDURAL_TERMS)
+                & ~tx.contains_any(F.col("_place"), fv.NON_PROCEDURAL_TERMS),
+            }
         )
         .drop("_said", "_place")
     )
+
+
+def quality_warnings(df: DataFrame) -> DataFrame:
+    """Add the array ``warnings`` (archived, weak, ownerless, unvalidated, attachments)."""
+    runbook = (F.col("document_type") == "runbook") & F.col("is_procedural")
+    no_backout = runbook & ~F.col("signals.has_backout_steps")
+    linked = F.col("has_linked_procedure")
+    retired = F.arrays_overlap("status_flags", F.array(F.lit("archived"), F.lit("deprecated")))
+    return df.withColumn(
+        "warnings",
+        F.array_compact(
+            F.array(
+                F.when(retired, "source_is_archived_or_deprecated"),
+                F.when(F.col("quality.overall_score") < 50, "low_quality_score"),
+                F.when(~F.col("signals.has_owner"), "missing_explicit_owner"),
+                F.when(runbook & ~F.col("signals.has_validation_steps"), "missing_validation_steps"),
+                F.when(no_backout & linked, "linked_procedure_not_expanded"),
+                F.when(no_backout & ~linked, "missing_backout_steps"),
+                F.when(F.col("attachment_count") > 0, "attachments_present_not_parsed"),
+            )
+        ),
+    )
