@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MODULES = ["profile", "duplicates", "classify", "extract"]
+MODULES = ["profile", "duplicates", "classify", "extract", "reports"]
 
 
 def plain(df: DataFrame) -> DataFrame:

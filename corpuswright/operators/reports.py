@@ -326,7 +326,9 @@ def usage_report(usage: DataFrame) -> DataFrame:
         F.count_if(F.col("cached")).alias("cached"),
         F.round(F.count_if(F.col("cached")) / F.count(F.lit(1)), 4).alias("hit_rate"),
         total("retries").alias("retries"),
-        F.round(F.coalesce(F.sum("estimated_cost_usd"), F.lit(0.0)), 6).alias("cost_usd"),
+        F.round(F.coalesce(F.sum(F.col("estimated_cost_usd").cast("decimal(28,8)")), F.lit(0)), 6)
+        .cast("double")
+        .alias("cost_usd"),
         F.when(F.count("estimated_cost_usd") > 0, "configured").otherwise("not configured").alias("cost_status"),
     )
 
@@ -385,7 +387,7 @@ def visual_status_counts(artifacts: DataFrame) -> DataFrame:
             F.struct(F.lit("image").alias("scope"), F.lit(status).alias("status"), count.cast("bigint").alias("n"))
         )
     counted = (
-        artifacts.select(F.explode(F.array(*pieces)).alias("p")).groupBy("p.scope", "p.status").agg(F.sum("n").alias("n"))
+        artifacts.select(F.explode(F.array(*pieces)).alias("p")).groupBy("p.scope", "p.status").agg(F.sum("p.n").alias("n"))
     )
     spark = artifacts.sparkSession
     fixed = spark.createDataFrame(
@@ -541,7 +543,7 @@ def markdown_header(report: DataFrame) -> list[str]:
     return ["| " + " | ".join(report.columns) + " |", "| " + " | ".join("---" for _ in report.columns) + " |"]
 
 
-def priced(usage: DataFrame, rates: DataFrame) -> DataFrame:
+def cost_rates(usage: DataFrame, rates: DataFrame) -> DataFrame:
     """Add ``estimated_cost_usd``: rate by ``provider:model``, then model, then provider.
 
     The first rate *entry* that exists decides; an entry lacking a rate gives null.
@@ -563,5 +565,3 @@ def priced(usage: DataFrame, rates: DataFrame) -> DataFrame:
         *[f"_{p}{n}" for p in "qkr" for n in range(3)]
     )
 
-
-cost_rates = priced

@@ -77,12 +77,13 @@ def entity_rollup(entities: DataFrame, docs: DataFrame, *, mentions: int = 100)
         "entity_type", normalize_entity_type(F.col("entity_type"), F.col("name"))
     ).join(docs.select("document_id", *ORDER), "document_id")
     per_doc = placed.groupBy(*keys, "document_id").agg(
-        F.sum("confidence").alias("c"), F.count(F.lit(1)).alias("n"),
+        # exact sums: a mean on the rounding edge must not depend on the order of addition
+        F.sum(F.col("confidence").cast("decimal(18,9)")).alias("c"), F.count(F.lit(1)).alias("n"),
         F.min(F.struct(*ORDER, "rank", "name", "method")).alias("first"),
     )
     groups = per_doc.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("document_count"),
-        F.bround(F.sum("c") / F.sum("n"), 2).alias("confidence"),
+        F.bround(F.sum("c") / F.sum("n"), 2).cast("double").alias("confidence"),
         F.min("first").alias("first"),
     )
     rows = placed.select(*keys, "document_id", F.explode("mentions").alias("m")).select(
