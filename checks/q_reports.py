@@ -214,7 +214,7 @@ pe AS (SELECT concat('doc:', p_brand, ':', p_partkey % 500) AS document_id, p_br
   (['queue', 'support_group', 'url', 'database', 'ticket', 'technology', 'application'])[p_size % 7 + 1] AS entity_type, p_name AS name,
   lower(p_name) AS normalized_name, (p_size % 10) / 10.0::DOUBLE AS confidence, concat(p_name, ' ', p_type) AS evidence FROM part),
 er AS (SELECT entity_type, normalized_name, count(DISTINCT document_id) AS document_count,
-  round_even((sum((confidence * 10)::INT) * 0.1::DOUBLE / count(*)), 2) AS confidence, arg_min(name, (space_key, page_id, name)) AS name,
+  round_even(sum((confidence * 10)::INT) * 10 / count(*), 0) / 100 AS confidence, arg_min(name, (space_key, page_id, name)) AS name,
   least(count(*), 100) AS mention_count, min(document_id) AS first_document FROM pe GROUP BY ALL)"""
 _TIER = """CASE WHEN entity_type IN ('url', 'contact', 'ticket') THEN 'contact_link_record'
   WHEN confidence >= 0.7 AND document_count >= 2 AND entity_type <> 'technology' THEN 'canonical_candidate' ELSE 'weak_signal' END"""

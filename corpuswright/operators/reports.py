@@ -372,6 +372,10 @@ PAGE_STATUSES = ["complete", "partial", "skipped", "failed"]
 IMAGE_STATUSES = ["success", "skipped", "failed"]
 
 
+def _status_is(status: str):
+    return lambda image: image["status"] == status
+
+
 def visual_status_counts(artifacts: DataFrame) -> DataFrame:
     """(scope, status, n) with zeros for statuses that do not occur."""
     listed = F.size("images") > 0
@@ -380,9 +384,7 @@ def visual_status_counts(artifacts: DataFrame) -> DataFrame:
     ]
     stored = {"success": "images_succeeded", "skipped": "images_skipped", "failed": "images_failed"}
     for status in IMAGE_STATUSES:
-        count = F.when(
-            listed, F.size(F.filter("images", lambda i, s=status: i["status"] == s))
-        ).otherwise(F.col(stored[status]))
+        count = F.when(listed, F.size(F.filter("images", _status_is(status)))).otherwise(F.col(stored[status]))
         pieces.append(
             F.struct(F.lit("image").alias("scope"), F.lit(status).alias("status"), count.cast("bigint").alias("n"))
         )
