@@ -7,6 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpuswright import fixed_values as fv
 from corpuswright.functions import text as tx
@@ -307,7 +308,10 @@ def _jpeg_size(content: bytes | None):
     return None
 
 
-@F.pandas_udf("struct<width:int,height:int>")
+_SIZE = T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType())])
+
+
+@F.pandas_udf(_SIZE)
 def _jpeg_sizes(content: pd.Series) -> pd.DataFrame:
     found = [_jpeg_size(c) for c in content]
     return pd.DataFrame(

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
-
 from corpuswright import schemas
 
 
@@ -17,18 +15,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(found) and len(found) > 0
 
 
-def _with_corrupt(schema: StructType) -> StructType:
-    return StructType([*schema.fields, StructField("_corrupt", StringType())])
-
-
-def parse_json_lines(lines: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
+def parse_json_lines(lines: DataFrame, schema: str, value: str = "value") -> DataFrame:
     """Typed rows from JSON text lines; other columns of ``lines`` are kept.
 
     Blank lines are dropped. A line that is not a JSON object keeps its text in ``_corrupt``.
     """
     others = [c for c in lines.columns if c != value]
     parsed = F.from_json(
-        F.col(value), _with_corrupt(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+        F.col(value), schema + ", _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     )
     is_object = F.ltrim(F.col(value)).startswith("{")
     return (
@@ -36,7 +30,7 @@ def parse_json_lines(lines: DataFrame, schema: StructType, value: str = "value")
         .withColumn("_p", F.when(is_object, parsed))
         .select(
             *others,
-            *[F.col("_p")[f.name].alias(f.name) for f in schema.fields],
+            *[F.col("_p")[name].alias(name) for name in schemas.struct(schema).names],
             F.when(is_object, F.col("_p._corrupt")).otherwise(F.col(value)).alias("_corrupt"),
         )
     )
@@ -56,7 +50,7 @@ def line_issues(parsed: DataFrame, code: str, path: Column | None = None) -> Dat
     )
 
 
-def scan_json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def scan_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines with the file they came from and ``_corrupt``."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
     return parse_json_lines(lines, schema)
@@ -96,7 +90,7 @@ def _folder(path: Column) -> Column:
     return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
 
 
-def scan_page_json(spark: SparkSession, root: str, name: str, schema: StructType) -> DataFrame:
+def scan_page_json(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
     """One JSON file per page (``name`` at any depth): typed columns, ``folder``, ``_corrupt``."""
     if not _exists(spark, root):
         raise FileNotFoundError(root)
@@ -159,8 +153,8 @@ def scan_pages(spark: SparkSession, root: str, *, own_files=()) -> DataFrame:
         {
             "attachment_names": F.coalesce("attachment_names", empty.cast("array<string>")),
             "labels": F.coalesce("labels", empty.cast("array<string>")),
-            "links": F.coalesce("links", empty.cast(schemas.LINKS["links"].dataType)),
-            "ancestors": F.coalesce("ancestors", empty.cast(schemas.METADATA["ancestors"].dataType)),
+            "links": F.coalesce("links", empty.cast(schemas.LINK_LIST)),
+            "ancestors": F.coalesce("ancestors", empty.cast(schemas.ANCESTORS)),
         }
     )
 
