@@ -503,8 +503,8 @@ SQL = {
         index_sql(),
     ),
     "export_audit": with_corpus(
-        """SELECT path, page_id, CASE WHEN kind = 'u' THEN 'unparseable' WHEN kind = 's' AND page_id NOT IN (SELECT page_id FROM base) THEN 'stale'
-        WHEN row_number() OVER (PARTITION BY page_id ORDER BY modified DESC, path DESC) > 1 AND kind = 'k' THEN 'duplicate' ELSE 'current' END AS state,
-        state IN ('stale', 'duplicate') AS to_remove FROM ef""", FILES,
+        """SELECT path, page_id, state, state IN ('stale', 'duplicate') AS to_remove FROM (SELECT path, ef.page_id, CASE WHEN kind = 'u' THEN 'unparseable'
+        WHEN base.page_id IS NULL THEN 'stale' WHEN row_number() OVER (PARTITION BY ef.page_id ORDER BY modified DESC, path DESC) > 1 THEN 'duplicate'
+        ELSE 'current' END AS state FROM ef LEFT JOIN base ON base.page_id = ef.page_id)""", FILES,
     ),
 }
