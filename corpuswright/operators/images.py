@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from corpuswright import fixed_values as fv
 from corpuswright.functions import text as tx
 from corpuswright.operators.hierarchy import ancestor_titles
-from corpuswright.session import salted_join
+from corpuswright.session import cut_lineage, salted_join
 
 IMAGE_REF = r"!\[[^\]]*\]\(([^)\s]+)(?:\s+\"[^\"]*\")?\)"
 PAGE_FILE_URL = r"(?:^|/)download/attachments/(\d+)/([^/?#]+)"
@@ -400,17 +400,22 @@ def extract_images(
     confidence, error_type`` out). An empty answer is a failure.
     """
     remote = F.col("source_kind") == "url"
-    unreadable = ~remote & F.col("content").isNull()
     low = F.col("low_value_reason").isNotNull()
-    known = image_cache_join(profiled, cache)
-    todo = known.where(~F.col("cache_hit") & ~remote & ~unreadable & ~low)
-    distinct = todo.groupBy("content_sha256").agg(
-        F.min_by(F.struct("content", "mime_type", "source"), F.struct("space_key", "page_id", "image_id")).alias("x")
-    ).select("content_sha256", "x.*")
+    place = F.struct("space_key", "page_id", "image_id")
+    # bytes are read twice and shuffled once, reduced to one copy per hash inside each task
+    slim = cut_lineage(profiled.drop("content"))
+    distinct = (
+        profiled.where(~remote & F.col("content").isNotNull() & ~low)
+        .groupBy("content_sha256")
+        .agg(F.min_by(F.struct("content", "mime_type", "source"), place).alias("x"))
+        .join(cache.select("content_sha256"), "content_sha256", "left_anti")
+        .select("content_sha256", "x.*")
+    )
 
     def run(batches):
         for batch in batches:
-            yield predict(batch)[["content_sha256", "ocr_text", "caption", "confidence", "error_type"]]
+            told = predict(batch[["content_sha256", "content", "mime_type", "source"]])
+            yield told[["content_sha256", "ocr_text", "caption", "confidence", "error_type"]]
 
     answered = distinct.mapInPandas(run, "content_sha256 string, " + ANSWER)
     fresh = answered.select(
@@ -420,11 +425,16 @@ def extract_images(
             F.when(F.col("confidence").between(0, 1), F.col("confidence")).alias("confidence"), "error_type",
         ).alias("fresh"),
     )
-    first = todo.groupBy("content_sha256").agg(
-        F.min(F.struct("space_key", "page_id", "image_id")).alias("owner")
+    # model calls are never repeated by a later recomputation
+    fresh = cut_lineage(fresh)
+    owners = (
+        slim.where(~remote & F.col("content_sha256").isNotNull() & ~low)
+        .groupBy("content_sha256")
+        .agg(F.min(place).alias("owner"))
     )
+    known = image_cache_join(slim, cache)
     joined = salted_join(
-        known.drop("content"), fresh.join(first, "content_sha256"), "content_sha256", by=["document_id", "source"]
+        known, fresh.join(owners, "content_sha256"), "content_sha256", by=["document_id", "source"]
     )
     text = F.coalesce("answer.ocr_text", "fresh.ocr_text", F.lit(""))
     caption = F.coalesce("answer.caption", "fresh.caption", F.lit(""))
