@@ -175,10 +175,10 @@ emerge AS (SELECT document_id, entity_type, nn AS normalized_name, arg_min(name,
 ent AS (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY entity_type, normalized_name) AS rank FROM emerge QUALIFY rank <= 40)"""
 
 _PATS = ", ".join(
-    f"({i}, {q(p)}, {q('(?i)' + r)}, {c}::DOUBLE)" for i, (p, r, c) in enumerate(fv.FACT_PATTERNS)
+    f"({i}, {q(p)}, {q('(?i)' + r)}, {c}::DOUBLE)" for i, (p, _, r, c) in enumerate(fv.FACT_PATTERNS)
 )
 _COMP = ", ".join(f"({25 + i}, {q(p)}, {q('(?i)' + r)}, {c}::DOUBLE)" for i, (p, r, c) in enumerate(fv.FACT_COMPOSITE))
-_STEP = ", ".join(f"({27 + i}, {q(p)}, {q(r)}, {c}::DOUBLE)" for i, (p, r, c) in enumerate(fv.FACT_STEPS))
+_STEP = ", ".join(f"({27 + i}, {q(p)}, {q(r)}, {c}::DOUBLE)" for i, (p, _, r, c) in enumerate(fv.FACT_STEPS))
 _CLAIM = "CASE " + " ".join(
     f"WHEN predicate IN ({', '.join(q(p) for p in ps)}) THEN {q(k)}" for k, ps in fv.CLAIM_TYPES.items()
 ) + " ELSE 'unknown' END"

@@ -9,6 +9,7 @@ from checks.q_extract import NORM, strings
 from checks.q_reports import enriched_rule, rates
 from corpuswright import fixed_values as fv
 from corpuswright.operators import inference as nf
+from corpuswright.session import spread
 from pyspark.sql import functions as F
 
 ITEMS = nf.plan_tasks(
@@ -85,7 +86,7 @@ def raw_answers(spark, sf):
         11: f"concat('{{\"keywords\": null}}')",
     }
     whens = " ".join(f"when {n} then {t}" for n, t in texts.items())
-    return table(spark, sf, "events").selectExpr(
+    return spread(table(spark, sf, "events")).selectExpr(
         "event_id", "concat('doc:', user_id) document_id", "array('keywords') requested_tasks", f"case {N} {whens} end text"
     )
 
@@ -93,7 +94,7 @@ def raw_answers(spark, sf):
 def typed_answers(spark, sf):
     """Classification answers: known, aliased and unknown types, good and bad confidences."""
     kinds = "element_at(array('runbook', 'How-To', 'release notes', 'poem', 'ADR', 'archive'), cast(event_id % 6 as int) + 1)"
-    return table(spark, sf, "events").selectExpr(
+    return spread(table(spark, sf, "events")).selectExpr(
         "event_id", "concat('doc:', user_id) document_id", "array('classification') requested_tasks",
         f"concat('{{\"document_type\": \"', {kinds}, '\", \"confidence\": ', event_id % 14, ' }}') text0", "event_id % 7 c",
     ).withColumn(
@@ -114,7 +115,7 @@ def merged(spark, sf):
         "array('Alpha', concat('w', n)) keywords", "array('beta') themes", "array('x') concepts", "array('low_quality_score') warnings",
         "named_struct(" + ", ".join(f"'{s}', n % 2 = 0" for s in fv.SIGNAL_TERMS) + ") signals",
     )
-    ev = table(spark, sf, "events").where("event_type <> 'view'")
+    ev = spread(table(spark, sf, "events")).where("event_type <> 'view'")
     body = (
         "case event_type when 'click' then concat('{\"document_type\": \"', element_at(array('rca', 'design', 'faq'), cast(event_id % 3 as int) + 1), '\", \"confidence\": 0.', event_id % 10, '}') "
         "when 'error' then concat('{\"short_summary\": \"The chunk ', event_id, ' says\", \"detailed_summary\": \"Source chunk ', event_id, '\"}') "

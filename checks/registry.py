@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 
 MODULES = ["profile", "duplicates", "classify", "extract", "reports", "jobs", "images", "inference"]
 
+# queries without SQL to compare with
+ROWS_ONLY: set[str] = set()
+
 
 def plain(df: DataFrame) -> DataFrame:
     """Comparable columns: arrays of text joined by ``|``, integers as bigint, no float."""

@@ -230,33 +230,33 @@ ENTITY_BUCKETS = {
     "apis": "api",
 }
 
-# ---- fixed values: fact patterns (predicate, pattern, confidence) ----------------------------
+# ---- fixed values: fact patterns (predicate, words the line must hold, pattern, confidence)
 FACT_PATTERNS = [
-    ("owned_by", r"(?:service |application )?owner\s*[:=-]\s*(.+)$", 0.7),
-    ("owned_by", r"\bowned by\s+(.+)$", 0.65),
-    ("supported_by", r"support (?:group|team)\s*[:=-]\s*(.+)$", 0.7),
-    ("supported_by", r"\bsupported by\s+(.+)$", 0.65),
-    ("escalates_to", r"escalat(?:e|ion|es|ed)?(?: to| path)?\s*[:=-]\s*(.+)$", 0.6),
-    ("depends_on", r"\bdepends on\s+(.+)$", 0.6),
-    ("depends_on", r"dependenc(?:y|ies)\s*[:=-]\s*(.+)$", 0.55),
-    ("uses_database", r"database(?:s)?\s*[:=-]\s*(.+)$", 0.55),
-    ("uses_queue", r"queue(?:s)?\s*[:=-]\s*(.+)$", 0.55),
-    ("uses_api", r"^api(?:s)?\s*[:=]\s*(.+)$", 0.55),
-    ("has_dashboard", r"dashboard(?:s)?\s*[:=-]\s*(.+)$", 0.55),
-    ("has_log_source", r"logs?(?: source| location)?\s*[:=-]\s*(.+)$", 0.55),
-    ("has_alert", r"alerts?\s*[:=-]\s*(.+)$", 0.55),
-    ("runs_in_environment", r"environments?\s*[:=-]\s*(.+)$", 0.55),
-    ("has_runbook", r"runbook(?:s)?\s*[:=-]\s*(.+)$", 0.55),
-    ("has_known_failure_mode", r"known (?:failure mode|issue|error)s?\s*[:=-]\s*(.+)$", 0.55),
-    ("related_to_incident", r"\b(?:incident|inc)\s*[:#=-]\s*([A-Z]*-?\d+.+)$", 0.55),
-    ("related_to_change", r"\b(?:change|chg)\s*[:#=-]\s*([A-Z]*-?\d+.+)$", 0.55),
-    ("had_impact", r"impact\s*[:=-]\s*(.+)$", 0.55),
-    ("had_root_cause", r"root cause\s*[:=-]\s*(.+)$", 0.6),
-    ("had_contributing_factor", r"contributing factors?\s*[:=-]\s*(.+)$", 0.55),
-    ("had_detection_gap", r"detection gap\s*[:=-]\s*(.+)$", 0.55),
-    ("had_monitoring_gap", r"monitoring gap\s*[:=-]\s*(.+)$", 0.55),
-    ("had_runbook_gap", r"runbook gap\s*[:=-]\s*(.+)$", 0.55),
-    ("had_followup_action", r"(?:follow[ -]?up|action item)s?\s*[:=-]\s*(.+)$", 0.55),
+    ("owned_by", "owner", r"(?:service |application )?owner\s*[:=-]\s*(.+)$", 0.7),
+    ("owned_by", "owned", r"\bowned by\s+(.+)$", 0.65),
+    ("supported_by", "support", r"support (?:group|team)\s*[:=-]\s*(.+)$", 0.7),
+    ("supported_by", "supported", r"\bsupported by\s+(.+)$", 0.65),
+    ("escalates_to", "escalat", r"escalat(?:e|ion|es|ed)?(?: to| path)?\s*[:=-]\s*(.+)$", 0.6),
+    ("depends_on", "depends", r"\bdepends on\s+(.+)$", 0.6),
+    ("depends_on", "dependenc", r"dependenc(?:y|ies)\s*[:=-]\s*(.+)$", 0.55),
+    ("uses_database", "database", r"database(?:s)?\s*[:=-]\s*(.+)$", 0.55),
+    ("uses_queue", "queue", r"queue(?:s)?\s*[:=-]\s*(.+)$", 0.55),
+    ("uses_api", "api", r"^api(?:s)?\s*[:=]\s*(.+)$", 0.55),
+    ("has_dashboard", "dashboard", r"dashboard(?:s)?\s*[:=-]\s*(.+)$", 0.55),
+    ("has_log_source", "log", r"logs?(?: source| location)?\s*[:=-]\s*(.+)$", 0.55),
+    ("has_alert", "alert", r"alerts?\s*[:=-]\s*(.+)$", 0.55),
+    ("runs_in_environment", "environment", r"environments?\s*[:=-]\s*(.+)$", 0.55),
+    ("has_runbook", "runbook", r"runbook(?:s)?\s*[:=-]\s*(.+)$", 0.55),
+    ("has_known_failure_mode", "known", r"known (?:failure mode|issue|error)s?\s*[:=-]\s*(.+)$", 0.55),
+    ("related_to_incident", "inc", r"\b(?:incident|inc)\s*[:#=-]\s*([A-Z]*-?\d+.+)$", 0.55),
+    ("related_to_change", "change|chg", r"\b(?:change|chg)\s*[:#=-]\s*([A-Z]*-?\d+.+)$", 0.55),
+    ("had_impact", "impact", r"impact\s*[:=-]\s*(.+)$", 0.55),
+    ("had_root_cause", "root", r"root cause\s*[:=-]\s*(.+)$", 0.6),
+    ("had_contributing_factor", "contributing", r"contributing factors?\s*[:=-]\s*(.+)$", 0.55),
+    ("had_detection_gap", "detection", r"detection gap\s*[:=-]\s*(.+)$", 0.55),
+    ("had_monitoring_gap", "monitoring", r"monitoring gap\s*[:=-]\s*(.+)$", 0.55),
+    ("had_runbook_gap", "runbook", r"runbook gap\s*[:=-]\s*(.+)$", 0.55),
+    ("had_followup_action", "follow|action item", r"(?:follow[ -]?up|action item)s?\s*[:=-]\s*(.+)$", 0.55),
 ]
 # lines naming both an owner and a support group
 FACT_COMPOSITE = [
@@ -264,10 +264,10 @@ FACT_COMPOSITE = [
     ("supported_by", r"support group\s+(.+?)(?:\s+diagnostic|\s+recovery|\s+validation|$)", 0.5),
 ]
 FACT_STEPS = [
-    ("has_diagnostic_step", r"\bcheck\b|\bverify\b|\bdiagnos\w*\b|\btriage\b", 0.45),
-    ("has_recovery_step", r"\brestart\b|\brecover\b|\brestore\b|\bmitigate\b|\bfix\b", 0.45),
-    ("has_validation_step", r"\bvalidate\b|\bvalidation\b|\bconfirm\b", 0.45),
-    ("has_backout_step", r"\brollback\b|\broll back\b|\bbackout\b|\bback out\b", 0.45),
+    ("has_diagnostic_step", "check|verify|diagnos|triage", r"\bcheck\b|\bverify\b|\bdiagnos\w*\b|\btriage\b", 0.45),
+    ("has_recovery_step", "restart|recover|restore|mitigate|fix", r"\brestart\b|\brecover\b|\brestore\b|\bmitigate\b|\bfix\b", 0.45),
+    ("has_validation_step", "validat|confirm", r"\bvalidate\b|\bvalidation\b|\bconfirm\b", 0.45),
+    ("has_backout_step", "roll|back", r"\brollback\b|\broll back\b|\bbackout\b|\bback out\b", 0.45),
 ]
 FACT_EMPTY_VALUES = ["none", "n/a", "unknown", "tbd"]
 CLAIM_TYPES = {

@@ -67,9 +67,12 @@ def slugify(c: Column, max_chars: int = 90) -> Column:
     return F.when(cut == "", F.lit("untitled")).otherwise(cut)
 
 
+SPACES = "".join(chr(point) for point in range(0x110000) if chr(point).isspace())
+
+
 def strip(c: Column) -> Column:
     """Trim all white space, not only blanks."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.trim(c, F.lit(SPACES))
 
 
 def squeeze(c: Column) -> Column:
