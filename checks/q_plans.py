@@ -1,0 +1,154 @@
+"""Whole jobs: export on disk, earlier outputs, rendered text, refinalisation."""
+
+from __future__ import annotations
+
+from checks.corpus import AS_OF, documents, index_rows, index_sql, pages, table, with_corpus
+from checks.q_classify import INSIDE, J
+from checks.q_jobs import scratch
+from checks.q_reports import USE, artifacts, rolled, usage
+from corpuswright import schemas
+from corpuswright.operators import export as xp
+from corpuswright.operators import inference as nf
+from corpuswright.plans.enrich import enrich
+from corpuswright.sources import scan, sinks
+from pyspark.sql import functions as F
+
+
+def _export_on_disk(spark, sf):
+    """Every document as the five files of a page, and the manifest."""
+    root = scratch(spark)
+    docs = documents(spark, sf)
+    contents = {
+        "metadata.json": F.to_json(
+            F.struct("page_id", "space_key", "title", "status", "updated_at", "labels", "ancestors", "content_hashes")
+        ),
+        "links.json": F.concat(F.lit('{"links": [{"href": "'), "url", F.lit('"}]}')),
+        "conversion.json": F.lit("{}"),
+        "clean.md": F.col("markdown"),
+        "text.txt": F.col("text"),
+    }
+    files = F.array(*[F.struct(F.lit(n).alias("name"), c.alias("content")) for n, c in contents.items()])
+    rows = docs.select("page_id", F.explode(files).alias("f")).select(
+        F.concat_ws("/", F.lit("pages"), "page_id", "f.name").alias("path"), F.col("f.content").alias("content")
+    )
+    sinks.write_files(rows, root)
+    listed = docs.selectExpr(
+        "concat('pages/', page_id, '/clean.md') markdown_path", "page_id", "concat('pages/', page_id) path", "space_key",
+        "'success' status", "title",
+    )
+    listed.select(F.to_json(F.struct(*listed.columns)).alias("value")).write.text(f"{root}/manifest.jsonl")
+    return root
+
+
+def _scan_pages(spark, sf):
+    rows = scan.scan_pages(spark, _export_on_disk(spark, sf))
+    return rows.select(
+        "page_id", "space_key", "title", F.sha2("markdown", 256).alias("body_sha"), F.length("text").alias("chars"),
+        "labels", F.size("links").alias("links"),
+    )
+
+
+def _enrichments(spark, sf):
+    root = scratch(spark)
+    sinks.write_enrichments(index_rows(spark, sf).select("document_id", "space_key", "document_type", "audience"), root)
+    return scan.scan_enrichments(spark, root)
+
+
+def _artifacts(spark, sf):
+    root = scratch(spark)
+    rows = schemas.to_contract(artifacts(spark, sf).drop("images"), "visual_artifacts", run_id="r")
+    rows.write.parquet(root)
+    return scan.scan_visual_artifacts(spark, root).select("space_key", "page_id", "status", "image_count", "images_failed", "run_id")
+
+
+def _index_tables(spark, sf):
+    root = scratch(spark)
+    sinks.write_index_tables({"candidate_entities": rolled(spark, sf).drop("mentions")}, root, run_id="r2", dataset_name="d")
+    found = scan.scan_index_tables(spark, root)
+    return found["candidate_entities"].select("entity_id", "document_count", "run_id").unionByName(
+        found["themes"].select(F.col("theme_id").alias("entity_id"), "document_count", "run_id")
+    )
+
+
+def _run_artifacts(spark, sf):
+    root = scratch(spark)
+    rows = usage(spark, sf)
+    sinks.write_run_artifacts(root, model_usage=rows.where("run_id < 'run-03'"))
+    sinks.write_run_artifacts(root, model_usage=rows.where("run_id >= 'run-03'"))
+    return scan.scan_table(spark, f"{root}/model_usage", "model_usage").groupBy("run_id").agg(F.count(F.lit(1)).alias("calls"))
+
+
+def exportable(spark, sf):
+    """Slim enriched rows by rule."""
+    return index_rows(spark, sf).selectExpr(
+        "*", "source_updated_at updated_at", "'good' quality_band", "n % 2 = 0 historical", "'current' currentness",
+        "named_struct('has_owner', n % 4 = 0, 'has_support_group', n % 3 = 0, 'has_dependencies', false, 'has_recovery_steps', n % 5 = 0) signals",
+        "named_struct('overall_score', cast(n % 101 as int), 'freshness_score', 1, 'authority_score', 2, 'completeness_score', 3, "
+        "'operational_value_score', 4, 'ownership_clarity_score', 5) quality",
+        "array('service', concat('term ', n % 9), 'guide', 'kafka') keywords", "array('a theme') themes", "cast(array() as array<string>) concepts",
+        "array('low_quality_score') warnings", "concat('Root > ', title) section_path", "case when n % 6 > 0 then concat('Section ', n % 40) end parent_title",
+        "case when n % 5 = 1 then 'runbook' end parent_context_type", "cast(n % 3 as int) depth", "0.5D document_type_confidence",
+        "array(concat('App ', n % 5), 'api', concat('app ', n % 5), 'what is it') applications", "array('SRE x', 'nobody') support_groups",
+        "case when n % 7 = 0 then array('f.pdf', concat(n, '.png')) else cast(array() as array<string>) end referenced_attachment_names",
+        "cast(array() as array<string>) missing_attachment_names", "concat(title, ' is short') short_summary", "'long' detailed_summary",
+    )
+
+
+def _render(spark, sf):
+    good = xp.export_eligibility(exportable(spark, sf), review_flags=["future_dated"]).where("eligible")
+    links = xp.link_lines(xp.source_link_ranking(pages(spark, sf)))
+    out = xp.render_documents(good, documents(spark, sf), dataset_name="d", links=links, run_id="r")
+    return out.select("document_id", "path", F.sha2("content", 256).alias("content_sha"), F.size("render_warnings").alias("warnings"))
+
+
+def _enriched(spark, sf):
+    return enrich(pages(spark, sf, with_attachments=True), AS_OF, inside_domains=INSIDE, with_facts=False).pages
+
+
+QUERIES = {
+    "scan_pages": _scan_pages,
+    "scan_enrichments": _enrichments,
+    "scan_visual_artifacts": _artifacts,
+    "scan_index_tables": _index_tables,
+    "write_run_artifacts": _run_artifacts,
+    "table_contracts": lambda s, d: schemas.to_contract(index_rows(s, d), "document_index", run_id="r").select(
+        "document_id", "run_id", "document_type", "word_count", "status_flags", "version"
+    ),
+    "key_facts_lines": lambda s, d: xp.key_facts_lines(exportable(s, d)).select("document_id", "key_facts_text"),
+    "render_documents": _render,
+    "refinalize": lambda s, d: nf.refinalize(_enriched(s, d), AS_OF).select(
+        "document_id", "document_type", "document_subtype", "quality.overall_score", "quality_band", "currentness", "warnings"
+    ),
+}
+
+_T = "trim(regexp_replace(title, '^\\s*\\d+(?:\\.\\d+)*\\.?\\s+', ''))"
+_SHOWN = f"CASE WHEN {_T} = '' THEN title ELSE {_T} END"
+SQL = {
+    "scan_pages": with_corpus(
+        f"SELECT page_id, space_key, title, sha256(markdown) AS body_sha, length(text) AS chars, {J('labels')} AS labels, 1 AS links FROM base"
+    ),
+    "scan_enrichments": with_corpus("SELECT document_id, space_key, document_type, audience FROM idx", index_sql()),
+    "scan_visual_artifacts": """SELECT p_type AS space_key, p_partkey::VARCHAR AS page_id, (['complete', 'partial', 'skipped'])[p_size % 3 + 1] AS status,
+        p_size % 6 AS image_count, p_size % 3 AS images_failed, 'r' AS run_id FROM part""",
+    "scan_index_tables": None,
+    "write_run_artifacts": f"WITH {USE} SELECT run_id, count(*) AS calls FROM us GROUP BY 1",
+    "table_contracts": with_corpus(
+        f"SELECT document_id, 'r' AS run_id, document_type, word_count, {J('status_flags')} AS status_flags, NULL AS version FROM idx", index_sql()
+    ),
+    "key_facts_lines": with_corpus(
+        f"""SELECT document_id, concat_ws(chr(10), concat('- Page title: ', {_SHOWN}), CASE WHEN {_SHOWN} <> title THEN concat('- Original source title: ', title) END,
+        concat('- Source space: ', space_key), CASE WHEN n % 6 > 0 THEN concat('- Parent section: Section ', n % 40) END, concat('- Section path: Root > ', title),
+        concat('- Page role: ', page_role), CASE WHEN n % 5 = 1 THEN '- Parent context: runbook' END, concat('- Document type: ', document_type),
+        CASE WHEN document_subtype IS NOT NULL THEN concat('- Document subtype: ', document_subtype) END, concat('- Content availability: ', content_availability),
+        '- Currentness: current', CASE WHEN source_updated_at IS NOT NULL THEN concat('- Source updated at: ', source_updated_at) END,
+        concat('- Applications: App ', n % 5), '- Support groups: SRE x', concat('- Important terms: term ', n % 9, ', kafka'),
+        CASE WHEN n % 4 = 0 THEN '- Owner signal: present' END, CASE WHEN n % 3 = 0 THEN '- Support group signal: present' END,
+        CASE WHEN n % 5 = 0 THEN '- Recovery/failover signal: present' END, CASE WHEN n % 7 = 0 THEN concat('- Attachments: f.pdf, ', n, '.png') END)
+        AS key_facts_text FROM idx""", index_sql(),
+    ),
+}
+from checks.q_reports import _PENT  # noqa: E402
+
+SQL["scan_index_tables"] = (
+    f"WITH {_PENT} SELECT concat('candidate:', entity_type, ':', replace(normalized_name, ' ', '-')) AS entity_id, document_count, 'r2' AS run_id FROM er"
+)

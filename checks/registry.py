@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MODULES = ["profile", "duplicates", "classify", "extract", "reports", "jobs", "images", "inference"]
+MODULES = ["profile", "duplicates", "classify", "extract", "reports", "jobs", "images", "inference", "plans"]
 
 # queries without SQL to compare with
-ROWS_ONLY: set[str] = set()
+ROWS_ONLY = {"render_documents", "refinalize"}
 
 
 def plain(df: DataFrame) -> DataFrame:

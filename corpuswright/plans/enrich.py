@@ -1,7 +1,9 @@
 """The enrichment job: pages in, enriched pages plus entity and fact tables out.
 
-Everything read from the text happens first, in the scan stage. After that only the slim columns
-(no text, no Markdown) are shuffled: once for the tree counts, once for the keywords.
+Everything read from the text happens first, in the scan stage, and its slim result (no text, no
+Markdown) is written to the shared checkpoint folder. Joins, roll-ups, reports and exports start
+from there: the texts are not scanned again, and a filter on a derived flag stays a filter on a
+column instead of being pushed down as the whole rule set.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from corpuswright.operators import flags as fl
 from corpuswright.operators import hierarchy as hi
 from corpuswright.operators import profile as pr
 from corpuswright.operators import score as sc
+from corpuswright.session import cut_lineage
 
 HEAVY = ["text", "markdown", "links"]
 
@@ -54,10 +57,10 @@ def enrich(pages: DataFrame, as_of, *, inside_domains=(), with_facts: bool = Tru
         if name not in pages.columns
     }
     pages = pages.withColumns(visual) if visual else pages
-    slim = page_features(pages, as_of, inside_domains=inside_domains).drop(*HEAVY)
+    slim = cut_lineage(page_features(pages, as_of, inside_domains=inside_domains).drop(*HEAVY))
     placed = hi.hierarchy_context(slim, hi.hierarchy_counts(pages))
     scored = sc.quality_warnings(sc.quality_adjust(placed))
-    terms = ex.keywords(pages)
+    terms = cut_lineage(ex.keywords(pages))
     df = scored.join(terms, "document_id", "left").withColumn(
         "keywords", F.coalesce("keywords", F.array().cast("array<string>"))
     )
@@ -71,6 +74,7 @@ def enrich(pages: DataFrame, as_of, *, inside_domains=(), with_facts: bool = Tru
     named = pages.select("document_id", "page_id", "title", "labels", "links").join(
         terms, "document_id", "left"
     ).withColumn("keywords", F.coalesce("keywords", F.array().cast("array<string>")))
-    entities = ex.candidate_entities(named)
+    df = cut_lineage(df)
+    entities = cut_lineage(ex.candidate_entities(named))
     facts = ex.candidate_facts(pages, entities) if with_facts else None
     return Enriched(df, entities, facts)

@@ -3,34 +3,43 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for checkpoints and scratch tables.
+    """Folder every executor can reach, for cut tables and scratch output.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session (tests, laptop)
-    without that setting falls back to a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session (tests, laptop) without
+    that setting falls back to a temporary folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None
+    )
     if configured:
-        return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rsplit("/", 1)[0]
+        return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="corpuswright-")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="corpuswright-")
+    return _LOCAL[app]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (survives executor loss)."""
+    """Write ``df`` as a table in the shared folder and go on from there.
+
+    Survives lost executors, is computed once, and later steps read only the columns they need.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:

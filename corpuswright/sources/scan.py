@@ -80,10 +80,11 @@ def scan_export_errors(spark: SparkSession, root: str) -> DataFrame:
 
 
 def relative_path(file: Column, root: str) -> Column:
-    """Path below ``root`` of a full file URL."""
+    """Path below ``root`` of a file URL as ``_metadata.file_path`` gives it (percent-encoded)."""
     base = root.rstrip("/").split("://", 1)[-1].lstrip("/")
-    plain = F.regexp_replace(file, r"^[a-zA-Z0-9]+:/+", "")
-    return F.url_decode(F.regexp_replace(F.substring(plain, len(base) + 2, 1 << 20), r"\+", "%2B"))
+    decoded = F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
+    plain = F.regexp_replace(decoded, r"^[a-zA-Z0-9]+:/+", "")
+    return F.substring(plain, len(base) + 2, 1 << 20)
 
 
 def _folder(path: Column) -> Column:
@@ -115,7 +116,7 @@ def scan_files(spark: SparkSession, root: str) -> DataFrame:
     """(path, length) of every file below ``root``; contents are not read."""
     return (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    ).select(relative_path(F.col("path"), root).alias("path"), "length")
+    ).select(relative_path(F.col("_metadata.file_path"), root).alias("path"), "length")
 
 
 def scan_attachments(files: DataFrame, *, own_files=(), folder: str = "attachments") -> DataFrame:

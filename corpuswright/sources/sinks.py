@@ -51,3 +51,26 @@ def write_report(report: DataFrame, path: str) -> None:
     header = spark.createDataFrame([(line,) for line in markdown_header(report)], "value string")
     header.coalesce(1).write.mode("overwrite").text(f"{path}/header")
     markdown_rows(report).write.mode("overwrite").text(f"{path}/rows")
+
+
+def write_files(rows: DataFrame, root: str) -> None:
+    """One file per (path, content) row below ``root``, written by the tasks that hold the rows.
+
+    ``root`` may be any folder the executors reach (local path or a URI pyarrow knows).
+    """
+
+    def write(partition) -> None:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
+        made = set()
+        for row in partition:
+            target = f"{base}/{row['path']}"
+            folder = target.rsplit("/", 1)[0]
+            if folder not in made:
+                store.create_dir(folder, recursive=True)
+                made.add(folder)
+            with store.open_output_stream(target) as out:
+                out.write(row["content"].encode("utf-8"))
+
+    rows.select("path", "content").foreachPartition(write)
