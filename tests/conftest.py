@@ -13,6 +13,7 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.codegen.wholeStage", "false")  # tiny data: compiling costs more than it saves
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "America/New_York")  # results must not depend on it
