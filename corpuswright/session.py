@@ -39,7 +39,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def release(*cuts: DataFrame) -> None:
+    """Delete tables written by ``cut_lineage`` once nothing lazy reads them any more."""
+    for df in cuts:
+        path = getattr(df, "_cut_path", None)
+        if path:
+            spark = df.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
