@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from corpuswright.llm.common import table
 from corpuswright.llm.mixing import mix_plan
+from corpuswright.llm.warc import archive_round_trip
 
 
 def op2_hash_threshold_mix(spark, sf_dir):
     return mix_plan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_hash_threshold_mix": op2_hash_threshold_mix}
+def op7_warc_boundary_chain(spark, sf_dir):
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {"op2_hash_threshold_mix": op2_hash_threshold_mix, "op7_warc_boundary_chain": op7_warc_boundary_chain}
 
 OP2 = r"""
 with slim as (
@@ -46,4 +51,17 @@ select doc_id, source, size, source_size, target, base + case when h < coalesce(
 from slim join budgets using (src) left join limits using (src)
 """
 
-SQL = {"op2_hash_threshold_mix": OP2}
+OP7 = """
+with rows as (
+  select page_id, coalesce(html, '') as payload, strlen(coalesce(html, ''))::bigint as payload_bytes,
+    sha256(coalesce(html, '')) as payload_digest from pages),
+firsts as (
+  select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) else page_id end as first_id
+  from rows)
+select page_id, payload_bytes, payload_digest,
+  case when page_id is distinct from first_id and first_id is not null then 'revisit' else 'response' end as record_type,
+  case when page_id is distinct from first_id then first_id end as refers_to
+from firsts
+"""
+
+SQL = {"op2_hash_threshold_mix": OP2, "op7_warc_boundary_chain": OP7}
