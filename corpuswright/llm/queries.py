@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from corpuswright.llm.common import table
+from corpuswright.llm.language import identify
 from corpuswright.llm.mixing import mix_plan
 from corpuswright.llm.warc import archive_round_trip
 
@@ -15,7 +16,15 @@ def op7_warc_boundary_chain(spark, sf_dir):
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {"op2_hash_threshold_mix": op2_hash_threshold_mix, "op7_warc_boundary_chain": op7_warc_boundary_chain}
+def op10_language_spans(spark, sf_dir):
+    return identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op2_hash_threshold_mix": op2_hash_threshold_mix,
+    "op7_warc_boundary_chain": op7_warc_boundary_chain,
+    "op10_language_spans": op10_language_spans,
+}
 
 OP2 = r"""
 with slim as (
