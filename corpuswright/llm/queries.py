@@ -5,6 +5,7 @@ from __future__ import annotations
 from corpuswright.llm.common import table
 from corpuswright.llm.language import identify
 from corpuswright.llm.mixing import mix_plan
+from corpuswright.llm.toxicity import detect
 from corpuswright.llm.warc import archive_round_trip
 
 
@@ -20,9 +21,14 @@ def op10_language_spans(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op9_toxic_segments(spark, sf_dir):
+    return detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_hash_threshold_mix": op2_hash_threshold_mix,
     "op7_warc_boundary_chain": op7_warc_boundary_chain,
+    "op9_toxic_segments": op9_toxic_segments,
     "op10_language_spans": op10_language_spans,
 }
 
