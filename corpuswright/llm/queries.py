@@ -5,6 +5,7 @@ from __future__ import annotations
 from corpuswright.llm.common import table
 from corpuswright.llm.language import identify
 from corpuswright.llm.mixing import mix_plan
+from corpuswright.llm.quality import references, score_quality
 from corpuswright.llm.toxicity import detect
 from corpuswright.llm.warc import archive_round_trip
 
@@ -13,6 +14,11 @@ def op2_hash_threshold_mix(spark, sf_dir):
     return mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op4_distribution_divergence(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, references(docs)).drop("class_distance", "word_distance")
+
+
 def op7_warc_boundary_chain(spark, sf_dir):
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
@@ -27,6 +33,7 @@ def op9_toxic_segments(spark, sf_dir):
 
 QUERIES = {
     "op2_hash_threshold_mix": op2_hash_threshold_mix,
+    "op4_distribution_divergence": op4_distribution_divergence,
     "op7_warc_boundary_chain": op7_warc_boundary_chain,
     "op9_toxic_segments": op9_toxic_segments,
     "op10_language_spans": op10_language_spans,
@@ -66,6 +73,64 @@ select doc_id, source, size, source_size, target, base + case when h < coalesce(
 from slim join budgets using (src) left join limits using (src)
 """
 
+OP4 = r"""
+with d as materialized (
+  select row_number() over () as r, doc_id, coalesce(text, '') as text, case when lang is null then '' else 'l' || lang end as lang_key,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+w as materialized (select r, lang_key, unnest(words) as word, unnest(range(len(words))) as pos from d),
+chars as (
+  select r, lang_key, len(words) as n, length(text) as n_chars, regexp_replace(text, '\p{L}+', '', 'g') as rest,
+    length(regexp_replace(text, '\P{Lu}+', '', 'g')) as upper from d),
+classes as (
+  select r, lang_key, n, n_chars, upper, n_chars - length(rest) - upper as lower,
+    length(rest) - length(regexp_replace(rest, '[\x20\x09-\x0D]+', '', 'g')) as blanks,
+    length(rest) - length(regexp_replace(rest, '[0-9]+', '', 'g')) as digits,
+    length(rest) - length(translate(rest, '#*$%&|<>', '')) as symbols, length(rest) as others from chars),
+counted as (select r, lang_key, n, n_chars, lower, upper, digits, blanks, symbols, others - blanks - digits - symbols as marks from classes),
+keyed as (
+  select lang_key as key, n, n_chars, lower, upper, digits, blanks, symbols, marks from counted where lang_key <> ''
+  union all select '', n, n_chars, lower, upper, digits, blanks, symbols, marks from counted),
+sums as (
+  select key, sum(n) as n, greatest(sum(n_chars), 1) as n_chars, [sum(lower), sum(upper), sum(digits), sum(blanks), sum(symbols), sum(marks)] as c
+  from keyed group by key having key = '' or sum(n) >= 2000),
+own_counts as (select lang_key as key, word, count(*) as n from w group by lang_key, word having count(*) > 1),
+counts as (
+  select key, word, n from own_counts where key <> ''
+  union all select '', word, sum(n) from own_counts group by word),
+ranked as (select key, word, n, row_number() over (partition by key order by n desc, word) as k from counts),
+common as (select t.key, t.word, t.n / s.n as q from ranked t join sums s using (key) where k <= 40),
+shares as (select key, list_transform(c, lambda x: x / n_chars) as cq, coalesce((select sum(q) from common where common.key = sums.key), 0) as all_q from sums),
+used as (select c.*, case when s.key is null then '' else c.lang_key end as key from counted c left join sums s on s.key = c.lang_key),
+class_parts as (
+  select r, unnest([lower, upper, digits, blanks, symbols, marks]) / greatest(n_chars, 1) as p, unnest(cq) as q from used join shares using (key)),
+class_distance as (
+  select r, sqrt(greatest(0, sum(case when p > 0 then p * ln(2 * p / (p + q)) else 0 end + case when q > 0 then q * ln(2 * q / (p + q)) else 0 end) / (2 * ln(2)))) as cd
+  from class_parts group by r),
+occurs as (select u.r, u.key, w.word, count(*) / any_value(u.n) as p from used u join w using (r) group by u.r, u.key, w.word),
+seen as (select o.r, o.p, c.q from occurs o join common c on c.key = o.key and c.word = o.word),
+seen_sums as (
+  select r, sum(p) as sp, sum(q) as sq, sum(p * ln(2 * p / (p + q)) + q * ln(2 * q / (p + q))) as t from seen group by r),
+word_parts as (
+  select u.r, coalesce(t, 0) + (all_q - coalesce(sq, 0)) * ln(2) as t, 1 - coalesce(sp, 0) as p, 1 - all_q as q
+  from used u join shares using (key) left join seen_sums using (r)),
+word_distance as (
+  select r, sqrt(greatest(0, (t + case when p > 0 then p * ln(2 * p / (p + q)) else 0 end + case when q > 0 then q * ln(2 * q / (p + q)) else 0 end) / (2 * ln(2)))) as wd
+  from word_parts),
+trigrams as (select r, pos, word || ' ' || lead(word) over o || ' ' || lead(word, 2) over o as g from w window o as (partition by r order by pos)),
+again as (select r, pos from trigrams where g is not null qualify count(*) over (partition by r, g) > 1),
+covered as (select r, count(distinct place) as n_repeat from (select r, unnest([pos, pos + 1, pos + 2]) as place from again) group by r),
+lines as (select r, unnest(string_split(text, chr(10))) as line from d),
+dups as (select r, count(*) - count(distinct line) as n_dup from lines where regexp_matches(line, '[^\x20\x09-\x0D]') group by r),
+verdict as (
+  select d.doc_id, u.n, u.n_chars, u.blanks, u.symbols, coalesce(n_dup, 0) as n_dup, coalesce(n_repeat, 0) as n_repeat, cd, wd,
+    u.n < 50 or 100 * coalesce(n_repeat, 0) > 50 * u.n as failed
+  from d join used u using (r) join class_distance using (r) join word_distance using (r) left join covered using (r) left join dups using (r))
+select doc_id, n::bigint as n_words, (n_chars - blanks)::bigint as word_chars, symbols::bigint as n_symbols, n_dup::bigint as n_dup_lines,
+  n_repeat::bigint as n_repeat_words, failed as base_failed,
+  not failed and not ((n_chars >= 200 and cd > 0.26) or (n >= 100 and wd > 0.42)) as kept
+from verdict
+"""
+
 OP7 = """
 with rows as (
   select page_id, coalesce(html, '') as payload, strlen(coalesce(html, ''))::bigint as payload_bytes,
@@ -79,4 +144,4 @@ select page_id, payload_bytes, payload_digest,
 from firsts
 """
 
-SQL = {"op2_hash_threshold_mix": OP2, "op7_warc_boundary_chain": OP7}
+SQL = {"op2_hash_threshold_mix": OP2, "op7_warc_boundary_chain": OP7, "op4_distribution_divergence": OP4}
