@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuswright.llm.common import fold
+from corpuswright.session import cut_lineage
 
 # fixed values: first and last code points of script blocks
 SCRIPTS = [
@@ -158,7 +159,7 @@ def viterbi(rows: list[np.ndarray], scores: np.ndarray, penalty: float) -> list[
 def training_sample(docs: DataFrame, *, lang: str, where, docs_per_language: int, by: str) -> DataFrame:
     """About ``docs_per_language`` rows of each language, chosen by a hash of ``by``."""
     rows = docs.where(where & F.col(lang).isNotNull() & F.col("text").isNotNull())
-    sizes = rows.groupBy(lang).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = cut_lineage(rows.groupBy(lang).agg(F.count(F.lit(1)).alias("_n")))  # its written size lets Spark broadcast it
     share = F.lit(float(docs_per_language)) / F.col("_n")
     spot = F.pmod(F.xxhash64(F.col(by), F.lit(17)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     return rows.join(sizes, lang).where(spot < share).drop("_n")
