@@ -5,6 +5,7 @@ from __future__ import annotations
 from corpuswright.llm.common import table
 from corpuswright.llm.language import identify
 from corpuswright.llm.mixing import mix_plan
+from corpuswright.llm.pii import find_private, span_report
 from corpuswright.llm.quality import references, score_quality
 from corpuswright.llm.toxicity import detect
 from corpuswright.llm.warc import archive_round_trip
@@ -14,6 +15,11 @@ def op2_hash_threshold_mix(spark, sf_dir):
     return mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op3_disclosure_pii(spark, sf_dir):
+    found, _ = find_private(table(spark, sf_dir, "documents"))
+    return span_report(found)
+
+
 def op4_distribution_divergence(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return score_quality(docs, references(docs)).drop("class_distance", "word_distance")
@@ -33,6 +39,7 @@ def op9_toxic_segments(spark, sf_dir):
 
 QUERIES = {
     "op2_hash_threshold_mix": op2_hash_threshold_mix,
+    "op3_disclosure_pii": op3_disclosure_pii,
     "op4_distribution_divergence": op4_distribution_divergence,
     "op7_warc_boundary_chain": op7_warc_boundary_chain,
     "op9_toxic_segments": op9_toxic_segments,
