@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from corpuswright.llm.chosen_path import similar_texts
 from corpuswright.llm.common import table
 from corpuswright.llm.language import identify
 from corpuswright.llm.mixing import mix_plan
@@ -33,6 +34,10 @@ def op10_language_spans(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op8_chosen_path_join(spark, sf_dir):
+    return similar_texts(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "kept")
+
+
 def op9_toxic_segments(spark, sf_dir):
     return detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -42,6 +47,7 @@ QUERIES = {
     "op3_disclosure_pii": op3_disclosure_pii,
     "op4_distribution_divergence": op4_distribution_divergence,
     "op7_warc_boundary_chain": op7_warc_boundary_chain,
+    "op8_chosen_path_join": op8_chosen_path_join,
     "op9_toxic_segments": op9_toxic_segments,
     "op10_language_spans": op10_language_spans,
 }
