@@ -6,6 +6,7 @@ from corpuswright.llm.chosen_path import similar_texts
 from corpuswright.llm.common import table
 from corpuswright.llm.language import identify
 from corpuswright.llm.mixing import mix_plan
+from corpuswright.llm.packing import pack
 from corpuswright.llm.pii import find_private, span_report
 from corpuswright.llm.quality import references, score_quality
 from corpuswright.llm.toxicity import detect
@@ -26,6 +27,10 @@ def op4_distribution_divergence(spark, sf_dir):
     return score_quality(docs, references(docs)).drop("class_distance", "word_distance")
 
 
+def op5_lexical_packing(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op7_warc_boundary_chain(spark, sf_dir):
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
@@ -46,6 +51,7 @@ QUERIES = {
     "op2_hash_threshold_mix": op2_hash_threshold_mix,
     "op3_disclosure_pii": op3_disclosure_pii,
     "op4_distribution_divergence": op4_distribution_divergence,
+    "op5_lexical_packing": op5_lexical_packing,
     "op7_warc_boundary_chain": op7_warc_boundary_chain,
     "op8_chosen_path_join": op8_chosen_path_join,
     "op9_toxic_segments": op9_toxic_segments,
