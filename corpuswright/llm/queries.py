@@ -6,6 +6,7 @@ from corpuswright.llm.chosen_path import similar_texts
 from corpuswright.llm.common import table
 from corpuswright.llm.language import identify
 from corpuswright.llm.mixing import mix_plan
+from corpuswright.llm.nn_descent import near_duplicates
 from corpuswright.llm.packing import pack
 from corpuswright.llm.pii import find_private, span_report
 from corpuswright.llm.quality import references, score_quality
@@ -31,6 +32,10 @@ def op5_lexical_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op6_nn_descent(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_warc_boundary_chain(spark, sf_dir):
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
@@ -52,6 +57,7 @@ QUERIES = {
     "op3_disclosure_pii": op3_disclosure_pii,
     "op4_distribution_divergence": op4_distribution_divergence,
     "op5_lexical_packing": op5_lexical_packing,
+    "op6_nn_descent": op6_nn_descent,
     "op7_warc_boundary_chain": op7_warc_boundary_chain,
     "op8_chosen_path_join": op8_chosen_path_join,
     "op9_toxic_segments": op9_toxic_segments,
