@@ -10,10 +10,15 @@ from corpuswright.llm.nn_descent import near_duplicates
 from corpuswright.llm.packing import pack
 from corpuswright.llm.pii import find_private, span_report
 from corpuswright.llm.quality import references, score_quality
+from corpuswright.llm.toolcalls import TOOLS, derived_messages, link_tool_calls
 from corpuswright.llm.toxicity import detect
 from corpuswright.llm.warc import archive_round_trip
 
 
+def op1_tool_call_linking(spark, sf_dir):
+    return link_tool_calls(derived_messages(table(spark, sf_dir, "conversations")), TOOLS)
+
+
 def op2_hash_threshold_mix(spark, sf_dir):
     return mix_plan(table(spark, sf_dir, "documents"))
 
@@ -53,6 +58,7 @@ def op9_toxic_segments(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_tool_call_linking": op1_tool_call_linking,
     "op2_hash_threshold_mix": op2_hash_threshold_mix,
     "op3_disclosure_pii": op3_disclosure_pii,
     "op4_distribution_divergence": op4_distribution_divergence,
