@@ -258,3 +258,27 @@ def identify(docs: DataFrame) -> DataFrame:
     """Learn from the labelled documents outside the held-out third, then label all."""
     labelled = label_languages(docs, fit(docs, where=~held_out()))
     return labelled.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "n_words", F.size("spans").cast("long").alias("n_spans"))
+
+
+def keep_known_languages(docs: DataFrame, model: Model, *, min_share: float = 0.5) -> DataFrame:
+    """``docs`` without the rows whose text has no letter or less than ``min_share`` of its words in one language.
+
+    Rows pass through whole, so nothing is joined or shuffled. Without learned languages only letters are asked for.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = _Cache(shared.value)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1000):
+                part = batch.slice(start, 1000)
+                texts = part.column(at).to_pylist()
+                if shared.value.languages:
+                    found = label_batch(texts, texts, shared.value, cache)
+                    keep = [p != UND and s >= min_share for p, s in zip(found["lang_pred"], found["score"], strict=True)]
+                else:
+                    keep = [bool(t and LETTERS.search(t)) for t in texts]
+                yield part.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
