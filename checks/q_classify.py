@@ -194,7 +194,7 @@ def classify_ctes(source: str) -> str:
 c0 AS (SELECT {source}.*, lower(title) AS lt,
         lower(concat(title, chr(10), array_to_string(ancestor_titles, ' '))) AS lp,
         lower(concat(title, ' ', array_to_string(labels, ' '), ' ', array_to_string(ancestor_titles, ' '), ' ',
-              substr(text, 1, 5000))) AS lh FROM {source}),
+              text)) AS lh FROM {source}),
 c1 AS (SELECT *, {otype} AS otype, {oconf} AS oconf, greatest({coded}) AS code,
         {TOKENS_SQL.format(c='text')} AS toks FROM c0),
 c2 AS (SELECT * EXCLUDE (lh), CASE WHEN otype IS NOT NULL THEN otype WHEN code >= 100 THEN {types}[100 - (code % 100)]
@@ -281,7 +281,7 @@ gap AS (SELECT n, list_sort(list_filter(linked, lambda x: NOT list_contains(name
 # links only: pages() without exported attachments
 ATT_LINKS = "lk AS (SELECT n, count(DISTINCT href) AS attachment_count FROM links_t WHERE type = 'attachment' GROUP BY n)"
 
-_PLACE = "lower(concat(title, chr(10), array_to_string(ancestor_titles, ' '), chr(10), substr(text, 1, 2000)))"
+_PLACE = "lower(concat(title, chr(10), array_to_string(ancestor_titles, ' '), chr(10), text))"
 _LP = any_sql("lower(concat(title, chr(10), text))", fv.LINKED_PROCEDURE_TERMS)
 WARN = f"""
 w0 AS (SELECT adj.*, coalesce(attachment_count, 0) AS attachment_count,
@@ -330,7 +330,7 @@ FUTURE = (
 
 
 def trust_cte(source: str) -> str:
-    seen = "lower(concat(title, chr(10), array_to_string(labels, ' '), chr(10), substr(text, 1, 5000)))"
+    seen = "lower(concat(title, chr(10), array_to_string(labels, ' '), chr(10), text))"
     return f"""
 t0 AS (SELECT *, {seen} AS seen, {FUTURE} AS fut FROM {source}),
 t1 AS (SELECT *, regexp_matches(lower(title), {q(fv.DRAFT_TITLE)}) OR contains(seen, 'status draft') AS dr,

@@ -126,9 +126,9 @@ def taxonomy_ctes(source: str, key: str, arr: str, name: str, limit: int | None
 
 KW = f"""
 lt20 AS (SELECT n, string_agg(coalesce(text, ''), chr(10) ORDER BY pos) AS texts FROM
-        (SELECT *, row_number() OVER (PARTITION BY n ORDER BY pos) AS rn FROM links_t) WHERE rn <= 50 GROUP BY n),
+        links_t GROUP BY n),
 ksrc AS (SELECT document_id, concat(title, chr(10), array_to_string(labels, ' '), chr(10),
-        array_to_string(({HEADINGS_SQL})[1:20], ' '), coalesce(chr(10) || texts, '')) AS s FROM corpus LEFT JOIN lt20 USING (n)),
+        array_to_string(({HEADINGS_SQL}), ' '), coalesce(chr(10) || texts, '')) AS s FROM corpus LEFT JOIN lt20 USING (n)),
 kfind AS (SELECT document_id, regexp_extract_all(s, '[A-Za-z][A-Za-z0-9_+./-]{{2,}}') AS a,
         regexp_extract_all(regexp_replace(s, '[^\\x00-\\x7F]', '_', 'g'), '\\b[A-Z][A-Za-z0-9]+(?:\\s+[A-Z][A-Za-z0-9]+){{0,3}}\\b') AS b FROM ksrc),
 kraw AS (SELECT document_id, {PLAIN.format(c='a[i]')} AS term, 1 AS w, i AS pos FROM kfind, unnest(range(1, len(a) + 1)) u(i)
@@ -136,9 +136,9 @@ kraw AS (SELECT document_id, {PLAIN.format(c='a[i]')} AS term, 1 AS w, i AS pos
 kcnt AS (SELECT document_id, term, sum(w) AS weight, min(pos) AS pos FROM kraw WHERE term <> ''
         AND NOT list_contains({strings(fv.STOPWORDS)}, term) AND (w = 2 OR length(term) >= 3) GROUP BY ALL),
 krank AS (SELECT document_id, term, weight::BIGINT AS weight, row_number() OVER (PARTITION BY document_id ORDER BY weight DESC, pos) AS rank
-        FROM kcnt QUALIFY rank <= 36),
+        FROM kcnt),
 klist AS (SELECT document_id, list(term ORDER BY rank) AS l FROM krank GROUP BY document_id)""" + "," + taxonomy_ctes(
-    "klist", "document_id", "l", "kw", 18
+    "klist", "document_id", "l", "kw"
 )
 KWDOC = "kdoc AS (SELECT cls.*, coalesce(kw.terms, []::VARCHAR[]) AS keywords FROM cls LEFT JOIN kw USING (document_id))"
 
@@ -147,9 +147,9 @@ def _norm_list(arr: str) -> str:
     return f"list_transform({arr}, lambda v: {NORM.format(c='v')})"
 
 
-_TH = f"list_concat([document_type], {_norm_list('ancestor_titles[-2:]')}, keywords[1:4])"
-_CO = f"list_concat({_norm_list(f'({HEADINGS_SQL})[1:8]')}, keywords[1:6])"
-_CA = f"list_filter({_norm_list('list_concat([document_type, space_key], labels[1:8], keywords[1:5])')}, lambda v: v <> '')"
+_TH = f"list_concat([document_type], {_norm_list('ancestor_titles[-2:]')}, keywords)"
+_CO = f"list_concat({_norm_list(f'({HEADINGS_SQL})')}, keywords)"
+_CA = f"list_filter({_norm_list('list_concat([document_type, space_key], labels, keywords)')}, lambda v: v <> '')"
 
 _HINTS = " ".join(f"WHEN {any_sql('nn', t)} THEN {q(k)}" for k, t in fv.ENTITY_HINTS.items())
 ENT = f"""
@@ -157,10 +157,10 @@ ekw AS (SELECT corpus.document_id, corpus.n, page_id, title, labels, coalesce(kw
         FROM corpus LEFT JOIN kw USING (document_id)),
 etitle AS (SELECT document_id, regexp_extract_all(title, '[A-Z][A-Za-z0-9+.-]{{2,}}(?:\\s+[A-Z][A-Za-z0-9+.-]{{2,}}){{0,3}}') AS a FROM ekw),
 eraw AS (SELECT document_id, a[i] AS raw, 'title' AS f, i AS pos FROM etitle, unnest(range(1, len(a) + 1)) u(i)
-  UNION ALL SELECT document_id, labels[i], 'label', 1000 + i FROM ekw, unnest(range(1, len(labels) + 1)) u(i)
-  UNION ALL SELECT document_id, keywords[i], 'keyword', 2000 + i FROM ekw, unnest(range(1, least(len(keywords), 10) + 1)) u(i)
+  UNION ALL SELECT document_id, labels[i], 'label', 1000000 + i FROM ekw, unnest(range(1, len(labels) + 1)) u(i)
+  UNION ALL SELECT document_id, keywords[i], 'keyword', 2000000 + i FROM ekw, unnest(range(1, len(keywords) + 1)) u(i)
   UNION ALL SELECT document_id, coalesce(target_title, text), CASE WHEN target_title IS NULL THEN 'link_text' ELSE 'link_target_title' END,
-        3000 + pos FROM links_t JOIN ekw USING (n) WHERE target_title IS NOT NULL OR (text IS NOT NULL AND text <> '' AND length(text) <= 80)),
+        3000000 + pos FROM links_t JOIN ekw USING (n) WHERE target_title IS NOT NULL OR (text IS NOT NULL AND text <> '' AND length(text) <= 80)),
 ename AS (SELECT document_id, f, pos, trim(regexp_replace(raw, '\\s+', ' ', 'g'), ' -_#') AS name FROM eraw),
 enorm AS (SELECT *, {NORM.format(c='name')} AS nn FROM ename),
 etype AS (SELECT *, CASE WHEN regexp_matches(name, '(?i)^https?://') THEN 'url'
@@ -172,7 +172,7 @@ etype AS (SELECT *, CASE WHEN regexp_matches(name, '(?i)^https?://') THEN 'url'
         AND NOT list_contains({strings(fv.STOPWORDS + fv.GENERIC_ENTITY_TERMS)}, nn) AND (f <> 'keyword' OR contains(nn, ' '))),
 emerge AS (SELECT document_id, entity_type, nn AS normalized_name, arg_min(name, pos) AS name, arg_min(f, pos) AS f0,
         count(*) AS mention_count, string_agg(f, '|' ORDER BY pos) AS fields, list({{'f': f, 'e': name}} ORDER BY pos) AS ms FROM etype GROUP BY ALL),
-ent AS (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY entity_type, normalized_name) AS rank FROM emerge QUALIFY rank <= 40)"""
+ent AS (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY entity_type, normalized_name) AS rank FROM emerge)"""
 
 _PATS = ", ".join(
     f"({i}, {q(p)}, {q('(?i)' + r)}, {c}::DOUBLE)" for i, (p, _, r, c) in enumerate(fv.FACT_PATTERNS)
@@ -190,19 +190,19 @@ fl0 AS (SELECT document_id, list_filter(list_transform(list_concat(string_split(
         lambda l: trim(l)), lambda l: l <> '') AS ls, string_split(regexp_replace(text, '([.;])\\s+', '\\1' || chr(1), 'g'), chr(1)) AS ss FROM corpus),
 fl1 AS (SELECT document_id, CASE WHEN len(ls) <= 2 THEN list_concat(ls, ss) ELSE ls END AS ls FROM fl0),
 fl2 AS (SELECT document_id, i AS line_no, regexp_replace(trim(ls[i]), '\\s+', ' ', 'g') AS line FROM fl1, unnest(range(1, len(ls) + 1)) u(i)),
-fl3 AS (SELECT *, lower(line) AS low FROM fl2 WHERE NOT starts_with(line, '#') AND length(line) BETWEEN 12 AND 300),
+fl3 AS (SELECT *, lower(line) AS low FROM fl2 WHERE NOT starts_with(line, '#') AND length(line) >= 12),
 fraw AS (SELECT document_id, line_no, line, spec, predicate, confidence, regexp_extract(line, pat, 1) AS v FROM fl3, pats
    UNION ALL SELECT document_id, line_no, line, spec, predicate, confidence, regexp_extract(line, pat, 1) FROM fl3, comps
         WHERE contains(low, 'owner') AND contains(low, 'support group')
    UNION ALL SELECT document_id, line_no, line, spec, predicate, confidence, line FROM fl3, steps
         WHERE regexp_matches(regexp_replace(low, '[^\\x00-\\x7F]', '_', 'g'), pat)),
-fobj AS (SELECT *, substr(trim(regexp_replace(v, '\\s+', ' ', 'g'), ' :-|.;'), 1, 160) AS object FROM fraw WHERE v <> ''),
-fkey AS (SELECT *, {NORM.format(c='object')} AS k, substr(line, 1, 120) AS ev FROM fobj WHERE object <> '' AND lower(object) NOT IN ('none', 'n/a', 'unknown', 'tbd')),
+fobj AS (SELECT *, trim(regexp_replace(v, '\\s+', ' ', 'g'), ' :-|.;') AS object FROM fraw WHERE v <> ''),
+fkey AS (SELECT *, {NORM.format(c='object')} AS k, line AS ev FROM fobj WHERE object <> '' AND lower(object) NOT IN ('none', 'n/a', 'unknown', 'tbd')),
 ffirst AS (SELECT * FROM fkey QUALIFY row_number() OVER (PARTITION BY document_id, predicate, k, ev ORDER BY line_no, spec) = 1),
 fstop AS (SELECT *, coalesce(count(*) OVER (PARTITION BY document_id ORDER BY line_no RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier FROM ffirst),
 fact AS (SELECT f.document_id, row_number() OVER (PARTITION BY f.document_id ORDER BY line_no, spec) AS ordinal, predicate,
         {_CLAIM} AS claim_type, object, f.confidence, line AS evidence_text, coalesce(ent.name, corpus.title) AS subject
-        FROM fstop f JOIN corpus USING (document_id) LEFT JOIN ent ON ent.document_id = f.document_id AND ent.rank = 1 WHERE earlier < 20)"""
+        FROM fstop f JOIN corpus USING (document_id) LEFT JOIN ent ON ent.document_id = f.document_id AND ent.rank = 1)"""
 
 _CLEANED = (
     "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace({c}, '!\\[[^\\]]*\\]\\([^)]+\\)', '', 'g'), "
@@ -244,7 +244,7 @@ SQL = {
         KW, classify_ctes("corpus"), KWDOC,
     ),
     "candidate_entities": with_corpus(
-        """SELECT document_id, rank, entity_type, normalized_name, substr(name, 1, 120) AS name,
+        """SELECT document_id, rank, entity_type, normalized_name, name,
         CASE WHEN f0 = 'title' THEN 0.75 ELSE 0.6 END::DOUBLE AS confidence, mention_count, fields FROM ent""", KW, ENT,
     ),
     "entity_buckets": with_corpus(

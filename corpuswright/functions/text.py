@@ -171,3 +171,13 @@ def first_by_key(values: Column, key, limit: int | None = None) -> Column:
 
 def coalesce_array(c: Column, kind: str = "string") -> Column:
     return F.coalesce(c, F.array().cast(f"array<{kind}>"))
+
+
+def head(c: Column, n: int | None) -> Column:
+    """The first ``n`` characters, or all of them without a limit."""
+    return c if n is None else F.substring(c, 1, n)
+
+
+def first(c: Column, n: int | None) -> Column:
+    """The first ``n`` elements of an array, or all of them without a limit."""
+    return c if n is None else F.slice(c, 1, n)

@@ -14,7 +14,7 @@ from corpuswright.functions.times import age_days, instant
 from corpuswright.operators.hierarchy import ancestor_titles
 
 
-def _with_paths(pages: DataFrame) -> DataFrame:
+def _with_paths(pages: DataFrame, max_chars: int | None) -> DataFrame:
     titles = F.array_join(ancestor_titles(F.col("ancestors")), " ")
     return pages.withColumns(
         {
@@ -23,23 +23,23 @@ def _with_paths(pages: DataFrame) -> DataFrame:
             "_head": F.lower(
                 F.concat(
                     F.col("title"), F.lit(" "), F.array_join("labels", " "), F.lit(" "), titles,
-                    F.lit(" "), F.substring("text", 1, 5000),
+                    F.lit(" "), tx.head(F.col("text"), max_chars),
                 )
             ),
         }
     )
 
 
-def classify_documents(pages: DataFrame, *, overrides=None, type_terms=None) -> DataFrame:
+def classify_documents(pages: DataFrame, *, overrides=None, type_terms=None, max_chars: int | None = None) -> DataFrame:
     """Add ``document_type`` and ``document_type_confidence``.
 
     Title overrides first (fixed confidence); else every type scores 1 per term found in title,
-    labels, path or the first 5 000 characters, 2 when it is in the title; best score wins, ties go
-    to the earlier rule. Without any hit a page under 80 words is a reference.
+    labels, path or text (its first ``max_chars`` characters if given), 2 when it is in the title; best
+    score wins, ties go to the earlier rule. Without any hit a page under 80 words is a reference.
     """
     overrides = fv.TITLE_OVERRIDES if overrides is None else overrides
     type_terms = fv.DOCUMENT_TYPE_TERMS if type_terms is None else type_terms
-    df = _with_paths(pages)
+    df = _with_paths(pages, max_chars)
     fixed = F.lit(None).cast("struct<document_type:string,confidence:double>")
     for where, terms, mode, name, confidence in reversed(overrides):
         if where == "pattern":

@@ -127,11 +127,14 @@ def future_dates(df: DataFrame, as_of) -> DataFrame:
     return df.withColumn("has_future_date", has_future_date(F.col("text"), as_of))
 
 
-def trust_flags(df: DataFrame, as_of) -> DataFrame:
-    """Add ``trust_flags``: draft, wip, internal, unresolved, versioned, future-dated, review."""
+def trust_flags(df: DataFrame, as_of, *, max_chars: int | None = None) -> DataFrame:
+    """Add ``trust_flags``: draft, wip, internal, unresolved, versioned, future-dated, review.
+
+    Reads the whole text, or its first ``max_chars`` characters.
+    """
     title = F.lower("title")
     labels = F.lower(F.array_join("labels", " "))
-    early = F.lower(F.substring("text", 1, 5000))
+    early = F.lower(tx.head(F.col("text"), max_chars))
     seen = df.withColumns(
         {"_title": title, "_labels": labels, "_seen": F.concat_ws("\n", title, labels, early)}
     ).withColumn("_future", has_future_date(F.col("text"), as_of))

@@ -161,8 +161,11 @@ def page_confidence() -> Column:
     )
 
 
-def procedure_features(pages: DataFrame) -> DataFrame:
-    """Add ``has_linked_procedure`` and ``is_procedural`` (read from the text, no join)."""
+def procedure_features(pages: DataFrame, *, max_chars: int | None = None) -> DataFrame:
+    """Add ``has_linked_procedure`` and ``is_procedural`` (read from the text, no join).
+
+    ``is_procedural`` reads the whole text, or its first ``max_chars`` characters.
+    """
     said = F.lower(F.concat(F.col("title"), F.lit("\n"), F.col("text")))
     has_link = F.exists("links", lambda l: F.coalesce(l["href"], F.lit("")) != "")
     place = F.lower(
@@ -170,7 +173,7 @@ def procedure_features(pages: DataFrame) -> DataFrame:
             "\n",
             F.col("title"),
             F.array_join(ancestor_titles(F.col("ancestors")), " "),
-            F.substring("text", 1, 2000),
+            tx.head(F.col("text"), max_chars),
         )
     )
     return (
