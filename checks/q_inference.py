@@ -22,7 +22,7 @@ ITEM_ROWS = [("bundle:semantic", "semantic", "b", "m1", "semantic-v1"), ("classi
 
 
 def chunks(spark, sf):
-    return nf.chunk_documents(documents(spark, sf), max_tokens=500, overlap_tokens=50, max_chunks=6)
+    return nf.chunk_documents(documents(spark, sf), max_tokens=500, overlap_tokens=50)
 
 
 def prompts(spark, sf):
@@ -39,32 +39,55 @@ def prompts(spark, sf):
 
 
 def cached(spark, sf):
-    """Answers of an earlier run for every third turn; some of them are no JSON at all."""
+    """Answers of an earlier run for every third turn; some are no JSON, some broken beyond repair, some of unknown keys."""
     keyed = nf.response_cache_key(prompts(spark, sf)).where("cast(split(document_id, ':')[2] as int) % 3 = 0")
     return keyed.groupBy("cache_key").agg(
-        F.max(F.expr("case when cast(split(document_id, ':')[1] as int) % 5 = 0 then 'sorry' else '{\"keywords\": [\"old\"]}' end")).alias("text"),
+        F.max(F.expr(
+            "case cast(split(document_id, ':')[1] as int) % 5 when 0 then 'sorry' when 1 then '{oops not json at all }}' when 2 then '{\"bogus_key\": 1}' "
+            "else case item_no when 0 then '{\"keywords\": [\"old\"]}' when 1 then '{\"document_type\": \"runbook\", \"confidence\": 0.5}' "
+            "else '{\"short_summary\": \"a\", \"detailed_summary\": \"b\"}' end end"
+        )).alias("text"),
         F.lit("m0").alias("answer_model"), F.lit(7).cast("bigint").alias("input_tokens"), F.lit(1).cast("bigint").alias("output_tokens"),
     )
 
 
 def answer(batch: pd.DataFrame) -> pd.DataFrame:
-    """Stand-in model: tells the length of the prompt; some prompts are refused."""
+    """Stand-in model: tells the length of the prompt; some prompts are refused, some make the whole call raise."""
     size = batch["prompt"].str.len()
+    if (size % 29 == 0).any():
+        raise ValueError("a prompt this model does not take")
     refused = size % 17 == 0
     return pd.DataFrame(
         {
             "cache_key": batch["cache_key"], "text": ('{"keywords": ["k' + size.astype(str) + '"]}').where(~refused, None),
             "answer_model": batch["model"], "input_tokens": size, "output_tokens": 5,
+            "attempts": size % 3 + 1, "retries": size % 3, "elapsed_ms": size * 2,
             "error_type": pd.Series("refused", index=batch.index).where(refused, None),
         }
     )
 
 
 def asked(spark, sf):
-    hits, todo = nf.response_cache_join(prompts(spark, sf), cached(spark, sf))
+    hits, todo, _ = nf.response_cache_join(prompts(spark, sf), cached(spark, sf))
     return nf.responses(hits, todo, nf.infer_batch(todo, answer))
 
 
+def notes(spark, sf):
+    """Warning and failure rows of one batch over texts cut to two chunks."""
+    turns = table(spark, sf, "conversations").select(
+        F.concat(F.lit("doc:"), "conv_id", F.lit(":"), "turn").alias("document_id"), "text", "role",
+        F.sha2("text", 256).alias("source_content_hash"), F.lit("cfg").alias("config_hash"),
+    )
+    cut = nf.chunk_documents(turns, max_tokens=250, overlap_tokens=225, max_chunks=2)
+    rows = nf.with_work_items(cut.join(turns.drop("text"), "document_id"), ITEMS)
+    ready = nf.build_prompts(rows, ITEMS, metadata=["document_id", "role", "chunk_index", "chunk_count"], templates=TEMPLATES, contracts=CONTRACTS)
+    split = nf.response_cache_join(ready, cached(spark, sf))
+    answers = nf.responses(split.hits, split.todo, nf.infer_batch(split.todo, answer))
+    told = nf.inference_warnings(nf.response_cache_key(ready), split.refreshed).withColumnRenamed("warning", "kind")
+    failed = nf.inference_failures(nf.validate_responses(nf.parse_responses(answers)))
+    return told.unionByName(failed.select("document_id", "task", "chunk_index", F.col("stage").alias("kind"), F.col("reason").alias("detail")))
+
+
 N = "(event_id % 12)"
 
 
@@ -115,7 +138,7 @@ def merged(spark, sf):
         "array('Alpha', concat('w', n)) keywords", "array('beta') themes", "array('x') concepts", "array('low_quality_score') warnings",
         "named_struct(" + ", ".join(f"'{s}', n % 2 = 0" for s in fv.SIGNAL_TERMS) + ") signals",
     )
-    ev = spread(table(spark, sf, "events")).where("event_type <> 'view'")
+    ev = spread(table(spark, sf, "events"))
     body = (
         "case event_type when 'click' then concat('{\"document_type\": \"', element_at(array('rca', 'design', 'faq'), cast(event_id % 3 as int) + 1), '\", \"confidence\": 0.', event_id % 10, '}') "
         "when 'error' then concat('{\"short_summary\": \"The chunk ', event_id, ' says\", \"detailed_summary\": \"Source chunk ', event_id, '\"}') "
@@ -151,18 +174,21 @@ def _aliases(spark, sf):
 
 def _usage(spark, sf):
     return nf.usage_rows(asked(spark, sf), rates(spark, sf), run_id="r1").select(
-        "document_id", "task", "provider", "model", "input_tokens", "cached", "attempts", F.round("estimated_cost_usd", 5).alias("cost")
+        "document_id", "task", "provider", "model", "input_tokens", "cached", "attempts", "retries", "elapsed_ms", F.round("estimated_cost_usd", 5).alias("cost")
     )
 
 
 QUERIES = {
     "plan_tasks": lambda s, d: nf.with_work_items(documents(s, d).select("document_id"), ITEMS),
     "chunk_documents": lambda s, d: chunks(s, d).select("document_id", "chunk_index", "chunk_count", F.sha2("chunk", 256).alias("chunk_sha"), "truncated"),
+    "chunk_limits": lambda s, d: nf.chunk_documents(documents(s, d), max_tokens=250, overlap_tokens=25, max_chunks=2).where("chunk_index = chunk_count").select(
+        "document_id", "chunk_count", "truncated", "chars_left_out"),
+    "inference_notes": notes,
     "estimate_tokens": lambda s, d: documents(s, d).select("document_id", nf.estimate_tokens(F.col("text")).alias("tokens")),
     "build_prompts": lambda s, d: prompts(s, d).select("document_id", "task", "chunk_index", F.sha2("prompt", 256).alias("prompt_sha")),
     "response_cache_join": lambda s, d: (lambda p: p[0].select("document_id", "task", "chunk_index", F.lit(True).alias("cached")).unionByName(
-        p[1].select("document_id", "task", "chunk_index", F.lit(False).alias("cached"))))(nf.response_cache_join(prompts(s, d), cached(s, d))),
-    "infer_batch": lambda s, d: asked(s, d).select("document_id", "task", "chunk_index", "text", "cached", "error_type"),
+        p[1].select("document_id", "task", "chunk_index", F.lit(False).alias("cached"))))(nf.response_cache_join(prompts(s, d), cached(s, d))[:2]),
+    "infer_batch": lambda s, d: asked(s, d).select("document_id", "task", "chunk_index", "text", "cached", "error_type", "attempts", "elapsed_ms"),
     "parse_responses": lambda s, d: nf.parse_responses(raw_answers(s, d)).select(
         "event_id", F.get_json_object("answer_json", "$.keywords[0]").alias("first"), F.col("answer_json").isNotNull().alias("readable"), "parse_warnings"
     ),
@@ -180,19 +206,25 @@ QUERIES = {
 }
 
 _FENCE = "chr(10)"
-TURNS = """
+
+def turns(count: str, step: int, stored: str) -> str:
+    """Chunks, prompts and answers of the turns, given how many chunks, their step and which prompts are in the cache."""
+    return f"""
 tu AS (SELECT concat('doc:', conv_id, ':', turn) AS document_id, conv_id, turn, text, role, length(text) AS len FROM conversations),
-tc0 AS (SELECT *, CASE WHEN len <= 1000 THEN 1 ELSE least(20, ceil((len - 1000) / 900)::INT + 1) END AS cc FROM tu),
-tc AS (SELECT *, i AS ci, substr(text, (i - 1) * 900 + 1, 1000) AS chunk FROM tc0, unnest(range(1, cc + 1)) u(i)),
+tc0 AS (SELECT *, CASE WHEN len <= 1000 THEN 1 ELSE {count} END AS cc FROM tu),
+tc AS (SELECT *, i AS ci, substr(text, (i - 1) * {step} + 1, 1000) AS chunk FROM tc0, unnest(range(1, cc + 1)) u(i)),
 it AS (SELECT * FROM (VALUES (0, 'bundle:semantic', 'semantic', 'b', 'm1', 'semantic-v1'), (1, 'classification', 'classification', 'b', 'm2', 'v9'),
   (2, 'summary', 'summary', 'a', 'm1', 'v9')) v(item_no, task, pt, provider, model, pv)),
-pm0 AS (SELECT tc.*, it.*, concat('{"chunk_count":', cc, ',"chunk_index":', ci, ',"document_id":"', document_id, '","role":"', role, '"}') AS meta FROM tc, it),
-pm AS (SELECT *, CASE item_no WHEN 0 THEN concat('Do semantic as {"themes":["t"],"keywords":["k"],"key_facts":[]} of ', meta, ': ', chunk, ' {end}')
-  ELSE concat('Task: ', pt, chr(10), 'Return JSON matching this shape: ', CASE item_no WHEN 1 THEN '{}' ELSE '{"short_summary":"s"}' END, chr(10),
-  'Use only supplied text. If evidence is absent, omit the value or return an empty list.', chr(10), 'Metadata JSON: ', meta, chr(10), chr(10),
-  'Document text chunk:', chr(10), chunk) END AS prompt FROM pm0),
-ca AS (SELECT *, turn % 3 = 0 AND conv_id % 5 <> 0 AS hit FROM pm),
-an AS (SELECT *, NOT hit AND length(prompt) % 17 = 0 AS refused FROM ca)"""
+pm0 AS (SELECT tc.*, it.*, concat('{{"chunk_count":', cc, ',"chunk_index":', ci, ',"document_id":"', document_id, '","role":"', role, '"}}') AS meta FROM tc, it),
+pm AS (SELECT *, CASE item_no WHEN 0 THEN concat('Do semantic as {{"themes":["t"],"keywords":["k"],"key_facts":[]}} of ', meta, ': ', chunk, ' {{end}}')
+  ELSE concat('Your job: ', pt, chr(10), 'Answer with one JSON object of the form ', CASE item_no WHEN 1 THEN '{{}}' ELSE '{{"short_summary":"s"}}' END, chr(10),
+  'Say nothing the text does not say; leave out what it does not tell.', chr(10), 'About the document: ', meta, chr(10), chr(10), chunk) END AS prompt FROM pm0),
+ca AS (SELECT *, {stored} AS stored, {stored} AND conv_id % 5 > 2 AS hit FROM pm),
+an AS (SELECT *, CASE WHEN hit THEN NULL WHEN length(prompt) % 29 = 0 THEN 'ValueError' WHEN length(prompt) % 17 = 0 THEN 'refused' END AS problem,
+  CASE item_no WHEN 0 THEN '{{"keywords": ["old"]}}' WHEN 1 THEN '{{"document_type": "runbook", "confidence": 0.5}}' ELSE '{{"short_summary": "a", "detailed_summary": "b"}}' END AS old FROM ca)"""
+
+
+TURNS = turns("ceil((len - 1000) / 900)::INT + 1", 900, "turn % 3 = 0")
 _PARSED = f"""pa AS (SELECT event_id, event_id % 12 AS k, CASE WHEN event_id % 12 IN (0, 1, 2, 3, 8) THEN concat('w', user_id) WHEN event_id % 12 = 4 THEN
   concat('w', user_id, chr(10)) WHEN event_id % 12 = 9 THEN 'a' END AS first, event_id % 12 NOT IN (5, 6) AS readable FROM events)"""
 _ALL_ALIASES = list(fv.DOCUMENT_TYPE_ALIASES) + ["Runbook", "Known Error", "poem"]
@@ -213,11 +245,11 @@ ty AS (SELECT user_id AS n, arg_max(t, (c, event_id)) AS t, max(c) AS c FROM (SE
 su AS (SELECT user_id AS n, max(event_id) AS e FROM events WHERE event_type = 'error' GROUP BY 1),
 se AS (SELECT user_id AS n, list(concat('K ', event_id % 4) ORDER BY event_id) AS ks, list(concat('custom ', event_id % 3) ORDER BY event_id) AS ws,
   bool_or(event_id % 50 = 0) AS own, list(concat('Size=', event_id % 5, ' of this document') ORDER BY event_id) AS fs FROM events
-  WHERE event_type IN ('signup', 'purchase') GROUP BY 1),
+  WHERE event_type NOT IN ('click', 'error') GROUP BY 1),
 mg AS (SELECT mb.*, ty.t, ty.c, su.e, list_concat(['Alpha', concat('w', mb.n)], coalesce(ks, []::VARCHAR[])) AS kall,
   list_concat(['low_quality_score'], coalesce(ws, []::VARCHAR[])) AS wall, coalesce(fs, []::VARCHAR[]) AS fall, coalesce(own, false) OR mb.n % 2 = 0 AS own
   FROM mb LEFT JOIN ty USING (n) LEFT JOIN su USING (n) LEFT JOIN se USING (n))"""
-_FST = "array_to_string(list_filter({a}, lambda x, i: list_position({a}, x) = i)[1:{n}], '|')"
+_FST = "array_to_string(list_filter({a}, lambda x, i: list_position({a}, x) = i), '|')"
 RATES = """rt AS (SELECT (['a:m1', 'm2', 'b'])[s_suppkey + 1] AS key, round(s_acctbal / 100000, 6) AS ri,
   CASE WHEN s_suppkey = 2 THEN NULL ELSE round(s_acctbal / 50000, 6) END AS ro FROM supplier WHERE s_suppkey < 3)"""
 
@@ -229,19 +261,31 @@ SQL = {
     ),
     "chunk_documents": with_corpus(
         """SELECT document_id, i AS chunk_index, cc AS chunk_count, sha256(substr(text, (i - 1) * 1800 + 1, 2000)) AS chunk_sha,
-        i = cc AND (i - 1) * 1800 + 2000 < length(text) AND right(substr(text, (i - 1) * 1800 + 1, 2000), 1) <> right(text, 1) AS truncated FROM
-        (SELECT *, CASE WHEN length(text) <= 2000 THEN 1 ELSE least(6, ceil((length(text) - 2000) / 1800)::INT + 1) END AS cc FROM base), unnest(range(1, cc + 1)) u(i)"""
+        false AS truncated FROM
+        (SELECT *, CASE WHEN length(text) <= 2000 THEN 1 ELSE ceil((length(text) - 2000) / 1800)::INT + 1 END AS cc FROM base), unnest(range(1, cc + 1)) u(i)"""
+    ),
+    "chunk_limits": with_corpus(
+        """SELECT document_id, least(2, cc) AS chunk_count, cc > 2 AS truncated, CASE WHEN cc > 2 THEN length(text) - 1900 ELSE 0 END AS chars_left_out FROM
+        (SELECT *, CASE WHEN length(text) <= 1000 THEN 1 ELSE ceil((length(text) - 1000) / 900)::INT + 1 END AS cc FROM base)"""
     ),
+    "inference_notes": f"""WITH {turns("least(2, ceil((len - 1000) / 100)::INT + 1)", 100, "ci = 1 AND len <= 1900 AND turn % 3 = 0")}
+        SELECT document_id, task, ci AS chunk_index, 'cached_response_invalid' AS kind, CASE WHEN conv_id % 5 = 2 THEN 'unknown_key' ELSE 'unreadable_json' END AS detail
+        FROM an WHERE stored AND NOT hit
+        UNION ALL SELECT document_id, task, ci, 'input_left_out', (len - 1100)::VARCHAR FROM an WHERE ci = cc AND cc = 2 AND len > 1100
+        UNION ALL SELECT document_id, task, ci, CASE WHEN problem IS NULL THEN 'answer' ELSE 'call' END, coalesce(problem, 'unknown_key') FROM an
+        WHERE NOT hit AND (problem IS NOT NULL OR item_no > 0)""",
     "estimate_tokens": with_corpus("SELECT document_id, ceil(length(text) / 4)::BIGINT AS tokens FROM base"),
     "build_prompts": f"WITH {TURNS} SELECT document_id, task, ci AS chunk_index, sha256(prompt) AS prompt_sha FROM pm",
     "response_cache_join": f"WITH {TURNS} SELECT document_id, task, ci AS chunk_index, hit AS cached FROM ca",
-    "infer_batch": f"""WITH {TURNS} SELECT document_id, task, ci AS chunk_index, CASE WHEN hit THEN '{{"keywords": ["old"]}}' WHEN refused THEN NULL ELSE
-        concat('{{"keywords": ["k', length(prompt), '"]}}') END AS text, hit AS cached, CASE WHEN refused THEN 'refused' END AS error_type FROM an""",
+    "infer_batch": f"""WITH {TURNS} SELECT document_id, task, ci AS chunk_index, CASE WHEN hit THEN old WHEN problem IS NULL THEN
+        concat('{{"keywords": ["k', length(prompt), '"]}}') END AS text, hit AS cached, problem AS error_type,
+        CASE WHEN hit THEN 0 WHEN problem = 'ValueError' THEN 1 ELSE length(prompt) % 3 + 1 END::BIGINT AS attempts,
+        CASE WHEN NOT hit AND problem IS DISTINCT FROM 'ValueError' THEN length(prompt) * 2 END AS elapsed_ms FROM an""",
     "parse_responses": f"""WITH {_PARSED} SELECT event_id, CASE WHEN k = 7 THEN NULL ELSE first END AS first, readable,
         CASE WHEN k IN (2, 3, 4) THEN 'repaired_json' ELSE '' END AS parse_warnings FROM pa""",
     "validate_responses": """SELECT event_id, 'keywords' AS task, event_id % 12 NOT IN (5, 6, 7, 8) AS valid, CASE event_id % 12 WHEN 5 THEN 'unreadable_json' WHEN 6 THEN
-        'unreadable_json' WHEN 7 THEN 'wrong_type' WHEN 8 THEN 'unknown_key' END AS invalid_reason, CASE WHEN event_id % 12 = 9 THEN 'trimmed_fields' ELSE '' END AS
-        validation_warnings, CASE WHEN event_id % 12 = 9 THEN 50 WHEN event_id % 12 <= 4 THEN 1 ELSE 0 END AS keywords, NULL AS document_type FROM events
+        'unreadable_json' WHEN 7 THEN 'wrong_type' WHEN 8 THEN 'unknown_key' END AS invalid_reason, '' AS
+        validation_warnings, CASE WHEN event_id % 12 = 9 THEN 61 WHEN event_id % 12 <= 4 THEN 1 ELSE 0 END AS keywords, NULL AS document_type FROM events
         UNION ALL SELECT event_id, 'classification', event_id % 7 <> 0 AND event_id % 6 <> 3, CASE WHEN event_id % 7 = 0 THEN 'unknown_key' WHEN event_id % 6 = 3 THEN
         'unsupported_document_type' END, '', 0, CASE WHEN event_id % 7 <> 0 THEN (['runbook', 'knowledge_article', 'change_record', NULL, 'design', 'archive'])[event_id % 6 + 1] END
         FROM events""",
@@ -249,17 +293,18 @@ SQL = {
         f"""SELECT document_id, CASE WHEN coalesce(c, -1) >= (n % 10) / 10.0::DOUBLE THEN t ELSE document_type END AS document_type,
         round(CASE WHEN coalesce(c, -1) >= (n % 10) / 10.0::DOUBLE THEN c ELSE (n % 10) / 10.0::DOUBLE END, 3) AS confidence,
         CASE WHEN e IS NULL THEN 's0' ELSE concat('the document ', e, ' says') END AS short_summary,
-        CASE WHEN e IS NULL THEN 'd0' ELSE concat('source excerpt ', e) END AS detailed_summary, {_FST.format(a='kall', n=30)} AS keywords,
-        {_FST.format(a='wall', n=60)} AS warnings, own AS has_owner, {_FST.format(a='fall', n=40)} AS key_facts FROM mg""", index_sql(), MERGE,
+        CASE WHEN e IS NULL THEN 'd0' ELSE concat('source excerpt ', e) END AS detailed_summary, {_FST.format(a='kall')} AS keywords,
+        {_FST.format(a='wall')} AS warnings, own AS has_owner, {_FST.format(a='fall')} AS key_facts FROM mg""", index_sql(), MERGE,
     ),
     "sanitize_generated": """SELECT event_id, concat((['this Wiki source excerpt', 'the document', 'A document', 'supplied source excerpt', 'provided Wiki source excerpt',
         'a chunk'])[event_id % 6 + 1], ' of ', event_type, ' and source excerpt') AS text FROM events""",
     "normalize_document_type": f"""SELECT event_id, ({strings(_ALL_ALIASES)})[event_id % {len(_ALL_ALIASES)} + 1] AS said,
         ({strings(list(fv.DOCUMENT_TYPE_ALIASES.values()) + ['runbook', 'known_error', 'poem'])})[event_id % {len(_ALL_ALIASES)} + 1] AS document_type FROM events""",
     "usage_rows": f"""WITH {TURNS}, {RATES}, us AS (SELECT document_id, task, provider, CASE WHEN hit THEN 'm0' ELSE model END AS model,
-        CASE WHEN hit THEN 7 ELSE length(prompt) END AS input_tokens, CASE WHEN hit THEN 1 ELSE 5 END AS outt, hit AS cached, CASE WHEN hit THEN 0 ELSE 1 END AS attempts
-        FROM an WHERE NOT refused)
-        SELECT document_id, task, provider, model, input_tokens, cached, attempts, round(input_tokens / 1000 * CASE WHEN a.key IS NOT NULL THEN a.ri WHEN b.key IS NOT NULL
+        CASE WHEN hit THEN 7 ELSE length(prompt) END AS input_tokens, CASE WHEN hit THEN 1 ELSE 5 END AS outt, hit AS cached,
+        CASE WHEN hit THEN 0 ELSE length(prompt) % 3 + 1 END AS attempts, CASE WHEN hit THEN 0 ELSE length(prompt) % 3 END AS retries, CASE WHEN NOT hit THEN length(prompt) * 2 END AS elapsed_ms
+        FROM an WHERE problem IS NULL)
+        SELECT document_id, task, provider, model, input_tokens, cached, attempts, retries, elapsed_ms, round(input_tokens / 1000 * CASE WHEN a.key IS NOT NULL THEN a.ri WHEN b.key IS NOT NULL
         THEN b.ri ELSE c.ri END + outt / 1000 * CASE WHEN a.key IS NOT NULL THEN a.ro WHEN b.key IS NOT NULL THEN b.ro ELSE c.ro END, 5) AS cost FROM us
         LEFT JOIN rt a ON a.key = concat(provider, ':', model) LEFT JOIN rt b ON b.key = model LEFT JOIN rt c ON c.key = provider""",
 }

@@ -455,11 +455,9 @@ DOCUMENT_TYPE_ALIASES = {
     "test report": "reference",
     "test_report": "reference",
 }
-ANSWER_TEXT_LIMITS = {
+ANSWER_LIMITS = {
     "short_summary": 1000, "detailed_summary": 6000, "name": 120, "entity_type": 80,
     "evidence": 8000, "label": 80, "value": 300,
-}
-ANSWER_LIST_LIMITS = {
     "keywords": 50, "themes": 50, "concepts": 80, "candidate_entities": 100, "warnings": 100,
     "key_facts": 200, "aliases": 20,
 }
