@@ -491,7 +491,7 @@ SQL = {
     ),
     "source_link_ranking": with_corpus(
         """SELECT document_id, 'early' AS section, row_number() OVER (PARTITION BY document_id ORDER BY ix) AS position, label, href FROM lre QUALIFY position <= 8
-        UNION ALL SELECT document_id, 'additional', row_number() OVER (PARTITION BY document_id ORDER BY ix) AS position, label, href FROM lra QUALIFY position <= 100""",
+        UNION ALL SELECT document_id, 'additional', row_number() OVER (PARTITION BY document_id ORDER BY ix) AS position, label, href FROM lra""",
         LINKR,
     ),
     "export_metadata": with_corpus(

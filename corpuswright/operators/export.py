@@ -55,12 +55,12 @@ def low_value_links(pages: DataFrame) -> DataFrame:
 
 
 def source_link_ranking(
-    pages: DataFrame, *, early: int = 8, additional: int = 100, wiki_word: str = "wiki"
+    pages: DataFrame, *, early: int = 8, additional: int | None = None, wiki_word: str = "wiki"
 ) -> DataFrame:
     """(document_id, section, position, label, href): the links shown first and all links.
 
-    Section ``early`` lists the best ``early`` useful links, ``additional`` the best
-    ``additional`` of any value; both skip anchors and repeat no target.
+    Section ``early`` lists the best ``early`` useful links, ``additional`` all links of any value, or the best
+    ``additional`` of them; both skip anchors and repeat no target.
     """
     raw = pages.select("document_id", F.posexplode("links").alias("pos", "l")).select(
         "document_id", "pos", F.coalesce("l.text", F.lit("")).alias("text"),
@@ -89,15 +89,13 @@ def source_link_ranking(
         F.concat(F.lit("Referenced source link "), F.col("_index").cast("string")),
     ).otherwise(said_label)
 
-    def section(name: str, rows: DataFrame, limit: int) -> DataFrame:
+    def section(name: str, rows: DataFrame, limit: int | None) -> DataFrame:
         first = Window.partitionBy("document_id", "href").orderBy("_index")
-        return (
-            rows.withColumn("_n", F.row_number().over(first))
-            .where("_n = 1")
-            .withColumn("position", F.row_number().over(per_doc.orderBy("_index")))
-            .where(F.col("position") <= limit)
-            .select("document_id", F.lit(name).alias("section"), "position", label.alias("label"), "href")
-        )
+        once = rows.withColumn("_n", F.row_number().over(first)).where("_n = 1")
+        placed = once.withColumn("position", F.row_number().over(per_doc.orderBy("_index")))
+        if limit is not None:
+            placed = placed.where(F.col("position") <= limit)
+        return placed.select("document_id", F.lit(name).alias("section"), "position", label.alias("label"), "href")
 
     useful = ranked.where(F.col("_rank") != 5)
     return section("early", useful, early).unionByName(section("additional", ranked, additional))
@@ -157,7 +155,7 @@ def _noisy_value(value: Column) -> Column:
     return (F.length(value) > 100) | F.lower(tx.strip(value)).isin(fv.KEY_FACT_GENERIC)
 
 
-def key_fact_values(values: Column, *, support: bool = False, limit: int = 10) -> Column:
+def key_fact_values(values: Column, *, support: bool = False, limit: int | None = None) -> Column:
     """Names worth a key-fact line: no generic ones, questions or repeats; teams must look like one."""
     def good(v: Column) -> Column:
         ok = (tx.strip(v) != "") & ~F.lower(tx.strip(v)).isin(fv.EXPORT_GENERIC_NAMES) & ~_question(v) & ~_noisy_value(v)
@@ -166,8 +164,11 @@ def key_fact_values(values: Column, *, support: bool = False, limit: int = 10) -
     return tx.first_by_key(F.filter(values, good), lambda v: F.lower(tx.strip(v)), limit)
 
 
-def key_facts_lines(df: DataFrame) -> DataFrame:
-    """Add ``key_facts_text``. Uses the enrichment columns, the entity name lists and key facts if present."""
+def key_facts_lines(df: DataFrame, *, max_values: int | None = None) -> DataFrame:
+    """Add ``key_facts_text``. Uses the enrichment columns, the entity name lists and key facts if present.
+
+    ``max_values`` bounds the names, terms, attachments and key facts of a line or list; all are told without it.
+    """
     shown = tx.display_title(F.col("title"))
 
     def line(label: str, value: Column, when: Column | None = None) -> Column:
@@ -177,17 +178,17 @@ def key_facts_lines(df: DataFrame) -> DataFrame:
     def names(label: str, column: str, support: bool = False) -> Column:
         if column not in df.columns:
             return F.lit(None).cast("string")
-        kept = key_fact_values(F.col(column), support=support)
+        kept = key_fact_values(F.col(column), support=support, limit=max_values)
         return F.when(F.size(kept) > 0, F.concat(F.lit(f"- {label}: "), F.array_join(kept, ", ")))
 
     def signal(name: str, label: str) -> Column:
         return F.when(F.col(f"signals.{name}"), F.lit(f"- {label} signal: present"))
 
-    terms = F.slice(F.filter("keywords", lambda k: ~F.lower(k).isin(fv.KEY_FACT_GENERIC)), 1, 10)
+    terms = tx.first(F.filter("keywords", lambda k: ~F.lower(k).isin(fv.KEY_FACT_GENERIC)), max_values)
     told = F.array().cast("array<string>")
     if "key_facts" in df.columns:
         good = F.filter(
-            F.slice(tx.coalesce_array(F.col("key_facts"), "struct<label:string,value:string,confidence:double,evidence:string>"), 1, 12),
+            tx.first(tx.coalesce_array(F.col("key_facts"), "struct<label:string,value:string,confidence:double,evidence:string>"), max_values),
             lambda f: (tx.strip(f["label"]) != "") & (tx.strip(f["value"]) != "") & ~_question(f["value"]) & ~_noisy_value(f["value"]),
         )
         listed = F.transform(good, lambda f: F.concat(F.lit("- "), tx.strip(f["label"]), F.lit(": "), tx.strip(f["value"])))
@@ -219,15 +220,15 @@ def key_facts_lines(df: DataFrame) -> DataFrame:
             signal("has_recovery_steps", "Recovery/failover"),
             F.when(
                 F.size("referenced_attachment_names") > 0,
-                F.concat(F.lit("- Attachments: "), F.array_join(F.slice("referenced_attachment_names", 1, 10), ", ")),
+                F.concat(F.lit("- Attachments: "), F.array_join(tx.first(F.col("referenced_attachment_names"), max_values), ", ")),
             ),
         )
     )
     return df.withColumn("key_facts_text", F.array_join(F.concat(told, fixed), "\n"))
 
 
-def display_entities(entities: DataFrame, *, limit: int = 30) -> DataFrame:
-    """(document_id, entity_lines): model entities first, then confident ones, generic names dropped."""
+def display_entities(entities: DataFrame, *, limit: int | None = None) -> DataFrame:
+    """(document_id, entity_lines): model entities first, then confident ones, generic names dropped; all unless limited."""
     by_model = F.col("method") == "llm"
     kept = entities.where(
         ~F.lower("normalized_name").isin(fv.EXPORT_GENERIC_NAMES) & (by_model | (F.col("confidence") >= 0.7))
@@ -239,16 +240,11 @@ def display_entities(entities: DataFrame, *, limit: int = 30) -> DataFrame:
         F.lit("- "), "name", F.lit(" ("), "entity_type", F.lit(", confidence "),
         F.format_string("%.2f", "confidence"), F.lit(")"),
     )
-    return (
-        kept.withColumn("_n", F.row_number().over(order))
-        .where(F.col("_n") <= limit)
-        .groupBy("document_id")
-        .agg(
-            F.array_join(
-                F.transform(F.array_sort(F.collect_list(F.struct("_n", line.alias("line")))), lambda r: r["line"]), "\n"
-            ).alias("entity_lines")
-        )
-    )
+    placed = kept.withColumn("_n", F.row_number().over(order))
+    if limit is not None:
+        placed = placed.where(F.col("_n") <= limit)
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("_n", line.alias("line")))), lambda r: r["line"])
+    return placed.groupBy("document_id").agg(F.array_join(lines, "\n").alias("entity_lines"))
 
 
 def export_path(dataset_name: str, *, slug_max_chars: int = 90) -> Column:
@@ -258,10 +254,11 @@ def export_path(dataset_name: str, *, slug_max_chars: int = 90) -> Column:
     )
 
 
-def source_section(markdown: Column, *, max_chars: int = 200_000) -> tuple[Column, Column]:
-    """(source text with image notes, cut to ``max_chars``; whether it was cut)."""
+def source_section(markdown: Column, *, max_chars: int | None = None) -> tuple[Column, Column]:
+    """(source text with image notes, its first ``max_chars`` characters if given; how many characters that leaves out)."""
     body = tx.rewrite_images(tx.strip_front_matter(markdown))
-    return F.substring(body, 1, max_chars), F.length(body) > max_chars
+    left_out = F.lit(0) if max_chars is None else F.greatest(F.length(body) - max_chars, F.lit(0))
+    return tx.head(body, max_chars), left_out
 
 
 def render_documents(
@@ -272,14 +269,14 @@ def render_documents(
     entity_lines: DataFrame | None = None,
     links: DataFrame | None = None,
     visuals: DataFrame | None = None,
-    max_chars: int = 200_000,
+    max_chars: int | None = None,
     slug_max_chars: int = 90,
     run_id: str = "",
 ) -> DataFrame:
     """(document_id, space_key, page_id, title, path, content, render_warnings) of eligible pages.
 
     ``enriched`` holds the slim columns of eligible pages; the body text is joined in last, once,
-    for those pages only.
+    for those pages only. Nothing is redacted here: ``plans.export`` does that on the finished text.
     """
     df = key_facts_lines(export_metadata(enriched, dataset_name=dataset_name))
     for part in (entity_lines, links, visuals):
@@ -289,7 +286,7 @@ def render_documents(
         enriched.select("document_id"), "document_id", "left_semi"
     )
     df = df.join(body, "document_id")
-    source, cut = source_section(F.col("markdown"), max_chars=max_chars)
+    source, left_out = source_section(F.col("markdown"), max_chars=max_chars)
 
     def bullets(column: str) -> Column:
         c = F.col(column)
@@ -373,7 +370,7 @@ def render_documents(
         "document_id", "space_key", "page_id", "title",
         export_path(dataset_name, slug_max_chars=slug_max_chars).alias("path"),
         F.concat_ws("\n\n", F.col("metadata_line"), *sections).alias("content"),
-        F.when(cut, F.array(F.lit("source_content_truncated"))).otherwise(F.array().cast("array<string>")).alias("render_warnings"),
+        F.when(left_out > 0, F.array(F.concat(F.lit("source_content_left_out:"), left_out.cast("string")))).otherwise(F.array().cast("array<string>")).alias("render_warnings"),
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from corpuswright import schemas
 from corpuswright.operators.reports import markdown_header, markdown_rows
 from corpuswright.operators.rollups import ORDER, fact_trust_split
+from corpuswright.session import shared_dir
 
 
 def write_enrichments(enriched: DataFrame, path: str) -> None:
@@ -56,8 +57,14 @@ def write_report(report: DataFrame, path: str) -> None:
 def write_files(rows: DataFrame, root: str) -> None:
     """One file per (path, content) row below ``root``, written by the tasks that hold the rows.
 
-    ``root`` may be any folder the executors reach (local path or a URI pyarrow knows).
+    ``root`` is a URI that pyarrow knows and every executor reaches, such as ``hdfs://`` or ``s3://``. A plain path or
+    ``file://`` counts as shared only if it lies in ``spark.checkpoint.dir``, or if the master is local.
     """
+    spark = rows.sparkSession
+    shared = shared_dir(spark).removeprefix("file://")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        if ("://" not in root or root.startswith("file:")) and not root.removeprefix("file://").startswith(shared):
+            raise ValueError("write files below a folder that every executor reaches, such as spark.checkpoint.dir")
 
     def write(partition) -> None:
         from pyarrow import fs
