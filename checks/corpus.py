@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuswright.operators.profile import document_key
-from corpuswright.session import spread
 
 AS_OF = "2024-01-30T12:00:00Z"
 
@@ -94,7 +93,7 @@ def _fields(d: str) -> dict[str, str]:
             f"' or 2023-1-', n % 40) else '' end, "
             f"case when n % 25 = 0 then concat({nl}, 'password = hunter', n, ' api_key: k', n, ' AKIA', "
             f"upper(substr({sha}, 1, 16)), ' mail ops', n, '@corp.example or a@b.example.org') else '' end, "
-            f"case when n % 31 = 0 then concat({nl}, 'see datadog client GE-AB12', n) else '' end)"
+            f"case when n % 31 = 0 then concat({nl}, 'see datadog client EMP-AB12', n) else '' end)"
         ),
         "text_sha": text_sha,
         "attachment_stub": f"concat('/download/attachments/', n, '/Manual ', n % 5, '.pdf')",
@@ -124,7 +123,7 @@ def _markdown(d: str) -> str:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    docs = spread(table(spark, sf, "documents").select("doc_id", "text", "lang"))
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
     owners = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
     raw = docs.join(owners, docs["doc_id"] == owners["c_custkey"], "left").select(
         F.col("doc_id").alias("n"), "text", F.col("lang").alias("space_key"), "c_name", "c_mktsegment"
@@ -165,7 +164,7 @@ LINK_TYPE = "array<struct<type:string,href:string,text:string,target_title:strin
 
 def links(spark: SparkSession, sf: str) -> DataFrame:
     """(n, links) from the anchors of ``pages``."""
-    html = spread(table(spark, sf, "pages").select("page_id", "html"))
+    html = table(spark, sf, "pages").select("page_id", "html")
     pattern = """'<a href="([^"]*)">([^<]*)</a>'"""
     found = html.select(
         F.col("page_id").alias("n"),

@@ -15,6 +15,7 @@ from corpuswright.plans.enrich import HEAVY
 from pyspark.sql import functions as F
 
 INSIDE = ["corp.example"]
+PERSON_ID = r"\bEMP-[A-Z0-9]{4,}\b"
 
 
 def q(text: str) -> str:
@@ -65,7 +66,7 @@ QUALITY = [
 
 def _all_flags(spark, sf):
     df = cl.document_subtypes(cl.classify_documents(profiled(spark, sf, True)))
-    df = fl.trust_flags(fl.sensitivity_flags(df, inside_domains=INSIDE), AS_OF)
+    df = fl.trust_flags(fl.sensitivity_flags(df, inside_domains=INSIDE, person_id=PERSON_ID), AS_OF)
     # an earlier extraction exists for some pages
     n = F.col("n")
     df = df.withColumns(
@@ -109,7 +110,7 @@ QUERIES = {
         "quality_band", F.round(sc.page_confidence(), 6).alias("confidence"),
     ),
     "quality_warnings": lambda s, d: sc.quality_warnings(adjusted(s, d)).select("document_id", "warnings"),
-    "sensitivity_flags": lambda s, d: fl.sensitivity_flags(pages(s, d), inside_domains=INSIDE).select(
+    "sensitivity_flags": lambda s, d: fl.sensitivity_flags(pages(s, d), inside_domains=INSIDE, person_id=PERSON_ID).select(
         "document_id", "sensitivity_flags", fl.audience(F.col("sensitivity_flags")).alias("audience"),
         fl.sensitivity(F.col("sensitivity_flags")).alias("sensitivity"),
     ),
@@ -301,7 +302,7 @@ def sens_cte(source: str) -> str:
     return f"""
 e0 AS (SELECT *, {_MAIL} AS said FROM {source}),
 e1 AS (SELECT *, regexp_extract_all(said, '\\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}\\b') AS mails,
-        regexp_matches(said, '\\bGE(?:DTC|US\\d*)?-[A-Z0-9]{{4,}}\\b') AS pid,
+        regexp_matches(said, '\\bEMP-[A-Z0-9]{{4,}}\\b') AS pid,
         {any_sql('lower(said)', fv.LOG_LINK_TERMS)} AS logs FROM e0),
 e2 AS (SELECT *, len(list_filter(mails, lambda m: NOT ends_with(lower(m), 'corp.example'))) > 0 AS outs FROM e1),
 e3 AS (SELECT *, {any_sql('lower(said)', fv.CUSTOMER_CASE_TERMS)} AND (outs OR pid OR logs) AS cse FROM e2),

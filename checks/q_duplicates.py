@@ -121,7 +121,7 @@ cw AS (SELECT family_id, members, unnest(w) AS w FROM ct),
 cc AS (SELECT family_id, w FROM cw GROUP BY family_id, members, w HAVING count(*) = members),
 ck AS (SELECT family_id, string_agg(w, ' ' ORDER BY w) AS common FROM cc GROUP BY family_id),
 cf AS (SELECT family_id, arg_min({NORM.format(c='title')}, (space_key, page_id)) AS ft FROM fam JOIN idx USING (document_id) GROUP BY family_id),
-fk AS (SELECT family_id, substr(coalesce(common, ft), 1, 80) AS family_key FROM cf LEFT JOIN ck USING (family_id)),
+fk AS (SELECT family_id, coalesce(common, ft) AS family_key FROM cf LEFT JOIN ck USING (family_id)),
 gall AS (SELECT * FROM gm UNION ALL SELECT 'near_title_family', family_key, family_id, document_id FROM fam JOIN fk USING (family_id)),
 gset AS (SELECT reason, group_key, part, list_sort(list(concat(space_key, ':', page_id))) AS ks, arg_min(title, (space_key, page_id)) AS first_title
         FROM gall JOIN idx USING (document_id) GROUP BY ALL HAVING count(*) > 1),
@@ -162,7 +162,7 @@ SQL = {
         UNION ALL SELECT 1.0::DOUBLE, docs, docs, doc, doc FROM tg WHERE docs > 1""", SETS,
     ),
     "duplicate_groups": with_corpus(
-        f"""SELECT reason, substr(group_key, 1, 80) AS group_key, count(*) AS members,
+        f"""SELECT reason, group_key, count(*) AS members,
         array_to_string((list(concat(space_key, ':', page_id) ORDER BY space_key, page_id))[1:10], ', ') AS documents
         FROM (SELECT 'content_hash' AS reason, source_content_hash AS group_key, space_key, page_id FROM idx
         UNION ALL SELECT 'normalized_title', {NORM.format(c='title')}, space_key, page_id FROM idx) WHERE group_key <> ''
@@ -181,7 +181,7 @@ SQL = {
         _choice("tgm", "group_key"),
     ),
     "duplicate_clusters": with_corpus(
-        f"""SELECT reason, group_key, coalesce(nullif(substr({_LABEL}, 1, 80), ''), substr(first_title, 1, 80)) AS family,
+        f"""SELECT reason, group_key, coalesce(nullif({_LABEL}, ''), first_title) AS family,
         CASE WHEN reason = 'near_title_family' THEN family_type ELSE reason END AS family_type, versions, environments, regions,
         members, keeper, latest, coalesce(latest_production, '-') AS latest_production, array_to_string(ks[1:20], ', ') AS documents
         FROM gone JOIN fmeta USING (reason, group_key, part) JOIN mk USING (reason, group_key, part) JOIN ml USING (reason, group_key, part)

@@ -9,7 +9,6 @@ from checks.q_extract import NORM, strings
 from checks.q_reports import enriched_rule, rates
 from corpuswright import fixed_values as fv
 from corpuswright.operators import inference as nf
-from corpuswright.session import spread
 from pyspark.sql import functions as F
 
 ITEMS = nf.plan_tasks(
@@ -109,7 +108,7 @@ def raw_answers(spark, sf):
         11: f"concat('{{\"keywords\": null}}')",
     }
     whens = " ".join(f"when {n} then {t}" for n, t in texts.items())
-    return spread(table(spark, sf, "events")).selectExpr(
+    return table(spark, sf, "events").selectExpr(
         "event_id", "concat('doc:', user_id) document_id", "array('keywords') requested_tasks", f"case {N} {whens} end text"
     )
 
@@ -117,7 +116,7 @@ def raw_answers(spark, sf):
 def typed_answers(spark, sf):
     """Classification answers: known, aliased and unknown types, good and bad confidences."""
     kinds = "element_at(array('runbook', 'How-To', 'release notes', 'poem', 'ADR', 'archive'), cast(event_id % 6 as int) + 1)"
-    return spread(table(spark, sf, "events")).selectExpr(
+    return table(spark, sf, "events").selectExpr(
         "event_id", "concat('doc:', user_id) document_id", "array('classification') requested_tasks",
         f"concat('{{\"document_type\": \"', {kinds}, '\", \"confidence\": ', event_id % 14, ' }}') text0", "event_id % 7 c",
     ).withColumn(
@@ -138,7 +137,7 @@ def merged(spark, sf):
         "array('Alpha', concat('w', n)) keywords", "array('beta') themes", "array('x') concepts", "array('low_quality_score') warnings",
         "named_struct(" + ", ".join(f"'{s}', n % 2 = 0" for s in fv.SIGNAL_TERMS) + ") signals",
     )
-    ev = spread(table(spark, sf, "events"))
+    ev = table(spark, sf, "events")
     body = (
         "case event_type when 'click' then concat('{\"document_type\": \"', element_at(array('rca', 'design', 'faq'), cast(event_id % 3 as int) + 1), '\", \"confidence\": 0.', event_id % 10, '}') "
         "when 'error' then concat('{\"short_summary\": \"The chunk ', event_id, ' says\", \"detailed_summary\": \"Source chunk ', event_id, '\"}') "
@@ -250,8 +249,8 @@ mg AS (SELECT mb.*, ty.t, ty.c, su.e, list_concat(['Alpha', concat('w', mb.n)],
   list_concat(['low_quality_score'], coalesce(ws, []::VARCHAR[])) AS wall, coalesce(fs, []::VARCHAR[]) AS fall, coalesce(own, false) OR mb.n % 2 = 0 AS own
   FROM mb LEFT JOIN ty USING (n) LEFT JOIN su USING (n) LEFT JOIN se USING (n))"""
 _FST = "array_to_string(list_filter({a}, lambda x, i: list_position({a}, x) = i), '|')"
-RATES = """rt AS (SELECT (['a:m1', 'm2', 'b'])[s_suppkey + 1] AS key, round(s_acctbal / 100000, 6) AS ri,
-  CASE WHEN s_suppkey = 2 THEN NULL ELSE round(s_acctbal / 50000, 6) END AS ro FROM supplier WHERE s_suppkey < 3)"""
+RATES = """rt AS (SELECT CASE WHEN s_suppkey < 3 THEN (['a:m1', 'm2', 'b'])[s_suppkey + 1] ELSE concat('other-', s_suppkey) END AS key, round(s_acctbal / 100000, 6) AS ri,
+  CASE WHEN s_suppkey = 2 THEN NULL ELSE round(s_acctbal / 50000, 6) END AS ro FROM supplier)"""
 
 SQL = {
     "plan_tasks": with_corpus(

@@ -31,6 +31,7 @@ def part_entities(spark, sf):
         F.expr("lower(p_name)").alias("normalized_name"),
         F.expr("(p_size % 10) / 10.0D").alias("confidence"),
         F.lit("deterministic").alias("method"),
+        F.expr("case when p_size % 3 = 0 then array(concat('aka ', p_brand), concat('aka ', p_type)) else cast(array() as array<string>) end").alias("aliases"),
         F.expr("array(named_struct('page_id', cast(p_partkey as string), 'evidence', concat(p_name, ' ', p_type), 'source_field', 'title'))").alias("mentions"),
     )
 
@@ -103,10 +104,10 @@ def usage(spark, sf):
 def rates(spark, sf):
     """Prices from suppliers: provider a has a price per model, b one without output, c none."""
     return table(spark, sf, "supplier").selectExpr(
-        "element_at(array('a:m1', 'm2', 'b'), cast(s_suppkey as int) + 1) key",
+        "case when s_suppkey < 3 then element_at(array('a:m1', 'm2', 'b'), cast(s_suppkey as int) + 1) else concat('other-', s_suppkey) end key",
         "round(s_acctbal / 100000, 6) input", "case when s_suppkey = 2 then null else round(s_acctbal / 50000, 6) end output",
         "s_suppkey",
-    ).where("s_suppkey < 3").drop("s_suppkey")
+    ).drop("s_suppkey")
 
 
 def failures(spark, sf):
@@ -119,7 +120,7 @@ def failures(spark, sf):
 
 def _task_failures(spark, sf):
     ctx = "named_struct('task', case when event_id % 2 = 0 then 'themes' end, 'provider', case when event_id % 3 = 0 then '' else 'p' end, 'model', cast(null as string), 'prompt_version', 'v1')"
-    per_page = table(spark, sf, "events").where("event_type = 'error'").groupBy(F.expr("user_id % 50").alias("u")).agg(
+    per_page = table(spark, sf, "events").where("event_type = 'error'").groupBy(F.col("user_id").alias("u")).agg(
         F.expr(
             f"collect_list(named_struct('stage', case when event_id % 5 = 0 then '' else 'llm' end, 'error_type', concat('E', event_id % 4), "
             f"'message', repeat(concat(event_id, ' '), 100), 'error_context', {ctx}))"
@@ -145,8 +146,9 @@ QUERIES = {
     "concept_rollup": lambda s, d: ro.concept_rollup(ex.concepts(enriched_terms(s, d))),
     "entity_rollup": lambda s, d: rolled(s, d).select(
         "entity_id", "name", "normalized_name", "entity_type", "document_count", "confidence", "method",
-        F.size("mentions").alias("mention_count"), F.element_at("mentions", 1)["document_id"].alias("first_document"),
+        "mention_count", F.array_join("aliases", "|").alias("aliases"), "alias_count", F.element_at("mentions", 1)["document_id"].alias("first_document"),
     ),
+    "entity_mentions": lambda s, d: ro.entity_mentions(part_entities(s, d)),
     "fact_rows": lambda s, d: _fact_rows(s, d).select("fact_id", "subject", "predicate", "object", "source_content_hash"),
     "fact_trust_split": lambda s, d: ro.fact_trust_split(lines_facts(s, d))[0].select("document_id", "predicate", "object", "confidence"),
     "evidence_hints": lambda s, d: ro.fact_trust_split(lines_facts(s, d))[1].select("document_id", "predicate", "object", "confidence"),
@@ -158,7 +160,7 @@ QUERIES = {
         "document_id", "quality_score", "quality_band", F.array_join("warnings", "|").alias("warnings"),
         *[F.col("dimensions")[k].alias(k) for k in ("freshness", "authority", "completeness", "contradiction_penalty")],
     ),
-    "stable_order": lambda s, d: ro.stable_order(documents(s, d).select("space_key", "page_id")).limit(50),
+    "stable_order": lambda s, d: ro.stable_order(documents(s, d).select("space_key", "page_id")),
     "quality_lookup": lambda s, d: rp.quality_lookup(index_rows(s, d), quality_table(s, d)).select("document_id", "quality"),
     "stale_or_deprecated": lambda s, d: rp.stale_or_deprecated(index_rows(s, d), limit=None),
     "missing_owners": lambda s, d: rp.missing_owners(enriched_rule(s, d), limit=None),
@@ -212,10 +214,10 @@ def _roll(name: str, extra: str = "") -> str:
 _PENT = """
 pe AS (SELECT concat('doc:', p_brand, ':', p_partkey % 500) AS document_id, p_brand AS space_key, (p_partkey % 500)::VARCHAR AS page_id,
   (['queue', 'support_group', 'url', 'database', 'ticket', 'technology', 'application'])[p_size % 7 + 1] AS entity_type, p_name AS name,
-  lower(p_name) AS normalized_name, (p_size % 10) / 10.0::DOUBLE AS confidence, concat(p_name, ' ', p_type) AS evidence FROM part),
+  lower(p_name) AS normalized_name, (p_size % 10) / 10.0::DOUBLE AS confidence, concat(p_name, ' ', p_type) AS evidence, p_size, p_brand, p_type FROM part),
 er AS (SELECT entity_type, normalized_name, count(DISTINCT document_id) AS document_count,
   round_even(sum((confidence * 10)::INT) * 10 / count(*), 0) / 100 AS confidence, arg_min(name, (space_key, page_id, name)) AS name,
-  least(count(*), 100) AS mention_count, min(document_id) AS first_document FROM pe GROUP BY ALL)"""
+  count(*) AS mention_count, min(document_id) AS first_document FROM pe GROUP BY ALL)"""
 _TIER = """CASE WHEN entity_type IN ('url', 'contact', 'ticket') THEN 'contact_link_record'
   WHEN confidence >= 0.7 AND document_count >= 2 AND entity_type <> 'technology' THEN 'canonical_candidate' ELSE 'weak_signal' END"""
 
@@ -261,8 +263,8 @@ us AS (SELECT concat('run-', lpad((user_id % 7)::VARCHAR, 2, '0')) AS run_id, us
   (['a', 'b', 'c'])[event_id % 3 + 1] AS provider, (['m1', 'm2'])[event_id % 2 + 1] AS model,
   CASE WHEN event_id % 9 = 0 THEN NULL ELSE floor(value * 100)::INT END AS input_tokens, floor(value * 10)::INT AS output_tokens,
   event_id % 4 = 0 AS cached, event_id % 3 AS retries FROM events),
-rt AS (SELECT (['a:m1', 'm2', 'b'])[s_suppkey + 1] AS key, round(s_acctbal / 100000, 6) AS ri,
-  CASE WHEN s_suppkey = 2 THEN NULL ELSE round(s_acctbal / 50000, 6) END AS ro FROM supplier WHERE s_suppkey < 3),
+rt AS (SELECT CASE WHEN s_suppkey < 3 THEN (['a:m1', 'm2', 'b'])[s_suppkey + 1] ELSE concat('other-', s_suppkey) END AS key, round(s_acctbal / 100000, 6) AS ri,
+  CASE WHEN s_suppkey = 2 THEN NULL ELSE round(s_acctbal / 50000, 6) END AS ro FROM supplier),
 uc AS (SELECT us.*, CASE WHEN a.key IS NOT NULL THEN a.ri WHEN b.key IS NOT NULL THEN b.ri ELSE c.ri END AS ri,
   CASE WHEN a.key IS NOT NULL THEN a.ro WHEN b.key IS NOT NULL THEN b.ro ELSE c.ro END AS ro FROM us
   LEFT JOIN rt a ON a.key = concat(provider, ':', model) LEFT JOIN rt b ON b.key = model LEFT JOIN rt c ON c.key = provider),
@@ -282,8 +284,11 @@ SQL = {
         _roll("concept", ", concat('Deterministic concept extracted from headings or keywords: ', disp) AS description"),
         KW, classify_ctes("corpus"), KWDOC, taxonomy_ctes("kdoc", "document_id", _CO, "tt"),
     ),
-    "entity_rollup": f"""WITH {_PENT} SELECT concat('candidate:', entity_type, ':', replace(normalized_name, ' ', '-')) AS entity_id, name, normalized_name,
-        entity_type, document_count, confidence, 'deterministic' AS method, mention_count, first_document FROM er""",
+    "entity_mentions": f"""WITH {_PENT} SELECT entity_type, normalized_name, document_id, 'title' AS source_field, evidence FROM pe""",
+    "entity_rollup": f"""WITH {_PENT}, al AS (SELECT entity_type, normalized_name, list_sort(list(DISTINCT a)) AS l FROM (SELECT entity_type, normalized_name,
+        unnest(CASE WHEN p_size % 3 = 0 THEN [concat('aka ', p_brand), concat('aka ', p_type)] ELSE [] END) AS a FROM pe) GROUP BY ALL) SELECT concat('candidate:', entity_type, ':', replace(normalized_name, ' ', '-')) AS entity_id, name, normalized_name,
+        entity_type, document_count, confidence, 'deterministic' AS method, mention_count, first_document,
+        coalesce(array_to_string(l[1:100], '|'), '') AS aliases, coalesce(len(l), 0) AS alias_count FROM er LEFT JOIN al USING (entity_type, normalized_name)""",
     "fact_rows": with_corpus(
         """SELECT concat('fact:', space_key, ':', page_id, ':', ordinal) AS fact_id, subject, predicate, object, source_content_hash
         FROM fact JOIN corpus USING (document_id)""", KW, ENT, FACT,
@@ -307,7 +312,7 @@ SQL = {
         ELSE 'poor' END AS quality_band, {J('warnings')} AS warnings, fr AS freshness, au1 AS authority, co2 AS completeness, cr AS contradiction_penalty
         FROM warn""", *SCORE_CTES, ADJ, ATT_LINKS, WARN,
     ),
-    "stable_order": with_corpus("SELECT space_key, page_id FROM base ORDER BY space_key, page_id LIMIT 50"),
+    "stable_order": with_corpus("SELECT space_key, page_id FROM base ORDER BY space_key, page_id"),
     "quality_lookup": with_corpus(
         "SELECT document_id, coalesce(quality_score, 0) AS quality FROM idx LEFT JOIN (SELECT document_id, quality_score FROM qlt) USING (document_id)",
         index_sql(), QUALITY_SQL,
@@ -365,7 +370,7 @@ SQL = {
     "noisy_union_low_confidence": f"""WITH {_PENT}, et AS (SELECT *, {_TIER} AS tier FROM er), nu AS (
         SELECT tier, entity_type, name, document_count, confidence FROM et WHERE entity_type IN ('url', 'contact', 'ticket')
         UNION ALL SELECT tier, entity_type, name, document_count, confidence FROM et WHERE confidence < 0.5)
-        SELECT * FROM nu ORDER BY entity_type, name LIMIT 100""",
+        SELECT * FROM nu ORDER BY entity_type, name""",
     "fact_quality": with_corpus(
         """SELECT 'total' AS measure, 'facts' AS key, count(*) AS facts FROM fact UNION ALL SELECT 'total', CASE WHEN confidence >= 0.7 THEN 'usable' ELSE
         'hints' END, count(*) FROM fact GROUP BY 2 UNION ALL SELECT 'claim_type', claim_type, count(*) FROM fact GROUP BY 2
@@ -379,11 +384,11 @@ SQL = {
         CASE WHEN count(cost) > 0 THEN 'configured' ELSE 'not configured' END AS cost_status FROM ud GROUP BY ALL""",
     "cost_rates": f"WITH {USE} SELECT provider, model, count(cost) AS priced, round(max(cost), 8) AS dearest FROM ud GROUP BY ALL",
     "failure_summary": f"""WITH {FAIL} SELECT stage, error_type, count(*) AS failures FROM fl GROUP BY ALL
-        ORDER BY failures DESC, stage, error_type LIMIT 20""",
-    "task_failures": """SELECT 's' AS space_key, (user_id % 50)::VARCHAR AS page_id, concat('Page ', user_id % 50) AS title,
+        ORDER BY failures DESC, stage, error_type""",
+    "task_failures": """SELECT 's' AS space_key, user_id::VARCHAR AS page_id, concat('Page ', user_id) AS title,
         CASE WHEN event_id % 2 = 0 THEN 'themes' WHEN event_id % 5 = 0 THEN 'unknown' ELSE 'llm' END AS task,
         CASE WHEN event_id % 3 = 0 THEN 'unknown' ELSE 'p' END AS provider, 'unknown' AS model, 'v1' AS prompt_version,
-        concat('E', event_id % 4) AS error_type, substr(repeat(concat(event_id, ' '), 100), 1, 300) AS message,
+        concat('E', event_id % 4) AS error_type, repeat(concat(event_id, ' '), 100) AS message,
         'deterministic_fallback_retained' AS fallback FROM events WHERE event_type = 'error'""",
     "failures_without_document": with_corpus(
         "SELECT * FROM fl WHERE page_id NOT IN (SELECT page_id FROM idx)", index_sql(), FAIL
@@ -406,15 +411,15 @@ SQL = {
         greatest((SELECT count(*) FROM base) - (SELECT count(*) FROM ar), 0) AS pages_without_artifacts""", ART,
     ),
     "visual_capped": f"""WITH {ART} SELECT space_key, page_id, discovered, image_count AS processed, discovered - image_count AS omitted FROM ar
-        WHERE discovered > image_count ORDER BY omitted DESC, space_key, page_id LIMIT 100""",
+        WHERE discovered > image_count ORDER BY omitted DESC, space_key, page_id""",
     "visual_failed": f"""WITH {ART} SELECT space_key, page_id, image_id, coalesce(error_type, 'unknown') AS error_type, source_kind, source FROM im
-        WHERE status = 'failed' ORDER BY space_key, page_id, image_id LIMIT 200""",
+        WHERE status = 'failed' ORDER BY space_key, page_id, image_id""",
     "visual_low_confidence": f"""WITH {ART} SELECT confidence, space_key, page_id, image_id, source_kind, source FROM im
-        WHERE status = 'success' AND confidence < 0.75 ORDER BY confidence, space_key, page_id, pos LIMIT 200""",
+        WHERE status = 'success' AND confidence < 0.75 ORDER BY confidence, space_key, page_id, pos""",
     "visual_high_value_omitted": with_corpus(
         """SELECT prio AS priority, ar.space_key, page_id, document_type, coalesce(document_subtype, '') AS document_subtype, quality, discovered,
         image_count AS processed, discovered - image_count AS omitted, title, url FROM ar JOIN pr USING (page_id) WHERE discovered > image_count
-        AND (prio >= 80 OR document_type IN ('runbook', 'support_model')) ORDER BY prio DESC, omitted DESC, ar.space_key, page_id LIMIT 100""",
+        AND (prio >= 80 OR document_type IN ('runbook', 'support_model')) ORDER BY prio DESC, omitted DESC, ar.space_key, page_id""",
         index_sql(), QUALITY_SQL, PEN, ART,
     ),
     "page_visual_status": f"""WITH {ART}, ps AS (SELECT concat(space_key, ':', page_id) AS document_id, count(*) AS image_count, count(*) FILTER (status = 'success')

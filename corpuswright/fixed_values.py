@@ -5,10 +5,10 @@ e-mail domains, product families) belong to the caller and are not listed here.
 """
 
 # ---- fixed values: words that carry no topic -------------------------------------------------
-STOPWORDS = (
-    "about after also and are both but can for from has have how into its not of on or page "
-    "please should source that the this to with you"
-).split()
+STOPWORDS = [
+    "about", "after", "also", "and", "are", "both", "but", "can", "for", "from", "has", "have", "how", "into", "its", "not", "of",
+    "on", "or", "page", "please", "should", "source", "that", "the", "this", "to", "with", "you",
+]
 
 GENERIC_ENTITY_TERMS = [
     "access", "analysis", "api", "business", "business document", "business documents", "capacity",
@@ -26,7 +26,7 @@ GENERIC_TAXONOMY_TERMS = GENERIC_ENTITY_TERMS + [
 NOISY_TAXONOMY_FRAGMENTS = ["viewpage action", "pageid"]
 SHORT_TERMS_KEPT = ["dev", "qa", "ppe", "prod", "k6", "uat", "dr"]
 SINGLE_WORDS_KEPT = [
-    "datadog", "dev", "dr", "entitlements", "gitlab", "k6", "leanix", "ppe", "prod", "qa", "uat",
+    "dev", "dr", "ppe", "prod", "qa", "uat",
 ]
 
 # ---- fixed values: document types ------------------------------------------------------------
@@ -73,7 +73,7 @@ TITLE_OVERRIDES = [
     ("title", ["operational log", "activity log"], "any", "reference", 0.82),
     ("title", ["open questions", "questions log"], "any", "reference", 0.9),
     ("title", ["scenario catalog"], "any", "reference", 0.9),
-    ("pattern", [r"choosing an entra integration path|^tier [123]:"], "any", "onboarding", 0.88),
+    ("pattern", [r"^tier [123]:"], "any", "onboarding", 0.88),
     ("pattern", [r"monitor\z|provisioning and deprovisioning monitor"], "any", "reference", 0.85),
 ]
 
@@ -98,7 +98,7 @@ SUBTYPE_TERMS = {
     "integration_path": ["integration path", "tier 1:", "tier 2:", "tier 3:"],
     "question_log": ["open questions", "questions log", "question log"],
     "scenario_catalog": ["scenario catalog"],
-    "decision_guide": ["choosing an entra integration path", "decision framework"],
+    "decision_guide": ["decision framework"],
     "rollback_procedure": ["rollback procedure", "rollback procedures"],
     "failover_procedure": ["failover"],
     "installation_guide": ["installation guide"],
@@ -323,7 +323,6 @@ NON_PROCEDURAL_TERMS = [
     "quiet running report", "performance test", "load testing result", "database information",
 ]
 EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"
-PERSON_ID = r"\bGE(?:DTC|US\d*)?-[A-Z0-9]{4,}\b"
 LOG_LINK_TERMS = ["datadog", "cloudwatch", "log explorer"]
 CUSTOMER_CASE_TERMS = ["customer case", "customer support", "client", "user portfolio"]
 DRAFT_TITLE = r"(?:^|[\[{(\s])draft(?:[\]}):\s]|$)"

@@ -19,8 +19,11 @@ def _sorted_set(*flags: Column) -> Column:
     return F.array_sort(F.array_distinct(F.array_compact(F.array(*flags))))
 
 
-def sensitivity_flags(df: DataFrame, *, inside_domains=(), case_terms=None) -> DataFrame:
-    """Add ``sensitivity_flags``: e-mails, outside e-mails, person ids, log links, customer cases."""
+def sensitivity_flags(df: DataFrame, *, inside_domains=(), case_terms=None, person_id: str | None = None) -> DataFrame:
+    """Add ``sensitivity_flags``: e-mails, outside e-mails, person ids, log links, customer cases.
+
+    ``person_id`` is the pattern of the caller's person numbers; without it there are none.
+    """
     case_terms = fv.CUSTOMER_CASE_TERMS if case_terms is None else case_terms
     hrefs = F.array_join(F.transform("links", lambda l: F.coalesce(l["href"], F.lit(""))), " ")
     said = F.concat_ws("\n", F.col("title"), F.array_join("labels", " "), F.col("text"), hrefs)
@@ -37,7 +40,7 @@ def sensitivity_flags(df: DataFrame, *, inside_domains=(), case_terms=None) -> D
         .withColumns(
             {
                 "_mails": F.regexp_extract_all("_said", F.lit(fv.EMAIL), 0),
-                "_person": F.col("_said").rlike(fv.PERSON_ID),
+                "_person": F.lit(False) if person_id is None else F.col("_said").rlike(person_id),
                 "_low": F.lower("_said"),
             }
         )

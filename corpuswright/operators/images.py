@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from corpuswright import fixed_values as fv
 from corpuswright.functions import text as tx
 from corpuswright.operators.hierarchy import ancestor_titles
-from corpuswright.session import cut_lineage, salted_join
+from corpuswright.session import broadcast_if_small, cut_lineage, salted_join
 
 IMAGE_REF = r"!\[[^\]]*\]\(([^)\s]+)(?:\s+\"[^\"]*\")?\)"
 PAGE_FILE_URL = r"(?:^|/)download/attachments/(\d+)/([^/?#]+)"
@@ -292,7 +292,9 @@ def _jpeg_size(content: bytes | None):
     at, end = 2, len(content)
     while at + 9 < end:
         if content[at] != 0xFF:
-            at += 1
+            at = content.find(b"\xff", at)
+            if at < 0:
+                return None
             continue
         marker = content[at + 1]
         at += 2
@@ -397,25 +399,43 @@ def extract_images(
     Remote sources are skipped, unreadable ones fail, low-value ones are skipped, known hashes are
     reused. ``predict`` sees every remaining distinct hash once, in batches
     (``content_sha256, content, mime_type, source`` in; ``content_sha256, ocr_text, caption,
-    confidence, error_type`` out). An empty answer is a failure.
+    confidence, error_type`` out). An empty answer is a failure, and so is an image for which ``predict`` raises: a
+    batch that raises is halved until the images it refuses are found. Bytes are read again for one owner of
+    each hash that is not in the cache; a counted list of at most 200,000 owners goes to the scan.
     """
     remote = F.col("source_kind") == "url"
     low = F.col("low_value_reason").isNotNull()
     place = F.struct("space_key", "page_id", "image_id")
-    # bytes are read twice and shuffled once, reduced to one copy per hash inside each task
     slim = cut_lineage(profiled.drop("content"))
+    new = slim.where(~remote & F.col("content_sha256").isNotNull() & ~low).join(cache.select("content_sha256"), "content_sha256", "left_anti")
+    owners = cut_lineage(new.groupBy("content_sha256").agg(F.min(place).alias("owner")))
+    wanted = owners.select("content_sha256", "owner.*")
     distinct = (
-        profiled.where(~remote & F.col("content").isNotNull() & ~low)
+        profiled.where(F.col("content").isNotNull())
+        .join(broadcast_if_small(wanted, max_rows=200_000), wanted.columns, "left_semi")
         .groupBy("content_sha256")
         .agg(F.min_by(F.struct("content", "mime_type", "source"), place).alias("x"))
-        .join(cache.select("content_sha256"), "content_sha256", "left_anti")
         .select("content_sha256", "x.*")
     )
+    names = ["content_sha256", "ocr_text", "caption", "confidence", "error_type"]
+
+    def asked(batch: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return predict(batch)[names]
+        except Exception as problem:  # one refused image must not cost the others their answer
+            if len(batch) > 1:
+                half = len(batch) // 2
+                return pd.concat([asked(batch.iloc[:half]), asked(batch.iloc[half:])], ignore_index=True)
+            return pd.DataFrame({"content_sha256": batch["content_sha256"], "error_type": type(problem).__name__}).reindex(columns=names)
 
     def run(batches):
         for batch in batches:
-            told = predict(batch[["content_sha256", "content", "mime_type", "source"]])
-            yield told[["content_sha256", "ocr_text", "caption", "confidence", "error_type"]]
+            if len(batch):
+                told = asked(batch[["content_sha256", "content", "mime_type", "source"]])
+                for name in ("ocr_text", "caption", "error_type"):
+                    told[name] = told[name].astype("object").where(told[name].notna(), None)
+                told["confidence"] = pd.to_numeric(told["confidence"])
+                yield told
 
     answered = distinct.mapInPandas(run, "content_sha256 string, " + ANSWER)
     fresh = answered.select(
@@ -427,11 +447,6 @@ def extract_images(
     )
     # model calls are never repeated by a later recomputation
     fresh = cut_lineage(fresh)
-    owners = (
-        slim.where(~remote & F.col("content_sha256").isNotNull() & ~low)
-        .groupBy("content_sha256")
-        .agg(F.min(place).alias("owner"))
-    )
     known = image_cache_join(slim, cache)
     joined = salted_join(
         known, fresh.join(owners, "content_sha256"), "content_sha256", by=["document_id", "source"]

@@ -18,26 +18,31 @@ def _has(column: str, *flags: str) -> Column:
     return F.arrays_overlap(column, F.array(*[F.lit(f) for f in flags]))
 
 
+def _top(rows: DataFrame, limit: int | None) -> DataFrame:
+    """The first ``limit`` rows of an ordered frame, or all of them."""
+    return rows if limit is None else rows.limit(limit)
+
+
 def quality_lookup(index: DataFrame, quality: DataFrame) -> DataFrame:
     """Index rows with ``quality`` (0 when a document has no score)."""
     scores = quality.select("document_id", F.col("quality_score").alias("quality"))
     return index.join(scores, "document_id", "left").withColumn("quality", F.coalesce("quality", F.lit(0)))
 
 
-def stale_or_deprecated(index: DataFrame, *, limit: int | None = 200) -> DataFrame:
+def stale_or_deprecated(index: DataFrame, *, limit: int | None = None) -> DataFrame:
     rows = index.where(_has("status_flags", "stale", "deprecated", "archived")).orderBy(*PLACE).select(
         *PLACE, "title", "status_flags", "url"
     )
-    return rows if limit is None else rows.limit(limit)
+    return _top(rows, limit)
 
 
-def missing_owners(enriched: DataFrame, *, limit: int | None = 200) -> DataFrame:
+def missing_owners(enriched: DataFrame, *, limit: int | None = None) -> DataFrame:
     rows = (
         enriched.where(~F.col("signals.has_owner") & (F.col("quality.overall_score") >= 50))
         .orderBy(*PLACE)
         .select(*PLACE, "document_type", "title")
     )
-    return rows if limit is None else rows.limit(limit)
+    return _top(rows, limit)
 
 
 def corpus_summary(index: DataFrame, quality: DataFrame) -> DataFrame:
@@ -61,7 +66,7 @@ def availability_counts(index: DataFrame) -> DataFrame:
     return index.groupBy("content_availability").agg(F.count(F.lit(1)).alias("documents"))
 
 
-def subtree_value(enriched: DataFrame, *, limit: int = 100) -> DataFrame:
+def subtree_value(enriched: DataFrame, *, limit: int | None = 100) -> DataFrame:
     """Sections (parent title, else root title) by mean quality and size."""
     section = F.coalesce(
         F.nullif("parent_title", F.lit("")), F.nullif("root_title", F.lit("")), F.lit("unknown")
@@ -73,7 +78,7 @@ def subtree_value(enriched: DataFrame, *, limit: int = 100) -> DataFrame:
         F.array_join(F.slice(F.array_sort(F.collect_set("page_role")), 1, 8), ", ").alias("roles"),
         F.min(F.struct(*PLACE)).alias("_first"),
     )
-    return grouped.orderBy(F.desc("average_quality"), F.desc("pages"), "_first").limit(limit).drop("_first")
+    return grouped.orderBy(F.desc("average_quality"), F.desc("pages"), "_first").transform(_top, limit).drop("_first")
 
 
 # ---- ranked review tables --------------------------------------------------------------------
@@ -115,11 +120,11 @@ def review_reasons() -> Column:
     return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("candidate_canonical_source")))
 
 
-def high_value_sources(index: DataFrame, quality: DataFrame, *, limit: int = 100) -> DataFrame:
+def high_value_sources(index: DataFrame, quality: DataFrame, *, limit: int | None = 100) -> DataFrame:
     rows = quality_lookup(index, quality).withColumn("priority", F.col("quality") - review_penalty())
     return (
         rows.orderBy(F.desc("priority"), F.desc("outbound_link_count"), F.desc("word_count"), *PLACE)
-        .limit(limit)
+        .transform(_top, limit)
         .select(
             *PLACE, "quality", "priority", "document_type",
             F.array_join(review_reasons(), ", ").alias("reason"), "title", "url",
@@ -142,7 +147,7 @@ def review_priority() -> Column:
     )
 
 
-def review_queue(index: DataFrame, quality: DataFrame, *, limit: int = 200) -> DataFrame:
+def review_queue(index: DataFrame, quality: DataFrame, *, limit: int | None = 200) -> DataFrame:
     rows = quality_lookup(index, quality).withColumn("priority", review_priority())
     manual = _has("review_flags", "manual_review_required")
     reasons = F.array_distinct(
@@ -161,7 +166,7 @@ def review_queue(index: DataFrame, quality: DataFrame, *, limit: int = 200) -> D
     return (
         rows.where((F.col("priority") >= 40) | manual)
         .orderBy(F.desc("priority"), *PLACE)
-        .limit(limit)
+        .transform(_top, limit)
         .select(
             "priority", *PLACE, "document_type", F.coalesce("document_subtype", F.lit("")).alias("document_subtype"),
             "quality", F.array_join(reasons, ", ").alias("reasons"), "title", "url",
@@ -169,11 +174,11 @@ def review_queue(index: DataFrame, quality: DataFrame, *, limit: int = 200) -> D
     )
 
 
-def attachment_followups(index: DataFrame, *, limit: int = 200) -> DataFrame:
+def attachment_followups(index: DataFrame, *, limit: int | None = 200) -> DataFrame:
     return (
         index.where("attachment_count > 0")
         .orderBy(F.desc("attachment_count"), *PLACE)
-        .limit(limit)
+        .transform(_top, limit)
         .select(*PLACE, "attachment_count", "title", "url")
     )
 
@@ -190,7 +195,7 @@ def risk_score() -> Column:
     )
 
 
-def export_risk(index: DataFrame, *, limit: int | None = 200) -> DataFrame:
+def export_risk(index: DataFrame, *, limit: int | None = None) -> DataFrame:
     reasons = F.concat(
         F.array_compact(
             F.array(
@@ -206,7 +211,7 @@ def export_risk(index: DataFrame, *, limit: int | None = 200) -> DataFrame:
         .orderBy(F.desc("risk"), *PLACE)
         .select(*PLACE, "risk", "audience", "sensitivity", F.array_join(reasons, ", ").alias("reasons"), "title", "url")
     )
-    return rows if limit is None else rows.limit(limit)
+    return _top(rows, limit)
 
 
 def risk_gate(index: DataFrame, *, threshold: int | None, action: str = "warn") -> DataFrame:
@@ -277,16 +282,16 @@ def entity_quality(entities: DataFrame) -> DataFrame:
     return keyed.groupBy("k.measure", "k.key").agg(F.count(F.lit(1)).alias("entities"))
 
 
-def noisy_union_low_confidence(entities: DataFrame, *, limit: int = 100) -> DataFrame:
+def noisy_union_low_confidence(entities: DataFrame, *, limit: int | None = None) -> DataFrame:
     """Link-like entities and low-confidence ones; an entity that is both is listed twice."""
     cols = [entity_tier().alias("tier"), "entity_type", "name", "document_count", "confidence"]
     noisy = entities.where(F.col("entity_type").isin(LINK_TYPES)).select(*cols)
     weak = entities.where("confidence < 0.5").select(*cols)
-    return noisy.unionByName(weak).orderBy("entity_type", "name").limit(limit)
+    return noisy.unionByName(weak).orderBy("entity_type", "name").transform(_top, limit)
 
 
-def fact_quality(facts: DataFrame, *, predicates: int = 50) -> DataFrame:
-    """(measure, key, facts): totals, claim types, most frequent predicates."""
+def fact_quality(facts: DataFrame, *, predicates: int | None = None) -> DataFrame:
+    """(measure, key, facts): totals, claim types, predicates (the ``predicates`` most frequent if given)."""
     keyed = facts.select(
         F.explode(
             F.array(
@@ -301,7 +306,7 @@ def fact_quality(facts: DataFrame, *, predicates: int = 50) -> DataFrame:
         ).alias("k")
     )
     counts = keyed.groupBy("k.measure", "k.key").agg(F.count(F.lit(1)).alias("facts"))
-    top = counts.where("measure = 'predicate'").orderBy(F.desc("facts"), "key").limit(predicates)
+    top = counts.where("measure = 'predicate'").orderBy(F.desc("facts"), "key").transform(_top, predicates)
     return counts.where("measure <> 'predicate'").unionByName(top)
 
 
@@ -333,16 +338,16 @@ def usage_report(usage: DataFrame) -> DataFrame:
     )
 
 
-def failure_summary(failures: DataFrame, *, limit: int = 20) -> DataFrame:
+def failure_summary(failures: DataFrame, *, limit: int | None = None) -> DataFrame:
     return (
         failures.groupBy("stage", "error_type")
         .agg(F.count(F.lit(1)).alias("failures"))
         .orderBy(F.desc("failures"), "stage", "error_type")
-        .limit(limit)
+        .transform(_top, limit)
     )
 
 
-def task_failures(enriched: DataFrame) -> DataFrame:
+def task_failures(enriched: DataFrame, *, max_message: int | None = None) -> DataFrame:
     """One row per failure kept inside an enrichment, with defaults for what it lacks."""
     rows = enriched.select(*PLACE, "title", F.explode("failures").alias("f"))
     context = F.col("f.error_context")
@@ -357,7 +362,7 @@ def task_failures(enriched: DataFrame) -> DataFrame:
         said(context["model"]).alias("model"),
         said(context["prompt_version"]).alias("prompt_version"),
         said(F.col("f.error_type")).alias("error_type"),
-        F.substring(F.coalesce("f.message", F.lit("")), 1, 300).alias("message"),
+        tx.head(F.coalesce("f.message", F.lit("")), max_message).alias("message"),
         F.lit("deterministic_fallback_retained").alias("fallback"),
     )
 
@@ -461,7 +466,7 @@ def _processed() -> Column:
     return F.when(F.col("image_count") > 0, F.col("image_count")).otherwise(F.size("images"))
 
 
-def visual_capped(artifacts: DataFrame, *, limit: int | None = 100) -> DataFrame:
+def visual_capped(artifacts: DataFrame, *, limit: int | None = None) -> DataFrame:
     rows = (
         artifacts.withColumn("processed", _processed())
         .withColumn("omitted", F.greatest(F.col("discovered") - F.col("processed"), F.lit(0)))
@@ -469,31 +474,31 @@ def visual_capped(artifacts: DataFrame, *, limit: int | None = 100) -> DataFrame
         .orderBy(F.desc("omitted"), *PLACE)
         .select(*PLACE, "discovered", "processed", "omitted")
     )
-    return rows if limit is None else rows.limit(limit)
+    return _top(rows, limit)
 
 
-def visual_failed(artifacts: DataFrame, *, limit: int = 200) -> DataFrame:
+def visual_failed(artifacts: DataFrame, *, limit: int | None = None) -> DataFrame:
     return (
         visual_images(artifacts)
         .where("status = 'failed'")
         .orderBy(*PLACE, "image_id")
-        .limit(limit)
+        .transform(_top, limit)
         .select(*PLACE, "image_id", F.coalesce("error_type", F.lit("unknown")).alias("error_type"), "source_kind", "source")
     )
 
 
-def visual_low_confidence(artifacts: DataFrame, *, threshold: float = 0.75, limit: int = 200) -> DataFrame:
+def visual_low_confidence(artifacts: DataFrame, *, threshold: float = 0.75, limit: int | None = None) -> DataFrame:
     return (
         visual_images(artifacts)
         .where((F.col("status") == "success") & (F.col("confidence") < threshold))
         .orderBy("confidence", *PLACE, "pos")
-        .limit(limit)
+        .transform(_top, limit)
         .select("confidence", *PLACE, "image_id", "source_kind", "source")
     )
 
 
 def visual_high_value_omitted(
-    artifacts: DataFrame, index: DataFrame, quality: DataFrame, *, limit: int = 100
+    artifacts: DataFrame, index: DataFrame, quality: DataFrame, *, limit: int | None = None
 ) -> DataFrame:
     """Capped pages that matter: high review priority, or a runbook or support model."""
     capped = visual_capped(artifacts, limit=None)
@@ -502,7 +507,7 @@ def visual_high_value_omitted(
         capped.join(ranked.drop("space_key"), "page_id")
         .where((F.col("priority") >= 80) | F.col("document_type").isin("runbook", "support_model"))
         .orderBy(F.desc("priority"), F.desc("omitted"), *PLACE)
-        .limit(limit)
+        .transform(_top, limit)
         .select(
             "priority", *PLACE, "document_type", F.coalesce("document_subtype", F.lit("")).alias("document_subtype"),
             "quality", "discovered", "processed", "omitted", "title", "url",

@@ -66,11 +66,12 @@ def concept_rollup(docs: DataFrame, **options) -> DataFrame:
     )
 
 
-def entity_rollup(entities: DataFrame, docs: DataFrame, *, mentions: int = 100) -> DataFrame:
+def entity_rollup(entities: DataFrame, docs: DataFrame, *, mentions: int = 100, aliases: int = 100) -> DataFrame:
     """One row per (type, normalised name) with distinct documents, mean confidence, first name.
 
-    Of the mentions the first ``mentions`` in (document, field, evidence) order are kept; the rank
-    limit is applied in every map task first, so a frequent entity does not reach one task whole.
+    The row shows samples: the first ``mentions`` in (document, field, evidence) order, with ``mention_count`` of all, and
+    the first ``aliases`` names by alphabet, with ``alias_count`` of all. The rank limits are applied in every map
+    task first, so a frequent entity does not reach one task whole; ``entity_mentions`` has every mention as a row.
     """
     keys = ["entity_type", "normalized_name"]
     placed = entities.withColumn(
@@ -101,10 +102,29 @@ def entity_rollup(entities: DataFrame, docs: DataFrame, *, mentions: int = 100)
             ).alias("mentions")
         )
     )
-    return groups.join(head, keys, "left").select(
+    said = entities if "aliases" in entities.columns else entities.withColumn("aliases", F.array().cast("array<string>"))
+    typed = said.withColumn("entity_type", normalize_entity_type(F.col("entity_type"), F.col("name")))
+    also = typed.select(*keys, F.explode("aliases").alias("alias")).select(*keys, tx.strip(F.col("alias")).alias("alias"))
+    also = also.where("alias <> ''").distinct()
+    counted = also.groupBy(*keys).agg(F.count(F.lit(1)).alias("alias_count"))
+    by_name = Window.partitionBy(*keys).orderBy("alias")
+    known = also.withColumn("rn", F.row_number().over(by_name)).where(F.col("rn") <= aliases)
+    known = known.groupBy(*keys).agg(F.array_sort(F.collect_list("alias")).alias("aliases"))
+    total = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("mention_count"))
+    full = groups.join(head, keys, "left").join(total, keys, "left").join(known, keys, "left").join(counted, keys, "left")
+    return full.select(
         F.concat(F.lit("candidate:"), "entity_type", F.lit(":"), tx.slugify(F.col("normalized_name"), 120)).alias("entity_id"),
         F.col("first.name").alias("name"), "normalized_name", "entity_type", "document_count", "confidence",
-        F.col("first.method").alias("method"), "mentions",
+        F.col("first.method").alias("method"), "mentions", F.coalesce("mention_count", F.lit(0)).alias("mention_count"),
+        tx.coalesce_array(F.col("aliases")).alias("aliases"), F.coalesce("alias_count", F.lit(0)).alias("alias_count"),
+    )
+
+
+def entity_mentions(entities: DataFrame) -> DataFrame:
+    """(entity_type, normalized_name, document_id, source_field, evidence): every mention of every entity."""
+    typed = entities.withColumn("entity_type", normalize_entity_type(F.col("entity_type"), F.col("name")))
+    return typed.select("entity_type", "normalized_name", "document_id", F.explode("mentions").alias("m")).select(
+        "entity_type", "normalized_name", "document_id", "m.source_field", "m.evidence"
     )
 
 

@@ -176,8 +176,9 @@ def validation_summary(manifest: DataFrame, issues: DataFrame, errors: DataFrame
     )
 
 
-def validation_report(issues: DataFrame, *, limit: int = 200) -> DataFrame:
-    return issues.orderBy("level", "code", "page_id", "path").limit(limit)
+def validation_report(issues: DataFrame, *, limit: int | None = None) -> DataFrame:
+    rows = issues.orderBy("level", "code", "page_id", "path")
+    return rows if limit is None else rows.limit(limit)
 
 
 def assemble_pages(manifest: DataFrame, *parts: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ class Enriched:
     facts: DataFrame
 
 
-def page_features(pages: DataFrame, as_of, *, inside_domains=()) -> DataFrame:
+def page_features(pages: DataFrame, as_of, *, inside_domains=(), person_id: str | None = None) -> DataFrame:
     """All columns one row yields on its own; ``pages`` needs the columns of ``schemas.PAGES``."""
     df = pr.content_availability(pr.text_stats(fl.attachment_gap(pages)))
     df = cl.document_subtypes(cl.classify_documents(df))
@@ -46,18 +46,18 @@ def page_features(pages: DataFrame, as_of, *, inside_domains=()) -> DataFrame:
     historical, state = cl.currentness(df, as_of)
     df = df.withColumns({"historical": historical, "currentness": state})
     df = ex.opening_text(sc.procedure_features(sc.quality_scores(df, as_of)))
-    df = fl.trust_flags(fl.sensitivity_flags(df, inside_domains=inside_domains), as_of)
+    df = fl.trust_flags(fl.sensitivity_flags(df, inside_domains=inside_domains, person_id=person_id), as_of)
     return fl.review_flags_union(fl.usability_flags(fl.missing_content_flags(df)))
 
 
-def enrich(pages: DataFrame, as_of, *, inside_domains=(), with_facts: bool = True) -> Enriched:
+def enrich(pages: DataFrame, as_of, *, inside_domains=(), person_id: str | None = None, with_facts: bool = True) -> Enriched:
     visual = {
         name: F.lit(None).cast(kind)
         for name, kind in (("visual_status", "string"), ("images_succeeded", "int"))
         if name not in pages.columns
     }
     pages = pages.withColumns(visual) if visual else pages
-    slim = cut_lineage(page_features(pages, as_of, inside_domains=inside_domains).drop(*HEAVY))
+    slim = cut_lineage(page_features(pages, as_of, inside_domains=inside_domains, person_id=person_id).drop(*HEAVY))
     placed = hi.hierarchy_context(slim, hi.hierarchy_counts(pages))
     scored = sc.quality_warnings(sc.quality_adjust(placed))
     terms = cut_lineage(ex.keywords(pages))

@@ -1,4 +1,4 @@
-"""Session helpers: lineage cuts, spreading small scans, size-checked broadcasts."""
+"""Session helpers: lineage cuts and size-checked broadcasts. Both run jobs while a plan is built."""
 
 from __future__ import annotations
 
@@ -15,15 +15,15 @@ _LOCAL: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for cut tables and scratch output.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session (tests, laptop) without
-    that setting falls back to a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``; without that setting a cluster is refused. Only a session
+    whose driver is its one executor (``local``), where a temporary folder is shared by definition, gets one.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:
@@ -54,17 +54,6 @@ def release(*cuts: DataFrame) -> None:
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores when a scan has fewer splits than cores (one small file).
-
-    A large table has more splits than cores, so nothing is shuffled there.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 > cores:
-        return df
-    return df.repartition(cores)
-
-
 def broadcast_if_small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
     """Hint a broadcast only after counting at most ``max_rows + 1`` rows of ``df``."""
     if df.limit(max_rows + 1).count() <= max_rows:
@@ -86,8 +75,11 @@ def salted_join(
     Keys with more than ``hot_rows`` rows on the big side are split into pieces of at most
     ``hot_rows`` rows; the matching small row is copied once per piece. The list of hot keys has
     at most ``count(big) / hot_rows`` entries, which bounds the broadcast. ``by`` names columns that
-    tell rows of a hot key apart; their hash picks the piece, so a repeated task picks the same.
+    tell rows of a hot key apart; their hash picks the piece, so a repeated task picks the same. Rows
+    without a key match nothing; a left join adds them afterwards instead of gathering them in one task.
     """
+    keyless = big.where(F.col(key).isNull())
+    big = big.where(F.col(key).isNotNull())
     pieces = (
         big.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -105,4 +97,5 @@ def salted_join(
         "_salt",
         F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1)),
     )
-    return left.drop("_pieces").join(right.drop("_pieces"), [key, "_salt"], how).drop("_salt")
+    out = left.drop("_pieces").join(right.drop("_pieces"), [key, "_salt"], how).drop("_salt")
+    return out.unionByName(keyless, allowMissingColumns=True) if how == "left" else out
