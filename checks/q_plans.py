@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from checks.corpus import AS_OF, documents, index_rows, index_sql, pages, table, with_corpus
 from checks.q_classify import INSIDE, J
 from checks.q_jobs import scratch
-from checks.q_reports import USE, artifacts, rolled, usage
+from checks.q_reports import USE, artifacts, rates, rolled, usage
 from corpuswright import schemas
 from corpuswright.operators import export as xp
 from corpuswright.operators import inference as nf
 from corpuswright.plans.enrich import enrich
 from corpuswright.plans.export import export
+from corpuswright.plans.infer import infer
 from corpuswright.sources import scan, sinks
 from pyspark.sql import functions as F
 
@@ -127,6 +129,26 @@ def _export_refused(spark, sf):
     return kept.unionByName(done.failures.select("document_id", F.col("error_type").alias("state"))).unionByName(done.skipped.select("document_id", F.lit("not eligible").alias("state")))
 
 
+def _said(batch: pd.DataFrame) -> pd.DataFrame:
+    """Stand-in model: a keyword with the number of the document, and a refusal for every seventeenth."""
+    number = batch["prompt"].str.extract(r'"document_id":"[^"]*:(\d+)"')[0]
+    if (number.astype(int) % 17 == 0).any():
+        raise ValueError("refused")
+    return pd.DataFrame({"cache_key": batch["cache_key"], "text": '{"keywords": ["model term ' + number + '"]}', "answer_model": "m", "input_tokens": 10, "output_tokens": 2})
+
+
+def _inference_job(spark, sf):
+    """Enrichment, then the inference job on its output: calls, failures and merged keywords per page."""
+    rows = pages(spark, sf)
+    items = nf.plan_tasks(["keywords"], provider="a", model="m1", prompt_version="v1")
+    done = infer(enrich(rows, AS_OF, inside_domains=INSIDE, with_facts=False), rows, _said, items=items, as_of=AS_OF, run_id="r", rates=rates(spark, sf), config_hash="c", max_tokens=500, overlap_tokens=50)
+    calls = done.usage.groupBy("document_id").agg(F.count(F.lit(1)).alias("answered"))
+    failed = done.failures.groupBy("document_id").agg(F.count(F.lit(1)).alias("failed"))
+    told = F.array_contains("keywords", F.concat(F.lit("model term "), F.element_at(F.split("document_id", ":"), -1)))
+    found = done.pages.select("document_id", told.alias("told")).join(calls, "document_id", "left").join(failed, "document_id", "left")
+    return found.select("document_id", "told", F.coalesce("answered", F.lit(0)).alias("answered"), F.coalesce("failed", F.lit(0)).alias("failed"))
+
+
 def _enriched(spark, sf):
     return enrich(pages(spark, sf, with_attachments=True), AS_OF, inside_domains=INSIDE, with_facts=False).pages
 
@@ -143,6 +165,7 @@ QUERIES = {
     "key_facts_lines": lambda s, d: xp.key_facts_lines(exportable(s, d)).select("document_id", "key_facts_text"),
     "render_documents": _render,
     "export_job": _export_job,
+    "inference_job": _inference_job,
     "export_refused": _export_refused,
     "refinalize": lambda s, d: nf.refinalize(_enriched(s, d), AS_OF).select(
         "document_id", "document_type", "document_subtype", "quality.overall_score", "quality_band", "currentness", "warnings"
@@ -180,6 +203,10 @@ _SECRET = """sx AS (SELECT idx.*, list_contains(review_flags, 'future_dated') AS
 SQL["export_job"] = with_corpus(
     "SELECT document_id, false AS leaked, pin OR key AS redacted, CASE WHEN pin OR key THEN pin::INT + key::INT END AS kinds FROM sx WHERE NOT out", index_sql(), _SECRET
 )
+SQL["inference_job"] = with_corpus(
+    """SELECT document_id, n % 17 <> 0 AS told, CASE WHEN n % 17 <> 0 THEN cc ELSE 0 END AS answered, CASE WHEN n % 17 = 0 THEN cc ELSE 0 END AS failed FROM
+    (SELECT *, CASE WHEN length(text) <= 2000 THEN 1 ELSE ceil((length(text) - 2000) / 1800)::INT + 1 END AS cc FROM base)"""
+)
 SQL["export_refused"] = with_corpus(
     "SELECT document_id, CASE WHEN out THEN 'not eligible' WHEN pin OR key THEN 'RedactionRefused' ELSE 'exported' END AS state FROM sx", index_sql(), _SECRET
 )

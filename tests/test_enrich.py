@@ -40,7 +40,7 @@ def test_archived_rca(make_pages):
 
 def test_facts_stop_after_the_line_that_reaches_the_limit(make_pages):
     lines = "\n".join(f"Owner: person {i} and check the thing" for i in range(40))
-    facts = ex.candidate_facts(make_pages(dict(text=lines, markdown="x"))).collect()
+    facts = ex.candidate_facts(make_pages(dict(text=lines, markdown="x")), per_document=20).collect()
     # each line gives two facts: the tenth line reaches twenty
     assert len(facts) == 20 and max(f.ordinal for f in facts) == 20
 
