@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,14 +33,41 @@ END_ID = 1
 K1, B = 1.2, 0.75
 
 
+# what the vocabulary's rules cut a plain text into, as Python finds it in lower case: runs of letters, single
+# digits, runs of other signs; a text with any other character, an apostrophe or "<|" is not plain
+_LETTERS = "a-zß-öø-ÿ"
+_SIGNS = r"!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"
+_PARTS = re.compile(rf"[{_LETTERS}]+|[0-9]|[{_SIGNS}]+")
+_NOT_PLAIN = re.compile(rf"[^ \t\n\r0-9A-ZÀ-ÖØ-Þ{_LETTERS}{_SIGNS}]|<\|")
+
+
+class _Recent(dict):
+    """Memory of at most twice ``limit`` entries: what the last ``limit`` new ones and the ones before them are."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit, self.before = make, limit, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.limit:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Encoder:
-    """Token ids of whole texts, piece by piece between blanks, with a bounded memory of pieces.
+    """Token ids of whole texts, with a bounded memory of words.
 
-    The vocabulary's rules never join characters across blanks, so the ids of a text are those of its
-    pieces one after the other.
+    Plain texts are cut into words here, as the vocabulary's rules do it, and each word goes to the byte-pair model
+    once. Other texts go through the whole tokenizer piece by piece between blanks, across which the rules never
+    join characters, so the ids of a text are those of its pieces one after the other.
     """
 
-    def __init__(self, vocabulary: str | None, limit: int = 600_000):
+    def __init__(self, vocabulary: str | None, limit: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -46,20 +75,28 @@ class Encoder:
             import public_tokenizers
 
             vocabulary = public_tokenizers.path("word_bpe_49k.json")
-        self.tokenizer, self.limit, self.known = Tokenizer.from_file(vocabulary), limit, {"": b""}
+        self.tokenizer = Tokenizer.from_file(vocabulary)
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.code = "H" if self.kind.itemsize == 2 else "I"
+        self.model = self.tokenizer.model
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.as_bytes = str.maketrans({chr(c): split(chr(c))[0][0] for c in range(33, 0x100) if _PARTS.fullmatch(chr(c))})
+        self.words = _Recent(self._word, limit)
+        self.pieces = _Recent(self._piece, limit // 10)
+
+    def _word(self, word: str) -> bytes:
+        tokens = self.model.tokenize(word if word.isascii() else word.translate(self.as_bytes))
+        return array(self.code, [t.id for t in tokens]).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.kind).tobytes()
 
     def ids(self, text: str | None) -> np.ndarray:
-        pieces = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known = self.known
-        new = [p for p in set(pieces) if p not in known]
-        if new:
-            if len(known) > self.limit:
-                known.clear()
-                new = list(set(pieces))
-            for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[p] = np.array(e.ids, self.kind).tobytes()
-        return np.frombuffer(b"".join([known[p] for p in pieces]), self.kind)
+        text = text or ""
+        if _NOT_PLAIN.search(text) is None:
+            return np.frombuffer(b"".join(map(self.words.__getitem__, _PARTS.findall(text.lower()))), self.kind)
+        pieces = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, pieces)), self.kind)
 
 
 _ENCODERS: dict[str | None, Encoder] = {}
@@ -108,6 +145,17 @@ def _tails(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(raw), kind), np.array([len(x) // kind.itemsize for x in raw], np.int64)
 
 
+def _distinct(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different pairs (high, low) in order, and how often each occurs. Small numbers share 32 bits, which sort faster."""
+    bits, kind = (16, np.uint32) if max(int(high.max(initial=0)), int(low.max(initial=0))) < 1 << 16 else (32, np.int64)
+    pairs = (high.astype(kind) << kind(bits)) | low.astype(kind)
+    pairs.sort()
+    edges = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if len(pairs) else np.zeros(0, np.int64)
+    counts = np.diff(np.append(edges, len(pairs)))
+    pairs = pairs[edges]
+    return (pairs >> kind(bits)).astype(np.int64), (pairs & kind((1 << bits) - 1)).astype(np.int64), counts
+
+
 def document_frequencies(tails: DataFrame, kind: np.dtype) -> tuple[np.ndarray, int, float]:
     """Tails that hold each token, number of tails, mean length; the driver gets a row per token of the vocabulary."""
 
@@ -115,8 +163,8 @@ def document_frequencies(tails: DataFrame, kind: np.dtype) -> tuple[np.ndarray,
         total = np.zeros(0, np.int64)
         for batch in batches:
             ids, lengths = _tails(batch.column(0), kind)
-            owner = np.repeat(np.arange(len(lengths), dtype=np.int64), lengths)
-            seen = np.bincount(np.unique(owner << 32 | ids.astype(np.int64)) & 0xFFFFFFFF, minlength=len(total))
+            _, token, _ = _distinct(np.repeat(np.arange(len(lengths)), lengths), ids)
+            seen = np.bincount(token, minlength=len(total))
             seen[: len(total)] += total
             total = seen
         token = np.flatnonzero(total)
@@ -155,9 +203,7 @@ class Index:
 
     def __init__(self, ids: np.ndarray, lengths: np.ndarray, df: np.ndarray, n: int, mean: float, query_terms: int):
         self.n, self.lengths = len(lengths), lengths
-        owner = np.repeat(np.arange(self.n, dtype=np.int64), lengths)
-        pairs, tf = np.unique(ids.astype(np.int64) << 32 | owner, return_counts=True)
-        token, tail = pairs >> 32, pairs & 0xFFFFFFFF
+        token, tail, tf = _distinct(ids, np.repeat(np.arange(self.n), lengths))
         idf = np.log(1 + (n - df[token] + 0.5) / (df[token] + 0.5))
         weight = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[tail] / max(mean, 1.0)))
         self.tail, self.weight = tail, weight
@@ -165,7 +211,7 @@ class Index:
         self.first = np.append(edges, len(token))
         number = np.repeat(np.arange(len(edges)), np.diff(self.first))
         # each tail's heaviest tokens are its query
-        order = np.lexsort((number, -weight, tail))
+        order = np.lexsort((-weight, tail))  # stable: ties go to the smaller token
         rank = np.arange(len(order)) - np.concatenate([[0], np.cumsum(np.bincount(tail, minlength=self.n))[:-1]])[tail[order]]
         chosen = order[rank < query_terms]
         self.query = np.split(number[chosen], np.cumsum(np.bincount(tail[chosen], minlength=self.n))[:-1]) if self.n else []
