@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuswright.llm.common import fresh, let
-from corpuswright.session import cut_lineage, release
+from corpuswright.session import broadcast_if_small, cut_lineage, release
 
 KINDS = ["email", "ip", "card", "phone"]  # in this order where two spans start together
 TERM = "term"
@@ -127,17 +127,24 @@ def disclosive_terms(found: DataFrame, docs_text: DataFrame, *, window: int = 60
     often = cut_lineage(different.where(F.col("contexts") >= min_contexts))
     together = pairs.join(often, ["value", "term"]).select("row", "value", "term").distinct().groupBy("value", "term").agg(F.count(F.lit(1)).alias("both"))
     entities = near.join(often.select("value").distinct(), "value").select("row", "value").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("n_value"))
-    wanted = cut_lineage(often.select("term").distinct())
+    total = float(docs_text.count())
+    # documents that hold a word near any entity are some of those that hold it: a bound that spares common words
+    seen = pairs.select("row", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+
+    def disclosure() -> Column:
+        information = -F.log(F.col("n_value") / F.lit(max(total, 1.0)))
+        pmi = F.log(F.col("both") * F.lit(total) / (F.col("n_value") * F.col("n_term")))
+        return F.when(information > 0, pmi / information).otherwise(F.lit(0.0))
+
+    possible = cut_lineage(together.join(entities, "value").join(seen, "term").where(disclosure() > max_disclosure).drop("n_term"))
+    wanted = cut_lineage(possible.select("term").distinct())
     if wanted.isEmpty():
         n_term = wanted.withColumn("n_term", F.lit(0).cast("long"))
     else:
         n_term = docs_text.select(F.explode(_terms(F.col("text"))).alias("term")).join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = float(docs_text.count())
-    information = -F.log(F.col("n_value") / F.lit(max(total, 1.0)))
-    pmi = F.log(F.col("both") * F.lit(total) / (F.col("n_value") * F.col("n_term")))
-    rows = together.join(entities, "value").join(n_term, "term").withColumn("disclosure", F.when(information > 0, pmi / information).otherwise(F.lit(0.0)))
+    rows = possible.join(n_term, "term").withColumn("disclosure", disclosure())
     out = cut_lineage(rows.where(F.col("disclosure") > max_disclosure).select("value", "term", "disclosure"))
-    release(near, often, wanted)
+    release(near, often, possible, wanted)
     return out
 
 
@@ -208,21 +215,22 @@ def sanitise_text(text: Column, spans: Column) -> Column:
 def sanitise(docs: DataFrame, *, text: str = "text", window: int = 60, **limits) -> DataFrame:
     """``docs`` with every personal span and disclosive word of ``text`` replaced; other columns as they are.
 
-    Pattern spans are found again in the scan, so no text is shuffled; the disclosive pairs, a short written
-    list, are joined to the values of a document, and Spark broadcasts the list after measuring it.
+    Pattern spans are found again in the scan, so texts are not shuffled for them; the disclosive words' spans are
+    joined by a digest of the text.
     """
     rows = docs.select(_clean(F.col(text)).alias("text")).withColumn("spans", base_spans(F.col("text")))
     kept = cut_lineage(rows.select(F.monotonically_increasing_id().alias("row"), "spans", "text").where(F.size("spans") > 0))
     terms = disclosive_terms(kept, docs.select(_clean(F.col(text)).alias("text")), window=window, **limits)
-    release(kept)
-    spans, clean, uid, more = fresh(docs, "_spans", "_clean", "_row", "_more")
+    spans, clean, key, more = fresh(docs, "_spans", "_clean", "_key", "_more")
     out = docs.withColumn(clean, _clean(F.col(text))).withColumn(spans, base_spans(F.col(clean)))
     if not terms.isEmpty():
         by_value = cut_lineage(terms.groupBy("value").agg(F.sort_array(F.collect_set("term")).alias("terms")))
-        out = cut_lineage(out.withColumn(uid, F.monotonically_increasing_id()))
-        near = out.where(F.size(spans) > 0).select(F.col(uid).alias("row"), F.col(clean).alias("text"), F.explode(spans).alias("s"))
+        near = kept.withColumn("row", F.md5("text")).select("row", "text", F.explode("spans").alias("s"))
         near = near.withColumn("value", F.lower("s.value")).join(by_value, "value")
-        added = _term_spans(near, window).groupBy("row").agg(F.collect_set("span").alias(more)).withColumnRenamed("row", uid)
-        out = out.join(added, uid, "left").withColumn(spans, F.sort_array(F.concat(spans, F.coalesce(more, F.array().cast(f"array<{SPAN}>")))))
+        # spans follow from the text alone, so texts name them; up to a counted 200,000 texts go to the scan
+        added = cut_lineage(_term_spans(near, window).groupBy("row").agg(F.collect_set("span").alias(more)).withColumnRenamed("row", key))
+        out = out.withColumn(key, F.md5(clean)).join(broadcast_if_small(added, max_rows=200_000), key, "left")
+        out = out.withColumn(spans, F.sort_array(F.concat(spans, F.coalesce(more, F.array().cast(f"array<{SPAN}>")))))
+    release(kept)
     replaced = F.when(F.size(spans) > 0, sanitise_text(F.col(clean), F.col(spans))).otherwise(F.col(text))
     return out.select(*[replaced.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
