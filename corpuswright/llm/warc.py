@@ -24,7 +24,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpuswright.session import cut_lineage, release, shared_dir
+from corpuswright.session import broadcast_if_small, cut_lineage, release, shared_dir
 
 MAGIC = "WARC/1.1\r\n"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -36,7 +36,8 @@ def dedupe_payloads(pages: DataFrame, *, page_id: str = "page_id", url: str = "u
     """Columns page_id, url, payload, payload_bytes, payload_digest, refers_to (null for a response).
 
     The smallest id of each digest is found with map-side combine. Only digests that occur more than once are
-    joined back, so unique payloads meet nobody, and Spark can split the rows of a frequent digest.
+    joined back: as a broadcast up to a counted 200,000 of them (some 20 MB), so payloads stay where they are, and by a
+    shuffle beyond, in which Spark can split the rows of a frequent digest.
     """
     payload = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(
@@ -53,6 +54,7 @@ def dedupe_payloads(pages: DataFrame, *, page_id: str = "page_id", url: str = "u
         .where("n > 1 and first_id is not null")
         .select("payload_digest", "first_id")
     )
+    repeated = broadcast_if_small(cut_lineage(repeated), max_rows=200_000)
     return rows.join(repeated, "payload_digest", "left").select(
         "page_id", "url", "payload", "payload_bytes", "payload_digest",
         F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id")).alias("refers_to"),
@@ -95,18 +97,23 @@ def _fields(value: Column, head: Column) -> dict[str, Column]:
     return {"reach": len(MAGIC) + skip + length + len(END), "fits": F.octet_length(value) >= skip + length, "payload": F.when(response, payload)}
 
 
-def read_pieces(spark: SparkSession, folder: str) -> DataFrame:
-    """Cut table of the pieces between magics: place (unique), file, block, value, size and the parsed headers.
+def scan_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """place, file, block and value of the pieces between magics. Scans of the same files number them alike."""
+    raw = spark.read.option("lineSep", MAGIC).text(folder)
+    return raw.select(F.monotonically_increasing_id().alias("place"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+
 
-    Digests are taken here, in the scan, so the chain below moves no payload.
+def parse_pieces(pieces: DataFrame) -> DataFrame:
+    """Cut table: place, file, block, size and the parsed headers of each piece, without its text.
+
+    Digests are taken here, in the scan, so nothing after it moves or stores a payload.
     """
     value = F.col("value")
-    head = F.when(F.instr(value, END) > 0, F.substring_index(value, END, 1))
-    raw = spark.read.option("lineSep", MAGIC).text(folder)
-    rows = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"), value, head.alias("head"))
+    rows = pieces.withColumn("head", F.when(F.instr(value, END) > 0, F.substring_index(value, END, 1)))
     f = _fields(value, F.col("head"))
+    size = (F.octet_length(value) + len(MAGIC)).cast("long")
     return cut_lineage(
-        rows.select("*", (F.octet_length(value) + len(MAGIC)).cast("long").alias("size"), f["reach"].alias("reach"), f["fits"].alias("fits"), F.octet_length(f["payload"]).alias("length"), F.sha2(f["payload"], 256).alias("digest"))
+        rows.select("place", "file", "block", "head", size.alias("size"), f["reach"].alias("reach"), f["fits"].alias("fits"), F.octet_length(f["payload"]).alias("length"), F.sha2(f["payload"], 256).alias("digest"))
     )
 
 
@@ -116,14 +123,13 @@ def candidates(pieces: DataFrame) -> DataFrame:
     Offsets are exact: the text before a file's first magic and all pieces, each with its separator,
     add up to the file. Sums per read range (a few rows per file) give each range its first offset.
     """
-    slim = pieces.drop("value")
-    blocks = slim.groupBy("file", "block").agg(F.sum("size").alias("bytes"))
+    blocks = pieces.groupBy("file", "block").agg(F.sum("size").alias("bytes"))
     before = F.sum("bytes").over(Window.partitionBy("file").orderBy("block")) - F.col("bytes")
     blocks = blocks.select("file", "block", before.alias("base"))
     inside = F.sum("size").over(Window.partitionBy("file", "block").orderBy("place")) - F.col("size")
     # the first piece of a file precedes its first magic; the offset after it is that of the first record
     at = F.col("base") + F.col("inside") - len(MAGIC)
-    rows = slim.withColumn("inside", inside).join(blocks, ["file", "block"]).withColumn("start", at)
+    rows = pieces.withColumn("inside", inside).join(blocks, ["file", "block"]).withColumn("start", at)
     return rows.select("place", "file", "start", (F.col("start") + F.col("reach")).alias("next"), "head", "fits", "length", "digest").where("start >= 0")
 
 
@@ -157,9 +163,12 @@ def read_archives(spark: SparkSession, folder: str, *, with_payload: bool = Fals
     """Records of the archives: file, start, main headers as columns, intact and, if asked for, payload (binary).
 
     ``intact`` says that the payload read back has the stored digest and length (null for a revisit).
+    Texts are scanned a second time for records whose payload holds the magic, and if payloads are asked for.
     """
-    pieces = read_pieces(spark, folder)
+    texts = scan_pieces(spark, folder)
+    pieces = parse_pieces(texts)
     found = cut_lineage(candidates(pieces))
+    release(pieces)
     chain = reachable(found.select("file", "start", "next"))
     real = found.where("next is not null").join(chain, ["file", "start"])
     # pieces that the chain does not reach belong to the last record that starts before them
@@ -167,7 +176,7 @@ def read_archives(spark: SparkSession, folder: str, *, with_payload: bool = Fals
     owner = F.last("own", ignorenulls=True).over(Window.partitionBy("file").orderBy("start"))
     inner = cut_lineage(marks.withColumn("owner", owner).where("own is null and owner is not null").select("place", "owner"))
     split = cut_lineage(real.where("not fits").select("place", "file", "start", "head"))
-    texts = pieces.select("place", "value")
+    texts = texts.select("place", "value")
     tails = texts.join(inner, "place").groupBy("owner").agg(
         F.concat_ws("", F.transform(F.sort_array(F.collect_list(F.struct("place", "value"))), lambda x: F.concat(F.lit(MAGIC), x["value"]))).alias("tail")
     )
