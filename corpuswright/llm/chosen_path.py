@@ -26,7 +26,7 @@ from pyspark.sql.types import StructType
 
 from corpuswright.llm.common import WORD, fresh, let, words_of
 from corpuswright.llm.graph import components
-from corpuswright.session import cut_lineage, release
+from corpuswright.session import broadcast_if_small, cut_lineage, release
 
 COORDINATES = 64
 MAX_DEPTH = 4
@@ -84,7 +84,10 @@ def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def text_sketches(docs: DataFrame) -> DataFrame:
-    """(key, sketch) for rows (key, text) that have a word; the hashing runs on Arrow batches of word hashes."""
+    """(key, sketch, bytes) for rows (key, text) that have a word; the hashing runs on Arrow batches of word hashes.
+
+    ``bytes`` holds the last byte of each coordinate, enough to tell unlike texts apart inside a bucket.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,10 +99,11 @@ def text_sketches(docs: DataFrame) -> DataFrame:
                 found = sketches(hashes, counts)
                 flat = pa.array(found.view(np.int32).ravel())
                 offsets = pa.array(np.arange(0, found.size + 1, COORDINATES, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(offsets, flat)], names=["key", "sketch"])
+                small = pa.array([x.tobytes() for x in found.astype(np.uint8)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(offsets, flat), small], names=["key", "sketch", "bytes"])
 
     rows = docs.where(F.col("text").rlike(WORD)).select("key", word_hashes(F.col("text")).alias("w"))
-    return rows.mapInArrow(run, "key string, sketch array<int>")
+    return rows.mapInArrow(run, "key string, sketch array<int>, bytes binary")
 
 
 def runs_needed(depth: int, similarity: float, recall: float) -> int:
@@ -199,7 +203,8 @@ def _run_grouped(rows: DataFrame, key: str, per_group, schema: str) -> DataFrame
 def likely_members(cells: DataFrame, runs: int, similarity: float) -> DataFrame:
     """(cell, uid) of texts with a partner in the cell that first meets them there and whose sketch is near enough.
 
-    The least number of equal coordinates lies 5 standard deviations under what the similarity gives.
+    The least number of equal coordinates lies 5 standard deviations under what the similarity gives. Bytes that are
+    equal by chance only let more through.
     """
     least = int(COORDINATES * similarity - 5 * math.sqrt(COORDINATES * similarity * (1 - similarity)))
 
@@ -207,7 +212,8 @@ def likely_members(cells: DataFrame, runs: int, similarity: float) -> DataFrame:
         n = t.num_rows
         if n < 2:
             return None
-        sketch, leaves = _matrix(t["sketch"], COORDINATES, np.int32), _matrix(t["leaves"], runs, np.int64)
+        sketch = np.frombuffer(b"".join(t["bytes"].to_pylist()), np.uint8).reshape(n, COORDINATES)
+        leaves = _matrix(t["leaves"], runs, np.int64)
         same = np.zeros((n, n), np.uint8)
         for j in range(COORDINATES):
             same += sketch[:, j][:, None] == sketch[:, j][None, :]
@@ -299,8 +305,8 @@ def similar_texts(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     key = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("key", key)
     slim = cut_lineage(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "key", F.coalesce(F.col("text").rlike(WORD), F.lit(False)).alias("some")))
-    sketch = text_sketches(rows.select("key", "text")).groupBy("key").agg(F.first("sketch").alias("sketch"), F.count(F.lit(1)).alias("weight"))
-    texts = cut_lineage(sketch.select(F.monotonically_increasing_id().alias("uid"), "key", "weight", "sketch"))
+    sketch = text_sketches(rows.select("key", "text")).groupBy("key").agg(F.first("sketch").alias("sketch"), F.first("bytes").alias("bytes"), F.count(F.lit(1)).alias("weight"))
+    texts = cut_lineage(sketch.select(F.monotonically_increasing_id().alias("uid"), "key", "weight", "sketch", "bytes"))
 
     parts, have, need = [], 0, runs_needed(1, level, recall)
     while have < need:
@@ -312,12 +318,15 @@ def similar_texts(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
         members = members.unionByName(p)
     by_run = F.map_from_entries(F.collect_list(F.struct("run", "leaf")))  # at most one leaf per run
     leaves = members.groupBy("uid").agg(by_run.alias("m")).select("uid", F.array(*[F.coalesce(F.element_at("m", F.lit(r)), F.lit(0).cast("long")) for r in range(have)]).alias("leaves"))
-    leaves = cut_lineage(leaves.join(texts, "uid"))
-    cells = cut_into_cells(members.join(leaves.select("uid", "leaves", "sketch"), "uid"), bucket)
+    leaves = cut_lineage(leaves.join(texts.drop("sketch"), "uid"))
+    cells = cut_into_cells(members.join(leaves.select("uid", "leaves", "bytes"), "uid"), bucket)
     likely = cut_lineage(likely_members(cells, have, level))
 
     wanted = cut_lineage(likely.select("uid").distinct().join(leaves.select("uid", "key"), "uid"))
-    full = rows.where(F.col("text").rlike(WORD)).join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    # up to a counted million hashes (some 20 MB) go to the texts; beyond that the texts meet them in a shuffle
+    hashes = broadcast_if_small(cut_lineage(wanted.select(F.xxhash64("key").alias("hash")).distinct()), max_rows=1_000_000)
+    full = rows.where(F.col("text").rlike(WORD)).withColumn("hash", F.xxhash64("key")).join(hashes, "hash", "left_semi")
+    full = full.groupBy("key").agg(F.first("text").alias("text"))
     full = full.join(wanted, "key").select("uid", word_hashes(F.col("text")).alias("w"))
     again = cut_into_cells(members.join(leaves.select("uid", "leaves", "weight"), "uid"), bucket).join(likely, ["cell", "uid"])
     linked = cut_lineage(linked_members(again.join(full, "uid"), have, similarity))
