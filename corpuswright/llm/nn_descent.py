@@ -5,7 +5,8 @@ are refined by neighbours-of-neighbours joins: the neighbours of a vector, in bo
 other as long as one of the two is new in its list, and what beats the worst entry of a list enters it. Refinement
 works on vectors of bytes; links are decided in double precision. A list whose worst entry still
 links is saturated; the lists of its whole class are then enlarged to the class, compared in blocks of bounded
-size. At the end the links of sampled vectors are counted by brute force, and rounds with new forests follow
+size. Before that, saturated vectors are searched again with lists of vectors of other classes only, and classes that
+link are joined, until none do: a class with a link out of it has it at the top of such a list. At the end the links of sampled vectors are counted by brute force, and rounds with new forests follow
 until the target recall is reached.
 
 Equal vectors are one vector with a weight. Defined results: vectors that are null, empty, zero or hold null or non-finite
@@ -16,6 +17,7 @@ last); rows with equal vec_id and vector are copies of each other; an empty tabl
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -29,6 +31,7 @@ from corpuswright.llm.graph import components
 from corpuswright.session import cut_lineage, release
 
 SCALE = 127 * 127
+EXACT = 1 << 40  # scale of cosines of vectors of doubles
 SLACK = 0.03  # more than byte vectors err on a cosine
 
 
@@ -60,7 +63,11 @@ def _units(column: pa.ChunkedArray | pa.Array, kind=np.float64) -> np.ndarray:
 
 
 def with_leaves(nodes: DataFrame, n: int, trees: int, leaf: int, seed: int, dimensions: int) -> DataFrame:
-    """(group, uid, q) once per tree: the signs of as many random projections as leaves of ``leaf`` vectors need."""
+    """(group, uid, q) once per tree: the signs of as many random projections as leaves of ``leaf`` vectors need.
+
+    Nodes with a column ``root`` have vectors of doubles and keep it.
+    """
+    wide = "root" in nodes.columns
     bits = max(0, math.ceil(math.log2(max(n, 1) / leaf)))
     planes = np.random.default_rng(seed).standard_normal((dimensions, trees * max(bits, 1)))
 
@@ -68,31 +75,44 @@ def with_leaves(nodes: DataFrame, n: int, trees: int, leaf: int, seed: int, dime
         for batch in batches:
             if not batch.num_rows:
                 continue
-            signs = (_units(batch.column(1), np.int8).astype(np.float64) @ planes > 0).reshape(batch.num_rows, trees, -1)
+            signs = (_units(batch.column(1), np.float64 if wide else np.int8).astype(np.float64) @ planes > 0).reshape(batch.num_rows, trees, -1)
             codes = signs @ (1 << np.arange(signs.shape[2], dtype=np.int64)) if bits else np.zeros((batch.num_rows, trees), np.int64)
             group = (np.arange(trees) + codes * trees).T.ravel()
             place = np.tile(np.arange(batch.num_rows), trees)
-            yield pa.RecordBatch.from_arrays([pa.array(group.astype(np.int64)), batch.column(0).take(pa.array(place)), batch.column(1).take(pa.array(place))], names=["group", "uid", "q"])
+            yield pa.RecordBatch.from_arrays([pa.array(group.astype(np.int64)), *[c.take(pa.array(place)) for c in batch.columns]], names=["group", *batch.schema.names])
 
-    return nodes.select("uid", "q").mapInArrow(run, "group long, uid long, q binary")
+    return nodes.select("uid", "q", *["root"] * wide).mapInArrow(run, "group long, uid long, q binary" + ", root long" * wide)
+
+
+def _products(t: pa.Table) -> np.ndarray:
+    """Scaled cosines between the rows of ``t``; in a table with a column ``root`` no vector meets its own class."""
+    if "root" not in t.column_names:
+        q = _units(t["q"], np.int8).astype(np.float32)
+        s = q @ q.T
+        np.fill_diagonal(s, -np.inf)
+        return s
+    q, root = _units(t["q"]), t["root"].to_numpy()
+    s = np.rint(q @ q.T * EXACT)
+    s[root[:, None] == root[None, :]] = -np.inf
+    return s
 
 
 def leaf_candidates(leaves: DataFrame, k: int, leaf: int, seed: int) -> DataFrame:
     """(a, b, s, fresh): the ``k`` best neighbours inside a leaf; oversized leaves are split at random first."""
     sizes = cut_lineage(leaves.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 4 * leaf))
     part = F.coalesce(F.pmod(F.xxhash64("uid", F.lit(seed)), F.ceil(F.col("n") / F.lit(2 * leaf))), F.lit(0))
-    rows = leaves.join(sizes, "group", "left").select(F.xxhash64("group", part).alias("cell"), "uid", "q")
+    rows = leaves.join(sizes, "group", "left").select(F.xxhash64("group", part).alias("cell"), *leaves.columns[1:])
 
     def per_group(t: pa.Table):
         n = t.num_rows
         if n < 2:
             return None
-        q, uid = _units(t["q"], np.int8).astype(np.float32), t["uid"].to_numpy()
-        s = q @ q.T
-        np.fill_diagonal(s, -np.inf)
+        s, uid = _products(t), t["uid"].to_numpy()
         m = min(k, n - 1)
         best = np.argpartition(-s, m - 1, axis=1)[:, :m]
-        return {"a": np.repeat(uid, m), "b": uid[best].ravel(), "s": np.take_along_axis(s, best, 1).ravel().astype(np.int64), "fresh": np.ones(n * m, np.int64)}
+        top = np.take_along_axis(s, best, 1).ravel()
+        met = np.isfinite(top)
+        return {"a": np.repeat(uid, m)[met], "b": uid[best].ravel()[met], "s": top[met].astype(np.int64), "fresh": np.ones(met.sum(), np.int64)}
 
     return _run_grouped(rows, "cell", per_group, "a long, b long, s long, fresh long")
 
@@ -119,25 +139,28 @@ def best_of(rows: DataFrame, k: int) -> DataFrame:
     return order.select("a", "b", "s", "fresh").mapInArrow(run, "a long, b long, s long, fresh long")
 
 
-def refine(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+def refine(graph: DataFrame, nodes: DataFrame, k: int, ways: DataFrame | None = None) -> DataFrame:
     """Candidates (a, b, s, fresh) from comparing the neighbours of each vector with each other.
 
-    Of the vectors that list a hub only its ``k`` best enter its comparison, as the method prescribes.
+    Of the vectors that list a hub only its ``k`` best enter its comparison, as the method prescribes. ``ways`` (a, b)
+    are further neighbours to go by, which do not enter the lists themselves.
     """
     backward = best_of(graph.select(F.col("b").alias("a"), F.col("a").alias("b"), "s", "fresh"), k)
-    around = graph.unionByName(backward).groupBy("a", "b").agg(F.max("fresh").alias("fresh"))
+    near = graph.unionByName(backward)
+    if ways is not None:
+        near = near.unionByName(ways.select("a", "b", F.lit(0).cast("long").alias("s"), F.lit(0).cast("long").alias("fresh")))
+    around = near.groupBy("a", "b").agg(F.max("fresh").alias("fresh"))
+    extra = ["root"] if "root" in nodes.columns else []
     worst = graph.groupBy("a").agg(F.min("s").alias("worst"), F.count(F.lit(1)).alias("n"))
-    members = nodes.select("uid", "q").join(worst, nodes["uid"] == worst["a"], "left").select(F.col("uid").alias("b"), "q", F.when(F.col("n") >= k, F.col("worst")).otherwise(F.lit(-SCALE * 2)).alias("worst"))
-    rows = around.join(members, "b").select(F.col("a").alias("v"), F.col("b").alias("uid"), "q", "worst", "fresh")
+    members = nodes.select("uid", "q", *extra).join(worst, nodes["uid"] == worst["a"], "left").select(F.col("uid").alias("b"), "q", *extra, F.when(F.col("n") >= k, F.col("worst")).otherwise(F.lit(-EXACT * 2)).alias("worst"))
+    rows = around.join(members, "b").select(F.col("a").alias("v"), F.col("b").alias("uid"), "q", *extra, "worst", "fresh")
 
     def per_group(t: pa.Table):
         if t.num_rows < 2:
             return None
-        q, uid = _units(t["q"], np.int8).astype(np.float32), t["uid"].to_numpy()
+        s, uid = _products(t), t["uid"].to_numpy()
         fresh, worst = t["fresh"].to_numpy() > 0, t["worst"].to_numpy()
-        s = q @ q.T
         better = (s > worst[:, None]) & (fresh[:, None] | fresh[None, :])
-        np.fill_diagonal(better, False)
         i, j = np.nonzero(better)
         if not len(i):
             return None
@@ -146,7 +169,7 @@ def refine(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     return _run_grouped(rows, "v", per_group, "a long, b long, s long, fresh long")
 
 
-def neighbour_graph(nodes: DataFrame, graph: DataFrame | None, n: int, *, k: int, trees: int, leaf: int, seed: int, dimensions: int, rounds: int = 6, least_change: float = 0.005) -> DataFrame:
+def neighbour_graph(nodes: DataFrame, graph: DataFrame | None, n: int, *, k: int, trees: int, leaf: int, seed: int, dimensions: int, rounds: int = 6, least_change: float = 0.005, ways: DataFrame | None = None) -> DataFrame:
     """Cut table (a, b, s, fresh) of the neighbour lists after refinement."""
     start = leaf_candidates(with_leaves(nodes, n, trees, leaf, seed, dimensions), k, leaf, seed)
     if graph is not None:
@@ -154,7 +177,7 @@ def neighbour_graph(nodes: DataFrame, graph: DataFrame | None, n: int, *, k: int
     now = cut_lineage(best_of(start, k))
     for _ in range(rounds):
         old = now.withColumn("fresh", F.lit(0).cast("long"))
-        after = cut_lineage(best_of(refine(now, nodes, k).unionByName(old), k))
+        after = cut_lineage(best_of(refine(now, nodes, k, ways).unionByName(old), k))
         release(now)
         now = after
         if now.where("fresh = 1").count() < least_change * n * k:
@@ -162,9 +185,9 @@ def neighbour_graph(nodes: DataFrame, graph: DataFrame | None, n: int, *, k: int
     return now
 
 
-def exact_links(graph: DataFrame, nodes: DataFrame, cosine: float) -> DataFrame:
+def exact_links(graph: DataFrame, nodes: DataFrame, cosine: float, scale: int = SCALE) -> DataFrame:
     """Cut table (a, b), a < b: pairs of the lists whose cosine in doubles is at least ``cosine``."""
-    near = graph.where(F.col("s") >= int((cosine - SLACK) * SCALE)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    near = graph.where(F.col("s") >= int((cosine - SLACK) * scale)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     a = nodes.select(F.col("uid").alias("a"), F.col("unit").alias("u"))
     b = nodes.select(F.col("uid").alias("b"), F.col("unit").alias("w"))
 
@@ -177,6 +200,35 @@ def exact_links(graph: DataFrame, nodes: DataFrame, cosine: float) -> DataFrame:
     return cut_lineage(near.join(a, "a").join(b, "b").select("a", "b", "u", "w").mapInArrow(run, "a long, b long"))
 
 
+def join_classes(graph: DataFrame, nodes: DataFrame, pairs: DataFrame, cosine: float, *, k: int, trees: int, leaf: int, seed: int, dimensions: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Cut tables of the links (a, b), their components (v, root) and the vectors (a) with a saturated list.
+
+    A link that is in neither list has two saturated ends. If they lie in two classes, the link is found by lists, in
+    doubles, of vectors of other classes. Classes that link are joined and searched again; each time at least
+    halves the classes with a link out of them.
+    """
+    sizes = graph.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("worst"))
+    full = cut_lineage(sizes.where((F.col("n") >= k) & (F.col("worst") >= int((cosine - SLACK) * SCALE))).select("a"))
+    roots = components(pairs)
+    for again in itertools.count():
+        known = roots.select(F.col("v").alias("uid"), "root")
+        saturated = nodes.join(full.withColumnRenamed("a", "uid"), "uid").join(known, "uid", "left")
+        apart = cut_lineage(saturated.select("uid", F.col("unit").alias("q"), F.coalesce("root", "uid").alias("root"), "unit"))
+        if apart.select("root").distinct().limit(2).count() < 2:
+            release(apart)
+            return pairs, roots, full
+        lists = neighbour_graph(apart, None, apart.count(), k=k, trees=trees, leaf=leaf, seed=seed + 11 * (again + 1), dimensions=dimensions, ways=graph)
+        more = exact_links(lists, apart, cosine, EXACT)
+        done = more.isEmpty()
+        if not done:
+            joined = cut_lineage(pairs.unionByName(more).distinct())
+            release(pairs, roots)
+            pairs, roots = joined, components(joined)
+        release(apart, lists, more)
+        if done:
+            return pairs, roots, full
+
+
 def links_in_classes(members: DataFrame, cosine: float, block: int) -> DataFrame:
     """(uid, links) by comparing all members (root, n, uid, unit, weight) of a class, in cells of two blocks."""
     cells = cut_into_cells(members.select(F.lit(0).alias("run"), F.col("root").alias("leaf"), "n", "uid", "unit", "weight"), block)
@@ -236,15 +288,18 @@ def near_duplicates(
     same = rows.where("key is not null").groupBy("key").agg(F.min("row").alias("uid"), F.count(F.lit(1)).alias("weight"), F.first("unit").alias("unit"))
     nodes = cut_lineage(same.select("uid", "weight", "unit", "key").mapInArrow(bytes_of, "uid long, weight long, unit binary, key string, q binary"))
     n = nodes.count()
-    graph, reached = None, 0.0
+    graph, former, reached = None, None, 0.0
     for attempt in range(max_rounds):
         lists = neighbour_graph(nodes, graph, n, k=k, trees=trees, leaf=leaf, seed=101 + attempt, dimensions=max(dimensions, 1))
         if graph is not None:
             release(graph)
         graph = lists
         pairs = exact_links(graph, nodes, cosine)
-        roots = components(pairs)
-        full = graph.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("worst")).where((F.col("n") >= k) & (F.col("worst") >= int((cosine - SLACK) * SCALE)))
+        if former is not None:
+            both = cut_lineage(pairs.unionByName(former).distinct())
+            release(pairs, former)
+            pairs = both
+        pairs, roots, full = join_classes(graph, nodes, pairs, cosine, k=k, trees=trees, leaf=leaf, seed=1001 + 1000 * attempt, dimensions=max(dimensions, 1))
         dense = cut_lineage(roots.join(full, roots["v"] == full["a"]).select("root").distinct())
         sizes = roots.join(dense, "root").groupBy("root").agg(F.count(F.lit(1)).alias("n"))
         members = roots.join(sizes, "root").join(nodes.select(F.col("uid").alias("v"), "unit", "weight"), "v").withColumnRenamed("v", "uid")
@@ -256,10 +311,11 @@ def near_duplicates(
         reached = audit(nodes, links, n, cosine, audit_queries)
         if reached >= recall:
             break
-        release(links, pairs, roots, dense)
+        release(links, roots, full, dense)
+        former = pairs
     else:
         raise RuntimeError(f"recall {reached:.3f} of sampled links after {max_rounds} rounds; raise k or trees")
-    release(graph, pairs, dense)
+    release(graph, pairs, full, dense)
     info = nodes.select("key", "uid", "weight").join(links, "uid", "left").join(roots.withColumnRenamed("v", "uid"), "uid", "left")
     info = info.select("key", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "uid").alias("root"))
     joined = cut_lineage(rows.select("row", "vec_id", "key").join(info, "key", "left").select("row", "vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "root"))

@@ -40,3 +40,18 @@ def test_odd_rows(spark):
     got = sorted(((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()))
     assert got == [(0, 2, 7, False)] + [(i, 0, i, True) for i in range(1, 7)] + [(7, 2, 7, True)] * 2 + [(8, 0, 8, True)]
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_links_between_saturated_groups(spark):
+    rng = np.random.default_rng(2)
+    axes = np.linalg.qr(rng.standard_normal((32, 12)))[0].T
+    turn = math.acos(0.96)
+    chain = [math.cos(i * turn) * axes[0] + math.sin(i * turn) * axes[1] for i in range(5)]
+    centres = [*chain, axes[4], math.cos(turn) * axes[4] + math.sin(turn) * axes[5], axes[8]]
+    vectors = np.concatenate([c + rng.standard_normal((16, 32)) * 0.004 for c in centres])
+    ids = list(range(len(vectors)))
+    rows = [(i, v.tolist(), 0) for i, v in zip(ids, vectors, strict=True)]
+    want = brute(ids, vectors)
+    assert {c for _, c, _ in want.values()} == {0, 80, 112}
+    got = near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4), k=6, leaf=40, block=25, recall=0.0).collect()
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == want
