@@ -6,8 +6,9 @@ other as long as one of the two is new in its list, and what beats the worst ent
 works on vectors of bytes; links are decided in double precision. A list whose worst entry still
 links is saturated; the lists of its whole class are then enlarged to the class, compared in blocks of bounded
 size. Before that, saturated vectors are searched again with lists of vectors of other classes only, and classes that
-link are joined, until none do: a class with a link out of it has it at the top of such a list. At the end the links of sampled vectors are counted by brute force, and rounds with new forests follow
-until the target recall is reached.
+link are joined, until none do: a class with a link out of it has it at the top of such a list. At the end the links of sampled vectors are counted by brute force, and rounds with new forests follow until vectors with
+links have the target share of them on average, apart for dense classes by size and for all others. The forest grows with
+the number of vectors, so that it alone brings two vectors that link together with that probability.
 
 Equal vectors are one vector with a weight. Defined results: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing; shorter vectors count as padded with zeros; a component is named by its smallest vec_id (nulls
@@ -31,6 +32,7 @@ from corpuswright.llm.graph import components
 from corpuswright.session import cut_lineage, release
 
 SCALE = 127 * 127
+FOREST = 8
 EXACT = 1 << 40  # scale of cosines of vectors of doubles
 SLACK = 0.03  # more than byte vectors err on a cosine
 
@@ -171,10 +173,14 @@ def refine(graph: DataFrame, nodes: DataFrame, k: int, ways: DataFrame | None =
 
 def neighbour_graph(nodes: DataFrame, graph: DataFrame | None, n: int, *, k: int, trees: int, leaf: int, seed: int, dimensions: int, rounds: int = 6, least_change: float = 0.005, ways: DataFrame | None = None) -> DataFrame:
     """Cut table (a, b, s, fresh) of the neighbour lists after refinement."""
-    start = leaf_candidates(with_leaves(nodes, n, trees, leaf, seed, dimensions), k, leaf, seed)
-    if graph is not None:
-        start = start.unionByName(graph.withColumn("fresh", F.lit(0).cast("long")))
-    now = cut_lineage(best_of(start, k))
+    now = None if graph is None else graph.withColumn("fresh", F.lit(0).cast("long"))
+    for first in range(0, trees, FOREST):  # a few trees at a time, so that their rows never all lie on disk
+        own = seed + 100_003 * first
+        start = leaf_candidates(with_leaves(nodes, n, min(FOREST, trees - first), leaf, own, dimensions), k, leaf, own)
+        lists = cut_lineage(best_of(start if now is None else start.unionByName(now), k))
+        if first:
+            release(now)
+        now = lists
     for _ in range(rounds):
         old = now.withColumn("fresh", F.lit(0).cast("long"))
         after = cut_lineage(best_of(refine(now, nodes, k, ways).unionByName(old), k))
@@ -200,7 +206,7 @@ def exact_links(graph: DataFrame, nodes: DataFrame, cosine: float, scale: int =
     return cut_lineage(near.join(a, "a").join(b, "b").select("a", "b", "u", "w").mapInArrow(run, "a long, b long"))
 
 
-def join_classes(graph: DataFrame, nodes: DataFrame, pairs: DataFrame, cosine: float, *, k: int, trees: int, leaf: int, seed: int, dimensions: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def join_classes(graph: DataFrame, nodes: DataFrame, pairs: DataFrame, cosine: float, *, k: int, trees: int, leaf: int, seed: int, dimensions: int, recall: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Cut tables of the links (a, b), their components (v, root) and the vectors (a) with a saturated list.
 
     A link that is in neither list has two saturated ends. If they lie in two classes, the link is found by lists, in
@@ -217,7 +223,8 @@ def join_classes(graph: DataFrame, nodes: DataFrame, pairs: DataFrame, cosine: f
         if apart.select("root").distinct().limit(2).count() < 2:
             release(apart)
             return pairs, roots, full
-        lists = neighbour_graph(apart, None, apart.count(), k=k, trees=trees, leaf=leaf, seed=seed + 11 * (again + 1), dimensions=dimensions, ways=graph)
+        m = apart.count()
+        lists = neighbour_graph(apart, None, m, k=k, trees=forest_size(m, trees, leaf, cosine, recall), leaf=leaf, seed=seed + 11 * (again + 1), dimensions=dimensions, ways=graph)
         more = exact_links(lists, apart, cosine, EXACT)
         done = more.isEmpty()
         if not done:
@@ -246,26 +253,63 @@ def links_in_classes(members: DataFrame, cosine: float, block: int) -> DataFrame
     return _run_grouped(cells, "cell", per_group, "uid long, links long").groupBy("uid").agg(F.sum("links").alias("links"))
 
 
-def audit(nodes: DataFrame, links: DataFrame, n: int, cosine: float, queries: int) -> float:
-    """Share of the true links of ``queries`` sampled vectors that ``links`` (uid, links) counts."""
-    spot = F.pmod(F.xxhash64("uid", F.lit(41)), F.lit(1 << 40)) < F.lit(int((1 << 40) * min(1.0, queries / max(n, 1))))
-    asked = nodes.where(spot).join(links, "uid", "left").select("uid", "unit", F.coalesce("links", F.lit(0)).alias("links")).collect()
-    if not asked:
-        return 1.0
-    shared = nodes.sparkSession.sparkContext.broadcast((np.array([r["uid"] for r in asked]), _units(pa.array([r["unit"] for r in asked], pa.binary()))))
+def _true_links(nodes: DataFrame, uid: np.ndarray, units: np.ndarray, cosine: float, at_once: int = 512) -> dict[int, int]:
+    """Links of the given vectors by brute force."""
+    shared = nodes.sparkSession.sparkContext.broadcast((uid, units))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uid, units = shared.value
         total = np.zeros(len(uid), np.int64)
         for batch in batches:
-            if batch.num_rows:
-                near = _units(batch.column(1)) @ units.T >= cosine
-                near &= batch.column(0).to_numpy()[:, None] != uid[None, :]
-                total += batch.column(2).to_numpy() @ near
+            if not batch.num_rows:
+                continue
+            own, v, weight = batch.column(0).to_numpy(), _units(batch.column(1)), batch.column(2).to_numpy()
+            for i in range(0, len(uid), at_once):
+                near = v @ units[i : i + at_once].T >= cosine
+                near &= own[:, None] != uid[None, i : i + at_once]
+                total[i : i + at_once] += weight @ near
         yield pa.RecordBatch.from_pydict({"uid": uid, "links": total})
 
-    true = {r["uid"]: r["links"] for r in nodes.select("uid", "unit", "weight").mapInArrow(run, "uid long, links long").groupBy("uid").agg(F.sum("links").alias("links")).collect()}
-    return sum(min(r["links"], true[r["uid"]]) for r in asked) / max(1, sum(true.values())) if sum(true.values()) else 1.0
+    counted = nodes.select("uid", "unit", "weight").mapInArrow(run, "uid long, links long").groupBy("uid").agg(F.sum("links").alias("links")).collect()
+    shared.destroy()
+    return {r["uid"]: r["links"] for r in counted}
+
+
+def audit(nodes: DataFrame, links: DataFrame, cosine: float, queries: int, enough: int = 128, limit: int = 64) -> float:
+    """Least mean share of a sampled vector's true links that ``links`` (uid, links, layer) counts, over the layers.
+
+    Layers are the vectors outside dense classes (0, or not in ``links``) and those of dense classes by the size of their
+    class, so that no class speaks for vectors elsewhere. Every layer is sampled by ``queries`` vectors and then by more,
+    until ``enough`` with a true link are seen, all are asked or ``limit`` times ``queries`` have been.
+    """
+    layered = nodes.select("uid").join(links, "uid", "left").select("uid", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("layer", F.lit(0)).alias("layer"))
+    size = {r["layer"]: r["n"] for r in layered.groupBy("layer").agg(F.count(F.lit(1)).alias("n")).collect()}
+    spot = F.pmod(F.xxhash64("uid", F.lit(41)), F.lit(1 << 40))
+    shares: dict[int, list[float]] = {layer: [] for layer in size}
+    asked, wanted = dict.fromkeys(size, 0.0), queries
+    while open_layers := [x for x in size if len(shares[x]) < enough and asked[x] < 1 and asked[x] * size[x] < queries * limit]:
+        take = F.lit(False)
+        for x in open_layers:
+            upto = min(1.0, wanted / size[x])
+            take |= (F.col("layer") == x) & (spot >= int((1 << 40) * asked[x])) & (spot < int((1 << 40) * upto))
+            asked[x] = upto
+        rows = nodes.select("uid", "unit").join(F.broadcast(layered.where(take)), "uid").collect()
+        if rows:
+            true = _true_links(nodes, np.array([r["uid"] for r in rows]), _units(pa.array([r["unit"] for r in rows], pa.binary())), cosine)
+            for r in rows:
+                if true[r["uid"]]:
+                    shares[r["layer"]].append(min(r["links"], true[r["uid"]]) / true[r["uid"]])
+        wanted *= 4
+    return min((sum(x) / len(x) for x in shares.values() if x), default=1.0)
+
+
+def forest_size(n: int, trees: int, leaf: int, cosine: float, recall: float) -> int:
+    """Trees, at least ``trees``, that bring two vectors at ``cosine`` into a common leaf with probability ``recall``."""
+    bits = max(0, math.ceil(math.log2(max(n, 1) / leaf)))
+    together = (1 - math.acos(max(-1.0, min(1.0, cosine))) / math.pi) ** bits
+    if not bits or together >= recall or recall >= 1 or not together:
+        return trees
+    return max(trees, math.ceil(math.log(1 - recall) / math.log(1 - together)))
 
 
 def near_duplicates(
@@ -290,7 +334,7 @@ def near_duplicates(
     n = nodes.count()
     graph, former, reached = None, None, 0.0
     for attempt in range(max_rounds):
-        lists = neighbour_graph(nodes, graph, n, k=k, trees=trees, leaf=leaf, seed=101 + attempt, dimensions=max(dimensions, 1))
+        lists = neighbour_graph(nodes, graph, n, k=k, trees=forest_size(n, trees, leaf, cosine, recall), leaf=leaf, seed=101 + attempt, dimensions=max(dimensions, 1))
         if graph is not None:
             release(graph)
         graph = lists
@@ -299,16 +343,18 @@ def near_duplicates(
             both = cut_lineage(pairs.unionByName(former).distinct())
             release(pairs, former)
             pairs = both
-        pairs, roots, full = join_classes(graph, nodes, pairs, cosine, k=k, trees=trees, leaf=leaf, seed=1001 + 1000 * attempt, dimensions=max(dimensions, 1))
+        pairs, roots, full = join_classes(graph, nodes, pairs, cosine, k=k, trees=trees, leaf=leaf, seed=1001 + 1000 * attempt, dimensions=max(dimensions, 1), recall=recall)
         dense = cut_lineage(roots.join(full, roots["v"] == full["a"]).select("root").distinct())
         sizes = roots.join(dense, "root").groupBy("root").agg(F.count(F.lit(1)).alias("n"))
         members = roots.join(sizes, "root").join(nodes.select(F.col("uid").alias("v"), "unit", "weight"), "v").withColumnRenamed("v", "uid")
-        inside = links_in_classes(members, cosine, block)
+        # classes of up to 16, 256, 4,096, ... vectors are layers of the audit
+        layer = members.select("uid", F.ceil(F.log(F.col("n").cast("double")) / math.log(16)).cast("int").alias("layer"))
+        inside = links_in_classes(members, cosine, block).join(layer, "uid").select("uid", "links", "layer")
         weight = nodes.select(F.col("uid").alias("b"), "weight")
         ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(roots.withColumnRenamed("v", "a"), "a").join(dense, "root", "left_anti")
         listed = ends.join(weight, "b").groupBy(F.col("a").alias("uid")).agg(F.sum("weight").alias("links"))
-        links = cut_lineage(listed.unionByName(inside))
-        reached = audit(nodes, links, n, cosine, audit_queries)
+        links = cut_lineage(listed.withColumn("layer", F.lit(0)).unionByName(inside))
+        reached = audit(nodes, links, cosine, audit_queries)
         if reached >= recall:
             break
         release(links, roots, full, dense)
@@ -316,7 +362,7 @@ def near_duplicates(
     else:
         raise RuntimeError(f"recall {reached:.3f} of sampled links after {max_rounds} rounds; raise k or trees")
     release(graph, pairs, full, dense)
-    info = nodes.select("key", "uid", "weight").join(links, "uid", "left").join(roots.withColumnRenamed("v", "uid"), "uid", "left")
+    info = nodes.select("key", "uid", "weight").join(links.select("uid", "links"), "uid", "left").join(roots.withColumnRenamed("v", "uid"), "uid", "left")
     info = info.select("key", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "uid").alias("root"))
     joined = cut_lineage(rows.select("row", "vec_id", "key").join(info, "key", "left").select("row", "vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "root"))
     order = F.struct(F.col("vec_id").isNull().alias("missing"), F.col("vec_id").alias("vec_id"), F.col("row").alias("row"))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 pytest.importorskip("corpuswright.llm")
-from corpuswright.llm.nn_descent import near_duplicates  # noqa: E402
+from corpuswright.llm.nn_descent import audit, forest_size, near_duplicates  # noqa: E402
 
 SCHEMA = "vec_id long, embedding array<double>, root long"
 
@@ -55,3 +55,24 @@ def test_links_between_saturated_groups(spark):
     assert {c for _, c, _ in want.values()} == {0, 80, 112}
     got = near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4), k=6, leaf=40, block=25, recall=0.0).collect()
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == want
+
+
+def test_audit_sees_pairs_missed_beside_a_hot_group(spark):
+    rng = np.random.default_rng(3)
+    hot = rng.standard_normal(24) + rng.standard_normal((200, 24)) * 0.01
+    base = rng.standard_normal((200, 24))
+    v = np.concatenate([hot, base, base + rng.standard_normal((200, 24)) * 0.01])
+    rows = [(i, 1, bytearray((x / np.linalg.norm(x)).tobytes())) for i, x in enumerate(v)]
+    nodes = spark.createDataFrame(rows, "uid long, weight long, unit binary")
+    schema = "uid long, links long, layer int"
+    dense, pairs = [(i, 199, 2) for i in range(200)], [(i, 1, 0) for i in range(200, 600)]
+    assert audit(nodes, spark.createDataFrame(dense + pairs, schema), 0.95, 512) == 1.0
+    assert audit(nodes, spark.createDataFrame(dense + pairs[:40], schema), 0.95, 16) < 0.5
+    assert audit(nodes, spark.createDataFrame(dense, schema), 0.95, 512) == 0.0
+
+
+def test_forest_grows_with_the_table():
+    assert forest_size(5_000, 8, 128, 0.95, 0.99) == 8
+    for n in (10**6, 10**7):
+        together = (1 - math.acos(0.95) / math.pi) ** math.ceil(math.log2(n / 128))
+        assert 1 - (1 - together) ** forest_size(n, 8, 128, 0.95, 0.99) >= 0.99
