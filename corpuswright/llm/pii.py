@@ -1,11 +1,10 @@
 """Personal data: pattern spans, and words that give a protected value away by co-occurring with it.
 
 Patterns find emails, IP addresses, card and phone numbers with their places in the text. Each value found is a
-protected entity. The words around it, over the whole corpus, are its contexts. With p the share of documents, a
+protected entity. The documents that hold it are its contexts. With p the share of documents, a
 word t tells about an entity e as much as PMI(e; t) = log p(e, t) / (p(e) p(t)), of the information IC(e) = -log p(e)
-there is. Words that tell more than ``max_disclosure`` of it, in several different contexts, are
-disclosive: near the entity they become spans as well and are generalised to their kind, or removed if even the kind
-discloses. All of it is DataFrame functions; texts are never shuffled.
+there is. Words of any length that tell more than ``max_disclosure`` of it, in several different contexts, are
+disclosive: wherever they stand, in any document, they become spans as well and are replaced by [NAME] or [WORD]. All of it is DataFrame functions; texts are never shuffled.
 
 Defined results: null text is an empty text; documents that are equal count as documents but their equal
 contexts count once; a null id is kept; repeated rows get equal results; an empty table gives no rows.
@@ -33,6 +32,7 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 MARK, OTHER = "\u0001", "\u0002"  # neither is part of any pattern, so a mark in a text can stand as the other
 CHUNK = 256
+WORD = r"[\p{L}\p{N}]+"
 SPAN = "struct<start:int,rank:int,end:int,value:string>"
 
 
@@ -64,33 +64,35 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _matches(kind: str, text: Column) -> Column:
-    """Valid spans of one kind. Marks around the matches split the text; lengths summed up give the places.
+def _places(p: Column, rank: int, accept) -> Column:
+    """Spans of the odd pieces that ``accept`` takes; lengths summed up give the places.
 
     Pieces are summed in chunks of ``CHUNK``, so the copying stays small for texts with very many matches.
     """
-    rank = KINDS.index(kind)
-    parts = F.split(F.regexp_replace(text, PATTERNS[kind], f"{MARK}$0{MARK}"), MARK)
     empty = F.array().cast(f"array<{SPAN}>")
 
-    def spans(p: Column) -> Column:
-        def step(acc: Column, x: Column) -> Column:
-            end = acc["at"] + F.length(x)
-            span = F.struct(acc["at"].alias("start"), F.lit(rank).alias("rank"), end.alias("end"), x.alias("value"))
-            hit = acc["odd"] & _valid(kind, x)
-            return F.struct(end.alias("at"), (~acc["odd"]).alias("odd"), F.when(hit, F.array_append(acc["found"], span)).otherwise(acc["found"]).alias("found"))
+    def step(acc: Column, x: Column) -> Column:
+        end = acc["at"] + F.length(x)
+        span = F.struct(acc["at"].alias("start"), F.lit(rank).alias("rank"), end.alias("end"), x.alias("value"))
+        hit = acc["odd"] & accept(x)
+        return F.struct(end.alias("at"), (~acc["odd"]).alias("odd"), F.when(hit, F.array_append(acc["found"], span)).otherwise(acc["found"]).alias("found"))
 
-        def chunk(acc: Column, c: Column) -> Column:
-            start = F.struct(acc["at"].alias("at"), acc["odd"].alias("odd"), empty.alias("found"))
-            inner = F.aggregate(F.slice(p, c * CHUNK + 1, F.lit(CHUNK)), start, step)
-            return let(inner, lambda s: F.struct(s["at"].alias("at"), s["odd"].alias("odd"), F.concat(acc["found"], s["found"]).alias("found")))
+    def chunk(acc: Column, c: Column) -> Column:
+        start = F.struct(acc["at"].alias("at"), acc["odd"].alias("odd"), empty.alias("found"))
+        inner = F.aggregate(F.slice(p, c * CHUNK + 1, F.lit(CHUNK)), start, step)
+        return let(inner, lambda s: F.struct(s["at"].alias("at"), s["odd"].alias("odd"), F.concat(acc["found"], s["found"]).alias("found")))
 
-        begin = F.struct(F.lit(0).alias("at"), F.lit(False).alias("odd"), empty.alias("found"))
-        return F.aggregate(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / CHUNK).cast("int")), begin, chunk)["found"]
+    begin = F.struct(F.lit(0).alias("at"), F.lit(False).alias("odd"), empty.alias("found"))
+    return F.aggregate(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / CHUNK).cast("int")), begin, chunk)["found"]
 
+
+def _matches(kind: str, text: Column) -> Column:
+    """Valid spans of one kind. Marks around the matches split the text."""
+    rank = KINDS.index(kind)
+    parts = F.split(F.regexp_replace(text, PATTERNS[kind], f"{MARK}$0{MARK}"), MARK)
     hint = HINTS[kind]
     likely = text.rlike(r"[0-9](?:[\x20-]?[0-9]){13}") if kind == "card" else F.contains(text, F.lit(hint))
-    return F.when(likely, let(parts, spans)).otherwise(empty)
+    return F.when(likely, let(parts, lambda p: _places(p, rank, lambda x: _valid(kind, x)))).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def base_spans(text: Column) -> Column:
@@ -102,84 +104,101 @@ def _clean(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), MARK, OTHER)
 
 
-def _terms(context: Column) -> Column:
-    """Words of letters of a piece of text, four or more each, in lower case."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(context), F.lit(r"(?<![\p{L}\p{N}])\p{L}{4,}(?![\p{L}\p{N}])"), F.lit(0)))
+def _outside(text: Column, spans: Column) -> Column:
+    """``text`` with a mark in place of each span."""
+    begin = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("at"))
+
+    def step(acc: Column, s: Column) -> Column:
+        between = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        return F.struct(F.array_append(acc["out"], between).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
+
+    cut = let(F.aggregate(spans, begin, step), lambda a: F.array_join(F.array_append(a["out"], F.substring(text, a["at"] + 1, F.length(text))), MARK))
+    return F.when(F.size(spans) > 0, cut).otherwise(text)
+
 
+def _terms(text: Column) -> Column:
+    """Different words of letters and digits, in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lower))
 
-def disclosive_terms(found: DataFrame, docs_text: DataFrame, *, window: int = 60, max_disclosure: float = 0.9, min_contexts: int = 3) -> DataFrame:
-    """Cut table (value, term, disclosure, kind_disclosure) of the words that reveal an entity.
 
-    ``found`` has one row per document with spans: text and spans; ``docs_text`` one text per document. A context is
-    the text ``window`` characters before and after a span. Pairs are counted with map-side combine; documents
-    of a word are counted over the whole corpus, but only for words that co-occur often enough.
+def disclosive_terms(found: DataFrame, docs: DataFrame, *, max_disclosure: float = 0.9, min_contexts: int = 3) -> DataFrame:
+    """Cut table (value, term, disclosure) of the words that reveal an entity.
+
+    ``found`` has one row per document with spans: row, text and spans; ``docs`` has text and spans of every document. A
+    context is the text of a document outside its spans. Pairs are counted with map-side combine, and only those that can
+    disclose: as both <= n_value, a word's documents must be fewer than total ** (1 - limit) * n_value ** limit.
+    Documents of a word are counted over the whole corpus, but only for words that co-occur often enough.
     """
-    span = F.col("s")
-    left = F.substring("text", F.greatest(span["start"] - window, F.lit(0)) + 1, F.least(span["start"], F.lit(window)))
-    right = F.substring("text", span["end"] + 1, F.lit(window))
-    # a word cut by the window's edge is dropped with everything up to the first blank
-    left = F.when(span["start"] > window, F.regexp_replace(left, r"^\S*", "")).otherwise(left)
-    context = F.concat_ws(" ", left, F.regexp_replace(right, r"\S*$", ""))
-    near = found.select("row", "text", F.explode("spans").alias("s")).select("row", F.lower(span["value"]).alias("value"), context.alias("context"))
-    near = cut_lineage(near.select("row", "value", F.xxhash64("context").alias("context"), _terms(F.col("context")).alias("terms")))
-    pairs = near.select("row", "value", "context", F.explode("terms").alias("term"))
-    different = pairs.select("value", "term", "context").distinct().groupBy("value", "term").agg(F.count(F.lit(1)).alias("contexts"))
-    often = cut_lineage(different.where(F.col("contexts") >= min_contexts))
-    together = pairs.join(often, ["value", "term"]).select("row", "value", "term").distinct().groupBy("value", "term").agg(F.count(F.lit(1)).alias("both"))
-    entities = near.join(often.select("value").distinct(), "value").select("row", "value").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("n_value"))
-    total = float(docs_text.count())
-    # documents that hold a word near any entity are some of those that hold it: a bound that spares common words
-    seen = pairs.select("row", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    total = float(max(docs.count(), 1))
+    outside = found.select("row", F.xxhash64("text").alias("context"), F.array_distinct(F.transform("spans", lambda s: F.lower(s["value"]))).alias("values"), _terms(_outside(F.col("text"), F.col("spans"))).alias("terms"))
+    by_doc = cut_lineage(outside)
+    values = by_doc.select("row", "context", F.explode("values").alias("value"))
+    entities = values.groupBy("value", "context").agg(F.count(F.lit(1)).alias("n")).groupBy("value").agg(F.sum("n").alias("n_value"), F.count(F.lit(1)).alias("contexts"))
+    entities = cut_lineage(entities.where(F.col("contexts") >= min_contexts).select("value", "n_value"))
+    held = cut_lineage(values.join(entities, "value"))
+    terms = by_doc.join(held.select("row").distinct(), "row", "left_semi").select("row", F.explode("terms").alias("term"))
+    # documents that hold a word beside any of these entities are some of those that hold it: a bound that spares common words
+    most = F.lit(total ** (1 - max_disclosure)) * F.pow(F.col("n_value").cast("double"), F.lit(max_disclosure)) * (1 + 1e-9)
+    top = held.agg(F.max(most)).first()[0] or 0.0
+    seen = cut_lineage(terms.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).where((F.col("n_term") >= min_contexts) & (F.col("n_term") <= top)))
+    pairs = held.join(terms.join(seen, "term"), "row").where(F.col("n_term") <= most)
+    together = pairs.groupBy("value", "term", "context", "n_value").agg(F.count(F.lit(1)).alias("n")).groupBy("value", "term", "n_value")
+    together = together.agg(F.sum("n").alias("both"), F.count(F.lit(1)).alias("contexts")).where(F.col("contexts") >= min_contexts)
 
     def disclosure() -> Column:
-        information = -F.log(F.col("n_value") / F.lit(max(total, 1.0)))
+        information = -F.log(F.col("n_value") / F.lit(total))
         pmi = F.log(F.col("both") * F.lit(total) / (F.col("n_value") * F.col("n_term")))
         return F.when(information > 0, pmi / information).otherwise(F.lit(0.0))
 
-    possible = cut_lineage(together.join(entities, "value").join(seen, "term").where(disclosure() > max_disclosure).drop("n_term"))
+    possible = cut_lineage(together.join(seen, "term").where(disclosure() > max_disclosure).drop("n_term"))
     wanted = cut_lineage(possible.select("term").distinct())
     if wanted.isEmpty():
         n_term = wanted.withColumn("n_term", F.lit(0).cast("long"))
     else:
-        n_term = docs_text.select(F.explode(_terms(F.col("text"))).alias("term")).join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+        words = docs.select(F.explode(_terms(_outside(F.col("text"), F.col("spans")))).alias("term"))
+        n_term = words.join(broadcast_if_small(wanted, max_rows=200_000), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     rows = possible.join(n_term, "term").withColumn("disclosure", disclosure())
     out = cut_lineage(rows.where(F.col("disclosure") > max_disclosure).select("value", "term", "disclosure"))
-    release(near, often, possible, wanted)
+    release(by_doc, entities, held, seen, possible, wanted)
     return out
 
 
-def find_private(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window: int = 60, **limits) -> tuple[DataFrame, DataFrame]:
+def _private(rows: DataFrame, text: str, spans: str, key: str, more: str, limits: dict) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with clean ``text`` and sorted ``spans``, those of disclosive words among them, and the disclosive pairs.
+
+    Texts are not shuffled for the pattern spans. The words to look for are joined by a digest of the text; up to a
+    counted 200,000 texts go to the scan.
+    """
+    slim = rows.select(F.col(text).alias("text"), F.col(spans).alias("spans"))
+    kept = cut_lineage(slim.select(F.monotonically_increasing_id().alias("row"), "spans", "text").where(F.size("spans") > 0))
+    terms = disclosive_terms(kept, slim, **limits)
+    release(kept)
+    if terms.isEmpty():
+        return rows, terms
+    words = slim.select(F.md5("text").alias(key), F.explode(_terms(_outside(F.col("text"), F.col("spans")))).alias("term"))
+    hits = words.join(broadcast_if_small(terms.select("term").distinct(), max_rows=200_000), "term")
+    wanted = cut_lineage(hits.groupBy(key).agg(F.collect_set("term").alias(more)))
+    out = rows.withColumn(key, F.md5(text)).join(broadcast_if_small(wanted, max_rows=200_000), key, "left")
+    both = F.sort_array(F.concat(spans, _term_spans(F.col(text), F.col(spans), F.col(more))))
+    return out.withColumn(spans, F.when(F.col(more).isNull(), F.col(spans)).otherwise(both)).drop(key, more), terms
+
+
+def _term_spans(text: Column, spans: Column, terms: Column) -> Column:
+    """Places of ``terms`` in the whole text, outside ``spans``."""
+    parts = F.split(F.regexp_replace(text, WORD, f"{MARK}$0{MARK}"), MARK)
+    found = let(parts, lambda p: _places(p, len(KINDS), lambda x: F.array_contains(terms, F.lower(x))))
+    return F.filter(found, lambda t: ~F.exists(spans, lambda s: (t["start"] < s["end"]) & (t["end"] > s["start"])))
+
+
+def find_private(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **limits) -> tuple[DataFrame, DataFrame]:
     """Two frames: (row, doc_id, spans) for every document, and the disclosive (value, term) pairs.
 
-    ``spans`` holds pattern spans and, with rank len(KINDS), the disclosive words near an entity they reveal. Runs
-    Spark jobs while the plan is built: the spans are found once and written with the few texts that have some.
+    ``spans`` holds pattern spans and, with rank len(KINDS), the disclosive words of the corpus. Runs Spark jobs while the
+    plan is built.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), _clean(F.col(text)).alias("text"))
-    rows = rows.withColumn("spans", base_spans(F.col("text")))
-    kept = rows.select("doc_id", "spans", F.monotonically_increasing_id().alias("row"), F.when(F.size("spans") > 0, F.col("text")).alias("text"))
-    kept = cut_lineage(kept)
-    found = kept.where("text is not null")
-    terms = disclosive_terms(found, rows.select("text"), window=window, **limits)
-    by_value = terms.groupBy("value").agg(F.sort_array(F.collect_set("term")).alias("terms"))
-    near = found.select("row", "text", F.explode("spans").alias("s")).withColumn("value", F.lower("s.value")).join(by_value, "value")
-    added = _term_spans(near, window).groupBy("row").agg(F.collect_set("span").alias("more"))
-    out = kept.join(added, "row", "left")
-    both = F.sort_array(F.concat("spans", F.coalesce("more", F.array().cast(f"array<{SPAN}>"))))
-    return out.select("row", "doc_id", both.alias("spans")), terms
-
-
-def _term_spans(near: DataFrame, window: int) -> DataFrame:
-    """Places of the terms of ``near`` (row, text, s, terms) within ``window`` characters of the span."""
-    start = F.greatest(F.col("s.start") - window, F.lit(0))
-    piece = F.substring("text", start + 1, F.col("s.end") - start + window)
-    word = r"(?<![\p{L}\p{N}])\p{L}{4,}(?![\p{L}\p{N}])"
-    parts = F.split(F.regexp_replace(piece, word, f"{MARK}$0{MARK}"), MARK)
-    rows = near.select("row", "terms", start.alias("start"), F.col("s.start").alias("from"), F.col("s.end").alias("to"), F.posexplode(parts).alias("k", "part"), parts.alias("parts"))
-    before = F.aggregate(F.transform(F.slice("parts", F.lit(1), F.col("k")), F.length), F.lit(0), lambda a, b: a + b)
-    at = F.col("start") + before
-    rows = rows.where((F.col("k") % 2 == 1) & F.array_contains("terms", F.lower("part"))).withColumn("at", at).withColumn("end", at + F.length("part"))
-    outside = (F.col("end") <= F.col("from")) | (F.col("at") >= F.col("to"))
-    return rows.where(outside).select("row", F.struct(F.col("at").alias("start"), F.lit(len(KINDS)).alias("rank"), F.col("end").alias("end"), F.col("part").alias("value")).alias("span"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), _clean(F.col(text)).alias("text"))
+    out, terms = _private(rows.withColumn("spans", base_spans(F.col("text"))), "text", "spans", "key", "more", limits)
+    return out.select("row", "doc_id", "spans"), terms
 
 
 def kind_name(rank: Column) -> Column:
@@ -212,25 +231,10 @@ def sanitise_text(text: Column, spans: Column) -> Column:
     return let(F.aggregate(spans, begin, step), lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
 
 
-def sanitise(docs: DataFrame, *, text: str = "text", window: int = 60, **limits) -> DataFrame:
-    """``docs`` with every personal span and disclosive word of ``text`` replaced; other columns as they are.
-
-    Pattern spans are found again in the scan, so texts are not shuffled for them; the disclosive words' spans are
-    joined by a digest of the text.
-    """
-    rows = docs.select(_clean(F.col(text)).alias("text")).withColumn("spans", base_spans(F.col("text")))
-    kept = cut_lineage(rows.select(F.monotonically_increasing_id().alias("row"), "spans", "text").where(F.size("spans") > 0))
-    terms = disclosive_terms(kept, docs.select(_clean(F.col(text)).alias("text")), window=window, **limits)
+def sanitise(docs: DataFrame, *, text: str = "text", **limits) -> DataFrame:
+    """``docs`` with every personal span and disclosive word of ``text`` replaced; other columns as they are."""
     spans, clean, key, more = fresh(docs, "_spans", "_clean", "_key", "_more")
-    out = docs.withColumn(clean, _clean(F.col(text))).withColumn(spans, base_spans(F.col(clean)))
-    if not terms.isEmpty():
-        by_value = cut_lineage(terms.groupBy("value").agg(F.sort_array(F.collect_set("term")).alias("terms")))
-        near = kept.withColumn("row", F.md5("text")).select("row", "text", F.explode("spans").alias("s"))
-        near = near.withColumn("value", F.lower("s.value")).join(by_value, "value")
-        # spans follow from the text alone, so texts name them; up to a counted 200,000 texts go to the scan
-        added = cut_lineage(_term_spans(near, window).groupBy("row").agg(F.collect_set("span").alias(more)).withColumnRenamed("row", key))
-        out = out.withColumn(key, F.md5(clean)).join(broadcast_if_small(added, max_rows=200_000), key, "left")
-        out = out.withColumn(spans, F.sort_array(F.concat(spans, F.coalesce(more, F.array().cast(f"array<{SPAN}>")))))
-    release(kept)
+    rows = docs.withColumn(clean, _clean(F.col(text))).withColumn(spans, base_spans(F.col(clean)))
+    out, _ = _private(rows, clean, spans, key, more, limits)
     replaced = F.when(F.size(spans) > 0, sanitise_text(F.col(clean), F.col(spans))).otherwise(F.col(text))
     return out.select(*[replaced.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])

@@ -80,3 +80,20 @@ def test_empty_table_and_repeated_rows(spark):
     twice = spark.createDataFrame([(1, "a@b.cc"), (1, "a@b.cc"), (None, None)], "doc_id long, text string")
     assert sorted(r.n_email for r in span_report(find_private(twice)[0]).collect()) == [0, 1, 1]
     assert sanitise(twice.withColumn("_row", F.lit(1))).columns == ["doc_id", "text", "_row"]
+
+
+def test_words_far_away_short_with_digits_and_in_other_documents(spark):
+    filler = "and so on " * 12
+    own = [f"Li met {filler} {w} boss@corp.example Zarathustra" for w in ["alpha", "beta", "gamma", "delta"]]
+    codes = [f"code X9y {filler} {w} +1 (988) 555-2485" for w in ["alpha", "beta", "gamma"]]
+    rest = [f"others met and so on alpha beta gamma delta code {i}" for i in range(4000)]
+    rows = [(i, t) for i, t in enumerate([*own, *codes, "only Zarathustra was there", *rest])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found, terms = find_private(docs)
+    assert {r.term for r in terms.collect()} == {"li", "zarathustra", "x9y"}
+    clean = {r.doc_id: r.text for r in sanitise(docs).collect()}
+    assert clean[0] == f"[NAME] met {filler} alpha [EMAIL] [NAME]"
+    assert clean[4] == f"code [NAME] {filler} alpha [PHONE]"
+    assert clean[7] == "only [NAME] was there" and clean[8] == rest[0]
+    report = {r.doc_id: r.spans for r in span_report(found).collect()}
+    assert report[7] == "term:5:16" and report[8] == ""
