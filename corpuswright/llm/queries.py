@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from corpuswright.llm.byte_pairs import round_trip
 from corpuswright.llm.chosen_path import similar_texts
 from corpuswright.llm.common import table
+from corpuswright.llm.fill_middle import fill_in_middle
 from corpuswright.llm.language import identify
 from corpuswright.llm.mixing import mix_plan
 from corpuswright.llm.nn_descent import near_duplicates
@@ -57,6 +59,14 @@ def op9_toxic_segments(spark, sf_dir):
     return detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_pair_tree_bpe(spark, sf_dir):
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark, sf_dir):
+    return fill_in_middle(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_tool_call_linking": op1_tool_call_linking,
     "op2_hash_threshold_mix": op2_hash_threshold_mix,
@@ -68,6 +78,8 @@ QUERIES = {
     "op8_chosen_path_join": op8_chosen_path_join,
     "op9_toxic_segments": op9_toxic_segments,
     "op10_language_spans": op10_language_spans,
+    "op11_pair_tree_bpe": op11_pair_tree_bpe,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }
 
 OP2 = r"""
@@ -175,4 +187,33 @@ select page_id, payload_bytes, payload_digest,
 from firsts
 """
 
-SQL = {"op2_hash_threshold_mix": OP2, "op7_warc_boundary_chain": OP7, "op4_distribution_divergence": OP4}
+OP12 = """
+with d as (
+  select doc_id, coalesce(text, '') as body, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as units,
+    sha256('1:' || coalesce(doc_id::varchar, '')) as h from documents),
+hashes as (
+  select doc_id, body, units, len(units)::bigint as n, ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2,
+    ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4 from d),
+cuts as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when body = '' or contains(body, '<P>') or contains(body, '<S>') or contains(body, '<M>') or h3 % 100 >= 90 then 'plain'
+      when h4 % 100 < 20 then 'spm' else 'psm' end as form from hashes),
+sections as (
+  select doc_id, n, form, body, array_to_string(units[1:a], '') as prefix, array_to_string(units[a + 1:b], '') as middle,
+    array_to_string(units[b + 1:], '') as suffix from cuts),
+outputs as (
+  select doc_id, n, form, length(prefix) as prefix_chars, length(middle) as middle_chars,
+    case form when 'plain' then body when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+      else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end as output from sections),
+places as (
+  select *, instr(output, '<P>') as p, instr(output, '<S>') as s, instr(output, '<M>') as m from outputs),
+restored as (
+  select *, case form when 'plain' then output
+    when 'psm' then substr(output, p + 3, s - p - 3) || substr(output, m + 3) || substr(output, s + 3, m - s - 3)
+    else substr(output, p + 3, m - p - 3) || substr(output, m + 3) || substr(output, s + 3, p - s - 3) end as back from places)
+select doc_id, n, form, case when form <> 'plain' then prefix_chars end::bigint as prefix_chars,
+  case when form <> 'plain' then middle_chars end::bigint as middle_chars, sha256(output) as output_sha256, sha256(back) as restored_sha256
+from restored
+"""
+
+SQL = {"op2_hash_threshold_mix": OP2, "op7_warc_boundary_chain": OP7, "op4_distribution_divergence": OP4, "op12_fill_in_middle": OP12}
