@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from corpuswright.llm.block_max import ranked_search
 from corpuswright.llm.byte_pairs import round_trip
 from corpuswright.llm.chosen_path import similar_texts
 from corpuswright.llm.common import table
@@ -67,6 +68,10 @@ def op12_fill_in_middle(spark, sf_dir):
     return fill_in_middle(table(spark, sf_dir, "documents"))
 
 
+def op13_block_max_search(spark, sf_dir):
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_tool_call_linking": op1_tool_call_linking,
     "op2_hash_threshold_mix": op2_hash_threshold_mix,
@@ -80,6 +85,7 @@ QUERIES = {
     "op10_language_spans": op10_language_spans,
     "op11_pair_tree_bpe": op11_pair_tree_bpe,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_block_max_search": op13_block_max_search,
 }
 
 OP2 = r"""
@@ -216,4 +222,37 @@ select doc_id, n, form, case when form <> 'plain' then prefix_chars end::bigint
 from restored
 """
 
-SQL = {"op2_hash_threshold_mix": OP2, "op7_warc_boundary_chain": OP7, "op4_distribution_divergence": OP4, "op12_fill_in_middle": OP12}
+OP13 = r"""
+with words as (
+  select row_number() over () as r, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents),
+docs as (select r, doc_id, terms, len(terms)::bigint as n from words where len(terms) > 0),
+corpus as (select count(*)::bigint as docs_all, sum(n)::bigint as terms_all from docs),
+postings as (select r, term, count(*)::bigint as tf from (select r, unnest(terms) as term from docs) group by r, term),
+weights as (
+  select term, floor(1000 * ln((2 * docs_all + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from postings, corpus group by term, docs_all),
+asked as (
+  select distinct item_id, coalesce(text, '') as q,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term,
+    generate_subscripts(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), 1) as place
+  from benchmark),
+times as (select item_id, q, term, count(*)::bigint as times from asked group by item_id, q, term),
+parts as (
+  select item_id, q, p.r, times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * d.n * docs_all) // terms_all))) as part
+  from times join weights using (term) join postings p using (term) join docs d on d.r = p.r, corpus),
+scores as (select item_id, q, r, sum(part)::bigint as score from parts group by item_id, q, r having sum(part) > 0),
+ranked as (
+  select item_id, doc_id, score, row_number() over (partition by item_id, q order by score desc, doc_id asc nulls last, r) as rank
+  from scores join docs using (r))
+select item_id, rank, doc_id, score from ranked where rank <= 20
+"""
+
+SQL = {
+    "op2_hash_threshold_mix": OP2,
+    "op4_distribution_divergence": OP4,
+    "op7_warc_boundary_chain": OP7,
+    "op12_fill_in_middle": OP12,
+    "op13_block_max_search": OP13,
+}
