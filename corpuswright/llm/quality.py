@@ -4,7 +4,11 @@ References are sums over all documents of a language: characters by class and oc
 frequent words. A document is compared with the reference of its own language by Jensen-Shannon distance, once over
 the classes and once over the frequent words (all other words are one entry). Short texts scatter too much, so each
 comparison only counts from a minimum length on. Everything is DataFrame functions; the words of a text are
-handled inside its row, so no text is shuffled.
+handled inside its row, so no text is shuffled. ``judge`` reads the texts twice: words are counted first, then
+every row is measured, and the class references are summed over the slim rows.
+
+A word of a text is known by its 64-bit hash after it is cut: windows and frequent words compare integers. Two
+different words share a hash with a chance of 2**-64.
 
 Defined results: null and empty texts have no words and fail the base rule; documents without a language are
 compared with the sum over all documents, as are those of a language with fewer than ``min_reference`` words;
@@ -43,8 +47,8 @@ def char_classes(text: Column) -> Column:
     return let(F.regexp_replace(text, r"\p{L}+", ""), counts)
 
 
-def repeated_words(words: Column) -> Column:
-    """Words inside three-word windows that occur at least twice in the text.
+def repeated_words(hashes: Column) -> Column:
+    """Words inside three-word windows that occur at least twice in the text, from the words' hashes.
 
     A window becomes one integer: the high bits of its hash, then its position in as many bits as the text
     needs, so one sort of integers brings equal windows together. Two different windows of a text of n words share
@@ -56,7 +60,7 @@ def repeated_words(words: Column) -> Column:
         bits = F.length(F.bin(n))
         shift = lambda x: F.call_function("shiftleft", x, bits)
         top = lambda x: F.call_function("shiftright", x, bits)
-        packed = F.transform(F.sequence(F.lit(0), n - 3), lambda i: shift(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))) + i)
+        packed = F.transform(F.slice(w, F.lit(1), n - 2), lambda x, i: shift(F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))) + i)
 
         def twice(s: Column) -> Column:
             same = lambda x, i: F.coalesce(top(x) == top(F.get(s, i)), F.lit(False))
@@ -69,7 +73,7 @@ def repeated_words(words: Column) -> Column:
 
         return F.when(n >= 3, let(let(F.sort_array(packed), twice), covered)).otherwise(F.lit(0).cast("long"))
 
-    return let(words, windows)
+    return let(hashes, windows)
 
 
 def duplicate_lines(text: Column) -> Column:
@@ -81,40 +85,77 @@ def language_key(lang: Column) -> Column:
     return F.when(lang.isNull(), F.lit(ALL)).otherwise(F.concat(F.lit("l"), lang.cast("string")))
 
 
-def references(docs: DataFrame, *, common_words: int = 40, min_reference: int = 2000) -> DataFrame:
-    """One row per language and one over all: key, classes (shares), words, word_shares, as a cut table.
+def _with_all(df: DataFrame, group: list[str], sums: list[str]) -> DataFrame:
+    """Rows by language and their sum over all."""
+    own = df.where(F.col("key") != ALL)
+    return own.unionByName(df.groupBy(*[F.lit(ALL).alias("key"), *group]).agg(*[F.sum(c).alias(c) for c in sums]))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), language_key(F.col("lang")).alias("key"))
+
+
+def _share(a: Column, b: Column) -> Column:
+    return F.when(b > 0, a / b).otherwise(F.lit(0.0))
+
+
+def word_references(docs: DataFrame, *, common_words: int = 40, min_reference: int = 2000) -> DataFrame:
+    """One row per language and one over all: key, n (words), words, word_shares, and the places of the words' hashes.
 
     Words are counted over all documents with map-side combine; only each language's ``common_words`` most
-    frequent ones (ties by word) are kept.
+    frequent ones (ties by word) are kept. Their hashes are put into ``slots`` of a small table: ``shift`` is the first
+    number of bits by which the hashes, shifted right, fall into different slots (null if there is none).
     """
-    rows = docs.select(language_key(F.col("lang")).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    counts = cut_lineage(rows.select("key", F.explode(words_of(F.col("text"))).alias("word")).groupBy("key", "word").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    totals = rows.select("key", char_classes(F.col("text")).alias("c"), F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n"))
-    totals = cut_lineage(totals.groupBy("key").agg(F.sum("n").alias("n"), *[F.sum(f"c.{c}").alias(c) for c in CLASSES]))
-
-    def with_all(df: DataFrame, group: list[str], sums: list[str]) -> DataFrame:
-        own = df.where(F.col("key") != ALL)
-        return own.unionByName(df.groupBy(*[F.lit(ALL).alias("key"), *group]).agg(*[F.sum(c).alias(c) for c in sums]))
+    words = _keyed(docs).select("key", F.explode(words_of(F.col("text"))).alias("word"))
+    counts = cut_lineage(words.groupBy("key", "word").agg(F.count(F.lit(1)).alias("n")))
+    every = _with_all(counts, ["word"], ["n"])
+    # a reference over all documents exists even where they have no word
+    none = docs.sparkSession.range(1).select(F.lit(ALL).alias("key"), F.lit(0).cast("long").alias("n"))
+    sums = _with_all(counts.select("key", "n"), [], ["n"]).unionByName(none).groupBy("key").agg(F.sum("n").alias("n"))
+    sums = sums.where(F.col("n") >= F.when(F.col("key") == ALL, F.lit(0)).otherwise(F.lit(min_reference)))
 
     # the least count among the most frequent words, found on the few different counts, trims the words first
-    every = with_all(counts, ["word"], ["n"])
-    sums = with_all(totals, [], ["n", *CLASSES]).where(F.col("n") >= F.when(F.col("key") == ALL, F.lit(0)).otherwise(F.lit(min_reference)))
     limit = every.groupBy("key", "n").agg(F.count(F.lit(1)).alias("words"))
     reached = F.sum("words").over(Window.partitionBy("key").orderBy(F.desc("n"))) - F.col("words")
     least = limit.withColumn("before", reached).where(F.col("before") < common_words).groupBy("key").agg(F.min("n").alias("least"))
     near = every.join(cut_lineage(least), "key").where("n >= least")
     rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("n"), "word"))
     top = near.withColumn("rank", rank).where(F.col("rank") <= common_words).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
-    chars = sum((F.col(c) for c in CLASSES[1:]), F.col(CLASSES[0]))
-    share = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
-    return cut_lineage(
-        sums.join(top, "key", "left").select(
-            "key",
-            F.array(*[share(F.col(c), chars) for c in CLASSES]).alias("classes"),
-            F.coalesce(F.transform("top", lambda x: x["word"]), F.array().cast("array<string>")).alias("words"),
-            F.coalesce(F.transform("top", lambda x: share(x["n"], F.col("n"))), F.array().cast("array<double>")).alias("shares"),
-        )
+
+    bits = max(6, (common_words**2).bit_length())
+    slot = lambda h, s: _slot(h, s, bits)
+    shifts = F.filter(F.sequence(F.lit(0), F.lit(64 - bits)), lambda s: F.size(F.array_distinct(F.transform("hashes", lambda h: slot(h, s)))) == F.size("hashes"))
+    every_slot = F.sequence(F.lit(0), F.lit((1 << bits) - 1))
+    found = (
+        sums.join(top, "key", "left")
+        .withColumn("words", F.coalesce(F.transform("top", lambda x: x["word"]), F.array().cast("array<string>")))
+        .withColumn("shares", F.coalesce(F.transform("top", lambda x: _share(x["n"], F.col("n"))), F.array().cast("array<double>")))
+        .withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+        .withColumn("shift", F.array_min(shifts))
+        .withColumn("taken", F.transform("hashes", lambda h: slot(h, F.col("shift"))))
+        .withColumn("places", F.transform(every_slot, lambda i: F.array_position("taken", i).cast("int")))
+        .withColumn("slots", F.transform("places", lambda k: F.when(k > 0, F.get("hashes", k - 1))))
     )
+    return cut_lineage(found.select("key", "n", "words", "shares", "hashes", "shift", "slots", "places"))
+
+
+def _slot(h: Column, shift: Column, bits: int) -> Column:
+    return F.call_function("shiftrightunsigned", h, shift).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+
+
+def class_references(counted: DataFrame, *, min_reference: int = 2000) -> DataFrame:
+    """key and classes (shares of the characters) of each language and of all, from rows with ``lang_key``, ``n_words`` and ``c``."""
+    totals = counted.groupBy(F.col("lang_key").alias("key")).agg(F.sum("n_words").alias("n"), *[F.sum(f"c.{c}").alias(c) for c in CLASSES])
+    sums = _with_all(totals, [], ["n", *CLASSES]).where((F.col("key") == ALL) | (F.col("n") >= min_reference))
+    chars = sum((F.col(c) for c in CLASSES[1:]), F.col(CLASSES[0]))
+    return cut_lineage(sums.select("key", F.array(*[_share(F.col(c), chars) for c in CLASSES]).alias("classes")))
+
+
+def references(docs: DataFrame, *, common_words: int = 40, min_reference: int = 2000) -> DataFrame:
+    """References of a corpus to judge other documents by: ``word_references`` with the classes of each key."""
+    words = word_references(docs, common_words=common_words, min_reference=min_reference)
+    rows = _keyed(docs).select(F.col("key").alias("lang_key"), char_classes(F.col("text")).alias("c"), F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n_words"))
+    return words.join(class_references(rows, min_reference=min_reference), "key")
 
 
 def _term(p: Column, q: Column) -> Column:
@@ -133,11 +174,12 @@ def class_distance(found: Column, classes: Column) -> Column:
     return _distance(F.array(*terms))
 
 
-def word_distance(words: Column, common: Column, shares: Column) -> Column:
-    """Distance of the common words' counts in ``words`` from ``shares``; other words are one entry.
+def word_distance(hashes: Column, refs: dict[str, Column], bits: int) -> Column:
+    """Distance of the common words' counts in ``hashes`` from their shares; other words are one entry.
 
-    The words' places in ``common`` are sorted, so the ends of equal runs give the counts.
+    The words' places among the common ones are sorted, so the ends of equal runs give the counts.
     """
+    shares = refs["shares"]
 
     def compared(places: Column, n: Column) -> Column:
         ends = F.filter(F.transform(places, lambda x, i: F.when(F.coalesce(F.get(places, i + 1) != x, F.lit(True)), F.struct(x.alias("k"), (i + 1).alias("end")))), lambda r: r.isNotNull())
@@ -153,39 +195,63 @@ def word_distance(words: Column, common: Column, shares: Column) -> Column:
 
         return _distance(let(ends, parts))
 
-    n = F.size(words)
-    places = F.sort_array(F.filter(F.transform(words, lambda w: F.array_position(common, w)), lambda k: k > 0))
+    n = F.size(hashes)
+    slot = lambda h: _slot(h, refs["shift"], bits)
+    known = F.filter(hashes, lambda h: F.get(refs["slots"], slot(h)) == h)
+    by_slot = F.transform(known, lambda h: F.get(refs["places"], slot(h)))
+    by_search = F.filter(F.transform(hashes, lambda h: F.array_position(refs["hashes"], h).cast("int")), lambda k: k > 0)
+    places = F.sort_array(F.when(refs["shift"].isNotNull(), by_slot).otherwise(by_search))
     return F.when(n > 0, let(places, lambda s: compared(s, n))).otherwise(F.lit(1.0))
 
 
-def score_quality(docs: DataFrame, refs: DataFrame, *, max_class: float = 0.26, max_word: float = 0.42, min_chars: int = 200, min_words: int = 100) -> DataFrame:
-    """Base counts, both distances and the verdict for each document (doc_id, text, lang).
+def count_rows(docs: DataFrame, word_refs: DataFrame) -> DataFrame:
+    """What each document (doc_id, text, lang) yields: base counts, class counts and its word distance; no text.
 
-    ``refs`` has one row per language; Spark broadcasts it after measuring its written size.
+    ``word_refs`` has one row per language; Spark broadcasts it after measuring its written size.
     """
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"), language_key(F.col("lang")).alias("key"))
-    known = refs.select(F.col("key"), F.lit(True).alias("known"))
-    rows = rows.join(known, "key", "left").withColumn("key", F.when(F.col("known"), F.col("key")).otherwise(F.lit(ALL))).drop("known").join(refs, "key", "left")
+    rows = _keyed(docs).withColumnRenamed("key", "lang_key")
+    known = word_refs.select(F.col("key"), F.lit(True).alias("known"))
+    rows = rows.join(known, rows["lang_key"] == known["key"], "left").drop("key")
+    rows = rows.withColumn("key", F.when(F.col("known"), F.col("lang_key")).otherwise(F.lit(ALL))).drop("known")
+    rows = rows.join(word_refs.select("key", "shares", "hashes", "shift", "slots", "places"), "key", "left")
+    refs = {c: F.col(c) for c in ("shares", "hashes", "shift", "slots", "places")}
+    bits = (word_refs.select(F.max(F.size("slots"))).first()[0] or 1).bit_length() - 1
     in_words = let(
-        words_of(F.col("text")),
-        lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words"), word_distance(w, F.col("words"), F.col("shares")).alias("word_distance")),
+        F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)),
+        lambda h: F.struct(F.size(h).cast("long").alias("n_words"), repeated_words(h).alias("n_repeat_words"), word_distance(h, refs, bits).alias("word_distance")),
     )
     # asking for both structs in one projection keeps each from being evaluated once per field
-    rows = rows.select("doc_id", "classes", in_words.alias("w"), char_classes(F.col("text")).alias("c"), duplicate_lines(F.col("text")).alias("n_dup_lines"), F.length("text").alias("chars"))
+    rows = rows.select("doc_id", "lang_key", "key", in_words.alias("w"), char_classes(F.col("text")).alias("c"), duplicate_lines(F.col("text")).alias("n_dup_lines"), F.length("text").alias("chars"))
+    return rows.select("doc_id", "lang_key", "key", "w.*", "c", "n_dup_lines", "chars")
+
+
+def verdicts(counted: DataFrame, class_refs: DataFrame, *, max_class: float = 0.26, max_word: float = 0.42, min_chars: int = 200, min_words: int = 100) -> DataFrame:
+    """Base counts, both distances and the verdict for each row of ``count_rows``."""
+    rows = counted.join(class_refs.select("key", "classes"), "key", "left")
     rows = rows.withColumn("class_distance", class_distance(F.col("c"), F.col("classes")))
-    n, again = F.col("w.n_words"), F.col("w.n_repeat_words")
+    n, again = F.col("n_words"), F.col("n_repeat_words")
     failed = (n < 50) | (100 * again > 50 * n)
-    odd = ((F.col("chars") >= min_chars) & (F.col("class_distance") > max_class)) | ((n >= min_words) & (F.col("w.word_distance") > max_word))
+    odd = ((F.col("chars") >= min_chars) & (F.col("class_distance") > max_class)) | ((n >= min_words) & (F.col("word_distance") > max_word))
     return rows.select(
         "doc_id",
-        n.alias("n_words"),
+        "n_words",
         (F.col("chars") - F.col("c.blanks")).cast("long").alias("word_chars"),
         F.col("c.symbols").alias("n_symbols"),
         "n_dup_lines",
-        again.alias("n_repeat_words"),
+        "n_repeat_words",
         "class_distance",
-        F.col("w.word_distance").alias("word_distance"),
+        "word_distance",
         failed.alias("base_failed"),
         (~failed & ~F.coalesce(odd, F.lit(False))).alias("kept"),
     )
+
+
+def score_quality(docs: DataFrame, refs: DataFrame, **limits) -> DataFrame:
+    """Verdicts on ``docs`` by the ``references`` of any corpus."""
+    return verdicts(count_rows(docs, refs), refs, **limits)
+
+
+def judge(docs: DataFrame, *, common_words: int = 40, min_reference: int = 2000, **limits) -> DataFrame:
+    """Verdicts on ``docs`` by their own references, in two passes over the texts."""
+    counted = cut_lineage(count_rows(docs, word_references(docs, common_words=common_words, min_reference=min_reference)))
+    return verdicts(counted, class_references(counted, min_reference=min_reference), **limits)

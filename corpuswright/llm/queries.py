@@ -12,7 +12,7 @@ from corpuswright.llm.mixing import mix_plan
 from corpuswright.llm.nn_descent import near_duplicates
 from corpuswright.llm.packing import pack
 from corpuswright.llm.pii import find_private, span_report
-from corpuswright.llm.quality import references, score_quality
+from corpuswright.llm.quality import judge
 from corpuswright.llm.toolcalls import TOOLS, derived_messages, link_tool_calls
 from corpuswright.llm.toxicity import detect
 from corpuswright.llm.warc import archive_round_trip
@@ -32,8 +32,7 @@ def op3_disclosure_pii(spark, sf_dir):
 
 
 def op4_distribution_divergence(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return score_quality(docs, references(docs)).drop("class_distance", "word_distance")
+    return judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
 def op5_lexical_packing(spark, sf_dir):
@@ -142,7 +141,7 @@ keyed as (
 sums as (
   select key, sum(n) as n, greatest(sum(n_chars), 1) as n_chars, [sum(lower), sum(upper), sum(digits), sum(blanks), sum(symbols), sum(marks)] as c
   from keyed group by key having key = '' or sum(n) >= 2000),
-own_counts as (select lang_key as key, word, count(*) as n from w group by lang_key, word having count(*) > 1),
+own_counts as (select lang_key as key, word, count(*) as n from w group by lang_key, word),
 counts as (
   select key, word, n from own_counts where key <> ''
   union all select '', word, sum(n) from own_counts group by word),
