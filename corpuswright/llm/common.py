@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,3 +40,12 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 def fold(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def row_blocks(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Slices (from, to) of rows whose sizes add up to at most ``limit``; a larger row is a slice of its own."""
+    at, ends = 0, np.cumsum(sizes)
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
+        yield at, to
+        at = to

@@ -13,6 +13,7 @@ in the shard; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import json
 import math
 import os
 import re
@@ -22,23 +23,40 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuswright.llm.chosen_path import _groups
+from corpuswright.llm.common import row_blocks
 from corpuswright.session import cut_lineage
 
 END_ID = 1
 K1, B = 1.2, 0.75
 
 
-# what the vocabulary's rules cut a plain text into, as Python finds it in lower case: runs of letters, single
-# digits, runs of other signs; a text with any other character, an apostrophe or "<|" is not plain
+# fixed values: the rules of the vocabulary files whose texts are cut here instead of by the tokenizer
+LOWER_WORDS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
+
+# what these rules cut a plain text into: runs of letters, single digits, runs of other signs. A text with any
+# other character, an apostrophe or "<|" is not plain
 _LETTERS = "a-zß-öø-ÿ"
 _SIGNS = r"!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"
 _PARTS = re.compile(rf"[{_LETTERS}]+|[0-9]|[{_SIGNS}]+")
-_NOT_PLAIN = re.compile(rf"[^ \t\n\r0-9A-ZÀ-ÖØ-Þ{_LETTERS}{_SIGNS}]|<\|")
+_PLAIN = re.compile(rf"[ \t\n\r0-9A-ZÀ-ÖØ-Þ{_LETTERS}{_SIGNS}]")
+_PLAIN_BYTES = bytes(c for c in range(256) if _PLAIN.fullmatch(chr(c)))
+_IN_LOWER = bytes(ord(chr(c).lower()) if _PLAIN.fullmatch(chr(c)) else c for c in range(256))
 
 
 class _Recent(dict):
@@ -48,7 +66,7 @@ class _Recent(dict):
         super().__init__()
         self.make, self.limit, self.before = make, limit, {}
 
-    def __missing__(self, key: str) -> bytes:
+    def __missing__(self, key) -> bytes:
         value = self.before.get(key)
         if value is None:
             value = self.make(key)
@@ -60,14 +78,15 @@ class _Recent(dict):
 
 
 class Encoder:
-    """Token ids of whole texts, with a bounded memory of words.
+    """Token ids of whole texts, as the vocabulary file gives them.
 
-    Plain texts are cut into words here, as the vocabulary's rules do it, and each word goes to the byte-pair model
-    once. Other texts go through the whole tokenizer piece by piece between blanks, across which the rules never
-    join characters, so the ids of a text are those of its pieces one after the other.
+    Where the file has the rules of ``LOWER_WORDS``, characters are never joined across blanks, so the ids of a text are
+    those of its pieces between blanks one after the other; pieces met lately are remembered. Pieces of plain texts
+    are cut into words here and each word goes to the byte-pair model; others go through the whole tokenizer. A file with
+    other rules gets whole texts.
     """
 
-    def __init__(self, vocabulary: str | None, limit: int = 200_000):
+    def __init__(self, vocabulary: str | None, limit: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -76,25 +95,40 @@ class Encoder:
 
             vocabulary = public_tokenizers.path("word_bpe_49k.json")
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.model = self.tokenizer.model
-        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
-        self.as_bytes = str.maketrans({chr(c): split(chr(c))[0][0] for c in range(33, 0x100) if _PARTS.fullmatch(chr(c))})
-        self.words = _Recent(self._word, limit)
-        self.pieces = _Recent(self._piece, limit // 10)
+        told = json.loads(self.tokenizer.to_str())
+        self.by_pieces = {k: told[k] for k in LOWER_WORDS} == LOWER_WORDS
+        if self.by_pieces:
+            split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+            self.as_bytes = str.maketrans({chr(c): split(chr(c))[0][0] for c in range(33, 0x100) if _PARTS.fullmatch(chr(c))})
+            self.plain, self.words, self.pieces = _Recent(self._plain, limit), _Recent(self._word, limit), _Recent(self._piece, limit // 10)
 
     def _word(self, word: str) -> bytes:
-        tokens = self.model.tokenize(word if word.isascii() else word.translate(self.as_bytes))
-        return array(self.code, [t.id for t in tokens]).tobytes()
+        return array(self.code, [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.as_bytes))]).tobytes()
+
+    def _plain(self, piece: bytes) -> bytes:
+        """Ids of a plain piece in lower-case Latin-1."""
+        if piece.isalpha() and piece.isascii():
+            return self.words[piece.decode()]
+        return b"".join(map(self.words.__getitem__, _PARTS.findall(piece.decode("latin-1"))))
 
     def _piece(self, piece: str) -> bytes:
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.kind).tobytes()
 
     def ids(self, text: str | None) -> np.ndarray:
         text = text or ""
-        if _NOT_PLAIN.search(text) is None:
-            return np.frombuffer(b"".join(map(self.words.__getitem__, _PARTS.findall(text.lower()))), self.kind)
+        if not self.by_pieces:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
+        try:
+            raw = text.encode("latin-1")
+        except UnicodeEncodeError:
+            raw = b"'"
+        if not raw.translate(None, _PLAIN_BYTES) and b"<|" not in raw:
+            return np.frombuffer(b"".join(map(self.plain.__getitem__, raw.translate(_IN_LOWER).split())), self.kind)
         pieces = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         return np.frombuffer(b"".join(map(self.pieces.__getitem__, pieces)), self.kind)
 
@@ -121,12 +155,17 @@ def tokenise(docs: DataFrame, window: int, vocabulary: str | None) -> DataFrame:
         if vocabulary not in _ENCODERS:
             _ENCODERS[vocabulary] = Encoder(vocabulary)
         encoder, part, full = _ENCODERS[vocabulary], TaskContext.get().partitionId(), 0
+        pa.default_memory_pool().release_unused()
+        before, ids = None, np.array([END_ID], encoder.kind)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                rows = batch.slice(at, 1000)
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            for first, last in row_blocks(sizes + 64, 2 << 20):
+                rows = batch.slice(first, last - first)
                 out: list[tuple] = []
                 for doc, text in zip(rows.column(0).to_pylist(), rows.column(1), strict=True):
-                    ids = np.append(encoder.ids(text.as_py()), encoder.kind.type(END_ID))
+                    text = text.as_py() or ""
+                    if text != before:  # copies of a row, as a mix makes them, follow each other
+                        before, ids = text, np.append(encoder.ids(text), encoder.kind.type(END_ID))
                     whole = len(ids) // window * window
                     for a in range(0, whole, window):
                         out.append((doc, a, window, crc_of(ids[a : a + window]), len(ids), part << 34 | full << 1, 0, None))

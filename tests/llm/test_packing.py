@@ -76,3 +76,13 @@ def test_neighbours_share_a_window(spark):
     for r in got:
         topics[r.sequence_id].add(r.doc_id // 100)
     assert sum(len(t) for t in topics.values()) / len(topics) < 1.7
+
+
+def test_other_vocabularies_give_their_own_ids(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    other = Tokenizer.from_file(path)
+    texts = {1: "Hello World, it is 2024", 2: "a  b\n\n c<|endoftext|>", 3: "", 4: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for r in pack(docs, vocabulary=path).collect():
+        ids = [*other.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 1]
+        assert (r.length, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
