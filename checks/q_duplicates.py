@@ -54,6 +54,7 @@ QUERIES = {
         F.round("similarity", 6).alias("similarity"), "left_docs", "right_docs",
         F.least("left_doc", "right_doc").alias("doc_a"), F.greatest("left_doc", "right_doc").alias("doc_b"),
     ),
+    "near_title_links": lambda s, d: dup.near_title_links(documents(s, d)),
     "duplicate_groups": lambda s, d: dup.duplicate_groups(index_rows(s, d)),
     "title_families": _families,
     "duplicate_clusters": lambda s, d: dup.duplicate_clusters(index_rows(s, d)),
@@ -79,6 +80,11 @@ fc AS (SELECT a AS toks, min(b) AS comp FROM fr GROUP BY a),
 fm AS (SELECT document_id, comp FROM ts JOIN fc USING (toks)),
 fam AS (SELECT min(document_id) OVER (PARTITION BY comp) AS family_id, document_id, count(*) OVER (PARTITION BY comp) AS members FROM fm
         QUALIFY members >= 3)"""
+LINKS = """
+le AS (SELECT lset AS a, rset AS b FROM tp WHERE sim >= 0.8 UNION SELECT rset, lset FROM tp WHERE sim >= 0.8),
+lr(a, b) AS (SELECT toks, toks FROM tg UNION SELECT lr.a, le.b FROM lr JOIN le ON lr.b = le.a),
+lc AS (SELECT a AS toks, min(doc) AS class_id FROM lr JOIN tg ON tg.toks = lr.b GROUP BY a),
+ln AS (SELECT a AS toks, count(*) AS links FROM le GROUP BY a)"""
 LAB = "concat(space_key, ':', page_id, ' ', title)"
 
 
@@ -155,6 +161,10 @@ SQL = {
         FROM (SELECT document_id, string_split(%s, ' ') AS w, string_split(%s, ' ') AS x2 FROM base))"""
         % (NORM.format(c="title"), NORM.format(c="concat(title, ' ', space_key, ' runbook')"))
     ),
+    "near_title_links": with_corpus(
+        "SELECT document_id, class_id, coalesce(links, 0) AS links, docs - 1 AS copies FROM ts JOIN tg USING (toks) JOIN lc USING (toks) LEFT JOIN ln USING (toks)",
+        SETS, LINKS,
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
     "near_title_pairs": with_corpus(
         """SELECT round(sim, 6) AS similarity, CASE WHEN sha256(array_to_string(lset, ' ')) < sha256(array_to_string(rset, ' ')) THEN an ELSE bn END AS left_docs,
         CASE WHEN sha256(array_to_string(lset, ' ')) < sha256(array_to_string(rset, ' ')) THEN bn ELSE an END AS right_docs,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MODULES = ["profile", "duplicates", "classify", "extract", "reports", "jobs", "images", "inference", "plans"]
+MODULES = ["profile", "duplicates", "classify", "extract", "reports", "jobs", "images", "inference", "plans", "refresh"]
 
 # queries without SQL to compare with
 ROWS_ONLY = {"render_documents", "refinalize"}

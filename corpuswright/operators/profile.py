@@ -59,31 +59,20 @@ def content_availability(pages: DataFrame) -> DataFrame:
     )
 
 
-def simhash64(docs: DataFrame, text: Column | str, *, key: str = "document_id") -> DataFrame:
-    """(key, simhash): weighted 64-bit simhash over SHA-256 of the tokens, as 16 hex digits.
+def _simhashes(tokens: DataFrame, keys: list[str], *others: Column) -> DataFrame:
+    """(keys, simhash, others) of rows (keys, tok); ``others`` are further aggregates of the same rows.
 
-    Tokens are exploded and counted inside the scan task, so the shuffle carries one partial
-    row of 33 numbers per document and no text. A document without a token gets 16 zeros.
+    Tokens are counted inside the scan task, so the shuffle carries one partial row of 33 numbers per key
+    and no text. A key whose only token is null gets 16 zeros.
     """
-    column = F.col(text) if isinstance(text, str) else text
-    tokens = docs.select(
-        key,
-        F.explode_outer(F.regexp_extract_all(F.lower(column), F.lit(SIMHASH_TOKEN), 0)).alias("tok"),
-    )
-    digest = tokens.select(key, F.sha2("tok", 256).alias("hex")).select(
-        key,
-        F.col("hex").isNotNull().cast("bigint").alias("one"),
-        (
-            F.shiftleft(F.conv(F.substring("hex", 1, 8), 16, 10).cast("bigint"), 32).bitwiseOR(
-                F.conv(F.substring("hex", 9, 8), 16, 10).cast("bigint")
-            )
-        ).alias("bits"),
+    digest = tokens.withColumn("one", F.col("tok").isNotNull().cast("bigint")).withColumn(
+        "bits", F.conv(F.substring(F.sha2("tok", 256), 1, 16), 16, -10).cast("bigint")
     )
     pair = F.lit(_PAIR).cast("bigint")
     sums = [
         F.sum(F.shiftrightunsigned("bits", k).bitwiseAND(pair)).alias(f"s{k}") for k in range(32)
     ]
-    counted = digest.groupBy(key).agg(F.sum("one").alias("n"), *sums)
+    counted = digest.groupBy(*keys).agg(F.sum("one").alias("n"), *sums, *others)
     low, high = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
     mask = F.lit(0xFFFFFFFF).cast("bigint")
     for k in range(32):
@@ -92,15 +81,45 @@ def simhash64(docs: DataFrame, text: Column | str, *, key: str = "document_id")
         low = low + F.when(ones_low * 2 >= F.col("n"), F.lit(1 << k).cast("bigint")).otherwise(0)
         high = high + F.when(ones_high * 2 >= F.col("n"), F.lit(1 << k).cast("bigint")).otherwise(0)
     value = F.format_string("%08x%08x", high, low)
-    return counted.select(key, F.when(F.col("n") == 0, F.lit("0" * 16)).otherwise(value).alias("simhash"))
+    return counted.withColumn("simhash", F.when(F.col("n") == 0, F.lit("0" * 16)).otherwise(value)).drop(
+        "n", *[f"s{k}" for k in range(32)]
+    )
+
+
+def simhash_tokens(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(SIMHASH_TOKEN), 0)
+
+
+def simhash64(docs: DataFrame, text: Column | str, *, key: str = "document_id") -> DataFrame:
+    """(key, simhash): weighted 64-bit simhash over SHA-256 of the tokens, as 16 hex digits.
+
+    A document without a token gets 16 zeros.
+    """
+    column = F.col(text) if isinstance(text, str) else text
+    return _simhashes(docs.select(key, F.explode_outer(simhash_tokens(column)).alias("tok")), [key])
 
 
 def signatures(pages: DataFrame) -> DataFrame:
-    """(document_id, text_simhash, heading_simhash, heading_count)."""
-    body = simhash64(pages, "text").withColumnRenamed("simhash", "text_simhash")
-    joined = pages.select("document_id", tx.extract_headings(F.col("markdown")).alias("headings"))
-    heads = simhash64(
-        joined.withColumn("joined", F.array_join("headings", " ")), "joined"
-    ).withColumnRenamed("simhash", "heading_simhash")
-    counts = joined.select("document_id", F.size("headings").alias("heading_count"))
-    return body.join(heads, "document_id").join(counts, "document_id")
+    """(document_id, text_simhash, heading_simhash, heading_count) from one pass over text and Markdown.
+
+    The tokens of both are one list, each with the part it comes from, and one aggregation makes both signatures.
+    """
+    heads = pages.select("document_id", "text", tx.extract_headings(F.col("markdown")).alias("headings"))
+    parts = F.array(
+        *[
+            F.struct(F.lit(part).alias("part"), simhash_tokens(said).alias("toks"), count.alias("count"))
+            for part, said, count in (
+                ("text", F.col("text"), F.lit(0)),
+                ("headings", F.array_join("headings", " "), F.size("headings")),
+            )
+        ]
+    )
+    tagged = heads.select("document_id", F.inline(parts)).select(
+        "document_id", "part", "count", F.explode_outer("toks").alias("tok")
+    )
+    found = _simhashes(tagged, ["document_id", "part"], F.max("count").alias("count"))
+    of = lambda part, c: F.max(F.when(F.col("part") == part, F.col(c)))
+    return found.groupBy("document_id").agg(
+        of("text", "simhash").alias("text_simhash"), of("headings", "simhash").alias("heading_simhash"),
+        of("headings", "count").alias("heading_count"),
+    )

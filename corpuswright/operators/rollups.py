@@ -30,17 +30,14 @@ def term_members(docs: DataFrame, column: str) -> DataFrame:
     )
 
 
-def term_rollup(
-    docs: DataFrame, column: str, *, kind: str, confidence: float, min_documents: int = 3, kept=None
+def term_rows(
+    grouped: DataFrame, *, kind: str, confidence: float, min_documents: int = 3, kept=None
 ) -> DataFrame:
-    """One row per term: id, first display form, document count.
+    """One row per term of (term, document_count, first): id, first display form, document count.
 
     Single words on fewer than ``min_documents`` documents are dropped unless listed in ``kept``.
     """
     kept = fv.SINGLE_WORDS_KEPT if kept is None else kept
-    grouped = term_members(docs, column).groupBy("term").agg(
-        F.count(F.lit(1)).alias("document_count"), F.min("first").alias("first")
-    )
     common = F.col("term").contains(" ") | F.col("term").isin(list(kept)) | (
         F.col("document_count") >= min_documents
     )
@@ -54,18 +51,32 @@ def term_rollup(
     )
 
 
-def theme_rollup(docs: DataFrame, **options) -> DataFrame:
-    return term_rollup(docs, "themes", kind="theme", confidence=0.65, **options)
+def _counted(docs: DataFrame, column: str) -> DataFrame:
+    return term_members(docs, column).groupBy("term").agg(
+        F.count(F.lit(1)).alias("document_count"), F.min("first").alias("first")
+    )
 
 
-def concept_rollup(docs: DataFrame, **options) -> DataFrame:
-    rows = term_rollup(docs, "concepts", kind="concept", confidence=0.58, **options)
+def theme_rows(grouped: DataFrame, **options) -> DataFrame:
+    return term_rows(grouped, kind="theme", confidence=0.65, **options)
+
+
+def concept_rows(grouped: DataFrame, **options) -> DataFrame:
+    rows = term_rows(grouped, kind="concept", confidence=0.58, **options)
     return rows.withColumn(
         "description",
         F.concat(F.lit("Deterministic concept extracted from headings or keywords: "), F.col("concept")),
     )
 
 
+def theme_rollup(docs: DataFrame, **options) -> DataFrame:
+    return theme_rows(_counted(docs, "themes"), **options)
+
+
+def concept_rollup(docs: DataFrame, **options) -> DataFrame:
+    return concept_rows(_counted(docs, "concepts"), **options)
+
+
 def entity_rollup(entities: DataFrame, docs: DataFrame, *, mentions: int = 100, aliases: int = 100) -> DataFrame:
     """One row per (type, normalised name) with distinct documents, mean confidence, first name.
 

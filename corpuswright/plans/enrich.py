@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuswright.functions import text as tx
 from corpuswright.operators import classify as cl
 from corpuswright.operators import extract as ex
 from corpuswright.operators import flags as fl
@@ -50,31 +51,44 @@ def page_features(pages: DataFrame, as_of, *, inside_domains=(), person_id: str
     return fl.review_flags_union(fl.usability_flags(fl.missing_content_flags(df)))
 
 
-def enrich(pages: DataFrame, as_of, *, inside_domains=(), person_id: str | None = None, with_facts: bool = True) -> Enriched:
-    visual = {
+def _with_visual_columns(pages: DataFrame) -> DataFrame:
+    missing = {
         name: F.lit(None).cast(kind)
         for name, kind in (("visual_status", "string"), ("images_succeeded", "int"))
         if name not in pages.columns
     }
-    pages = pages.withColumns(visual) if visual else pages
-    slim = cut_lineage(page_features(pages, as_of, inside_domains=inside_domains, person_id=person_id).drop(*HEAVY))
-    placed = hi.hierarchy_context(slim, hi.hierarchy_counts(pages))
-    scored = sc.quality_warnings(sc.quality_adjust(placed))
-    terms = cut_lineage(ex.keywords(pages))
-    df = scored.join(terms, "document_id", "left").withColumn(
-        "keywords", F.coalesce("keywords", F.array().cast("array<string>"))
-    )
+    return pages.withColumns(missing) if missing else pages
+
+
+def _keyworded(pages: DataFrame, terms: DataFrame) -> DataFrame:
+    return pages.join(terms, "document_id", "left").withColumn("keywords", tx.coalesce_array(F.col("keywords")))
+
+
+def own_features(pages: DataFrame, as_of, *, inside_domains=(), person_id: str | None = None) -> DataFrame:
+    """Everything a page yields whatever its neighbours are: the slim columns of its text, and its keywords."""
+    pages = _with_visual_columns(pages)
+    slim = page_features(pages, as_of, inside_domains=inside_domains, person_id=person_id).drop(*HEAVY)
+    return _keyworded(cut_lineage(slim), cut_lineage(ex.keywords(pages)))
+
+
+def finished_pages(features: DataFrame, counts: DataFrame) -> DataFrame:
+    """Pages from their own features and their place in the tree (``hierarchy_counts``); no text is read."""
+    df = sc.quality_warnings(sc.quality_adjust(hi.hierarchy_context(features, counts)))
     df = ex.summaries(ex.concepts(ex.themes(ex.categories(df))))
-    df = df.withColumns(
+    return df.withColumns(
         {
             "warnings": F.array_union("warnings", "review_flags"),
             "confidence": sc.page_confidence(),
         }
     )
-    named = pages.select("document_id", "page_id", "title", "labels", "links").join(
-        terms, "document_id", "left"
-    ).withColumn("keywords", F.coalesce("keywords", F.array().cast("array<string>")))
-    df = cut_lineage(df)
+
+
+def enrich(pages: DataFrame, as_of, *, inside_domains=(), person_id: str | None = None, with_facts: bool = True) -> Enriched:
+    pages = _with_visual_columns(pages)
+    slim = cut_lineage(page_features(pages, as_of, inside_domains=inside_domains, person_id=person_id).drop(*HEAVY))
+    terms = cut_lineage(ex.keywords(pages))
+    df = cut_lineage(finished_pages(_keyworded(slim, terms), hi.hierarchy_counts(pages)))
+    named = _keyworded(pages.select("document_id", "page_id", "title", "labels", "links"), terms)
     entities = cut_lineage(ex.candidate_entities(named))
     facts = ex.candidate_facts(pages, entities) if with_facts else None
     return Enriched(df, entities, facts)
