@@ -4,13 +4,16 @@ Messages carry calls as ``<tool_call>{"id", "name", "arguments"}</tool_call>`` a
 </tool_result>``. Each message is parsed once: calls are validated against the schema of their tool, their arguments become
 canonical JSON (sorted keys, no blanks), and the calls of one message are put in topological order of the references
 ``{"$ref": "<call id>"}`` in their arguments. Calls, results and references then meet in hash joins on conversation and
-identifier; nothing ever gathers a conversation.
+identifier; nothing ever gathers a conversation. References reach back to the same or an earlier turn, so turn and
+place together order all calls of a conversation topologically.
 
 Defined results: the first call with an identifier (by turn and place) owns it, later ones are ``duplicate``; the first result
 at or after its call is linked, others are ``extra``, and ``orphan`` without a call; calls without a result are
 ``unanswered``, without an identifier ``no_id``. References to calls that are absent or later are errors, as are cycles,
 whose calls come last in their order. Null text is empty; null conversations are one conversation; repeated rows
-are repeated calls; an empty table gives no rows; other columns are not read.
+are repeated calls; very long messages are parsed whole, one at a time; numbers of any length are compared exactly, and
+a call that JSON cannot read or write (NaN, too deep, over 4300 digits) is ``unreadable``; half a surrogate pair is
+written as its escape; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,15 +34,20 @@ RECORD = "kind string, conv_id {conv}, turn {turn}, place int, id string, name s
 TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "null": type(None)}
 
 
+def storable(text: str) -> str:
+    """``text`` with escapes for halves of surrogate pairs, which no UTF-8 holds."""
+    return text.encode("utf-8", "backslashreplace").decode()
+
+
 def canonical(value) -> str:
-    return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"), allow_nan=False)
+    return storable(json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"), allow_nan=False))
 
 
 def _fits(value, kind: str) -> bool:
     if kind in ("integer", "number"):
         if isinstance(value, bool) or not isinstance(value, (int, float)):
             return False
-        return kind == "number" or float(value).is_integer()
+        return kind == "number" or isinstance(value, int) or value.is_integer()
     return isinstance(value, TYPES[kind])
 
 
@@ -120,17 +128,15 @@ def parse_message(text: str, schemas: dict[str, dict]) -> tuple[str, list[tuple]
             call = json.loads(raw)
             if not isinstance(call, dict):
                 raise ValueError
-            arguments = call.get("arguments")
+            arguments, ident, name = call.get("arguments"), call.get("id"), call.get("name")
             if isinstance(arguments, str):
                 arguments = json.loads(arguments)
-            body, name = canonical(arguments), call.get("name")
+            ident, name = (storable(x) if isinstance(x, str) else None for x in (ident, name))
+            errors = schema_errors(arguments, schemas[name]) if name in schemas else ["unknown tool"]
+            found = (ident, name, canonical(arguments), [storable(r) for r in references(arguments)], [storable(e) for e in errors])
         except (ValueError, RecursionError):
-            calls.append((None, None, None, [], ["unreadable"]))
-            continue
-        ident = call.get("id")
-        name = name if isinstance(name, str) else None
-        errors = schema_errors(arguments, schemas[name]) if name in schemas else ["unknown tool"]
-        calls.append((ident if isinstance(ident, str) else None, name, body, references(arguments), errors))
+            found = (None, None, None, [], ["unreadable"])
+        calls.append(found)
     order, looped = topological([c[0] for c in calls], [c[3] for c in calls])
     calls = [(*calls[i][:4], calls[i][4] + ["cycle"] * (i in looped)) for i in order]
     content = RESULT.sub("", CALL.sub("", text)).strip()
@@ -175,28 +181,33 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     rows = cut_lineage(parse(messages, schemas).withColumn("conv", F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit(""))))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     spot = F.struct(F.coalesce("turn", F.lit(0)).alias("turn"), F.col("place"), F.col("row"))
+    hashed = lambda df: df.hint("shuffle_hash")
     calls, results = rows.where("kind = 'call'"), rows.where("kind = 'result'")
     named = calls.where("id is not null")
     owners = cut_lineage(named.groupBy("conv", "id").agg(F.min(spot).alias("owner")))
-    answers = results.select("conv", "id", spot.alias("spot"), "body").join(owners, ["conv", "id"]).where(F.col("spot.turn") >= F.col("owner.turn"))
-    first = cut_lineage(answers.groupBy("conv", "id").agg(F.min(F.struct("spot", "body")).alias("answer")))
+    answers = results.select("conv", "id", spot.alias("spot")).join(hashed(owners), ["conv", "id"]).where(F.col("spot.turn") >= F.col("owner.turn"))
+    # the first answer's place is found without its text, which joins afterwards
+    first = cut_lineage(answers.groupBy("conv", "id").agg(F.min("spot")["row"].alias("answer")))
+    bodies = results.select(F.col("row").alias("answer"), F.col("body").alias("result"))
 
     targets = owners.select("conv", F.col("id").alias("ref"), "owner")
     wanted = calls.select("row", "conv", F.coalesce("turn", F.lit(0)).alias("at"), F.explode("refs").alias("ref"))
-    lost = wanted.join(targets, ["conv", "ref"], "left").where(F.col("owner").isNull() | (F.col("owner.turn") > F.col("at")))
+    lost = wanted.join(hashed(targets), ["conv", "ref"], "left").where(F.col("owner").isNull() | (F.col("owner.turn") > F.col("at")))
     lost = lost.groupBy("row").agg(F.count(F.lit(1)).alias("lost"))
 
-    linked = named.join(owners, ["conv", "id"]).join(first, ["conv", "id"], "left").join(lost, "row", "left")
+    linked = named.join(hashed(owners), ["conv", "id"]).join(hashed(first), ["conv", "id"], "left").join(hashed(lost), "row", "left")
     own = F.col("row") == F.col("owner.row")
     status = F.when(~own, "duplicate").when(F.col("answer").isNull(), "unanswered").otherwise("linked")
-    linked = linked.select(rows.columns[0], "conv_id", "turn", "place", "id", "name", "body", "errors", status.alias("status"), F.when(own, F.col("answer.body")).alias("result"), "lost")
-    loose = calls.where("id is null").join(lost, "row", "left").select("kind", "conv_id", "turn", "place", "id", "name", "body", "errors", F.lit("no_id").alias("status"), F.lit(None).cast("string").alias("result"), "lost")
+    # calls without an answer of their own ask for a row that does not exist, each for another one
+    linked = linked.withColumn("status", status).withColumn("answer", F.when(F.col("status") == "linked", F.col("answer")).otherwise(-1 - F.col("row")))
+    linked = linked.join(hashed(bodies), "answer", "left").select("kind", "conv_id", "turn", "place", "id", "name", "body", "errors", "status", "result", "lost")
+    loose = calls.where("id is null").join(hashed(lost), "row", "left").select("kind", "conv_id", "turn", "place", "id", "name", "body", "errors", F.lit("no_id").alias("status"), F.lit(None).cast("string").alias("result"), "lost")
     unresolved = F.when(F.col("lost").isNotNull(), F.array(F.concat(F.lit("unresolved references: "), F.col("lost").cast("string")))).otherwise(F.array().cast("array<string>"))
     call_json = F.concat(F.lit('{"arguments":'), F.coalesce("body", F.lit("null")), F.lit(',"id":'), _quoted(F.col("id")), F.lit(',"name":'), _quoted(F.col("name")), F.lit(',"result":'), _quoted(F.col("result")), F.lit("}"))
     calls_out = linked.unionByName(loose).select("kind", "conv_id", "turn", "place", "id", "name", "status", F.array_join(F.concat("errors", unresolved), "; ").alias("errors"), call_json.alias("record"))
 
-    used = results.join(owners, ["conv", "id"], "left").join(first, ["conv", "id"], "left")
-    fate = F.when(F.col("owner").isNull(), "orphan").when(F.col("row") == F.col("answer.spot.row"), "linked").otherwise("extra")
+    used = results.join(hashed(owners), ["conv", "id"], "left").join(hashed(first), ["conv", "id"], "left")
+    fate = F.when(F.col("owner").isNull(), "orphan").when(F.col("row") == F.col("answer"), "linked").otherwise("extra")
     result_json = F.concat(F.lit('{"content":'), _quoted(F.col("body")), F.lit(',"id":'), _quoted(F.col("id")), F.lit("}"))
     results_out = used.select("kind", "conv_id", "turn", "place", "id", "name", fate.alias("status"), F.lit("").alias("errors"), result_json.alias("record"))
 
