@@ -9,7 +9,8 @@ ranges and read in parallel. Every piece between two magics is a candidate recor
 from its Content-Length, a successor offset. A payload may hold the magic itself, so candidates are only
 believed if the chain of successors that starts at offset 0 of the file reaches them. Pointer jumping finds
 those in as many rounds as the longest chain has binary digits. Pieces that are not reached belong
-to the payload of the record before them.
+to the payload of the record before them. Texts that are needed after that are read again and known by their digest,
+not by a number of their row: how files are split for reading may change between two scans.
 
 Defined results: null html is an empty payload; rows with equal page id and payload become equal records, all of
 them response if they hold the smallest id; a null page id comes last and is written as an empty id; control
@@ -98,27 +99,32 @@ def _fields(value: Column, head: Column) -> dict[str, Column]:
 
 
 def scan_pieces(spark: SparkSession, folder: str) -> DataFrame:
-    """place, file, block and value of the pieces between magics. Scans of the same files number them alike."""
+    """place, file, block and value of the pieces between magics. ``place`` orders the pieces of one scan only."""
     raw = spark.read.option("lineSep", MAGIC).text(folder)
     return raw.select(F.monotonically_increasing_id().alias("place"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
 
 
+def text_key(value: Column) -> Column:
+    return F.md5(value.cast("binary"))
+
+
 def parse_pieces(pieces: DataFrame) -> DataFrame:
     """Cut table: place, file, block, size and the parsed headers of each piece, without its text.
 
-    Digests are taken here, in the scan, so nothing after it moves or stores a payload.
+    Digests of payloads, and of whole pieces by which their text is found again, are taken here, in the scan, so nothing
+    after it moves or stores a payload.
     """
     value = F.col("value")
     rows = pieces.withColumn("head", F.when(F.instr(value, END) > 0, F.substring_index(value, END, 1)))
     f = _fields(value, F.col("head"))
     size = (F.octet_length(value) + len(MAGIC)).cast("long")
     return cut_lineage(
-        rows.select("place", "file", "block", "head", size.alias("size"), f["reach"].alias("reach"), f["fits"].alias("fits"), F.octet_length(f["payload"]).alias("length"), F.sha2(f["payload"], 256).alias("digest"))
+        rows.select("place", "file", "block", "head", size.alias("size"), f["reach"].alias("reach"), f["fits"].alias("fits"), F.octet_length(f["payload"]).alias("length"), F.sha2(f["payload"], 256).alias("digest"), text_key(value).alias("text_key"))
     )
 
 
 def candidates(pieces: DataFrame) -> DataFrame:
-    """Candidate records: place, file, start, next (null if the headers are broken), head, fits, length, digest.
+    """Candidate records: place, file, start, next (null if the headers are broken), head, fits, length, digest, text_key.
 
     Offsets are exact: the text before a file's first magic and all pieces, each with its separator,
     add up to the file. Sums per read range (a few rows per file) give each range its first offset.
@@ -130,7 +136,7 @@ def candidates(pieces: DataFrame) -> DataFrame:
     # the first piece of a file precedes its first magic; the offset after it is that of the first record
     at = F.col("base") + F.col("inside") - len(MAGIC)
     rows = pieces.withColumn("inside", inside).join(blocks, ["file", "block"]).withColumn("start", at)
-    return rows.select("place", "file", "start", (F.col("start") + F.col("reach")).alias("next"), "head", "fits", "length", "digest").where("start >= 0")
+    return rows.select("place", "file", "start", (F.col("start") + F.col("reach")).alias("next"), "head", "fits", "length", "digest", "text_key").where("start >= 0")
 
 
 def reachable(links: DataFrame) -> DataFrame:
@@ -172,24 +178,29 @@ def read_archives(spark: SparkSession, folder: str, *, with_payload: bool = Fals
     chain = reachable(found.select("file", "start", "next"))
     real = found.where("next is not null").join(chain, ["file", "start"])
     # pieces that the chain does not reach belong to the last record that starts before them
-    marks = found.select("file", "start", "place").join(real.select("place", F.col("place").alias("own")), "place", "left")
+    marks = found.select("file", "start", "place", "text_key").join(real.select("place", F.col("place").alias("own")), "place", "left")
     owner = F.last("own", ignorenulls=True).over(Window.partitionBy("file").orderBy("start"))
-    inner = cut_lineage(marks.withColumn("owner", owner).where("own is null and owner is not null").select("place", "owner"))
-    split = cut_lineage(real.where("not fits").select("place", "file", "start", "head"))
-    texts = texts.select("place", "value")
-    tails = texts.join(inner, "place").groupBy("owner").agg(
+    inner = cut_lineage(marks.withColumn("owner", owner).where("own is null and owner is not null").select("place", "owner", "text_key"))
+    split = cut_lineage(real.where("not fits").select("place", "file", "start", "head", "text_key"))
+    # pieces of equal text are alike, so each text is fetched once
+    asked = broadcast_if_small(cut_lineage(inner.select("text_key").unionByName(split.select("text_key")).distinct()), max_rows=200_000)
+    keyed = texts.select(text_key(F.col("value")).alias("text_key"), "value")
+    fetched = cut_lineage(keyed.join(asked, "text_key").dropDuplicates(["text_key"]))
+    tails = inner.join(fetched, "text_key").groupBy("owner").agg(
         F.concat_ws("", F.transform(F.sort_array(F.collect_list(F.struct("place", "value"))), lambda x: F.concat(F.lit(MAGIC), x["value"]))).alias("tail")
     )
-    joined = split.join(texts, "place").join(tails.withColumnRenamed("owner", "place"), "place", "left")
+    joined = split.join(fetched, "text_key").join(tails.withColumnRenamed("owner", "place"), "place", "left")
     joined = joined.withColumn("value", F.concat("value", F.coalesce("tail", F.lit(""))))
     whole = _fields(F.col("value"), F.col("head"))["payload"]
-    long_ones = joined.select("place", "file", "start", "head", whole.alias("payload"))
-    slim = real.where("fits").select("place", "file", "start", "head", "length", "digest")
+    long_ones = joined.select("file", "start", "head", whole.alias("payload"))
+    slim = real.where("fits").select("file", "start", "head", "length", "digest", "text_key")
     long_ones = long_ones.withColumn("length", F.octet_length("payload")).withColumn("digest", F.sha2("payload", 256))
     if with_payload:
-        slim = slim.join(texts, "place").withColumn("payload", _fields(F.col("value"), F.col("head"))["payload"]).drop("value")
+        every = keyed.dropDuplicates(["text_key"])
+        slim = slim.join(every, "text_key").withColumn("payload", _fields(F.col("value"), F.col("head"))["payload"]).drop("value")
     else:
         long_ones = long_ones.drop("payload")
+    slim = slim.drop("text_key")
     rows = slim.unionByName(long_ones)
     header = lambda name: F.nullif(F.regexp_extract("head", rf"(?i)(?:^|\r\n){name}:[ \t]*([^\r\n]*)", 1), F.lit(""))
     page = lambda name: F.regexp_extract("head", rf"(?:^|\r\n){name}: <urn:page:(-?[0-9]+)>", 1).try_cast("long")

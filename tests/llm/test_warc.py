@@ -52,3 +52,22 @@ def test_long_payload_split_over_read_ranges(spark):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert {r.page_id: bytes(r.payload).decode() for r in got} == {i: html for i, _, html, _ in rows}
     assert all(r.intact for r in got)
+
+
+def test_second_scan_with_other_read_splits(spark):
+    # a third of the payloads holds the magic; their texts are read again after the splits have changed
+    html = [f"{i} é " * 40 + (f"{MAGIC}inside {i} " * (i % 4 + 1) if i % 3 == 0 else "") for i in range(200)]
+    pages = spark.createDataFrame([(i, f"u{i}", h, None) for i, h in enumerate(html)], SCHEMA)
+    folder = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
+    write_archives(dedupe_payloads(pages.repartition(3)), folder)
+    for with_payload in (False, True):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+        try:
+            found = read_archives(spark, folder, with_payload=with_payload)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "5k")
+            got = found.collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert len(got) == 200 and all(r.intact for r in got)
+        if with_payload:
+            assert {r.page_id: bytes(r.payload).decode() for r in got} == dict(enumerate(html))
