@@ -12,15 +12,16 @@ is ``und``; repeated rows get equal results; other columns are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuswright.llm.common import fold
+from corpuswright.llm.common import fold, row_blocks
 from corpuswright.session import cut_lineage
 
 # fixed values: first and last code points of script blocks
@@ -42,7 +43,7 @@ SCRIPTS = [
     ("hangul", 0xAC00, 0xD7AF),
 ]
 
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")
 UND = "und"
 
 
@@ -59,15 +60,19 @@ class Model:
         self._script: dict[str, np.ndarray | None] = {}
 
     def scores(self, tokens: list[str]) -> np.ndarray:
-        """tokens x (languages + 1): log shares, at least ``floor``; last column 1 if a candidate language exists."""
+        """tokens x (languages + 3): log shares, at least ``floor``.
+
+        The last columns are 1 if the token has a candidate language, a letter, and a majority of learned trigrams.
+        """
         k = len(self.languages)
-        out = np.zeros((len(tokens), k + 1), np.float32)
+        out = np.zeros((len(tokens), k + 3), np.float32)
         rows, ids, starts, barred = [], [], [], []
         unseen, get, script = len(self.logp) - 1, self.grams.get, self._script
         for i, token in enumerate(tokens):
             found = LETTERS.findall(token.lower())
             if not found:
                 continue
+            out[i, k + 1] = 1
             letter = found[0][0]
             if letter not in script:
                 mask = self.scripts.get(script_of(letter))
@@ -83,6 +88,8 @@ class Model:
         if rows:
             out[rows, k] = 1
             s = np.add.reduceat(self.logp[ids], starts, axis=0) + np.array(barred)
+            learned = np.add.reduceat((np.array(ids) != unseen).astype(np.int64), starts)
+            out[rows, k + 2] = 2 * learned > np.diff([*starts, len(ids)])
             s -= s.max(axis=1, keepdims=True)
             s -= np.log(np.exp(s).sum(axis=1, keepdims=True))
             out[rows, :k] = np.maximum(s, self.floor)
@@ -92,7 +99,7 @@ class Model:
 class _Cache(dict):
     """Token to row of a growing score matrix; kept by a Python worker while the model stays the same."""
 
-    def __init__(self, model: Model, limit: int = 400_000):
+    def __init__(self, model: Model, limit: int = 200_000):
         super().__init__()
         self.model, self.limit, self.parts, self.n = model, limit, [], 0
 
@@ -107,7 +114,7 @@ class _Cache(dict):
     def matrix(self) -> np.ndarray:
         if len(self.parts) > 1:
             self.parts = [np.concatenate(self.parts)]
-        return self.parts[0] if self.parts else np.zeros((0, len(self.model.languages) + 1), np.float32)
+        return self.parts[0] if self.parts else np.zeros((0, len(self.model.languages) + 3), np.float32)
 
     def trim(self) -> None:
         if self.n > self.limit:
@@ -238,8 +245,8 @@ def label_languages(docs: DataFrame, model: Model) -> DataFrame:
             _CACHE.clear()
             cache = _CACHE[key] = _Cache(shared.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for a, b in _by_text(batch, 1):
+                part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_pydict(label_batch(part.column(0).to_pylist(), part.column(1).to_pylist(), shared.value, cache), schema=out_schema)
 
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -260,10 +267,21 @@ def identify(docs: DataFrame) -> DataFrame:
     return labelled.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "n_words", F.size("spans").cast("long").alias("n_spans"))
 
 
-def keep_known_languages(docs: DataFrame, model: Model, *, min_share: float = 0.5) -> DataFrame:
-    """``docs`` without the rows whose text has no letter or less than ``min_share`` of its words in one language.
+def known_words(texts: list, cache: _Cache) -> list[float]:
+    """Share of each text's words with letters that look like a learned language; 0 without such words."""
+    cache.trim()
+    rows = [cache.rows(t.split()) if t else np.zeros(0, np.int32) for t in texts]
+    matrix, k = cache.matrix(), len(cache.model.languages)
+    letters = [matrix[r, k + 1].sum() for r in rows]
+    return [float(matrix[r, k + 2].sum() / n) if n else 0.0 for r, n in zip(rows, letters, strict=True)]
+
 
-    Rows pass through whole, so nothing is joined or shuffled. Without learned languages only letters are asked for.
+def keep_known_languages(docs: DataFrame, model: Model, *, min_known: float = 0.5) -> DataFrame:
+    """``docs`` without the rows whose text has no letter or less than ``min_known`` of its words in learned languages.
+
+    A word is known if a learned language uses its script and most of its trigrams were seen in training; the text may
+    mix languages. Rows pass through whole, so nothing is joined or shuffled. Without learned languages only
+    letters are asked for.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
@@ -271,14 +289,18 @@ def keep_known_languages(docs: DataFrame, model: Model, *, min_share: float = 0.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _Cache(shared.value)
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
+            for a, b in _by_text(batch, at):
+                part = batch.slice(a, b - a)
                 texts = part.column(at).to_pylist()
                 if shared.value.languages:
-                    found = label_batch(texts, texts, shared.value, cache)
-                    keep = [p != UND and s >= min_share for p, s in zip(found["lang_pred"], found["score"], strict=True)]
+                    keep = [share >= min_known for share in known_words(texts, cache)]
                 else:
                     keep = [bool(t and LETTERS.search(t)) for t in texts]
                 yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def _by_text(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int]]:
+    """Slices of rows with up to about two million characters of text."""
+    return row_blocks(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False) + 64, 2 << 20)

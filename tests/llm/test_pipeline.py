@@ -54,7 +54,7 @@ def test_stages(spark, tmp_path):
 
     raw, known, single, safe, _ = rows
     assert not {9001, 9002, 9003} & set(known)
-    assert set(raw) - set(known) <= {9001, 9002, 9003}  # all other documents are mostly of one language
+    assert set(raw) - set(known) <= {9001, 9002, 9003}  # all other documents are of known languages
 
     root = classes({i: r.text for i, r in known.items()})
     assert set(single) == {i for i in known if root[i] == i}

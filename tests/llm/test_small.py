@@ -210,3 +210,14 @@ def test_language_spans_scripts_and_odd_rows(spark):
     nothing = L.fit(docs.withColumn("lang", L.F.lit(None).cast("string")), where=L.F.lit(True))
     assert {r.lang_pred for r in L.label_languages(docs, nothing).collect()} == {"und"}
     assert L.label_languages(docs.where("doc_id > 99"), model).count() == 0
+
+
+def test_language_stage_keeps_mixed_texts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = L.fit(docs, where=~L.held_out())
+    by_lang = {r.lang: r.text.split() for r in docs.where("lang is not null and length(text) > 2000").orderBy("doc_id").collect()}
+    a, b, c = list(by_lang.values())[:3]
+    texts = [" ".join(a[:40] + b[:30] + c[:30]), "qqxz zzqx " * 30, "漢字 " * 30, "12 ½ ² ①", "12 ½ " + " ".join(a[:5]), " ".join(a[:200_000 // 7]) * 20]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in L.keep_known_languages(rows, model).collect()) == [0, 4, 5]
+    assert {r.doc_id: r.lang_pred for r in L.label_languages(rows, model).collect()}[3] == "und"
