@@ -51,16 +51,39 @@ def _scan_pages(spark, sf):
     )
 
 
-def _enrichments(spark, sf):
+BROKEN = "n % 100 = 3"
+
+
+def _break(spark, sf, root, folder):
+    """Files that are no Parquet, one for every hundredth document, among those of an earlier output."""
+    rows = documents(spark, sf).where(BROKEN).select(
+        F.concat(folder, F.lit("/broken-"), "page_id", F.lit(".parquet")).alias("path"), F.substring("text", 1, 5000).alias("content")
+    )
+    sinks.write_files(rows, root)
+
+
+def _written(spark, sf):
     root = scratch(spark)
     sinks.write_enrichments(index_rows(spark, sf).select("document_id", "space_key", "document_type", "audience"), root)
-    return scan.scan_enrichments(spark, root)
+    _break(spark, sf, root, F.concat(F.lit("space_key="), "space_key"))
+    return root
+
+
+def _enrichments(spark, sf):
+    return scan.scan_enrichments(spark, _written(spark, sf))
+
+
+def _skipped(spark, sf):
+    root = _written(spark, sf)
+    issues = scan.skipped_issues(scan.skipped_files(spark, root, scan.scan_enrichments(spark, root)))
+    return issues.select("level", "code", F.substring_index("path", "/", -1).alias("file"), "page_id")
 
 
 def _artifacts(spark, sf):
     root = scratch(spark)
     rows = schemas.to_contract(artifacts(spark, sf).drop("images"), "visual_artifacts", run_id="r")
     rows.write.parquet(root)
+    _break(spark, sf, root, F.lit("."))
     return scan.scan_visual_artifacts(spark, root).select("space_key", "page_id", "status", "image_count", "images_failed", "run_id")
 
 
@@ -156,6 +179,7 @@ def _enriched(spark, sf):
 QUERIES = {
     "scan_pages": _scan_pages,
     "scan_enrichments": _enrichments,
+    "skipped_files": _skipped,
     "scan_visual_artifacts": _artifacts,
     "scan_index_tables": _index_tables,
     "write_run_artifacts": _run_artifacts,
@@ -179,6 +203,10 @@ SQL = {
         f"SELECT page_id, space_key, title, sha256(markdown) AS body_sha, length(text) AS chars, {J('labels')} AS labels, 1 AS links FROM base"
     ),
     "scan_enrichments": with_corpus("SELECT document_id, space_key, document_type, audience FROM idx", index_sql()),
+    "skipped_files": with_corpus(
+        f"""SELECT 'warning' AS level, 'unreadable_earlier_output' AS code, concat('broken-', n, '.parquet') AS file, NULL::VARCHAR AS page_id
+        FROM base WHERE {BROKEN}"""
+    ),
     "scan_visual_artifacts": """SELECT p_type AS space_key, p_partkey::VARCHAR AS page_id, (['complete', 'partial', 'skipped'])[p_size % 3 + 1] AS status,
         p_size % 6 AS image_count, p_size % 3 AS images_failed, 'r' AS run_id FROM part""",
     "scan_index_tables": None,

@@ -19,44 +19,48 @@ PAGE_FILE_URL = r"(?:^|/)download/attachments/(\d+)/([^/?#]+)"
 SUFFIX = "(?i)(?:" + "|".join(s.replace(".", r"\.") for s in fv.IMAGE_SUFFIXES) + ")$"
 
 
-def previous_heading(lines: Column, index: Column, prefix: Column) -> Column:
-    """Text of the last line starting with ``#`` before an image (its own line counts up to it)."""
-    before = F.concat(F.slice(lines, F.lit(1), index), F.array(prefix))
-    heads = F.filter(F.transform(before, tx.strip), lambda l: l.startswith("#"))
-    last = F.when(F.size(heads) > 0, F.element_at(heads, -1))
-    return F.nullif(tx.strip(F.regexp_replace(last, "^#+", "")), F.lit(""))
+def heading_text(line: Column) -> Column:
+    """Text of a line that starts with ``#``, null for other lines."""
+    bare = tx.strip(line)
+    return F.when(bare.startswith("#"), tx.strip(F.regexp_replace(bare, "^#+", "")))
 
 
-def nearby_lines(lines: Column, index: Column) -> Column:
-    """The line of an image with the line before and after it."""
-    start = F.greatest(index, F.lit(1))
-    return F.array_join(F.slice(lines, start, index + 2 - start + 1), "\n")
+def image_lines(pages: DataFrame) -> DataFrame:
+    """One row per line with an image: the line, its neighbours and the heading before it.
+
+    A page's lines are looked at once, inside its own row. Only lines with an image or a heading leave it, each image
+    line with the one before and after it; the heading is the last one of the lines before, found by one running pass.
+    """
+    ids = ["document_id", "page_id", "space_key"]
+    lined = pages.where(F.col("markdown").contains("](")).select(*ids, F.split("markdown", "\n").alias("_lines"))
+
+    def event(line: Column, i: Column) -> Column:
+        image = line.rlike(IMAGE_REF)
+        around = F.concat_ws("\n", F.get("_lines", i - 1), line, F.get("_lines", i + 1))
+        return F.struct(
+            i.alias("line"), F.when(image, line).alias("text"), F.when(image, around).alias("context"),
+            heading_text(line).alias("heading"),
+        )
+
+    events = F.filter(F.transform("_lines", event), lambda e: e["text"].isNotNull() | e["heading"].isNotNull())
+    rows = lined.select(*ids, F.explode(events).alias("e")).select(*ids, "e.*")
+    above = Window.partitionBy(*ids).orderBy("line").rangeBetween(Window.unboundedPreceding, -1)
+    return rows.withColumn("above", F.last("heading", ignorenulls=True).over(above)).where("text is not null")
 
 
 def image_references(pages: DataFrame) -> DataFrame:
     """One row per Markdown image: raw source, running number, heading before it, lines around it.
 
-    Worked out inside the page's own row (lines are split once); no line is shuffled.
+    A heading in the image's own line counts up to the image.
     """
-    lined = pages.where(F.col("markdown").contains("](")).select(
-        "document_id", "page_id", "space_key", F.split("markdown", "\n").alias("_lines")
-    )
-    hits = F.filter(
-        F.transform("_lines", lambda l, i: F.struct(i.alias("line"), l.alias("text"))),
-        lambda s: s["text"].rlike(IMAGE_REF),
-    )
-    per_line = lined.withColumn("_hit", F.explode(hits)).select(
-        "*", F.posexplode(F.regexp_extract_all("_hit.text", F.lit(IMAGE_REF), 0)).alias("in_line", "ref")
-    )
-    line = F.col("_hit.line")
-    prefix = F.substring(
-        F.col("_hit.text"), F.lit(1), F.position(F.col("ref"), F.col("_hit.text")) - 1
-    )
-    return per_line.select(
-        "document_id", "page_id", "space_key", line.alias("line"), "in_line",
+    refs = F.regexp_extract_all("text", F.lit(IMAGE_REF), 0)
+    rows = image_lines(pages).select("*", F.posexplode(refs).alias("in_line", "ref"))
+    prefix = F.substring(F.col("text"), F.lit(1), F.position(F.col("ref"), F.col("text")) - 1)
+    return rows.select(
+        "document_id", "page_id", "space_key", "line", "in_line",
         F.trim(F.regexp_extract("ref", IMAGE_REF, 1), F.lit("<>")).alias("raw"),
-        previous_heading(F.col("_lines"), line, prefix).alias("nearby_heading"),
-        nearby_lines(F.col("_lines"), line).alias("context"),
+        F.nullif(F.coalesce(heading_text(prefix), "above"), F.lit("")).alias("nearby_heading"),
+        "context",
     )
 
 
@@ -524,11 +528,11 @@ def visual_index_rows(artifacts: DataFrame) -> DataFrame:
 
 
 def image_dedupe_render(
-    images: DataFrame, *, dedupe: bool = True, max_images: int = 20, max_ocr_chars: int = 2000
+    images: DataFrame, *, dedupe: bool = True, max_images: int | None = None, max_ocr_chars: int | None = None
 ) -> DataFrame:
     """Per image of a page: whether the export shows it, and its shortened text.
 
-    Successful images only; the first of every content hash, then the first ``max_images``.
+    Successful images only; the first of every content hash, then the first ``max_images`` if given.
     ``outcome`` is shown, duplicate or truncated; ``ocr_cut`` marks shortened text.
     """
     good = images.where("status = 'success'").repartition("document_id")
@@ -540,11 +544,12 @@ def image_dedupe_render(
     )
     marked = good.withColumn("_repeat", repeat)
     order = Window.partitionBy("document_id", "_repeat").orderBy("rank")
-    shown = F.rtrim(F.substring("ocr_text", 1, max_ocr_chars))
-    long = F.length("ocr_text") > max_ocr_chars
+    shown = F.rtrim(tx.head(F.col("ocr_text"), max_ocr_chars))
+    long = F.lit(False) if max_ocr_chars is None else F.length("ocr_text") > max_ocr_chars
+    beyond = F.lit(False) if max_images is None else F.col("_n") > max_images
     return marked.withColumn("_n", F.row_number().over(order)).select(
         "document_id", "rank", "image_id", "source", "caption",
-        F.when(F.col("_repeat"), "duplicate").when(F.col("_n") > max_images, "truncated").otherwise("shown").alias("outcome"),
+        F.when(F.col("_repeat"), "duplicate").when(beyond, "truncated").otherwise("shown").alias("outcome"),
         F.when(long, shown).otherwise(F.col("ocr_text")).alias("ocr_shown"),
         long.alias("ocr_cut"),
     )

@@ -66,8 +66,8 @@ def availability_counts(index: DataFrame) -> DataFrame:
     return index.groupBy("content_availability").agg(F.count(F.lit(1)).alias("documents"))
 
 
-def subtree_value(enriched: DataFrame, *, limit: int | None = 100) -> DataFrame:
-    """Sections (parent title, else root title) by mean quality and size."""
+def subtree_value(enriched: DataFrame, *, limit: int | None = 100, roles: int | None = None) -> DataFrame:
+    """Sections (parent title, else root title) by mean quality and size, with all or the first ``roles`` of their page roles."""
     section = F.coalesce(
         F.nullif("parent_title", F.lit("")), F.nullif("root_title", F.lit("")), F.lit("unknown")
     )
@@ -75,7 +75,7 @@ def subtree_value(enriched: DataFrame, *, limit: int | None = 100) -> DataFrame:
         F.count(F.lit(1)).alias("pages"),
         F.rint(F.avg("quality.overall_score")).cast("bigint").alias("average_quality"),
         F.count_if(F.col("document_type").isin(OPERATIONAL)).alias("operational_pages"),
-        F.array_join(F.slice(F.array_sort(F.collect_set("page_role")), 1, 8), ", ").alias("roles"),
+        F.array_join(tx.first(F.array_sort(F.collect_set("page_role")), roles), ", ").alias("roles"),
         F.min(F.struct(*PLACE)).alias("_first"),
     )
     return grouped.orderBy(F.desc("average_quality"), F.desc("pages"), "_first").transform(_top, limit).drop("_first")

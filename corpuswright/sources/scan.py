@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+
 from corpuswright import schemas
 
 
@@ -163,12 +165,12 @@ def scan_pages(spark: SparkSession, root: str, *, own_files=()) -> DataFrame:
 # ---- earlier outputs ----------------------------------------------------------------------------
 
 
-def scan_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+def scan_table(spark: SparkSession, path: str, name: str, *, skip_unreadable: bool = False) -> DataFrame:
     """An output table by its contract; an absent path is an empty table."""
     schema = schemas.CONTRACTS[name]
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).option("ignoreCorruptFiles", skip_unreadable).parquet(path)
 
 
 def scan_index_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -180,12 +182,46 @@ def scan_index_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def scan_enrichments(spark: SparkSession, path: str) -> DataFrame | None:
-    """Earlier enrichment rows, or None when nothing was written yet."""
-    return spark.read.parquet(path) if _exists(spark, path) else None
+    """Earlier enrichment rows, or None when nothing readable was written yet.
+
+    A file that cannot be read counts as absent and concerns no other file; ``skipped_files`` names it.
+    """
+    if not _exists(spark, path):
+        return None
+    try:
+        # footers are read by tasks; the schema comes from the readable ones
+        return spark.read.option("ignoreCorruptFiles", True).option("mergeSchema", True).parquet(path)
+    except AnalysisException as no_schema:
+        if no_schema.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
+
+
+def skipped_files(spark: SparkSession, path: str, rows: DataFrame | None) -> DataFrame:
+    """(file, length) of the Parquet files below ``path`` that gave no row of ``rows``, which was read from there.
+
+    One listing is held against the files that rows come from; contents are not read for it.
+    """
+    listed = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    ).select(F.col("_metadata.file_path").alias("file"), "length")
+    if rows is None:
+        return listed
+    return listed.join(rows.select(F.col("_metadata.file_path").alias("file")).distinct(), "file", "left_anti")
+
+
+def skipped_issues(skipped: DataFrame) -> DataFrame:
+    """Issue rows for skipped files, as the validation of an export writes them."""
+    return skipped.select(
+        F.lit("warning").alias("level"), F.lit("unreadable_earlier_output").alias("code"),
+        F.concat(F.lit("file gives no rows and counts as absent: "), F.col("length").cast("string"), F.lit(" bytes")).alias("message"),
+        F.col("file").alias("path"), F.lit(None).cast("string").alias("page_id"),
+    )
 
 
 def scan_visual_artifacts(spark: SparkSession, path: str) -> DataFrame:
-    return scan_table(spark, path, "visual_artifacts")
+    """Artifact rows by their contract; a file that cannot be read counts as absent."""
+    return scan_table(spark, path, "visual_artifacts", skip_unreadable=True)
 
 
 def scan_run_history(

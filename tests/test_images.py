@@ -56,3 +56,30 @@ def test_discovery_keeps_order_headings_and_context(spark, make_pages):
     assert [r.nearby_heading for r in rows] == ["Top", "Top", None, None]
     assert rows[0].context == "intro\n![a](attachments/one.png) and ![b](<attachments/two.png>)\nafter"
     assert [r.source_kind for r in rows] == ["file", "file", "url", "file"]
+
+
+def test_headings_and_lines_around_images(spark):
+    lines = ["![a](a.png)", "# One ![b](b.png) tail", "text ![c](c.png)![d](d.png)", "#", "![e](e.png)", "## Two", "", "![f](f.png)"]
+    long = ["## Start"] + ["words", "![x](x.png)"] * 3000
+    rows = [("p", "1", "S", "\n".join(lines)), ("q", "2", "S", "\n".join(long)), ("r", "3", "S", "no image](here"), ("s", "4", "S", None)]
+    pages = spark.createDataFrame(rows, "document_id string, page_id string, space_key string, markdown string")
+    got = {(r.document_id, r.line, r.in_line): (r.raw, r.nearby_heading, r.context) for r in im.image_references(pages).collect()}
+
+    def around(i):
+        return "\n".join(lines[max(i - 1, 0) : i + 2])
+
+    assert {k[1:]: v for k, v in got.items() if k[0] == "p"} == {
+        (0, 0): ("a.png", None, around(0)), (1, 0): ("b.png", "One", around(1)), (2, 0): ("c.png", "One ![b](b.png) tail", around(2)),
+        (2, 1): ("d.png", "One ![b](b.png) tail", around(2)), (4, 0): ("e.png", None, around(4)), (7, 0): ("f.png", "Two", around(7)),
+    }
+    assert sum(k[0] == "q" for k in got) == 3000 and {v[1] for k, v in got.items() if k[0] == "q"} == {"Start"}
+    assert "_lines" not in im.image_references(pages).columns
+
+
+def test_export_shows_all_images_unless_limited(spark):
+    rows = [("d", i, f"image-{i}", "s", "success", "", f"h{i}", "words " * 600) for i in range(30)]
+    images = spark.createDataFrame(rows, "document_id string, rank int, image_id string, source string, status string, caption string, content_sha256 string, ocr_text string")
+    every = im.image_dedupe_render(images).collect()
+    assert {(r.outcome, r.ocr_cut, r.ocr_shown) for r in every} == {("shown", False, "words " * 600)}
+    some = im.image_dedupe_render(images, max_images=4, max_ocr_chars=10).collect()
+    assert sorted(r.outcome for r in some) == ["shown"] * 4 + ["truncated"] * 26 and {r.ocr_shown for r in some} == {"words word"}

@@ -121,3 +121,20 @@ def test_salted_join_keeps_every_row(spark):
     small = big.select("key").distinct().withColumn("v", F.length("key"))
     got = salted_join(big, small, "key", by=["id"], hot_rows=100)
     assert got.count() == 3000 and got.where("v is null or v <> length(key)").count() == 0
+
+
+def test_unreadable_earlier_files_count_as_absent(spark, tmp_path):
+    root = str(tmp_path / "earlier")
+    assert scan.scan_enrichments(spark, root) is None
+    spark.createDataFrame([("a", "S"), ("b", "T")], "document_id string, space_key string").write.partitionBy("space_key").parquet(root)
+    (tmp_path / "earlier" / "space_key=S" / "cut.parquet").write_bytes(b"PAR1 and then nothing")
+    (tmp_path / "earlier" / "space_key=T" / "text.parquet").write_bytes(b"plain text " * 50)
+    rows = scan.scan_enrichments(spark, root)
+    assert sorted((r.document_id, r.space_key) for r in rows.collect()) == [("a", "S"), ("b", "T")]
+    issues = scan.skipped_issues(scan.skipped_files(spark, root, rows)).collect()
+    assert sorted(r.path.rsplit("/", 1)[-1] for r in issues) == ["cut.parquet", "text.parquet"]
+    only = tmp_path / "broken"
+    only.mkdir()
+    (only / "x.parquet").write_bytes(b"nothing here")
+    assert scan.scan_enrichments(spark, str(only)) is None
+    assert scan.skipped_files(spark, str(only), None).count() == 1
