@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -33,6 +34,10 @@ def main() -> None:
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_DIR") or tempfile.mkdtemp(prefix="bench-"))
+        # the tables are small files; without this a scan has a task or two for eight cores
+        .config("spark.sql.files.maxPartitionBytes", "2m")
+        .config("spark.sql.files.openCostInBytes", "64k")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
