@@ -12,6 +12,8 @@ contexts count once; a null id is kept; repeated rows get equal results; an empt
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,13 +123,24 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lower))
 
 
-def disclosive_terms(found: DataFrame, docs: DataFrame, *, max_disclosure: float = 0.9, min_contexts: int = 3) -> DataFrame:
+def evidence(both: Column, n_term: Column, n_value: Column, total: Column) -> Column:
+    """Bound on how unlikely chance is: minus the logarithm of the probability that at least ``both`` of a word's
+    ``n_term`` documents hold the value if each does with the value's share of all documents (Chernoff).
+    """
+    share, usual = both / n_term, n_value / total
+    part = lambda x, y: F.when(x > 0, x * F.log(x / y)).otherwise(F.lit(0.0))
+    return F.when(share > usual, n_term * (part(share, usual) + part(1 - share, 1 - usual))).otherwise(F.lit(0.0))
+
+
+def disclosive_terms(found: DataFrame, docs: DataFrame, *, max_disclosure: float = 0.9, min_contexts: int = 3, chance: float = 0.05) -> DataFrame:
     """Cut table (value, term, disclosure) of the words that reveal an entity.
 
     ``found`` has one row per document with spans: row, text and spans; ``docs`` has text and spans of every document. A
     context is the text of a document outside its spans. Pairs are counted with map-side combine, and only those that can
     disclose: as both <= n_value, a word's documents must be fewer than total ** (1 - limit) * n_value ** limit.
-    Documents of a word are counted over the whole corpus, but only for words that co-occur often enough.
+    Documents of a word are counted over the whole corpus, but only for words that co-occur often enough. Of a value in many
+    documents a rare word reveals much by luck, so a pair must also be one that chance explains with a probability of at
+    most ``chance`` over all words and values that are compared.
     """
     total = float(max(docs.count(), 1))
     outside = found.select("row", F.xxhash64("text").alias("context"), F.array_distinct(F.transform("spans", lambda s: F.lower(s["value"]))).alias("values"), _terms(_outside(F.col("text"), F.col("spans"))).alias("terms"))
@@ -158,7 +171,9 @@ def disclosive_terms(found: DataFrame, docs: DataFrame, *, max_disclosure: float
         words = docs.select(F.explode(_terms(_outside(F.col("text"), F.col("spans")))).alias("term"))
         n_term = words.join(broadcast_if_small(wanted, max_rows=200_000), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     rows = possible.join(n_term, "term").withColumn("disclosure", disclosure())
-    out = cut_lineage(rows.where(F.col("disclosure") > max_disclosure).select("value", "term", "disclosure"))
+    compared = seen.count() * entities.count()
+    proven = evidence(F.col("both"), F.col("n_term"), F.col("n_value"), F.lit(total)) >= F.lit(math.log(max(compared, 1) / chance))
+    out = cut_lineage(rows.where((F.col("disclosure") > max_disclosure) & proven).select("value", "term", "disclosure"))
     release(by_doc, entities, held, seen, possible, wanted)
     return out
 

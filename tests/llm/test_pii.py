@@ -1,6 +1,8 @@
 """Personal data against a plain Python reading of the patterns, and disclosive words."""
 
 import hashlib
+import math
+import random
 import re
 
 import pytest
@@ -8,7 +10,7 @@ import pytest
 pytest.importorskip("corpuswright.llm")
 from pyspark.sql import functions as F  # noqa: E402
 
-from corpuswright.llm.pii import find_private, sanitise, span_report  # noqa: E402
+from corpuswright.llm.pii import evidence, find_private, sanitise, span_report  # noqa: E402
 
 KINDS = ["email", "ip", "card", "phone"]
 PLAIN = {
@@ -97,3 +99,26 @@ def test_words_far_away_short_with_digits_and_in_other_documents(spark):
     assert clean[7] == "only [NAME] was there" and clean[8] == rest[0]
     report = {r.doc_id: r.spans for r in span_report(found).collect()}
     assert report[7] == "term:5:16" and report[8] == ""
+
+
+def test_a_footer_address_discloses_no_rare_word(spark):
+    # an address in half of the documents, and rare words in three documents each, wherever they fall
+    rng = random.Random(3)
+    said = [["some", "plain", f"text{i}", "write", "to"] for i in range(600)]
+    for w in range(900):
+        for i in rng.sample(range(600), 3):
+            said[i].append(f"rare{w}x")
+    for i in rng.sample(range(20), 5):
+        said[i].append("Giveaway owner@corp.example")
+    rows = [(i, " ".join(words) + (" info@corp.example" if i % 2 else "")) for i, words in enumerate(said)]
+    _, terms = find_private(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {(r.value, r.term) for r in terms.collect()} == {("owner@corp.example", "giveaway")}
+
+
+def test_evidence_bounds_the_binomial_tail(spark):
+    rows = [(both, n, v) for n in (3, 8, 20) for both in (n // 2, n - 1, n) for v in (5, 50, 200)]
+    df = spark.createDataFrame(rows, "both long, n_term long, n_value long")
+    for r in df.withColumn("e", evidence(F.col("both"), F.col("n_term"), F.col("n_value"), F.lit(400.0))).collect():
+        p = r.n_value / 400
+        tail = sum(math.comb(r.n_term, k) * p**k * (1 - p) ** (r.n_term - k) for k in range(r.both, r.n_term + 1))
+        assert tail <= math.exp(-r.e) * (1 + 1e-9)
