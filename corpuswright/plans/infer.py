@@ -44,12 +44,14 @@ def infer(
     overlap_tokens: int = 200,
     max_chunks: int | None = None,
     parallelism: int | None = None,
+    log: str | None = None,
     source_name: str | None = None,
 ) -> Inferred:
     """Ask the model about every chunk of ``pages`` and fold the valid answers into ``enriched``.
 
     The model is called once per distinct prompt without a valid cached answer; checked answers are written to the
     shared folder without their prompts, and everything returned is read from there. Pages whose calls fail keep their rule-based values.
+    With ``log`` a run that was ended is taken up again without a second call for an answered prompt.
     """
     keys = enriched.pages.select("document_id", "title", "source_content_hash").withColumn("config_hash", F.lit(config_hash))
     chunks = nf.chunk_documents(pages.select("document_id", "text"), max_tokens=max_tokens, overlap_tokens=overlap_tokens, max_chunks=max_chunks)
@@ -58,7 +60,7 @@ def infer(
     if cache is None:
         cache = pages.sparkSession.createDataFrame([], CACHE)
     split = nf.response_cache_join(prompts, cache)
-    answered = nf.infer_batch(split.todo, predict, parallelism=parallelism)
+    answered = nf.infer_batch(split.todo, predict, parallelism=parallelism, log=log)
     answers = nf.responses(split.hits, split.todo, answered)
     checked = cut_lineage(nf.validate_responses(nf.parse_responses(answers)).drop("prompt"))
     merged = nf.refinalize(nf.merge_responses(enriched.pages, checked, source_name=source_name), as_of)
