@@ -28,6 +28,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuswright.llm.common import row_blocks
+
 NONE = np.int64(1 << 62)  # a leaf whose symbol starts no merge
 WIDEST = 64  # a word of fewer bytes is merged side by side with others
 REMEMBERED = 400_000  # words a task remembers
@@ -45,6 +47,43 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(next(rest)) for b in range(256)]
 
 
+class Merges:
+    """Ranks of pairs of ids in a table with open addressing, and the id that each rank makes."""
+
+    BITS = 19
+
+    def __init__(self, pairs: list[tuple[int, int, int]]):
+        left, right, self.made = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
+        keys = left << 32 | right
+        self.rank_of = dict(zip(keys.tolist(), range(len(keys)), strict=True))
+        self.keys, self.ranks = np.full(1 << self.BITS, -1, np.int64), np.full(1 << self.BITS, -1, np.int64)
+        todo = np.arange(len(keys))
+        slot = self._slot(keys)
+        while len(todo):
+            # the first of those that want a free slot gets it, the others try the next one
+            free = np.flatnonzero(self.keys[slot] < 0)
+            taken, first = np.unique(slot[free], return_index=True)
+            won = todo[free[first]]
+            self.keys[taken], self.ranks[taken] = keys[won], won
+            rest = np.setdiff1d(np.arange(len(todo)), free[first])
+            todo, slot = todo[rest], slot[rest] + 1 & (1 << self.BITS) - 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys ^ keys >> 25) * 0x9E3779B97F4A7C1 >> 20) & (1 << self.BITS) - 1
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids, -1 where they do not merge."""
+        keys = (left << 32 | right).ravel()
+        ranks, todo, slot = np.full(len(keys), -1, np.int64), np.arange(len(keys)), self._slot(keys)
+        while len(todo):
+            held = self.keys[slot]
+            hit = held == keys[todo]
+            ranks[todo[hit]] = self.ranks[slot[hit]]
+            on = ~hit & (held >= 0)
+            todo, slot = todo[on], slot[on] + 1 & (1 << self.BITS) - 1
+        return ranks.reshape(left.shape)
+
+
 class Vocabulary:
     """Tables of a byte-level BPE file of the tokenizers library."""
 
@@ -75,13 +114,7 @@ class Vocabulary:
         self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
         self.of_byte = np.array([ids[c] for c in byte_letters()], np.int64)
         pairs = (m.split(" ", 1) if isinstance(m, str) else m for m in model["merges"])
-        merges = [(ids[a] << 32 | ids[b], ids[a + b]) for a, b in pairs]
-        # pairs in order, their ranks, and the id that each rank makes
-        keys = np.array([k for k, _ in merges], np.int64)
-        self.rank_of = {k: r for r, (k, _) in enumerate(merges)}
-        order = np.argsort(keys, kind="stable")
-        self.pairs, self.ranks = np.append(keys[order], np.int64(-1)), np.append(order.astype(np.int64), np.int64(-1))
-        self.made = np.array([made for _, made in merges], np.int64)
+        self.merges = Merges([(ids[a], ids[b], ids[a + b]) for a, b in pairs])
         names = sorted(self.special, key=len, reverse=True)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         # texts of Latin-1 characters alone, which most are, are cut by a pattern that spells out its classes
@@ -99,12 +132,6 @@ class Vocabulary:
             return self.words
         return self.latin
 
-    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Ranks of pairs of ids, -1 where they do not merge."""
-        pair = left << 32 | right
-        at = np.searchsorted(self.pairs[:-1], pair)
-        return np.where(self.pairs[at] == pair, self.ranks[at], -1)
-
 
 class PairTree:
     """Segment tree over the pair ranks of one word of any length."""
@@ -155,7 +182,7 @@ class PairTree:
         return out
 
 
-def merge_rows(symbols: np.ndarray, sizes: np.ndarray, words: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+def merge_rows(symbols: np.ndarray, sizes: np.ndarray, merges: Merges) -> tuple[np.ndarray, np.ndarray]:
     """Ids of many short words, and how many each has: row r holds ``sizes[r]`` symbols and the trees run side by side.
 
     A row is wider than its word, so there is a place behind the last symbol.
@@ -167,7 +194,7 @@ def merge_rows(symbols: np.ndarray, sizes: np.ndarray, words: Vocabulary) -> tup
     before = np.maximum(np.arange(-1, width - 1), 0)[None, :].repeat(rows, 0)
     alive = np.arange(width)[None, :] < sizes[:, None]
     tree = np.full((rows, 2 * width), NONE)
-    rank = words.rank(ids[:, :-1], ids[:, 1:])
+    rank = merges.rank(ids[:, :-1], ids[:, 1:])
     pair = (rank >= 0) & alive[:, 1:]
     tree[:, width : 2 * width - 1] = np.where(pair, rank << bits | np.arange(width - 1), NONE)
     for level in range(bits - 1, -1, -1):
@@ -178,7 +205,7 @@ def merge_rows(symbols: np.ndarray, sizes: np.ndarray, words: Vocabulary) -> tup
 
     def leaf(r: np.ndarray, i: np.ndarray) -> np.ndarray:
         j = after[r, i]
-        found = words.rank(ids[r, i], ids[r, j])
+        found = merges.rank(ids[r, i], ids[r, j])
         return np.where((found >= 0) & (j < end[r]) & (j > i), found << bits | i, NONE)
 
     while len(live):
@@ -186,7 +213,7 @@ def merge_rows(symbols: np.ndarray, sizes: np.ndarray, words: Vocabulary) -> tup
         i = root & (width - 1)
         j = after[live, i]
         k = after[live, j]
-        ids[live, i] = words.made[root >> bits]
+        ids[live, i] = merges.made[root >> bits]
         alive[live, j] = False
         after[live, i] = k
         inside = k < end[live]
@@ -205,6 +232,29 @@ def merge_rows(symbols: np.ndarray, sizes: np.ndarray, words: Vocabulary) -> tup
     return ids[alive], alive.sum(1)
 
 
+def merge_words(symbols: np.ndarray, length: np.ndarray, merges: Merges) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of words whose symbols stand one after the other: all ids, and where each word's start and how many they are."""
+    first = np.cumsum(length) - length
+    sizes, starts, flat, low, at = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64), [np.zeros(0, np.int32)], 0, 0
+
+    def found(rows: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
+        nonlocal at
+        sizes[rows], starts[rows] = n, at + np.cumsum(n) - n
+        flat.append(ids.astype(np.int32))
+        at += len(ids)
+
+    for width in (4, 8, 16, 32, WIDEST):
+        rows = np.flatnonzero((length >= low) & (length < width))
+        low, step = width, SYMBOLS // width
+        for a in range(0, len(rows), step):
+            part = rows[a : a + step]
+            found(part, *merge_rows(symbols[np.minimum(first[part, None] + np.arange(width), len(symbols) - 1)], length[part], merges))
+    for r in np.flatnonzero(length >= WIDEST):
+        ids = np.array(PairTree(symbols[first[r] : first[r] + length[r]].tolist(), merges.rank_of).merged(merges.made))
+        found(np.array([r]), ids, np.array([len(ids)]))
+    return np.concatenate(flat), starts, sizes
+
+
 class _Numbers(dict):
     """Numbers of words; a word not met before gets the next one and is put down as new."""
 
@@ -242,28 +292,9 @@ class Encoder:
         new = [w.encode() for w in self.numbers.new]
         self.numbers.new = []
         length = np.fromiter(map(len, new), np.int64, len(new))
-        raw, start = np.frombuffer(b"".join(new), np.uint8), np.cumsum(length) - length
-        sizes, starts, flat, low, at = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64), [self.ids], 0, len(self.ids)
-
-        def found(rows: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
-            nonlocal at
-            sizes[rows], starts[rows] = n, at + np.cumsum(n) - n
-            flat.append(ids.astype(np.int32))
-            at += len(ids)
-
-        for width in (4, 8, 16, 32, WIDEST):
-            rows = np.flatnonzero((length >= low) & (length < width))
-            low, step = width, SYMBOLS // width
-            for a in range(0, len(rows), step):
-                part = rows[a : a + step]
-                symbols = raw[np.minimum(start[part, None] + np.arange(width), len(raw) - 1)]
-                found(part, *merge_rows(self.words.of_byte[symbols], length[part], self.words))
-        for r in np.flatnonzero(length >= WIDEST):
-            symbols = self.words.of_byte[raw[start[r] : start[r] + length[r]]].tolist()
-            ids = np.array(PairTree(symbols, self.words.rank_of).merged(self.words.made))
-            found(np.array([r]), ids, np.array([len(ids)]))
-        self.ids = np.concatenate(flat)
-        self.sizes, self.starts = np.append(self.sizes, sizes), np.append(self.starts, starts)
+        ids, starts, sizes = merge_words(self.words.of_byte[np.frombuffer(b"".join(new), np.uint8)], length, self.words.merges)
+        self.starts, self.sizes = np.append(self.starts, starts + len(self.ids)), np.append(self.sizes, sizes)
+        self.ids = np.concatenate([self.ids, ids])
 
     def runs(self, text: str) -> Iterator[list[str]]:
         """Words in runs of bounded length."""
@@ -346,16 +377,6 @@ def _encoder(vocabulary: str | None) -> Encoder:
     return _ENCODERS[vocabulary]
 
 
-def _blocks(weights: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
-    """Slices of rows whose weights add up to ``limit`` or little more."""
-    at = 0
-    ends = np.cumsum(weights)
-    while at < len(ends):
-        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
-        yield at, to
-        at = to
-
-
 def _replaced(batch: pa.RecordBatch, names: list[str], column: str, values: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*[batch.column(names.index(c)) for c in names if c != column], values], names=[*[c for c in names if c != column], column])
 
@@ -372,7 +393,7 @@ def encode(docs: DataFrame, *, text: str = "text", ids: str = "ids", vocabulary:
         encoder = _encoder(vocabulary)
         for batch in batches:
             lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(len(names) - 1)), 0).to_numpy(zero_copy_only=False)
-            for a, b in _blocks(lengths + 8, 4 << 20):
+            for a, b in row_blocks(lengths + 8, 4 << 20):
                 part = batch.slice(a, b - a)
                 found = encoder.encode(part.column(len(names) - 1).to_pylist())
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
@@ -395,7 +416,7 @@ def decode(encoded: DataFrame, *, ids: str = "ids", text: str = "text", vocabula
         for batch in batches:
             column = batch.column(len(names) - 1)
             sizes = pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-            for a, b in _blocks(sizes + 8, 1 << 20):
+            for a, b in row_blocks(sizes + 8, 1 << 20):
                 part = batch.slice(a, b - a)
                 flat = pa.compute.fill_null(pa.compute.list_flatten(part.column(len(names) - 1)), -1).to_numpy(zero_copy_only=False)
                 found = decode_ids(flat, sizes[a:b], words)

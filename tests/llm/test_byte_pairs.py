@@ -59,9 +59,18 @@ def test_both_trees_merge_alike():
     symbols = np.zeros((len(words), 32), np.int64)
     for r, w in enumerate(words):
         symbols[r, : len(w)] = WORDS.of_byte[list(w)]
-    ids, n = merge_rows(symbols, sizes, WORDS)
+    ids, n = merge_rows(symbols, sizes, WORDS.merges)
     for w, row in zip(words, np.split(ids, np.cumsum(n)[:-1]), strict=True):
-        assert PairTree(WORDS.of_byte[list(w)].tolist(), WORDS.rank_of).merged(WORDS.made) == row.tolist()
+        assert PairTree(WORDS.of_byte[list(w)].tolist(), WORDS.merges.rank_of).merged(WORDS.merges.made) == row.tolist()
+
+
+def test_ranks_of_pairs():
+    merges = WORDS.merges
+    keys = np.array(list(merges.rank_of))
+    assert merges.rank(keys >> 32, keys & 0xFFFFFFFF).tolist() == list(range(len(keys)))
+    random.seed(8)
+    left, right = (np.array([random.randrange(50_000) for _ in range(20_000)]) for _ in range(2))
+    assert merges.rank(left, right).tolist() == [merges.rank_of.get(k, -1) for k in (left << 32 | right).tolist()]
 
 
 def test_decoding_any_ids():
