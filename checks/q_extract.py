@@ -260,11 +260,11 @@ SQL = {
     "candidate_facts": with_corpus("SELECT * FROM fact", KW, ENT, FACT),
     "opening_text": with_corpus("SELECT document_id, opening_text FROM opn", OPEN),
     "summaries": with_corpus(
-        """SELECT document_id, concat(title, ' is a ', document_type, CASE WHEN document_subtype IS NULL THEN '' ELSE concat(' (', document_subtype, ')') END,
-        ' source', CASE WHEN par IS NULL THEN '' ELSE concat(' in ', par) END, '.') AS short_summary,
-        sha256(concat('This source is classified from deterministic title, hierarchy and content signals. Top headings: ',
-        CASE WHEN len(hs) > 0 THEN array_to_string(hs[1:4], ', ') ELSE 'no explicit headings' END, '. Opening source text: ', opening_text,
-        '. Key deterministic terms: ', CASE WHEN len(keywords) > 0 THEN array_to_string(keywords[1:8], ', ') ELSE 'no deterministic keywords' END, '.')) AS detailed
+        """SELECT document_id, concat(title, ' [', concat_ws(', ', document_type, document_subtype), ']',
+        CASE WHEN par IS NULL THEN '' ELSE concat('; below: ', par) END) AS short_summary,
+        sha256(concat('Begins: ', opening_text, ' | Sections: ', CASE WHEN len(hs) > 0 THEN array_to_string(hs[1:4], '; ') ELSE 'none' END,
+        ' | Keywords: ', CASE WHEN len(keywords) > 0 THEN array_to_string(keywords[1:8], '; ') ELSE 'none' END,
+        ' | Kind and keywords by rule')) AS detailed
         FROM sm""", KW, classify_ctes("corpus"), KWDOC, OPEN, SUMM,
     ),
     "display_titles": with_corpus(
