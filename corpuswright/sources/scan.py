@@ -93,32 +93,39 @@ def _folder(path: Column) -> Column:
     return F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
 
 
-def scan_page_json(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
-    """One JSON file per page (``name`` at any depth): typed columns, ``folder``, ``_corrupt``."""
+def scan_tree(spark: SparkSession, root: str) -> DataFrame:
+    """Every file below ``root``, listed once. Branches that ask for one file name open files of that name only.
+
+    A filter on ``_metadata.file_name`` prunes the listing, and contents are read only where they are selected.
+    """
     if not _exists(spark, root):
         raise FileNotFoundError(root)
-    files = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).text(root, wholetext=True)
-    ).select("value", relative_path(F.col("_metadata.file_path"), root).alias("path"))
-    return parse_json_lines(
-        files.select("value", _folder(F.col("path")).alias("folder")), schema
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+
+
+def _files_named(tree: DataFrame, root: str, name: str) -> DataFrame:
+    """(folder, value) of the files called ``name``."""
+    path = relative_path(F.col("_metadata.file_path"), root)
+    return tree.where(F.col("_metadata.file_name") == name).select(
+        _folder(path).alias("folder"), F.col("content").cast("string").alias("value")
     )
 
 
-def scan_page_text(spark: SparkSession, root: str, name: str, column: str) -> DataFrame:
+def scan_page_json(spark: SparkSession, root: str, name: str, schema: str, *, tree: DataFrame | None = None) -> DataFrame:
+    """One JSON file per page (``name`` at any depth): typed columns, ``folder``, ``_corrupt``."""
+    return parse_json_lines(_files_named(scan_tree(spark, root) if tree is None else tree, root, name), schema)
+
+
+def scan_page_text(spark: SparkSession, root: str, name: str, column: str, *, tree: DataFrame | None = None) -> DataFrame:
     """One text file per page: (folder, column). Bad UTF-8 is replaced."""
-    return (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).text(root, wholetext=True)
-    ).select(
-        _folder(relative_path(F.col("_metadata.file_path"), root)).alias("folder"), F.col("value").alias(column)
-    )
+    tree = scan_tree(spark, root) if tree is None else tree
+    return _files_named(tree, root, name).select("folder", F.col("value").alias(column))
 
 
-def scan_files(spark: SparkSession, root: str) -> DataFrame:
+def scan_files(spark: SparkSession, root: str, *, tree: DataFrame | None = None) -> DataFrame:
     """(path, length) of every file below ``root``; contents are not read."""
-    return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    ).select(relative_path(F.col("_metadata.file_path"), root).alias("path"), "length")
+    tree = scan_tree(spark, root) if tree is None else tree
+    return tree.select(relative_path(F.col("_metadata.file_path"), root).alias("path"), "length")
 
 
 def scan_attachments(files: DataFrame, *, own_files=(), folder: str = "attachments") -> DataFrame:
@@ -142,14 +149,14 @@ def scan_pages(spark: SparkSession, root: str, *, own_files=()) -> DataFrame:
     from corpuswright.operators.validation import assemble_pages
 
     manifest = good_rows(scan_manifest(spark, root))
-    metadata = good_rows(scan_page_json(spark, root, "metadata.json", schemas.METADATA))
-    links = good_rows(scan_page_json(spark, root, "links.json", schemas.LINKS)).select("folder", "links")
-    conversion = good_rows(scan_page_json(spark, root, "conversion.json", schemas.CONVERSION)).select(
-        "folder", F.col("warnings").alias("conversion_warnings")
-    )
-    body = scan_page_text(spark, root, "clean.md", "markdown")
-    text = scan_page_text(spark, root, "text.txt", "text")
-    names = attachment_names(scan_attachments(scan_files(spark, root), own_files=own_files))
+    tree = scan_tree(spark, root)
+    read = lambda name, schema: good_rows(scan_page_json(spark, root, name, schema, tree=tree))
+    metadata = read("metadata.json", schemas.METADATA)
+    links = read("links.json", schemas.LINKS).select("folder", "links")
+    conversion = read("conversion.json", schemas.CONVERSION).select("folder", F.col("warnings").alias("conversion_warnings"))
+    body = scan_page_text(spark, root, "clean.md", "markdown", tree=tree)
+    text = scan_page_text(spark, root, "text.txt", "text", tree=tree)
+    names = attachment_names(scan_attachments(scan_files(spark, root, tree=tree), own_files=own_files))
     pages = assemble_pages(manifest, metadata, links, conversion, body, text)
     empty = F.array()
     return pages.join(names, "folder", "left").withColumns(

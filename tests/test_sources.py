@@ -138,3 +138,22 @@ def test_unreadable_earlier_files_count_as_absent(spark, tmp_path):
     (only / "x.parquet").write_bytes(b"nothing here")
     assert scan.scan_enrichments(spark, str(only)) is None
     assert scan.skipped_files(spark, str(only), None).count() == 1
+
+
+def test_one_listing_opens_only_the_files_asked_for(spark, tmp_path):
+    for i in range(6):
+        folder = tmp_path / "pages" / str(i) / "attachments"
+        folder.mkdir(parents=True)
+        (folder.parent / "text.txt").write_text(f"page {i}")
+        (folder.parent / "clean.md").write_text("# x")
+        (folder / "big b+c.png").write_bytes(b"x" * 1000)
+    (tmp_path / "pages" / "3" / "text.txt").write_bytes(b"bad \xff utf")
+    tree = scan.scan_tree(spark, str(tmp_path))
+    texts = scan.scan_page_text(spark, str(tmp_path), "text.txt", "text", tree=tree)
+    assert {r.folder: r.text for r in texts.collect()}["pages/3"] == "bad � utf"
+    leaf = texts._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert leaf.metrics().apply("numFiles").value() == 6
+    files = scan.scan_files(spark, str(tmp_path), tree=tree)
+    assert files.count() == 18 and "content" not in files._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(FileNotFoundError):
+        scan.scan_tree(spark, str(tmp_path / "absent"))
