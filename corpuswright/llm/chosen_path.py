@@ -353,14 +353,20 @@ def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     Rows equal in id and text are told apart by nothing else, so of several only one is left if they stay.
     """
     found = cut_lineage(similar_texts(docs, doc_id=doc_id, text=text, **options))
-    by_id = lambda df: df.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "key")
-    same = found.groupBy(*by_id(found).columns[1:], F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id")).agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
-    gone = cut_lineage(same.where("not stays").select("id", "key"))
-    repeated = cut_lineage(same.where("stays and n > 1").select("id", "key"))
-    i, k = fresh(docs, "_id", "_key")
-    marked = docs.withColumn(i, F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).withColumn(k, F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
-    named = lambda df: df.select(F.col("id").alias(i), F.col("key").alias(k))
-    left = marked.join(named(gone), [i, k], "left_anti")
-    once = left.join(named(repeated), [i, k], "left_anti")
-    several = left.join(named(repeated), [i, k], "left_semi").dropDuplicates([i, k])
+    ident = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    # an id and a text are known by two hashes of 64 bits, so what the texts are joined with stays slim
+    marks = [F.xxhash64(F.lit(seed), ident, F.col("key")) for seed in (1, 2)]
+    same = found.groupBy(marks[0].alias("h1"), marks[1].alias("h2")).agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
+    same = cut_lineage(same.where("not stays or n > 1"))
+    h1, h2 = fresh(docs, "_h1", "_h2")
+    # up to a counted million pairs (some 30 MB) go to the texts; beyond that the texts meet them in a shuffle
+    gone, repeated = (
+        broadcast_if_small(cut_lineage(same.where(which).select(F.col("h1").alias(h1), F.col("h2").alias(h2))), max_rows=1_000_000)
+        for which in ("not stays", "stays")
+    )
+    key = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    of_row = [F.xxhash64(F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), key) for seed in (1, 2)]
+    left = docs.withColumn(h1, of_row[0]).withColumn(h2, of_row[1]).join(gone, [h1, h2], "left_anti")
+    once = left.join(repeated, [h1, h2], "left_anti")
+    several = left.join(repeated, [h1, h2], "left_semi").dropDuplicates([h1, h2])
     return once.unionByName(several).select(*[F.col(f"`{c}`") for c in docs.columns])
