@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -49,3 +50,15 @@ def row_blocks(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, "right")))
         yield at, to
         at = to
+
+
+@contextmanager
+def arrow_rows(spark, rows: int):
+    """Jobs run inside send at most ``rows`` rows of whole texts to Python at once; the session's setting comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuswright.llm.chosen_path import _groups
-from corpuswright.llm.common import row_blocks
+from corpuswright.llm.common import arrow_rows, row_blocks
 from corpuswright.session import cut_lineage
 
 END_ID = 1
@@ -86,7 +86,7 @@ class Encoder:
     other rules gets whole texts.
     """
 
-    def __init__(self, vocabulary: str | None, limit: int = 150_000):
+    def __init__(self, vocabulary: str | None, limit: int = 100_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -100,8 +100,8 @@ class Encoder:
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.model = self.tokenizer.model
-        told = json.loads(self.tokenizer.to_str())
-        self.by_pieces = {k: told[k] for k in LOWER_WORDS} == LOWER_WORDS
+        told = {k: getattr(self.tokenizer, k) for k in LOWER_WORDS}
+        self.by_pieces = {k: part and json.loads(part.__getstate__()) for k, part in told.items()} == LOWER_WORDS
         if self.by_pieces:
             split = self.tokenizer.pre_tokenizer.pre_tokenize_str
             self.as_bytes = str.maketrans({chr(c): split(chr(c))[0][0] for c in range(33, 0x100) if _PARTS.fullmatch(chr(c))})
@@ -330,7 +330,8 @@ def pack(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", window:
     if vocabulary not in _ENCODERS:
         _ENCODERS[vocabulary] = Encoder(vocabulary)
     kind = _ENCODERS[vocabulary].kind
-    pieces = cut_lineage(tokenise(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), window, vocabulary))
+    with arrow_rows(docs.sparkSession, 1000):
+        pieces = cut_lineage(tokenise(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), window, vocabulary))
     full = pieces.where("tail is null").drop("tail")
     tails = pieces.where("tail is not null").select("doc_id", "start", "length", "doc_tokens", "tail")
     df, n, mean = document_frequencies(tails, kind)
