@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import posixpath
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuswright import schemas
+from corpuswright.session import check_shared
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -144,24 +149,87 @@ def attachment_names(attachments: DataFrame) -> DataFrame:
     return attachments.groupBy("folder").agg(F.array_sort(F.collect_set("name")).alias("attachment_names"))
 
 
+def _is_listed(name: str) -> bool:
+    """Whether Spark's file sources see a file or folder of this name."""
+    hidden = (name.startswith("_") and "=" not in name) or name.startswith(".") or name.endswith("._COPYING_")
+    return not hidden or name.startswith(("_common_metadata", "_metadata"))
+
+
+PAGE_FILES = {"metadata.json": "metadata", "links.json": "links", "conversion.json": "conversion", "clean.md": "markdown", "text.txt": "text"}
+
+
+def scan_page_files(spark: SparkSession, root: str, folders: DataFrame, *, attachments: str = "attachments") -> DataFrame:
+    """(folder, a column for each of ``PAGE_FILES``, attachment_names) of the ``folder`` rows below ``root``.
+
+    The tasks open the files and list the attachments of their own folders, so the driver lists nothing, however many
+    pages there are. Absent files are null. ``root`` is a folder as ``sinks.write_files`` takes it.
+    """
+    check_shared(spark, root)
+    schema = ", ".join(["folder string", *[f"{c} binary" for c in PAGE_FILES.values()], "attachment_names array<string>"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
+        base = base.rstrip("/")
+        names = ["folder", *PAGE_FILES.values(), "attachment_names"]
+        kinds = [pa.string(), *[pa.binary()] * len(PAGE_FILES), pa.list_(pa.string())]
+
+        def content(path: str) -> bytes | None:
+            try:
+                with store.open_input_file(path) as file:
+                    return file.read()
+            except FileNotFoundError:
+                return None
+            except OSError:
+                if store.get_file_info(path).type == fs.FileType.File:
+                    raise
+                return None
+
+        for batch in batches:
+            rows, held = [], 0
+            for folder in batch.column(0).to_pylist():
+                # only paths as a listing gives them name a folder
+                if folder and (posixpath.normpath(folder) != folder or folder.startswith(("/", "..")) or not all(map(_is_listed, folder.split("/")))):
+                    continue
+                at = f"{base}/{folder}" if folder else base
+                row = [folder, *[content(f"{at}/{name}") for name in PAGE_FILES]]
+                listed = store.get_file_info(fs.FileSelector(f"{at}/{attachments}", allow_not_found=True))
+                row.append([f.base_name for f in listed if f.type == fs.FileType.File and _is_listed(f.base_name)])
+                rows.append(row)
+                held += sum(len(c) for c in row[1:-1] if c is not None)
+                if held > 8 << 20:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                    rows, held = [], 0
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = folders.where("folder is not null").select("folder").repartition(parts, "folder").distinct()
+    return dealt.mapInArrow(read, schema)
+
+
 def scan_pages(spark: SparkSession, root: str, *, own_files=()) -> DataFrame:
-    """The page rows of an export: manifest joined with the five files of every page."""
+    """The page rows of an export: manifest joined with the five files of every page.
+
+    The manifest names the folders to read, so the tree is not listed; pages without one of the files are absent.
+    """
     from corpuswright.operators.validation import assemble_pages
 
     manifest = good_rows(scan_manifest(spark, root))
-    tree = scan_tree(spark, root)
-    read = lambda name, schema: good_rows(scan_page_json(spark, root, name, schema, tree=tree))
-    metadata = read("metadata.json", schemas.METADATA)
-    links = read("links.json", schemas.LINKS).select("folder", "links")
-    conversion = read("conversion.json", schemas.CONVERSION).select("folder", F.col("warnings").alias("conversion_warnings"))
-    body = scan_page_text(spark, root, "clean.md", "markdown", tree=tree)
-    text = scan_page_text(spark, root, "text.txt", "text", tree=tree)
-    names = attachment_names(scan_attachments(scan_files(spark, root, tree=tree), own_files=own_files))
-    pages = assemble_pages(manifest, metadata, links, conversion, body, text)
+    files = scan_page_files(spark, root, manifest.where("status = 'success'").select(F.col("path").alias("folder")))
+    files = files.where(" and ".join(f"{c} is not null" for c in PAGE_FILES.values()))
+    text = {c: F.col(c).cast("string").alias(c) for c in PAGE_FILES.values()}
+    rows = files.select("folder", *text.values(), "attachment_names")
+    rows = good_rows(parse_json_lines(rows.withColumnRenamed("links", "_links"), schemas.LINKS, "_links"))
+    rows = good_rows(parse_json_lines(rows.drop("page_id"), schemas.CONVERSION, "conversion")).withColumnRenamed("warnings", "conversion_warnings")
+    rows = good_rows(parse_json_lines(rows, schemas.METADATA, "metadata"))
+    own = lambda n: ~F.lower(n).isin([*own_files, ""]) & ~F.lower(n).startswith("manifest.")
+    names = F.array_sort(F.array_distinct(F.filter("attachment_names", own)))
+    rows = rows.select("folder", *schemas.struct(schemas.METADATA).names, "links", "conversion_warnings", "markdown", "text", names.alias("attachment_names"))
     empty = F.array()
-    return pages.join(names, "folder", "left").withColumns(
+    return assemble_pages(manifest, rows).withColumns(
         {
-            "attachment_names": F.coalesce("attachment_names", empty.cast("array<string>")),
             "labels": F.coalesce("labels", empty.cast("array<string>")),
             "links": F.coalesce("links", empty.cast(schemas.LINK_LIST)),
             "ancestors": F.coalesce("ancestors", empty.cast(schemas.ANCESTORS)),

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from corpuswright import schemas
 from corpuswright.operators.reports import markdown_header, markdown_rows
 from corpuswright.operators.rollups import ORDER, fact_trust_split
-from corpuswright.session import shared_dir
+from corpuswright.session import check_shared
 
 
 def write_enrichments(enriched: DataFrame, path: str) -> None:
@@ -61,10 +61,7 @@ def write_files(rows: DataFrame, root: str) -> None:
     ``file://`` counts as shared only if it lies in ``spark.checkpoint.dir``, or if the master is local.
     """
     spark = rows.sparkSession
-    shared = shared_dir(spark).removeprefix("file://")
-    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-        if ("://" not in root or root.startswith("file:")) and not root.removeprefix("file://").startswith(shared):
-            raise ValueError("write files below a folder that every executor reaches, such as spark.checkpoint.dir")
+    check_shared(spark, root)
 
     def write(partition) -> None:
         from pyarrow import fs

@@ -157,3 +157,16 @@ def test_one_listing_opens_only_the_files_asked_for(spark, tmp_path):
     assert files.count() == 18 and "content" not in files._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(FileNotFoundError):
         scan.scan_tree(spark, str(tmp_path / "absent"))
+
+
+def test_pages_are_read_without_listing_the_tree(spark, export):
+    # the driver would hold an entry for each file of every page
+    (export / "pages" / "2" / "attachments" / "_tmp.png").write_bytes(b"1")
+    with (export / "manifest.jsonl").open("a") as f:
+        for path in ("pages/1", "pages/./1", "pages/9", "../export/pages/1"):
+            f.write(json.dumps(dict(markdown_path="m", page_id="x", path=path, status="success")) + "\n")
+    pages = scan.scan_pages(spark, str(export))
+    assert "binaryFile" not in pages._jdf.queryExecution().toString()
+    assert sorted(p.page_id for p in pages.collect()) == ["1", "1", "2"]
+    assert {tuple(p.attachment_names) for p in pages.collect()} == {("a b.png",)}
+    assert {tuple(p.attachment_names) for p in scan.scan_pages(spark, str(export), own_files=["a b.png"]).collect()} == {()}
