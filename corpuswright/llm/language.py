@@ -58,14 +58,17 @@ class Model:
     def __init__(self, languages: list[str], grams: dict[str, int], logp: np.ndarray, scripts: dict[str, np.ndarray], penalty: float, floor: float):
         self.languages, self.grams, self.logp, self.scripts, self.penalty, self.floor = languages, grams, logp, scripts, penalty, floor
         self._script: dict[str, np.ndarray | None] = {}
+        # trigrams that a language has; the last row stands for all that were not learned
+        self.seen = logp > logp[-1] + 1e-3
 
     def scores(self, tokens: list[str]) -> np.ndarray:
-        """tokens x (languages + 3): log shares, at least ``floor``.
+        """tokens x (2 languages + 2): log shares, at least ``floor``.
 
-        The last columns are 1 if the token has a candidate language, a letter, and a majority of learned trigrams.
+        Two columns are 1 if the token has a candidate language, and a letter; the last ones if most of its trigrams
+        were learned from the language.
         """
         k = len(self.languages)
-        out = np.zeros((len(tokens), k + 3), np.float32)
+        out = np.zeros((len(tokens), 2 * k + 2), np.float32)
         rows, ids, starts, barred = [], [], [], []
         unseen, get, script = len(self.logp) - 1, self.grams.get, self._script
         for i, token in enumerate(tokens):
@@ -88,8 +91,8 @@ class Model:
         if rows:
             out[rows, k] = 1
             s = np.add.reduceat(self.logp[ids], starts, axis=0) + np.array(barred)
-            learned = np.add.reduceat((np.array(ids) != unseen).astype(np.int64), starts)
-            out[rows, k + 2] = 2 * learned > np.diff([*starts, len(ids)])
+            learned = np.add.reduceat(self.seen[ids].astype(np.int32), starts, axis=0)
+            out[rows, k + 2 :] = (2 * learned > np.diff([*starts, len(ids)])[:, None]) & (np.array(barred) == 0)
             s -= s.max(axis=1, keepdims=True)
             s -= np.log(np.exp(s).sum(axis=1, keepdims=True))
             out[rows, :k] = np.maximum(s, self.floor)
@@ -114,7 +117,7 @@ class _Cache(dict):
     def matrix(self) -> np.ndarray:
         if len(self.parts) > 1:
             self.parts = [np.concatenate(self.parts)]
-        return self.parts[0] if self.parts else np.zeros((0, len(self.model.languages) + 3), np.float32)
+        return self.parts[0] if self.parts else np.zeros((0, 2 * len(self.model.languages) + 2), np.float32)
 
     def trim(self) -> None:
         if self.n > self.limit:
@@ -268,19 +271,23 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def known_words(texts: list, cache: _Cache) -> list[float]:
-    """Share of each text's words with letters that look like a learned language; 0 without such words."""
+    """Share of each text's words with letters that look like the language of their span; 0 without such words.
+
+    The spans are those of ``label_batch``: Viterbi over the words' scores.
+    """
     cache.trim()
     rows = [cache.rows(t.split()) if t else np.zeros(0, np.int32) for t in texts]
     matrix, k = cache.matrix(), len(cache.model.languages)
     letters = [matrix[r, k + 1].sum() for r in rows]
-    return [float(matrix[r, k + 2].sum() / n) if n else 0.0 for r, n in zip(rows, letters, strict=True)]
+    paths = viterbi(rows, matrix[:, :k], cache.model.penalty)
+    return [float(matrix[r, k + 2 + path].sum() / n) if n else 0.0 for r, path, n in zip(rows, paths, letters, strict=True)]
 
 
 def keep_known_languages(docs: DataFrame, model: Model, *, min_known: float = 0.5) -> DataFrame:
     """``docs`` without the rows whose text has no letter or less than ``min_known`` of its words in learned languages.
 
-    A word is known if a learned language uses its script and most of its trigrams were seen in training; the text may
-    mix languages. Rows pass through whole, so nothing is joined or shuffled. Without learned languages only
+    Viterbi gives every word the language of its span, so the text may mix languages; a word is known if that language
+    uses its script and most of its trigrams were seen there in training. Rows pass through whole, so nothing is joined or shuffled. Without learned languages only
     letters are asked for.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)

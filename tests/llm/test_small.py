@@ -221,3 +221,18 @@ def test_language_stage_keeps_mixed_texts(spark):
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert sorted(r.doc_id for r in L.keep_known_languages(rows, model).collect()) == [0, 4, 5]
     assert {r.doc_id: r.lang_pred for r in L.label_languages(rows, model).collect()}[3] == "und"
+
+
+def test_language_stage_judges_words_by_their_span(spark):
+    rows = [(i, f"abcd bcda cdab dabc abcd{'abcd'[i % 4]}", "x") for i in range(40)] + [(100 + i, f"mnop nopm opmn pmno mnop{'mnop'[i % 4]}", "y") for i in range(40)]
+    model = L.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), where=~L.held_out())
+    docs = spark.createDataFrame(
+        [
+            (0, "abcd bcda cdab dabc mnop nopm opmn pmno", None),  # two languages, a span each
+            (1, "abcmnop dabopmn bcdnopm cdapmno", None),  # trigrams of both, words of none
+            (2, "abcd bcda", None),
+            (3, "zzzz zzzy", None),
+        ],
+        "doc_id long, text string, lang string",
+    )
+    assert sorted(r.doc_id for r in L.keep_known_languages(docs, model).collect()) == [0, 2]
