@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 NON_ASCII = r"[^\x00-\x7F]"
 # every separator that ends a line in Unicode text
 LINE_BREAK = r"\r\n|[\n\x0B\f\r\x1C-\x1E\x85  ]"
+RARE_BREAKS = ["\x0b", "\f", "\r", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029"]
 WORD = r"[\p{L}\p{N}_][\p{L}\p{N}_'-]*"
 NON_SPACE = r"(?U)[^\s\x1C-\x1F]+"
 MARKDOWN_IMAGE = r"!\[([^\]]*)\]\(([^)]+)\)"
@@ -81,7 +82,8 @@ def squeeze(c: Column) -> Column:
 
 
 def lines(c: Column) -> Column:
-    return F.split(c, LINE_BREAK)
+    """Lines of ``c``; only texts with a rare separator need the slower split."""
+    return F.when(contains_any(c, RARE_BREAKS), F.split(c, LINE_BREAK)).otherwise(F.split(c, "\n"))
 
 
 def strip_front_matter(c: Column) -> Column:
@@ -93,7 +95,7 @@ def strip_front_matter(c: Column) -> Column:
 
 def extract_headings(c: Column) -> Column:
     return F.transform(
-        F.filter(lines(c), lambda line: line.rlike(HEADING)),
+        F.filter(lines(c), lambda line: line.startswith("#") & line.rlike(HEADING)),
         lambda line: strip(F.regexp_extract(line, HEADING, 1)),
     )
 

@@ -39,7 +39,9 @@ def sensitivity_flags(df: DataFrame, *, inside_domains=(), case_terms=None, pers
         df.withColumn("_said", said)
         .withColumns(
             {
-                "_mails": F.regexp_extract_all("_said", F.lit(fv.EMAIL), 0),
+                "_mails": F.when(F.col("_said").contains("@"), F.regexp_extract_all("_said", F.lit(fv.EMAIL), 0)).otherwise(
+                    F.array().cast("array<string>")
+                ),
                 "_person": F.lit(False) if person_id is None else F.col("_said").rlike(person_id),
                 "_low": F.lower("_said"),
             }
@@ -118,7 +120,8 @@ def has_future_date(text: Column, as_of) -> Column:
             "yyyy-MM-dd",
         ),
     )
-    return F.exists(F.concat(named, numbered), lambda d: F.coalesce(d > today, F.lit(False)))
+    found = F.exists(F.concat(named, numbered), lambda d: F.coalesce(d > today, F.lit(False)))
+    return F.when(~text.contains("20"), F.lit(False)).otherwise(found)  # both forms hold a year 20..
 
 
 def _month(name: Column) -> Column:
@@ -213,7 +216,7 @@ def missing_content_flags(df: DataFrame) -> DataFrame:
 def usability_flags(df: DataFrame) -> DataFrame:
     """Add ``usability_flags`` for table rows of more than 1 200 characters."""
     rows = F.size(
-        F.filter(tx.lines(F.col("markdown")), lambda l: l.rlike(r"(?U)^\s*\|") & (F.length(l) > 1200))
+        F.filter(tx.lines(F.col("markdown")), lambda l: (F.length(l) > 1200) & l.rlike(r"(?U)^\s*\|"))
     )
     return df.withColumn("_rows", rows).withColumn(
         "usability_flags",

@@ -121,3 +121,12 @@ def test_simhash_matches_its_definition(spark):
     df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "document_id string, text string")
     got = {r["document_id"]: r["simhash"] for r in simhash64(df, "text").collect()}
     assert got == {str(i): plain(t) for i, t in enumerate(texts)}
+
+
+def test_lines_end_at_every_separator(spark):
+    texts = ["a\nb", "a\r\nb\x0bc", "a\x85b\n\nc", "a\u2028b\u2029", "", "a\x1cb\x1dc\x1ed\x0c", "\n", "\r"]
+    assert one(spark, texts, tx.lines) == [re.split(tx.LINE_BREAK, t) for t in texts]
+    df = spark.createDataFrame([("a",)], "v string").select(tx.lines(F.col("v")).alias("o"))
+    assert "RLIKE" not in df._jdf.queryExecution().optimizedPlan().toString() and one(spark, [None], tx.lines) == [None]
+    many = spark.createDataFrame([("a\nb",)], "v string").select(F.split("v", tx.LINE_BREAK).alias("o"), tx.lines(F.col("v")).alias("p")).first()
+    assert many.o == many.p
