@@ -51,12 +51,13 @@ LOWER_WORDS = {
 
 # what these rules cut a plain text into: runs of letters, single digits, runs of other signs. A text with any
 # other character, an apostrophe or "<|" is not plain
-_LETTERS = "a-zß-öø-ÿ"
+_LETTERS = "A-ZÀ-ÖØ-Þa-zß-öø-ÿ"
 _SIGNS = r"!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"
-_PARTS = re.compile(rf"[{_LETTERS}]+|[0-9]|[{_SIGNS}]+")
-_PLAIN = re.compile(rf"[ \t\n\r0-9A-ZÀ-ÖØ-Þ{_LETTERS}{_SIGNS}]")
-_PLAIN_BYTES = bytes(c for c in range(256) if _PLAIN.fullmatch(chr(c)))
-_IN_LOWER = bytes(ord(chr(c).lower()) if _PLAIN.fullmatch(chr(c)) else c for c in range(256))
+_BLANK, _LETTER, _DIGIT, _SIGN = range(4)
+_SORTS = [re.compile(r"[ \t\n\r]"), re.compile(f"[{_LETTERS}]"), re.compile("[0-9]"), re.compile(f"[{_SIGNS}]")]
+_SORT = np.array([next((k for k, sort in enumerate(_SORTS) if sort.fullmatch(chr(c))), 255) for c in range(256)], np.uint8)
+_PLAIN_BYTES = bytes(np.flatnonzero(_SORT != 255).tolist())
+_IN_LOWER = bytes(ord(chr(c).lower()) if _SORT[c] == _LETTER else c for c in range(256))
 
 
 class _Recent(dict):
@@ -81,12 +82,12 @@ class Encoder:
     """Token ids of whole texts, as the vocabulary file gives them.
 
     Where the file has the rules of ``LOWER_WORDS``, characters are never joined across blanks, so the ids of a text are
-    those of its pieces between blanks one after the other; pieces met lately are remembered. Pieces of plain texts
-    are cut into words here and each word goes to the byte-pair model; others go through the whole tokenizer. A file with
-    other rules gets whole texts.
+    those of its pieces between blanks one after the other; pieces met lately are remembered. Plain texts are cut into words
+    here, many texts together, and each different word goes to the byte-pair model; the pieces of others go through the
+    whole tokenizer. A file with other rules gets whole texts.
     """
 
-    def __init__(self, vocabulary: str | None, limit: int = 100_000):
+    def __init__(self, vocabulary: str | None, limit: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -104,34 +105,65 @@ class Encoder:
         self.by_pieces = {k: part and json.loads(part.__getstate__()) for k, part in told.items()} == LOWER_WORDS
         if self.by_pieces:
             split = self.tokenizer.pre_tokenizer.pre_tokenize_str
-            self.as_bytes = str.maketrans({chr(c): split(chr(c))[0][0] for c in range(33, 0x100) if _PARTS.fullmatch(chr(c))})
-            self.plain, self.words, self.pieces = _Recent(self._plain, limit), _Recent(self._word, limit), _Recent(self._piece, limit // 10)
+            self.as_bytes = str.maketrans({chr(c): split(chr(c))[0][0] for c in range(256) if _SORT[c] not in (_BLANK, 255) and _IN_LOWER[c] == c})
+            self.words, self.pieces = _Recent(self._word, limit), _Recent(self._piece, limit // 20)
 
-    def _word(self, word: str) -> bytes:
-        return array(self.code, [t.id for t in self.model.tokenize(word if word.isascii() else word.translate(self.as_bytes))]).tobytes()
-
-    def _plain(self, piece: bytes) -> bytes:
-        """Ids of a plain piece in lower-case Latin-1."""
-        if piece.isalpha() and piece.isascii():
-            return self.words[piece.decode()]
-        return b"".join(map(self.words.__getitem__, _PARTS.findall(piece.decode("latin-1"))))
+    def _word(self, word: bytes) -> bytes:
+        """Ids of a lower-case word in Latin-1."""
+        said = word.decode("ascii") if word.isascii() else word.decode("latin-1").translate(self.as_bytes)
+        return array(self.code, [t.id for t in self.model.tokenize(said)]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.kind).tobytes()
 
     def ids(self, text: str | None) -> np.ndarray:
-        text = text or ""
+        return self.ids_of_all([text or ""])[0]
+
+    def ids_of_all(self, texts: list[str]) -> list[np.ndarray]:
         if not self.by_pieces:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
-        try:
-            raw = text.encode("latin-1")
-        except UnicodeEncodeError:
-            raw = b"'"
-        if not raw.translate(None, _PLAIN_BYTES) and b"<|" not in raw:
-            return np.frombuffer(b"".join(map(self.plain.__getitem__, raw.translate(_IN_LOWER).split())), self.kind)
+            return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.kind) for t in texts]
+        plain = [plain_bytes(t) for t in texts]
+        together = iter(self._ids_of_plain([raw for raw in plain if raw is not None]))
+        return [self._ids_by_piece(t) if raw is None else next(together) for t, raw in zip(texts, plain, strict=True)]
+
+    def _ids_by_piece(self, text: str) -> np.ndarray:
         pieces = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         return np.frombuffer(b"".join(map(self.pieces.__getitem__, pieces)), self.kind)
 
+    def _ids_of_plain(self, raws: list[bytes]) -> list[np.ndarray]:
+        """Ids of plain texts: all words of all texts in one array, in which equal ones are looked up once."""
+        if not raws:
+            return []
+        raw = np.frombuffer(b"\n".join([*raws, b""]), np.uint8)
+        sort = _SORT[raw]
+        starts = np.concatenate([[True], sort[1:] != sort[:-1]]) | (sort == _DIGIT)
+        kept = sort != _BLANK
+        starts &= kept
+        text_ends = np.cumsum([len(r) + 1 for r in raws])
+        words_before = np.searchsorted(np.flatnonzero(starts), text_ends)
+        letters = raw[kept]
+        edges = np.append(np.flatnonzero(starts[kept]), len(letters)).astype(np.int64)
+        words = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(letters)]).dictionary_encode()
+        codes = words.indices.to_numpy()
+        known = list(map(self.words.__getitem__, words.dictionary.to_pylist()))
+        flat = np.frombuffer(b"".join(known), self.kind)
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // self.kind.itemsize
+        first, lengths = np.cumsum(sizes) - sizes, sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        out = np.empty(ends[-1], self.kind)
+        for a, b in row_blocks(lengths, 1 << 18):
+            out[ends[a] : ends[b]] = flat[np.repeat(first[codes[a:b]] - ends[a:b], lengths[a:b]) + np.arange(ends[a], ends[b])]
+        return np.split(out, ends[words_before[:-1]])
+
+
+def plain_bytes(text: str) -> bytes | None:
+    """A plain text in lower-case Latin-1; None for others."""
+    try:
+        raw = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    return None if raw.translate(None, _PLAIN_BYTES) or b"<|" in raw else raw.translate(_IN_LOWER)
+
 
 _ENCODERS: dict[str | None, Encoder] = {}
 
@@ -156,16 +188,19 @@ def tokenise(docs: DataFrame, window: int, vocabulary: str | None) -> DataFrame:
             _ENCODERS[vocabulary] = Encoder(vocabulary)
         encoder, part, full = _ENCODERS[vocabulary], TaskContext.get().partitionId(), 0
         pa.default_memory_pool().release_unused()
-        before, ids = None, np.array([END_ID], encoder.kind)
+        end = encoder.kind.type(END_ID)
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
-            for first, last in row_blocks(sizes + 64, 2 << 20):
+            for first, last in row_blocks(sizes + 64, 4 << 20):
                 rows = batch.slice(first, last - first)
                 out: list[tuple] = []
-                for doc, text in zip(rows.column(0).to_pylist(), rows.column(1), strict=True):
-                    text = text.as_py() or ""
-                    if text != before:  # copies of a row, as a mix makes them, follow each other
-                        before, ids = text, np.append(encoder.ids(text), encoder.kind.type(END_ID))
+                texts = [t or "" for t in rows.column(1).to_pylist()]
+                # copies of a row, as a mix makes them, follow each other
+                new = [k == 0 or t != texts[k - 1] for k, t in enumerate(texts)]
+                different = iter(encoder.ids_of_all([t for t, yes in zip(texts, new, strict=True) if yes]))
+                for doc, yes in zip(rows.column(0).to_pylist(), new, strict=True):
+                    if yes:
+                        ids = np.append(next(different), end)
                     whole = len(ids) // window * window
                     for a in range(0, whole, window):
                         out.append((doc, a, window, crc_of(ids[a : a + window]), len(ids), part << 34 | full << 1, 0, None))

@@ -51,6 +51,17 @@ def test_encoder_equals_the_tokenizer():
         assert encoder.ids(t).tolist() == TOKENIZER.encode(t, add_special_tokens=False).ids
 
 
+def test_plain_texts_are_cut_together():
+    encoder, made = Encoder(None), []
+    make = encoder.words.make
+    encoder.words.make = lambda word: made.append(word) or make(word)
+    texts = ["Wörter, WÖRTER wörter.", "", "  ÀÉß-ÿÞ x2y 12345 <a|b>\r\n", "don't", "x2y\t(wörter)", "\n", "× ÷ ª", "11", "1"]
+    for t, ids in zip(texts, encoder.ids_of_all(texts), strict=True):
+        assert ids.tolist() == TOKENIZER.encode(t, add_special_tokens=False).ids
+    assert len(made) == len(set(made)) and made.count("wörter".encode("latin-1")) == 1
+    assert encoder.ids_of_all([]) == []
+
+
 def test_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
