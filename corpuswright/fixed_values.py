@@ -359,6 +359,22 @@ SECRET_PATTERNS = [
     ("password_assignment", r"(?i)\b(password|passwd|pwd)\s*[:=]\s*[^\s`]+"),
 ]
 
+# one of these stands in every match of the pattern; with True in its lower-case text
+_LITERALS = {
+    "aws_access_key": (["AKIA"], False),
+    "github_token": (["ghp_", "gho_", "ghu_", "ghs_", "ghr_"], False),
+    "slack_token": (["xox"], False),
+    "openai_key": (["sk-"], False),
+    "azure_openai_key_assignment": (["azure"], True),
+    "generic_api_key_assignment": (["apikey", "api_key", "api key", "api-key"], True),
+    "bearer_token": (["bearer"], True),
+    "connection_string": (["server=", "host=", "endpoint="], True),
+    "private_key_block": (["-----BEGIN "], False),
+    "jwt": (["eyJ"], False),
+    "password_assignment": (["password", "passwd", "pwd"], True),
+}
+SECRET_LITERALS = {pattern: _LITERALS[name] for name, pattern in SECRET_PATTERNS}
+
 # ---- fixed values: duplicate families --------------------------------------------------------
 FAMILY_NOISE_TOKENS = [
     "ppe", "prod", "production", "dev", "qa", "use1", "euw1", "apse1", "east", "west", "southeast",

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuswright import fixed_values as fv
+from corpuswright.functions import text as tx
+from corpuswright.functions.text import let
 
 
 def redact_secrets(
@@ -29,43 +31,45 @@ def redact_secrets(
             {"redaction_warnings": F.array().cast("array<string>"), "redaction_failed": F.lit(False)}
         )
     safe = replacement.replace("\\", "\\\\").replace("$", "\\$")
-    any_secret = "|".join(f"(?:{p})" for _, p in patterns)
-    texts = [F.col(column)]
-    if action == "redact":
-        for _, pattern in patterns:
-            texts.append(F.regexp_replace(texts[-1], pattern, safe))
-    else:
-        texts = texts * (len(patterns) + 1)
-    warnings = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    before.rlike(pattern),
-                    F.concat(
-                        F.lit(f"redaction_match:{name}:"),
-                        F.regexp_count(before, F.lit(pattern)).cast("string"),
-                    ),
-                )
-                for before, (name, pattern) in zip(texts, patterns, strict=False)
-            ]
-        )
-    )
+
+    def step(pattern: str, name: str):
+        """A state (text, told) after one pattern; it is computed once and handed on."""
+
+        def run(state: Column) -> Column:
+            now = state["text"]
+            times = F.when(_may_match(now, F.lower(now), pattern), F.regexp_count(now, F.lit(pattern))).otherwise(0)
+            left = F.regexp_replace(now, pattern, safe) if action == "redact" else now
+            told = lambda n: F.array_append(state["told"], F.concat(F.lit(f"redaction_match:{name}:"), n.cast("string")))
+            return let(times, lambda n: F.when(n > 0, F.struct(left.alias("text"), told(n).alias("told"))).otherwise(state))
+
+        return run
+
+    found = F.struct(F.col(column).alias("text"), F.array().cast("array<string>").alias("told"))
+    any_secret = F.lit(False)
+    for name, pattern in patterns:
+        found = let(found, step(pattern, name))
+        any_secret = any_secret | (_may_match(F.col(column), F.col("_low"), pattern) & F.col(column).rlike(pattern))
     # most rows hold no secret: one scan decides, the chain runs for the rest only
-    hit = F.col("_hit")
     return (
-        df.withColumn("_hit", F.col(column).rlike(any_secret))
+        df.withColumn("_low", F.lower(column))
+        .withColumn("_found", F.when(any_secret, found))
         .withColumns(
             {
-                "redaction_warnings": F.when(hit, warnings).otherwise(F.array().cast("array<string>")),
-                "_clean": F.when(hit, texts[-1]).otherwise(F.col(column)),
+                "redaction_warnings": tx.coalesce_array(F.col("_found.told")),
+                column: F.coalesce("_found.text", column),
             }
         )
-        .withColumn(column, F.col("_clean"))
         .withColumn("redaction_failed", F.lit(action == "fail") & (F.size("redaction_warnings") > 0))
-        .drop("_hit", "_clean")
+        .drop("_low", "_found")
     )
 
 
+def _may_match(text: Column, low: Column, pattern: str) -> Column:
+    """False where ``text`` (``low`` in lower case) holds none of the literals that every match of a known pattern has."""
+    literals, folded = fv.SECRET_LITERALS.get(pattern, ([], False))
+    return tx.contains_any(low if folded else text, literals) if literals else F.lit(True)
+
+
 def redaction_failures(redacted: DataFrame) -> DataFrame:
     """(document_id, message) of documents refused by the ``fail`` action."""
     return redacted.where("redaction_failed").select(

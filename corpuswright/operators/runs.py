@@ -120,7 +120,9 @@ def failure_rows(
 
 def warning_rows(df: DataFrame, column: str, *, run_id: str, stage: str) -> DataFrame:
     """One row per entry of the array ``column``."""
-    return df.select(
+    # an inner explode makes Spark compute the array a second time, in a filter on its size
+    told = df.select(
         F.lit(run_id).alias("run_id"), "document_id", "page_id", "space_key", "title",
-        F.explode(column).alias("warning_type"),
-    ).select("*", F.col("warning_type").alias("message"), F.lit(stage).alias("stage"))
+        F.posexplode_outer(column).alias("_pos", "warning_type"),
+    )
+    return told.where("_pos is not null").drop("_pos").select("*", F.col("warning_type").alias("message"), F.lit(stage).alias("stage"))
