@@ -6,7 +6,7 @@ import json
 import unicodedata
 from functools import lru_cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NON_ASCII = r"[^\x00-\x7F]"
@@ -131,12 +131,50 @@ def rewrite_images(c: Column) -> Column:
 
 def contains_any(c: Column, terms) -> Column:
     """True when any of ``terms`` occurs anywhere in ``c`` (substring, not word)."""
+    return any_of(terms, c.contains)
+
+
+def any_of(terms, has) -> Column:
+    """True when ``has(term)`` holds for any of ``terms``, where a term with another of them inside need not be asked for."""
     found = F.lit(False)
-    for term in terms:
-        found = found | c.contains(term)
+    for term in dict.fromkeys(terms):
+        if not any(other != term and other in term for other in terms):
+            found = found | has(term)
     return found
 
 
+@lru_cache(maxsize=64)
+def _stems(terms: tuple[str, ...]) -> dict[str, str]:
+    """Term to a beginning of one of its words, four letters at least, that other terms have, too."""
+    covered: dict[str, set[str]] = {}
+    for term in terms:
+        for at in range(len(term)):
+            if at == 0 or term[at - 1] == " ":
+                for to in range(at + 4, len(term) + 1):
+                    covered.setdefault(term[at:to], set()).add(term)
+    left, stems = set(terms), {}
+    while covered:
+        stem = max(covered, key=lambda s: (len(covered[s] & left), len(s), s))
+        if len(covered[stem] & left) < 2:
+            break
+        stems |= dict.fromkeys(covered[stem] & left, stem)
+        left -= covered[stem]
+    return stems
+
+
+def with_stems(df: DataFrame, name: str, terms):
+    """``df`` with a column for each stem that several ``terms`` share, the test whether column ``name`` contains
+    a term, and the names of the new columns; a text without the stem is not searched for its terms."""
+    stems = _stems(tuple(dict.fromkeys(terms)))
+    columns = {stem: f"_stem{i}" for i, stem in enumerate(sorted(set(stems.values())))}
+
+    def has(term: str) -> Column:
+        stem = stems.get(term)
+        return F.col(name).contains(term) if stem is None else F.col(columns[stem]) if stem == term else F.col(columns[stem]) & F.col(name).contains(term)
+
+    return df.withColumns({column: F.col(name).contains(stem) for stem, column in columns.items()}), has, list(columns.values())
+
+
 def hamming(left: Column, right: Column) -> Column:
     """Bit distance of two 64-bit hex strings; 64 when one is not a hex number."""
 

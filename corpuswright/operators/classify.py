@@ -39,7 +39,7 @@ def classify_documents(pages: DataFrame, *, overrides=None, type_terms=None, max
     """
     overrides = fv.TITLE_OVERRIDES if overrides is None else overrides
     type_terms = fv.DOCUMENT_TYPE_TERMS if type_terms is None else type_terms
-    df = _with_paths(pages, max_chars)
+    df, in_head, stems = tx.with_stems(_with_paths(pages, max_chars), "_head", [t for terms in type_terms.values() for t in terms])
     fixed = F.lit(None).cast("struct<document_type:string,confidence:double>")
     for where, terms, mode, name, confidence in reversed(overrides):
         if where == "pattern":
@@ -56,7 +56,7 @@ def classify_documents(pages: DataFrame, *, overrides=None, type_terms=None, max
         total = F.lit(0)
         for t in terms:
             in_title = F.col("_title").contains(t)
-            total = total + F.when(in_title, 2).when(F.col("_head").contains(t), 1).otherwise(0)
+            total = total + F.when(in_title, 2).when(in_head(t), 1).otherwise(0)
         return total
 
     # the earliest of the best scores: larger score first, then smaller rule number
@@ -86,7 +86,7 @@ def classify_documents(pages: DataFrame, *, overrides=None, type_terms=None, max
             .when(few_words, F.lit(0.45))
             .otherwise(F.lit(0.35)),
         }
-    ).drop("_title", "_path", "_head", "_fixed", "_best")
+    ).drop("_title", "_path", "_head", "_fixed", "_best", *stems)
 
 
 def document_subtypes(df: DataFrame, *, subtype_terms=None) -> DataFrame:
@@ -179,9 +179,9 @@ def operational_signals(pages: DataFrame, *, signal_terms=None) -> DataFrame:
     signal_terms = fv.SIGNAL_TERMS if signal_terms is None else signal_terms
     hrefs = F.array_join(F.transform("links", lambda l: F.coalesce(l["href"], F.lit(""))), " ")
     said = F.lower(F.concat(F.col("title"), F.lit(" "), F.col("text"), F.lit(" "), hrefs))
-    df = pages.withColumn("_said", said)
-    fields = [tx.contains_any(F.col("_said"), terms).alias(name) for name, terms in signal_terms.items()]
-    return df.withColumn("signals", F.struct(*fields)).drop("_said")
+    df, has, stems = tx.with_stems(pages.withColumn("_said", said), "_said", [t for terms in signal_terms.values() for t in terms])
+    fields = [tx.any_of(terms, has).alias(name) for name, terms in signal_terms.items()]
+    return df.withColumn("signals", F.struct(*fields)).drop("_said", *stems)
 
 
 def signal_count(signals: str = "signals", names=None) -> Column:

@@ -58,12 +58,13 @@ _LINK = "struct<type:string,href:string,text:string,target_title:string>"
 
 
 def content_availability(pages: DataFrame) -> DataFrame:
-    """``empty`` (marker in the body), ``thin`` (fewer than 80 words) or ``normal``."""
+    """``empty`` (marker in the body), ``thin`` (fewer than 80 words) or ``normal``; words counted by ``text_stats`` are taken."""
     body = F.lower(tx.strip_front_matter(F.col("markdown")))
+    words = F.col("score_words") if "score_words" in pages.columns else tx.word_count(F.col("text"))
     return pages.withColumn(
         "content_availability",
         F.when(body.contains(fv.EMPTY_BODY_MARKER), F.lit("empty"))
-        .when(tx.word_count(F.col("text")) < 80, F.lit("thin"))
+        .when(words < 80, F.lit("thin"))
         .otherwise(F.lit("normal")),
     )
 
