@@ -184,13 +184,14 @@ def validation_report(issues: DataFrame, *, limit: int | None = None) -> DataFra
 def assemble_pages(manifest: DataFrame, *parts: DataFrame) -> DataFrame:
     """Successful pages with all their parts, joined on ``folder`` (a page lacking one is absent).
 
-    ``parts`` are the metadata, links, conversion, Markdown and text tables, each with ``folder``.
+    ``parts`` are the metadata, links, conversion, Markdown and text tables, each with ``folder``. They are merged, never
+    broadcast: Spark guesses their size by the manifest that names the files, and would take all texts into the driver.
     """
     df = manifest.where("status = 'success'").select(
         F.col("path").alias("folder"), "markdown_path", F.col("status").alias("manifest_status")
     )
     for part in parts:
-        df = df.join(part, "folder")
+        df = df.join(part.hint("merge"), "folder")
     return df
 
 

@@ -170,3 +170,11 @@ def test_pages_are_read_without_listing_the_tree(spark, export):
     assert sorted(p.page_id for p in pages.collect()) == ["1", "1", "2"]
     assert {tuple(p.attachment_names) for p in pages.collect()} == {("a b.png",)}
     assert {tuple(p.attachment_names) for p in scan.scan_pages(spark, str(export), own_files=["a b.png"]).collect()} == {()}
+
+
+def test_texts_of_pages_are_not_broadcast(spark, export):
+    # their size is guessed by the manifest, which is small beside them
+    pages = scan.scan_pages(spark, str(export))
+    plan = pages._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sorted((p.page_id, p.text) for p in pages.collect()) == [(i, "Page text\nsecond line") for i in ("1", "2")]
